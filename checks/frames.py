@@ -10,10 +10,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbsight import schemas
 from curbsight.functions.air import index_category, pm25_index
-from curbsight.functions.common import calendar
 from curbsight.functions.places import CITY, COUNTRY, INTERSECTIONS, ZONES
 from curbsight.functions.traffic import congestion_level
 
@@ -26,62 +26,90 @@ ZONE_ORDER = ("downtown", "midtown", "uptown", "industrial", "residential")
 ZONE_PLACE = {name: (lat, lon) for name, lat, lon in ZONES}
 
 
+# Declared, so that no query spends a job on reading footers first.
+_SCHEMAS = {
+    "events": T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+    ]),
+    "orders": T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_orderdate", T.TimestampNTZType()),
+        T.StructField("o_orderpriority", T.StringType()),
+    ]),
+    "customer": T.StructType([
+        T.StructField("c_custkey", T.LongType()), T.StructField("c_nationkey", T.IntegerType()),
+    ]),
+    "nation": T.StructType([
+        T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_regionkey", T.IntegerType()),
+    ]),
+    "region": T.StructType([
+        T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType()),
+    ]),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(index: Column, values: list) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), (index + 1).cast("int"))
+def pick(index: str, values: list) -> str:
+    """SQL text that looks up a 0-based index in a constant list."""
+    shown = ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}D" for v in values)
+    return f"element_at(array({shown}), cast({index} + 1 as int))"
 
 
 def events(spark: SparkSession, sf_dir: str, since: dt.datetime | dt.date | None = None) -> DataFrame:
     raw = table(spark, sf_dir, "events")
     if since is not None:
-        raw = raw.filter(F.col("ts") >= F.lit(str(since)).cast("timestamp_ntz"))
-    return raw.select(
-        "event_id", "user_id", "event_type", "value",
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        raw = raw.filter(f"ts >= timestamp_ntz '{since}'")
+    return raw.selectExpr(
+        "event_id", "user_id", "event_type", "value", "cast(ts as timestamp) as ts",
+        "cast(get_json_object(props, '$.k') as int) as k",
     )
 
 
-def iso(stamp: str | Column) -> Column:
-    return F.concat(F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+def iso(stamp: str) -> str:
+    return f"concat(date_format({stamp}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
+
+
+_DATE_PARTS = ("year(ts) as year", "month(ts) as month", "day(ts) as day")
 
 
 def air(spark: SparkSession, sf_dir: str, since: dt.datetime | dt.date | None = None) -> DataFrame:
     """Silver air quality: one reading per event."""
-    zone = F.col("user_id") % 5
-    k = F.col("k")
-    half = F.lit(0.5)
-    rows = events(spark, sf_dir, since).select(
+    zone = "user_id % 5"
+    rows = events(spark, sf_dir, since).selectExpr(
         "event_id",
-        F.format_string("AQ_%04d", "user_id").alias("sensor_id"),
-        iso("ts").alias("reading_timestamp"),
-        F.col("ts").alias("reading_datetime"),
-        F.lit("air_quality").alias("sensor_type"),
-        pick(zone, [ZONE_PLACE[z][0] for z in ZONE_ORDER]).alias("latitude"),
-        pick(zone, [ZONE_PLACE[z][1] for z in ZONE_ORDER]).alias("longitude"),
-        pick(zone, list(ZONE_ORDER)).alias("zone"),
-        F.lit(CITY).alias("city"),
-        F.lit(COUNTRY).alias("country"),
-        F.col("value").alias("pm25"),
-        (F.col("value") * F.lit(1.4)).alias("pm10"),
-        (F.lit(400.0) + k).alias("co2"),
-        (F.lit(10.0) + F.lit(0.3) * k).alias("no2"),
-        (F.lit(20.0) + F.lit(0.4) * k).alias("o3"),
-        (half * k - F.lit(5.0)).alias("temperature_celsius"),
-        (F.lit(30.0) + half * k).alias("humidity_percent"),
-        (F.lit(1003.0) + F.lit(0.2) * k).alias("pressure_hpa"),
-        pm25_index(F.col("value")).alias("aqi_value"),
-        F.when(F.col("event_id") % 20 == 7, "maintenance").otherwise("active").alias("device_status"),
-        k.alias("battery_level"),
-        (F.lit(-30) - k % 50).alias("signal_strength_dbm"),
-        F.concat(F.lit("2.1."), (k % 5).cast("string")).alias("firmware_version"),
-        F.to_date(F.lit("2024-01-10")).alias("calibration_date"),
-        F.lit("synthetic_iot").alias("data_source"),
+        "concat('AQ_', lpad(cast(user_id as string), 8, '0')) as sensor_id",
+        f"{iso('ts')} as reading_timestamp",
+        "ts as reading_datetime",
+        "'air_quality' as sensor_type",
+        f"{pick(zone, [ZONE_PLACE[z][0] for z in ZONE_ORDER])} as latitude",
+        f"{pick(zone, [ZONE_PLACE[z][1] for z in ZONE_ORDER])} as longitude",
+        f"{pick(zone, list(ZONE_ORDER))} as zone",
+        f"'{CITY}' as city",
+        f"'{COUNTRY}' as country",
+        "value as pm25",
+        "value * 1.4D as pm10",
+        "400D + k as co2",
+        "10D + 0.3D * k as no2",
+        "20D + 0.4D * k as o3",
+        "0.5D * k - 5D as temperature_celsius",
+        "30D + 0.5D * k as humidity_percent",
+        "1003D + 0.2D * k as pressure_hpa",
+        "if(event_id % 20 = 7, 'maintenance', 'active') as device_status",
+        "k as battery_level",
+        "-30 - k % 50 as signal_strength_dbm",
+        "concat('2.1.', cast(k % 5 as string)) as firmware_version",
+        "date '2024-01-10' as calibration_date",
+        "'synthetic_iot' as data_source",
+        *_DATE_PARTS,
+    )
+    return rows.withColumn("aqi_value", pm25_index(F.col("pm25"))).withColumn(
+        "aqi_category", index_category(F.col("aqi_value"))
     )
-    return rows.withColumns({"aqi_category": index_category(F.col("aqi_value")), **calendar("reading_datetime")})
 
 
 def with_defects(rows: DataFrame) -> DataFrame:
@@ -194,7 +222,7 @@ def _envelopes(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.concat(F.lit("chg_"), F.col("v.seq").cast("string")).alias("cdc_event_id"),
         kind.alias("cdc_event_type"),
-        iso(F.col("reading_datetime") + F.expr("INTERVAL 5 SECONDS")).alias("cdc_timestamp"),
+        F.expr(iso("reading_datetime + INTERVAL 5 SECONDS")).alias("cdc_timestamp"),
         F.lit("dynamodb-streams").alias("cdc_source"),
         F.col("v.seq").cast("string").alias("cdc_sequence_number"),
         F.lit(512).cast("bigint").alias("cdc_size_bytes"),
@@ -219,35 +247,34 @@ def _envelopes(rows: DataFrame) -> DataFrame:
 
 def traffic(spark: SparkSession, sf_dir: str, since: dt.datetime | dt.date | None = None) -> DataFrame:
     """Silver traffic: one reading per event."""
-    site = F.col("user_id") % 8
-    k = F.col("k")
-    speed = F.least(F.col("value"), F.lit(65.0))
-    rows = events(spark, sf_dir, since).select(
-        F.format_string("TR_%04d", "user_id").alias("sensor_id"),
-        F.col("ts").alias("reading_datetime"),
-        F.concat(F.lit("TRF_"), F.col("event_id").cast("string")).alias("event_id"),
-        pick(site, [s[1] for s in INTERSECTIONS]).alias("latitude"),
-        pick(site, [s[2] for s in INTERSECTIONS]).alias("longitude"),
-        pick(site, [s[0] for s in INTERSECTIONS]).alias("intersection"),
-        pick(site, [s[3] for s in INTERSECTIONS]).alias("road_type"),
-        F.lit(CITY).alias("city"),
-        F.lit(COUNTRY).alias("country"),
-        k.alias("vehicle_count"),
-        speed.alias("avg_speed_mph"),
-        congestion_level(k).alias("congestion_level"),
-        (F.col("event_id") % 31).cast("int").alias("pedestrian_count"),
-        (F.col("event_id") % 11).cast("int").alias("bike_count"),
-        k.cast("double").alias("occupancy_percent"),
-        F.greatest(F.lit(0.0), (F.lit(70.0) - speed) * 2).alias("queue_length_meters"),
-        (F.lit(100) - k).alias("traffic_flow_score"),
-        (F.col("event_type") == "error").alias("incident_detected"),
-        F.lit("active").alias("device_status"),
-        (F.lit(-30) - k % 50).alias("signal_strength_dbm"),
-        F.lit("3.2.1").alias("firmware_version"),
-        F.lit("synthetic_streaming").alias("data_source"),
-        F.lit("kinesis_stream").alias("ingestion_type"),
+    site = "user_id % 8"
+    rows = events(spark, sf_dir, since).selectExpr(
+        "concat('TR_', lpad(cast(user_id as string), 8, '0')) as sensor_id",
+        "ts as reading_datetime",
+        "concat('TRF_', cast(event_id as string)) as event_id",
+        f"{pick(site, [s[1] for s in INTERSECTIONS])} as latitude",
+        f"{pick(site, [s[2] for s in INTERSECTIONS])} as longitude",
+        f"{pick(site, [s[0] for s in INTERSECTIONS])} as intersection",
+        f"{pick(site, [s[3] for s in INTERSECTIONS])} as road_type",
+        f"'{CITY}' as city",
+        f"'{COUNTRY}' as country",
+        "k as vehicle_count",
+        "least(value, 65D) as avg_speed_mph",
+        "cast(event_id % 31 as int) as pedestrian_count",
+        "cast(event_id % 11 as int) as bike_count",
+        "cast(k as double) as occupancy_percent",
+        "greatest(0D, (70D - least(value, 65D)) * 2) as queue_length_meters",
+        "100 - k as traffic_flow_score",
+        "event_type = 'error' as incident_detected",
+        "'active' as device_status",
+        "-30 - k % 50 as signal_strength_dbm",
+        "'3.2.1' as firmware_version",
+        "'synthetic_streaming' as data_source",
+        "'kinesis_stream' as ingestion_type",
+        *_DATE_PARTS,
+        "hour(ts) as hour",
     )
-    return rows.withColumns(calendar("reading_datetime", hour=True))
+    return rows.withColumn("congestion_level", congestion_level(F.col("vehicle_count")))
 
 
 def traffic_records(silver: DataFrame) -> DataFrame:
@@ -259,7 +286,7 @@ def traffic_records(silver: DataFrame) -> DataFrame:
 
     return silver.select(
         "sensor_id",
-        iso("reading_datetime").alias("timestamp"),
+        F.expr(iso("reading_datetime")).alias("timestamp"),
         "event_id",
         F.lit("traffic").alias("sensor_type"),
         group(
@@ -276,7 +303,7 @@ def traffic_records(silver: DataFrame) -> DataFrame:
             ("device_status", "device_status"), ("signal_strength", "signal_strength_dbm"),
             ("firmware_version", "firmware_version"),
         ).alias("metadata"),
-        iso("reading_datetime").alias("created_at"),
+        F.expr(iso("reading_datetime")).alias("created_at"),
         "data_source",
         "ingestion_type",
     )
@@ -285,7 +312,7 @@ def traffic_records(silver: DataFrame) -> DataFrame:
 def _orders_with_region(spark: SparkSession, sf_dir: str, since: dt.date | None) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     if since is not None:
-        orders = orders.filter(F.col("o_orderdate") >= F.lit(str(since)).cast("timestamp_ntz"))
+        orders = orders.filter(f"o_orderdate >= timestamp_ntz '{since}'")
     # Nations and regions are 25 and 5 rows at every scale; customers grow, so Spark decides there.
     places = F.broadcast(
         table(spark, sf_dir, "nation").join(

@@ -42,7 +42,7 @@ def aqi_label(x: str) -> str:
 
 AIR = f"""{EV},
 air0 AS (
-  SELECT event_id, printf('AQ_%04d', user_id) AS sensor_id,
+  SELECT event_id, 'AQ_' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS sensor_id,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS reading_timestamp,
          ts AS reading_datetime, 'air_quality' AS sensor_type,
          CASE user_id % 5 WHEN 0 THEN 40.7128e0 WHEN 1 THEN 40.7589e0 WHEN 2 THEN 40.7831e0
@@ -111,7 +111,7 @@ BAD_FEED = change_feed("spoiled", "CASE WHEN event_id % 50 = 20 THEN -5e0 ELSE p
 
 TRAFFIC = f"""{EV},
 traffic AS (
-  SELECT event_id, printf('TR_%04d', user_id) AS sensor_id, ts AS reading_datetime,
+  SELECT event_id, 'TR_' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS sensor_id, ts AS reading_datetime,
          'TRF_' || CAST(event_id AS VARCHAR) AS event_name,
          CASE user_id % 8 WHEN 0 THEN 'Main_St_5th_Ave' WHEN 1 THEN 'Broadway_42nd_St'
               WHEN 2 THEN 'Park_Ave_23rd_St' WHEN 3 THEN 'Amsterdam_96th_St' WHEN 4 THEN 'West_Houston_St'
@@ -182,9 +182,9 @@ SELECT 'chg_' || CAST(seq AS VARCHAR) AS cdc_event_id, kind AS cdc_event_type,
        FALSE AS broken
 FROM feed""")
 
-define("src_parquet_table", TRAFFIC, """
-SELECT year, month, day, hour, count(*) AS readings, CAST(sum(vehicle_count) AS BIGINT) AS vehicles
-FROM traffic GROUP BY ALL""")
+define("src_parquet_table", AIR, """
+SELECT year, month, day, zone, count(*) AS readings, CAST(sum(aqi_value) AS BIGINT) AS aqi_total
+FROM air GROUP BY ALL""")
 
 RANGE = """min(reading_datetime) AS earliest, max(reading_datetime) AS latest,
        count(DISTINCT sensor_id) AS sensors, count(DISTINCT intersection) AS intersections"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from curbsight import schemas
 from curbsight.functions import air as air_index
 from curbsight.functions import traffic as classify
 from curbsight.functions.common import months_back, rounded, week_start
+from curbsight.functions.documents import decode_documents
 from curbsight.operators import air_gold, changes, quality, traffic_gold
 from curbsight.plans import air_reports, documented, jobs, traffic_reports
 from curbsight.session import scratch_dir
@@ -86,11 +88,12 @@ def src_jsonl(spark, sf_dir):
 @query("src_parquet_table")
 def src_parquet_table(spark, sf_dir):
     path = scratch_dir(spark, "silver")
-    silver = frames.traffic(spark, sf_dir).withColumn("silver_processed_at", F.lit(None).cast("timestamp"))
-    tables.write_parquet(silver.select(*schemas.SILVER_TRAFFIC.names), path, by=tables.HOURLY)
-    rows = tables.read_parquet(spark, path, schemas.SILVER_TRAFFIC)
-    return rows.groupBy("year", "month", "day", "hour").agg(
-        F.count(F.lit(1)).alias("readings"), F.sum("vehicle_count").alias("vehicles")
+    audit = {c: F.lit(None).cast(t) for c, t in (("silver_processed_at", "timestamp"), ("cdc_processed_at", "string"))}
+    silver = frames.air(spark, sf_dir).withColumns({**audit, "source_cdc_event_id": F.col("event_id").cast("string")})
+    tables.write_parquet(silver.select(*schemas.SILVER_AIR.names), path)
+    rows = tables.read_parquet(spark, path, schemas.SILVER_AIR)
+    return rows.groupBy("year", "month", "day", "zone").agg(
+        F.count(F.lit(1)).alias("readings"), F.sum("aqi_value").alias("aqi_total")
     )
 
 
@@ -143,7 +146,7 @@ def rt_parquet_overwrite(spark, sf_dir):
 @query("rt_parquet_overwrite_ym")
 def rt_parquet_overwrite_ym(spark, sf_dir):
     path = scratch_dir(spark, "gold")
-    gold = air_gold.daily_by_zone(frames.air(spark, sf_dir))
+    gold = air_gold.daily_by_zone(air_hours(spark, sf_dir))
     for _ in range(2):
         tables.write_parquet(gold, path, by=tables.MONTHLY)
     return tables.read_parquet(spark, path)
@@ -237,11 +240,10 @@ def typed_text(spark, sf_dir) -> DataFrame:
 @query("cdc_decode")
 def cdc_decode(spark, sf_dir):
     """Every tag of a typed document: S, N, BOOL, NULL, M, L, SS, NS."""
-    from curbsight.functions.documents import decode_document
-
     k = F.col("battery_level")
     number = lambda c: F.struct(c.cast("string").alias("N"))
     text = F.to_json(F.struct(
+        number(F.col("event_id")).alias("event_id"),
         F.struct(F.col("sensor_id").alias("S")).alias("id"),
         number(F.col("pm25")).alias("pm25"),
         F.struct(F.concat(k.cast("string"), F.lit(".0")).alias("N")).alias("battery"),
@@ -252,13 +254,18 @@ def cdc_decode(spark, sf_dir):
         F.struct(F.array(F.col("zone"), F.col("city")).alias("SS")).alias("tags"),
         F.struct(F.array(k.cast("string"), F.lit("2.5")).alias("NS")).alias("levels"),
     ))
-    target = T.StructType.fromDDL(
-        "id string, pm25 double, battery int, even boolean, gone string, place struct<zone string, n int>, "
-        "pair array<int>, tags array<string>, levels array<double>"
+    target = schemas.struct(
+        ("event_id", schemas.BIG), ("id", schemas.TEXT), ("pm25", schemas.REAL), ("battery", schemas.WHOLE), ("even", schemas.FLAG),
+        ("gone", schemas.TEXT),
+        ("place", schemas.struct(("zone", schemas.TEXT), ("n", schemas.WHOLE))),
+        ("pair", T.ArrayType(schemas.WHOLE)), ("tags", T.ArrayType(schemas.TEXT)),
+        ("levels", T.ArrayType(schemas.REAL)),
     )
-    doc = frames.air(spark, sf_dir).select("event_id", decode_document(text, target).alias("d"))
-    return doc.select(
-        "event_id", "d.id", "d.pm25", "d.battery", "d.even", "d.gone",
+    path = scratch_dir(spark, "documents")
+    frames.air(spark, sf_dir).select(text.alias("d")).write.text(path)
+    documents = spark.read.text(path).withColumnRenamed("value", "d")
+    return decode_documents(documents, {"d": target}).select(
+        "d.event_id", "d.id", "d.pm25", "d.battery", "d.even", "d.gone",
         F.col("d.place.zone").alias("zone"), F.col("d.place.n").alias("n"),
         F.aggregate("d.pair", F.lit(0), lambda a, x: a + x).alias("pair_sum"),
         "d.tags",
@@ -268,7 +275,9 @@ def cdc_decode(spark, sf_dir):
 
 @query("cdc_flatten")
 def cdc_flatten(spark, sf_dir):
-    flat = changes.flatten_changes(changes.parse_change_records(typed_text(spark, sf_dir)), RUN_AT)
+    path = scratch_dir(spark, "feed")
+    typed_text(spark, sf_dir).write.text(path)
+    flat = changes.flatten_changes(tables.read_change_records(spark, path), RUN_AT)
     return flat.select(
         "cdc_event_id", "cdc_event_type", "cdc_source", "cdc_sequence_number", "cdc_size_bytes",
         "partition_year", "partition_hour",
@@ -316,16 +325,28 @@ def silver_data_range(spark, sf_dir):
 
 # --- gold and support tables ----------------------------------------------------------------
 
+def air_parts(spark, sf_dir, since=None):
+    return air_gold.reading_parts(frames.air(spark, sf_dir, since))
+
+
+def air_hours(spark, sf_dir, since=None):
+    return air_gold.sensor_hours(frames.air(spark, sf_dir, since))
+
+
+def traffic_hours(spark, sf_dir):
+    return traffic_gold.sensor_hours(frames.traffic(spark, sf_dir))
+
+
 GOLD = {
     "gold_air_hourly": (frames.air, air_gold.hourly_by_zone),
-    "gold_air_daily": (frames.air, air_gold.daily_by_zone),
-    "gold_sensor_health": (frames.air, air_gold.sensor_health),
+    "gold_air_daily": (air_hours, air_gold.daily_by_zone),
+    "gold_sensor_health": (air_hours, air_gold.sensor_health),
     "gold_traffic_hourly": (frames.traffic, traffic_gold.hourly_by_intersection),
-    "gold_traffic_daily": (frames.traffic, traffic_gold.daily_by_road_type),
+    "gold_traffic_daily": (traffic_hours, traffic_gold.daily_by_road_type),
     "gold_traffic_incidents": (frames.traffic, traffic_gold.incidents),
     "gold_congestion_trends": (frames.traffic, traffic_gold.congestion_trends),
-    "support_air_daily_sensor": (frames.air, air_gold.daily_by_sensor),
-    "support_air_hourly_sensor": (frames.air, air_gold.hourly_by_sensor),
+    "support_air_daily_sensor": (air_parts, air_gold.daily_by_sensor),
+    "support_air_hourly_sensor": (air_parts, air_gold.hourly_by_sensor),
     "support_traffic_15m": (frames.traffic, traffic_gold.quarter_hours_by_intersection),
 }
 
@@ -344,11 +365,11 @@ def gold_aqi_trends(spark, sf_dir):
 
 
 def sensor_days(spark, sf_dir, since):
-    return air_gold.daily_by_sensor(frames.air(spark, sf_dir, since))
+    return air_gold.daily_by_sensor(air_parts(spark, sf_dir, since))
 
 
 def sensor_hours(spark, sf_dir, since):
-    return air_gold.hourly_by_sensor(frames.air(spark, sf_dir, since))
+    return air_gold.hourly_by_sensor(air_parts(spark, sf_dir, since))
 
 
 def next_hour(stamp: dt.datetime) -> dt.datetime:
@@ -380,7 +401,7 @@ def aq_q3(spark, sf_dir):
 @query("aq_q4")
 def aq_q4(spark, sf_dir):
     candidates = frames.air_candidates(spark, sf_dir)
-    health = air_gold.sensor_health(quality.accepted(candidates, quality.air_rules()))
+    health = air_gold.sensor_health(air_gold.sensor_hours(quality.accepted(candidates, quality.air_rules())))
     return air_reports.devices_needing_attention(documented.with_quality(health, candidates), TODAY)
 
 
@@ -401,7 +422,7 @@ def aq_q7(spark, sf_dir):
 
 @query("aq_q8")
 def aq_q8(spark, sf_dir):
-    health = air_gold.sensor_health(frames.air(spark, sf_dir, TODAY))
+    health = air_gold.sensor_health(air_hours(spark, sf_dir, TODAY))
     return air_reports.missing_sensor_days(sensor_days(spark, sf_dir, TODAY - 7 * DAY), health, TODAY)
 
 
@@ -479,7 +500,7 @@ def zone_hours(spark, sf_dir, since=None):
 
 
 def zone_days(spark, sf_dir):
-    return air_gold.daily_by_zone(frames.air(spark, sf_dir))
+    return air_gold.daily_by_zone(air_hours(spark, sf_dir))
 
 
 @query("doc_q1")
@@ -524,7 +545,7 @@ def doc_good_air_pct(spark, sf_dir):
 @query("doc_sensor_health")
 def doc_sensor_health(spark, sf_dir):
     candidates = frames.air_candidates(spark, sf_dir)
-    health = air_gold.sensor_health(quality.accepted(candidates, quality.air_rules()))
+    health = air_gold.sensor_health(air_gold.sensor_hours(quality.accepted(candidates, quality.air_rules())))
     return documented.documented_sensor_health(health, candidates)
 
 
@@ -627,6 +648,18 @@ def arrivals(silver: DataFrame) -> list[DataFrame]:
     return out
 
 
+@contextmanager
+def state_per_core(spark: SparkSession):
+    """One state store per core of the cluster. A stream keeps the number it was started with."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stream_arrivals(spark, sf_dir, run, *, closing: bool = False) -> str:
     """Land the arrivals one after the other and run the stream after each; returns its output path."""
     base = scratch_dir(spark, "stream")
@@ -641,13 +674,15 @@ def stream_arrivals(spark, sf_dir, run, *, closing: bool = False) -> str:
         parts.append(closer.select(*silver.columns))
     for part in parts:
         frames.traffic_records(part).write.mode("append").option("compression", "gzip").json(f"{base}/landing")
-        run(f"{base}/landing", f"{base}/out", f"{base}/checkpoint")
+        with state_per_core(spark):
+            run(f"{base}/landing", f"{base}/out", f"{base}/checkpoint")
     return f"{base}/out"
 
 
 @query("st_traffic_silver")
 def st_traffic_silver(spark, sf_dir):
-    out = stream_arrivals(spark, sf_dir, lambda src, to, cp: stream.run_silver(spark, src, to, cp, RUN_AT))
+    # One file per hour is enough for tables that have a few rows in each.
+    out = stream_arrivals(spark, sf_dir, lambda src, to, cp: stream.run_silver(spark, src, to, cp, RUN_AT, spread=1))
     return run_at_free(tables.read_parquet(spark, out, schemas.SILVER_TRAFFIC))
 
 

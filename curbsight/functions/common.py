@@ -62,17 +62,12 @@ def day_of_week(stamp: str) -> Column:
     return F.dayofweek(stamp) - F.lit(1)
 
 
-def hours_seen(stamp: str) -> Column:
-    """Bit set of the hours of the day in a group; counting its bits gives the distinct hours.
+def distinct_hours(hour: Column) -> Column:
+    """Number of distinct hours of the day in a group, from a bit set.
 
     A long buffer merges in a hash aggregate, where a distinct count costs a shuffle of its own.
     """
-    return F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour(stamp)))
-
-
-def hour_count(mask: str) -> Column:
-    """Number of distinct hours in merged ``hours_seen`` masks."""
-    return F.coalesce(F.bit_count(F.bit_or(mask)), F.lit(0)).cast("bigint")
+    return F.coalesce(F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), hour))), F.lit(0)).cast("bigint")
 
 
 # --- look-back bounds -----------------------------------------------------------------------
@@ -158,17 +153,22 @@ def averages(spec: Mapping[str, str]) -> list[Column]:
     return [F.avg(source).alias(name) for name, source in spec.items()]
 
 
-def partial_means(columns: Iterable[str]) -> list[Column]:
-    """Sum and count per column, so that a coarser grain can finish the mean."""
-    return [
-        part
-        for c in columns
-        for part in (F.sum(c).alias(f"{c}__sum"), F.count(c).alias(f"{c}__n"))
-    ]
+def mean_parts(columns: Iterable[str]) -> dict[str, Column]:
+    """Sum and count of a single reading per column: the finest parts of a mean."""
+    parts: dict[str, Column] = {}
+    for c in columns:
+        parts[f"{c}__sum"] = F.col(c)
+        parts[f"{c}__n"] = F.col(c).isNotNull().cast("bigint")
+    return parts
+
+
+def merged_parts(columns: Iterable[str]) -> list[Column]:
+    """Merge mean parts to a coarser grain, still as parts."""
+    return [F.sum(f"{c}__{part}").alias(f"{c}__{part}") for c in columns for part in ("sum", "n")]
 
 
-def merged_means(spec: Mapping[str, str]) -> list[Column]:
-    """``{result: source}`` means over rows made by ``partial_means``; NULL when nothing counted."""
+def finished_means(spec: Mapping[str, str]) -> list[Column]:
+    """``{result: source}`` means from parts; NULL when nothing was counted."""
     return [
         F.try_divide(F.sum(f"{source}__sum").cast("double"), F.sum(f"{source}__n")).alias(name)
         for name, source in spec.items()

@@ -7,7 +7,9 @@ plain field access, so the decode stays in generated code. The recursion below r
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,7 +72,13 @@ def plain_document(wire: Column, target: T.StructType) -> Column:
     return F.struct(*(_plain(wire[f.name], f.dataType).alias(f.name) for f in target.fields))
 
 
-def decode_document(text: Column, target: T.StructType) -> Column:
-    """Typed JSON text to a plain struct; NULL text stays NULL."""
-    wire = F.from_json(text, wire_fields(target))
-    return F.when(text.isNotNull(), plain_document(wire, target))
+def decode_documents(frame: DataFrame, targets: Mapping[str, T.StructType]) -> DataFrame:
+    """Replace columns of typed JSON text by plain structs; NULL text stays NULL.
+
+    Parsing is a projection of its own, so that every document is parsed once however many of its
+    fields are read.
+    """
+    parsed = frame.withColumns({c: F.from_json(c, wire_fields(target)) for c, target in targets.items()})
+    return parsed.withColumns({
+        c: F.when(F.col(c).isNotNull(), plain_document(F.col(c), target)) for c, target in targets.items()
+    })

@@ -1,9 +1,10 @@
 """Gold tables and support rollups of the air-quality domain.
 
-The daily tables are built in two levels. The first has keys that a partial hash aggregate
-shrinks before the shuffle, and buffers of plain numbers; the second runs over what is left. That
-spares the sort which an aggregate over structs or text needs, and the row copies which several
-distinct counts need.
+Daily tables are built from parts. A part holds sums, counts and extremes that merge: one reading is
+the finest part, ``sensor_hours`` merges them to one row per sensor and hour. That level has plain
+number buffers and keys which a partial hash aggregate shrinks before the shuffle. Everything that
+would sort or copy readings (the newest state, the hour of the peak, distinct counts) runs over the
+few rows left. Stored, the rollup also spares the daily and monthly tables a second pass over silver.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from curbsight.functions.common import (
     averages,
     band,
     calendar,
-    hour_count,
-    hours_seen,
-    merged_means,
-    partial_means,
+    distinct_hours,
+    finished_means,
+    mean_parts,
+    merged_parts,
 )
 
 READING = "reading_datetime"
@@ -67,23 +68,54 @@ def hourly_by_zone(silver: DataFrame) -> DataFrame:
     )
 
 
-def daily_by_zone(silver: DataFrame) -> DataFrame:
-    """One row per day and zone, with the hour of the highest PM2.5 (the later one of equals)."""
-    means = {"daily_avg_pm25": "pm25", "daily_avg_aqi": "aqi_value", "daily_avg_temp": "temperature_celsius"}
-    day = F.to_date(READING).alias("date")
-    per_sensor_hour = silver.groupBy(day, F.hour(READING).alias("hour"), "zone", "city", "sensor_id").agg(
-        *partial_means(means.values()),
-        F.min("pm25").alias("low_pm25"),
-        F.max("pm25").alias("peak_pm25"),
-        F.max("aqi_value").alias("peak_aqi"),
-        F.min("temperature_celsius").alias("low_temp"),
-        F.max("temperature_celsius").alias("peak_temp"),
-        F.count(F.lit(1)).alias("readings"),
-        F.count_if(F.col("aqi_value") > ELEVATED_AQI).alias("elevated"),
-        F.count_if(F.col("aqi_value") > UNHEALTHY_AQI).alias("unhealthy"),
+# --- sensor-hour rollup ---------------------------------------------------------------------
+
+_MEANS = (
+    "pm25", "pm10", "temperature_celsius", "humidity_percent", "aqi_value", "battery_level", "signal_strength_dbm",
+)
+_LOWEST = {"low_pm25": "pm25", "low_temp": "temperature_celsius", "low_battery": "battery_level"}
+_HIGHEST = {
+    "peak_pm25": "pm25",
+    "peak_aqi": "aqi_value",
+    "peak_temp": "temperature_celsius",
+    "last_seen": READING,
+}
+_TOTALS = ("readings", "elevated", "unhealthy")
+
+
+def reading_parts(silver: DataFrame) -> DataFrame:
+    """Every reading as a part of its own, for tables that need no rollup before them."""
+    return silver.select(
+        hour_bucket(), "sensor_id", "zone", "city", "country", "device_status", "firmware_version",
+        *(c.alias(name) for name, c in mean_parts(_MEANS).items()),
+        *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
+        F.col("battery_level").alias("last_battery"),
+        F.lit(1).cast("bigint").alias("readings"),
+        (F.col("aqi_value") > ELEVATED_AQI).cast("bigint").alias("elevated"),
+        (F.col("aqi_value") > UNHEALTHY_AQI).cast("bigint").alias("unhealthy"),
     )
-    rows = per_sensor_hour.groupBy("date", "zone", "city").agg(
-        *merged_means(means),
+
+
+def sensor_hours(silver: DataFrame) -> DataFrame:
+    """Parts merged per hour, sensor and device state."""
+    rows = reading_parts(silver).groupBy(
+        "hour_timestamp", "sensor_id", "zone", "city", "country", "device_status", "firmware_version"
+    ).agg(
+        *merged_parts(_MEANS),
+        *(F.min(c).alias(c) for c in _LOWEST),
+        *(F.max(c).alias(c) for c in _HIGHEST),
+        F.max_by("last_battery", "last_seen").alias("last_battery"),
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TOTALS),
+    )
+    return rows.withColumns(calendar("hour_timestamp"))
+
+
+def daily_by_zone(hours: DataFrame) -> DataFrame:
+    """One row per day and zone, with the hour of the highest PM2.5 (the later one of equals)."""
+    rows = hours.groupBy(F.to_date("hour_timestamp").alias("date"), "zone", "city").agg(
+        *finished_means({
+            "daily_avg_pm25": "pm25", "daily_avg_aqi": "aqi_value", "daily_avg_temp": "temperature_celsius",
+        }),
         F.min("low_pm25").alias("daily_min_pm25"),
         F.max("peak_pm25").alias("daily_max_pm25"),
         F.max("peak_aqi").alias("daily_max_aqi"),
@@ -93,7 +125,7 @@ def daily_by_zone(silver: DataFrame) -> DataFrame:
         F.count_distinct("sensor_id").alias("unique_sensors"),
         F.sum("elevated").alias("moderate_plus_hours"),
         F.sum("unhealthy").alias("unhealthy_hours"),
-        F.max(F.struct("peak_pm25", "hour")).alias("peak"),
+        F.max(F.struct("peak_pm25", F.hour("hour_timestamp").alias("hour"))).alias("peak"),
     )
     return rows.withColumns({
         **calendar("date"),
@@ -102,30 +134,18 @@ def daily_by_zone(silver: DataFrame) -> DataFrame:
     }).drop("peak")
 
 
-def sensor_health(silver: DataFrame) -> DataFrame:
+def sensor_health(hours: DataFrame) -> DataFrame:
     """One row per day and sensor: last seen status, battery, signal and hours on air.
 
-    "Latest" is the reading with the highest time. Status and firmware are keys of the first
-    level, so their newest combination is found among a few rows per sensor and day.
+    "Latest" is the reading with the highest time.
     """
-    means = {"avg_battery_level": "battery_level", "avg_signal_strength": "signal_strength_dbm"}
-    per_state = silver.groupBy(
-        F.to_date(READING).alias("date"), "sensor_id", "zone", "device_status", "firmware_version"
-    ).agg(
-        *partial_means(means.values()),
-        F.min("battery_level").alias("low_battery"),
-        F.max_by("battery_level", READING).alias("last_battery"),
-        F.max(READING).alias("last_seen"),
-        F.count(F.lit(1)).alias("readings"),
-        hours_seen(READING).alias("hours_mask"),
-    )
     newest = F.struct("last_seen", "device_status", "firmware_version", "last_battery")
-    rows = per_state.groupBy("date", "sensor_id", "zone").agg(
-        *merged_means(means),
+    rows = hours.groupBy(F.to_date("hour_timestamp").alias("date"), "sensor_id", "zone").agg(
+        *finished_means({"avg_battery_level": "battery_level", "avg_signal_strength": "signal_strength_dbm"}),
         F.max(newest).alias("newest"),
         F.min("low_battery").alias("min_battery_level"),
         F.sum("readings").alias("readings_count"),
-        hour_count("hours_mask").alias("active_hours"),
+        distinct_hours(F.hour("hour_timestamp")).alias("active_hours"),
     )
     critical = (F.col("latest_battery_level") < 20) | (F.col("latest_status") == "maintenance")
     warning = (F.col("latest_battery_level") < 50) | (F.col("avg_signal_strength") < -70)
@@ -143,6 +163,34 @@ def sensor_health(silver: DataFrame) -> DataFrame:
     )
 
 
+_SENSOR_MEANS = {
+    "avg_aqi": "aqi_value",
+    "avg_pm25": "pm25",
+    "avg_pm10": "pm10",
+    "avg_temperature": "temperature_celsius",
+    "avg_humidity": "humidity_percent",
+}
+
+
+def daily_by_sensor(parts: DataFrame) -> DataFrame:
+    """One row per day and sensor, from readings or from the rollup."""
+    rows = parts.groupBy(F.to_date("hour_timestamp").alias("date"), "sensor_id", "zone").agg(
+        *finished_means(_SENSOR_MEANS), F.sum("readings").alias("reading_count")
+    )
+    return rows.withColumns(calendar("date"))
+
+
+def hourly_by_sensor(parts: DataFrame) -> DataFrame:
+    """One row per hour and sensor, from readings or from the rollup."""
+    rows = parts.groupBy("hour_timestamp", "sensor_id", "zone").agg(
+        *finished_means(_SENSOR_MEANS), F.sum("readings").alias("reading_count")
+    )
+    return rows.withColumns(calendar("hour_timestamp"))
+
+
+# --- categories -----------------------------------------------------------------------------
+
+
 def aqi_trends(silver: DataFrame) -> DataFrame:
     """Categories seen per hour and zone.
 
@@ -150,9 +198,13 @@ def aqi_trends(silver: DataFrame) -> DataFrame:
     (category, count) pair per distinct value. That says the same in a row of bounded size;
     ``category_list`` writes it out.
     """
-    per_category = silver.groupBy(
-        F.to_date(READING).alias("date"), F.hour(READING).alias("hour"), "zone", "aqi_category"
-    ).agg(*partial_means(["aqi_value"]), F.count(F.lit(1)).alias("readings"))
+    parts = silver.select(
+        F.to_date(READING).alias("date"), F.hour(READING).alias("hour"), "zone", "aqi_category",
+        *(c.alias(name) for name, c in mean_parts(["aqi_value"]).items()),
+    )
+    per_category = parts.groupBy("date", "hour", "zone", "aqi_category").agg(
+        *merged_parts(["aqi_value"]), F.count(F.lit(1)).alias("readings")
+    )
     pair = F.when(
         F.col("aqi_category").isNotNull(),
         F.struct(F.col("aqi_category").alias("category"), F.col("readings").alias("readings")),
@@ -160,7 +212,7 @@ def aqi_trends(silver: DataFrame) -> DataFrame:
     rows = per_category.groupBy("date", "hour", "zone").agg(
         F.count("aqi_category").alias("aqi_category_count"),
         F.sort_array(F.collect_list(pair)).alias("aqi_categories"),
-        *merged_means({"avg_aqi": "aqi_value"}),
+        *finished_means({"avg_aqi": "aqi_value"}),
         F.sum("readings").alias("reading_count"),
     )
     return rows.withColumns(calendar("date"))
@@ -172,36 +224,3 @@ def category_list(trends: DataFrame) -> DataFrame:
         "aqi_categories", lambda pair: F.array_repeat(pair["category"], pair["readings"].cast("int"))
     )
     return trends.withColumn("aqi_category_list", F.flatten(entries))
-
-
-# --- support rollups at sensor grain --------------------------------------------------------
-
-
-def daily_by_sensor(silver: DataFrame) -> DataFrame:
-    """One row per day and sensor."""
-    rows = silver.groupBy(F.to_date(READING).alias("date"), "sensor_id", "zone").agg(
-        *averages({
-            "avg_aqi": "aqi_value",
-            "avg_pm25": "pm25",
-            "avg_pm10": "pm10",
-            "avg_temperature": "temperature_celsius",
-            "avg_humidity": "humidity_percent",
-        }),
-        F.count(F.lit(1)).alias("reading_count"),
-    )
-    return rows.withColumns(calendar("date"))
-
-
-def hourly_by_sensor(silver: DataFrame) -> DataFrame:
-    """One row per hour and sensor."""
-    rows = silver.groupBy(hour_bucket(), "sensor_id", "zone").agg(
-        *averages({
-            "avg_aqi": "aqi_value",
-            "avg_pm25": "pm25",
-            "avg_pm10": "pm10",
-            "avg_temperature": "temperature_celsius",
-            "avg_humidity": "humidity_percent",
-        }),
-        F.count(F.lit(1)).alias("reading_count"),
-    )
-    return rows.withColumns(calendar("hour_timestamp"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curbsight import schemas
 from curbsight.functions.common import calendar, moment
-from curbsight.functions.documents import decode_document
+from curbsight.functions.documents import decode_documents
 
 # Event kinds and the feed they come from.
 UPSERTS = ("INSERT", "MODIFY")
@@ -20,24 +20,22 @@ FEED_LABEL = "dynamodb-streams"
 # --- change record -> bronze envelope -------------------------------------------------------
 
 
-def parse_change_records(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Split raw change-record text into its head and the still-typed documents as text."""
-    return lines.select(F.from_json(column, schemas.CHANGE_RECORD).alias("r")).select("r.*")
-
-
 def flatten_changes(records: DataFrame, run_at: dt.datetime) -> DataFrame:
     """Change records of the feed as bronze envelopes, images decoded and key readings lifted.
 
     The event id of the record is kept as the envelope's id: a random id would change whenever a
     lost task is run again.
     """
-    images = records.filter(F.col("eventSource") == FEED_SOURCE).select(
+    feed = records.filter(F.col("eventSource") == FEED_SOURCE).select(
         "eventID", "eventName", "awsRegion", "eventSourceARN",
         F.col("dynamodb.SequenceNumber").alias("sequence"),
         F.col("dynamodb.SizeBytes").alias("size"),
-        decode_document(F.col("dynamodb.Keys"), schemas.KEYS).alias("keys"),
-        decode_document(F.col("dynamodb.OldImage"), schemas.AIR_DOCUMENT).alias("old_image"),
-        decode_document(F.col("dynamodb.NewImage"), schemas.AIR_DOCUMENT).alias("new_image"),
+        F.col("dynamodb.Keys").alias("keys"),
+        F.col("dynamodb.OldImage").alias("old_image"),
+        F.col("dynamodb.NewImage").alias("new_image"),
+    )
+    images = decode_documents(
+        feed, {"keys": schemas.KEYS, "old_image": schemas.AIR_DOCUMENT, "new_image": schemas.AIR_DOCUMENT}
     )
     upsert = F.col("eventName").isin(*UPSERTS)
     lifted = {

@@ -9,11 +9,11 @@ from curbsight.functions import traffic as classify
 from curbsight.functions.common import (
     averages,
     calendar,
+    distinct_hours,
+    finished_means,
     grade,
-    hour_count,
-    hours_seen,
-    merged_means,
-    partial_means,
+    mean_parts,
+    merged_parts,
     percent,
     rounded,
 )
@@ -77,48 +77,59 @@ def hourly_by_intersection(silver: DataFrame) -> DataFrame:
     })
 
 
-def daily_by_road_type(silver: DataFrame) -> DataFrame:
-    """One row per day, road type and city.
+_MEANS = ("vehicle_count", "avg_speed_mph", "traffic_flow_score")
+_LOWEST = {"low_vehicles": "vehicle_count", "low_speed": "avg_speed_mph"}
+_HIGHEST = {"peak_vehicles": "vehicle_count", "peak_speed": "avg_speed_mph"}
+_TOTALS = ("pedestrian_count", "bike_count")
 
-    Three distinct counts in one aggregate would copy every reading four times. Here they run over
-    one row per sensor and day, and the hours are counted from a bit set.
-    """
-    means = {
-        "daily_avg_vehicles": "vehicle_count",
-        "daily_avg_speed": "avg_speed_mph",
-        "daily_avg_flow_score": "traffic_flow_score",
-    }
-    per_sensor = silver.groupBy(
-        F.to_date(READING).alias("date"), "road_type", "city", "intersection", "sensor_id"
-    ).agg(
-        *partial_means(means.values()),
-        F.sum("vehicle_count").alias("vehicles"),
-        F.min("vehicle_count").alias("low_vehicles"),
-        F.max("vehicle_count").alias("peak_vehicles"),
-        F.min("avg_speed_mph").alias("low_speed"),
-        F.max("avg_speed_mph").alias("peak_speed"),
-        F.count_if(F.col("congestion_level").isin("high", "severe")).alias("congested"),
+
+def sensor_hours(silver: DataFrame) -> DataFrame:
+    """Mergeable parts per hour and sensor: sums, counts and extremes."""
+    parts = silver.select(
+        F.date_trunc("hour", READING).alias("hour_timestamp"), "intersection", "road_type", "city", "sensor_id",
+        *(c.alias(name) for name, c in mean_parts(_MEANS).items()),
+        *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
+        *_TOTALS,
+        F.col("congestion_level").isin("high", "severe").alias("congested"),
+        "incident_detected",
+    )
+    rows = parts.groupBy("hour_timestamp", "intersection", "road_type", "city", "sensor_id").agg(
+        *merged_parts(_MEANS),
+        *(F.min(c).alias(c) for c in _LOWEST),
+        *(F.max(c).alias(c) for c in _HIGHEST),
+        *(F.sum(c).alias(c) for c in _TOTALS),
+        F.count_if("congested").alias("congested"),
         F.count_if("incident_detected").alias("incidents"),
-        F.sum("pedestrian_count").alias("pedestrians"),
-        F.sum("bike_count").alias("bikes"),
         F.count(F.lit(1)).alias("readings"),
-        hours_seen(READING).alias("hours_mask"),
     )
-    rows = per_sensor.groupBy("date", "road_type", "city").agg(
-        *merged_means(means),
-        F.sum("vehicles").alias("total_vehicles"),
+    return rows.withColumns(calendar("hour_timestamp"))
+
+
+def daily_by_road_type(hours: DataFrame) -> DataFrame:
+    """One row per day, road type and city, from the sensor-hour rollup.
+
+    Three distinct counts in one aggregate copy every row; here they copy the few rows of the
+    rollup instead of the readings, and the hours are counted from a bit set.
+    """
+    rows = hours.groupBy(F.to_date("hour_timestamp").alias("date"), "road_type", "city").agg(
+        *finished_means({
+            "daily_avg_vehicles": "vehicle_count",
+            "daily_avg_speed": "avg_speed_mph",
+            "daily_avg_flow_score": "traffic_flow_score",
+        }),
+        F.sum("vehicle_count__sum").alias("total_vehicles"),
         F.max("peak_vehicles").alias("daily_peak_vehicles"),
         F.min("low_vehicles").alias("daily_min_vehicles"),
         F.min("low_speed").alias("daily_min_speed"),
         F.max("peak_speed").alias("daily_max_speed"),
         F.sum("congested").alias("congested_readings"),
         F.sum("incidents").alias("total_incidents"),
-        F.sum("pedestrians").alias("daily_pedestrians"),
-        F.sum("bikes").alias("daily_bikes"),
+        F.sum("pedestrian_count").alias("daily_pedestrians"),
+        F.sum("bike_count").alias("daily_bikes"),
         F.sum("readings").alias("total_readings"),
         F.count_distinct("sensor_id").alias("unique_sensors"),
         F.count_distinct("intersection").alias("unique_intersections"),
-        hour_count("hours_mask").alias("active_hours"),
+        distinct_hours(F.hour("hour_timestamp")).alias("active_hours"),
     )
     return rows.withColumns({
         **calendar("date"),

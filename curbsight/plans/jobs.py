@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from calendar import monthrange
 from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -24,22 +26,42 @@ from curbsight.sources.tables import (
 
 Builder = Callable[[DataFrame], DataFrame]
 
-# Table, how it is built from silver, how it is laid out.
-AIR_GOLD: tuple[tuple[str, Builder, tuple[str, ...]], ...] = (
-    ("air_quality_hourly_avg", air_gold.hourly_by_zone, DAILY),
-    ("air_quality_daily_summary", air_gold.daily_by_zone, MONTHLY),
-    ("sensor_health_metrics", air_gold.sensor_health, DAILY),
-    ("aqi_trends", air_gold.aqi_trends, DAILY),
-    ("air_quality_daily_by_sensor", air_gold.daily_by_sensor, DAILY),
-    ("air_quality_hourly_by_sensor", air_gold.hourly_by_sensor, DAILY),
+
+class GoldTable(NamedTuple):
+    name: str
+    build: Builder
+    layout: tuple[str, ...] = DAILY
+    from_rollup: bool = False
+
+
+class Domain(NamedTuple):
+    """The sensor-hour rollup of a domain and its tables."""
+
+    rollup: GoldTable
+    tables: tuple[GoldTable, ...]
+
+
+AIR = Domain(
+    GoldTable("air_quality_sensor_hours", air_gold.sensor_hours),
+    (
+        GoldTable("air_quality_hourly_avg", air_gold.hourly_by_zone),
+        GoldTable("aqi_trends", air_gold.aqi_trends),
+        GoldTable("air_quality_daily_summary", air_gold.daily_by_zone, MONTHLY, from_rollup=True),
+        GoldTable("sensor_health_metrics", air_gold.sensor_health, from_rollup=True),
+        GoldTable("air_quality_daily_by_sensor", air_gold.daily_by_sensor, from_rollup=True),
+        GoldTable("air_quality_hourly_by_sensor", air_gold.hourly_by_sensor, from_rollup=True),
+    ),
 )
 
-TRAFFIC_GOLD: tuple[tuple[str, Builder, tuple[str, ...]], ...] = (
-    ("traffic_hourly_by_intersection", traffic_gold.hourly_by_intersection, DAILY),
-    ("traffic_daily_summary", traffic_gold.daily_by_road_type, MONTHLY),
-    ("traffic_incidents", traffic_gold.incidents, DAILY),
-    ("traffic_congestion_trends", traffic_gold.congestion_trends, DAILY),
-    ("traffic_congestion_by_intersection", traffic_gold.quarter_hours_by_intersection, DAILY),
+TRAFFIC = Domain(
+    GoldTable("traffic_sensor_hours", traffic_gold.sensor_hours),
+    (
+        GoldTable("traffic_hourly_by_intersection", traffic_gold.hourly_by_intersection),
+        GoldTable("traffic_daily_summary", traffic_gold.daily_by_road_type, MONTHLY, from_rollup=True),
+        GoldTable("traffic_incidents", traffic_gold.incidents),
+        GoldTable("traffic_congestion_trends", traffic_gold.congestion_trends),
+        GoldTable("traffic_congestion_by_intersection", traffic_gold.quarter_hours_by_intersection),
+    ),
 )
 
 
@@ -65,52 +87,59 @@ def bronze_to_silver(
 def build_gold(
     silver: DataFrame,
     gold_path: str,
-    tables: Iterable[tuple[str, Builder, tuple[str, ...]]],
+    domain: Domain,
     run_at: dt.datetime,
     days: Iterable[dt.date | None] | None = None,
 ) -> list[str]:
-    """Build gold tables from silver.
+    """Build the gold tables of a domain from silver; returns their names, none for empty input.
 
     Without ``days`` every table is rebuilt and replaced as a whole, empty ones included, so no
-    stale rows survive. With ``days`` only those days are read and only their folders replaced;
-    tables laid out by month read the whole months the days lie in.
+    stale rows survive. With ``days`` only those days of silver are read and only their folders
+    replaced. Tables laid out by month need their whole months, which they take from the stored
+    rollup instead of silver.
     """
     if not has_rows(silver):
         return []
+    spark = silver.sparkSession
     wanted = None if days is None else list(days)
-    built = []
-    for name, build, layout in tables:
-        source, overwrite = silver, "static"
-        if wanted is not None:
-            source = only_days(silver, _whole_months(wanted) if layout == MONTHLY else wanted)
-            overwrite = "dynamic"
-        rows = build(source).withColumn("processed_at", moment(run_at))
-        write_parquet(rows, f"{gold_path}/{name}", by=layout, overwrite=overwrite)
-        built.append(name)
-    return built
-
-
-def _whole_months(days: list[dt.date | None]) -> list[dt.date | None]:
-    out: set[dt.date | None] = set()
-    for d in days:
-        if d is None:
-            out.add(None)
-            continue
-        first = d.replace(day=1)
-        following = (first + dt.timedelta(days=32)).replace(day=1)
-        out.update(first + dt.timedelta(days=i) for i in range((following - first).days))
-    return list(out)
+    overwrite = "static" if wanted is None else "dynamic"
+
+    def restricted(frame: DataFrame, layout: tuple[str, ...]) -> DataFrame:
+        if wanted is None:
+            return frame
+        return only_days(frame, whole_months(wanted) if layout == MONTHLY else wanted)
+
+    def store(table: GoldTable, source: DataFrame) -> str:
+        rows = table.build(restricted(source, table.layout)).withColumn("processed_at", moment(run_at))
+        path = f"{gold_path}/{table.name}"
+        write_parquet(rows, path, by=table.layout, overwrite=overwrite)
+        return path
+
+    rollup = read_parquet(spark, store(domain.rollup, silver))
+    for table in domain.tables:
+        store(table, rollup if table.from_rollup else silver)
+    return [domain.rollup.name, *(table.name for table in domain.tables)]
+
+
+def whole_months(days: Iterable[dt.date | None]) -> list[dt.date | None]:
+    """All days of the months that ``days`` lie in."""
+    months = {None if d is None else (d.year, d.month) for d in days}
+    out: list[dt.date | None] = []
+    for month in months:
+        if month is None:
+            out.append(None)
+        else:
+            out += [dt.date(*month, day) for day in range(1, monthrange(*month)[1] + 1)]
+    return out
 
 
 def air_silver_to_gold(
     spark: SparkSession, silver_path: str, gold_path: str, run_at: dt.datetime, days: Iterable[dt.date] | None = None
 ) -> list[str]:
-    silver = read_parquet(spark, silver_path, schemas.SILVER_AIR)
-    return build_gold(silver, gold_path, AIR_GOLD, run_at, days)
+    return build_gold(read_parquet(spark, silver_path, schemas.SILVER_AIR), gold_path, AIR, run_at, days)
 
 
 def traffic_silver_to_gold(
     spark: SparkSession, silver_path: str, gold_path: str, run_at: dt.datetime, days: Iterable[dt.date] | None = None
 ) -> list[str]:
-    silver = read_parquet(spark, silver_path, schemas.SILVER_TRAFFIC)
-    return build_gold(silver, gold_path, TRAFFIC_GOLD, run_at, days)
+    return build_gold(read_parquet(spark, silver_path, schemas.SILVER_TRAFFIC), gold_path, TRAFFIC, run_at, days)

@@ -43,6 +43,11 @@ def read_traffic_bronze(spark: SparkSession, path: str) -> DataFrame:
     return read_jsonl(spark, path, schemas.BRONZE_TRAFFIC)
 
 
+def read_change_records(spark: SparkSession, path: str) -> DataFrame:
+    """Raw change records. Their typed documents stay text here, so a filter on the head costs no decode."""
+    return read_jsonl(spark, path, schemas.CHANGE_RECORD)
+
+
 def broken_lines(bronze: DataFrame) -> DataFrame:
     """Lines that are no JSON record, with the reason, for the quarantine."""
     return bronze.filter(F.col(schemas.CORRUPT).isNotNull()).select(

@@ -114,18 +114,29 @@ def located(silver: DataFrame) -> DataFrame:
     return silver.join(sites, "intersection", "left").withColumns(filled).select(*silver.columns)
 
 
-def start_parquet(frame: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = HOURLY) -> StreamingQuery:
-    """Append a stream to a Parquet table; take what is there, then stop."""
+def start_parquet(
+    frame: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = HOURLY, spread: int = 16
+) -> StreamingQuery:
+    """Append a stream to a Parquet table; take what is there, then stop.
+
+    Rows of one folder are brought together in ``spread`` tasks, so that a batch writes that many
+    files per folder and not one per task, and a folder with very many rows still has many writers.
+    """
+    if by:
+        salt = F.pmod(F.xxhash64("event_id"), F.lit(spread))
+        frame = frame.repartition(*by, salt)
     writer = frame.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     if by:
         writer = writer.partitionBy(*by)
     return writer.trigger(availableNow=True).start()
 
 
-def run_silver(spark: SparkSession, landing: str, silver_path: str, checkpoint: str, run_at: dt.datetime) -> None:
+def run_silver(
+    spark: SparkSession, landing: str, silver_path: str, checkpoint: str, run_at: dt.datetime, spread: int = 16
+) -> None:
     """Landing zone to silver traffic: cleanse, deduplicate, enrich, write by hour."""
     rows = located(deduplicated(cleansed(project_traffic(landed_stream(spark, landing), run_at))))
-    start_parquet(rows, silver_path, checkpoint).awaitTermination()
+    start_parquet(rows, silver_path, checkpoint, spread=spread).awaitTermination()
 
 
 def run_congestion(spark: SparkSession, landing: str, path: str, checkpoint: str, run_at: dt.datetime) -> None:

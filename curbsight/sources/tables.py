@@ -49,9 +49,11 @@ def read_change_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def broken_lines(bronze: DataFrame) -> DataFrame:
-    """Lines that are no JSON record, with the reason, for the quarantine."""
+    """Lines that are no JSON record, with what could be read of their id and the reason."""
     return bronze.filter(F.col(schemas.CORRUPT).isNotNull()).select(
-        F.col(schemas.CORRUPT).alias("record"), F.lit("not a JSON record").alias("reason")
+        F.col(bronze.columns[0]).alias("record_id"),
+        F.col(schemas.CORRUPT).alias("record"),
+        F.lit("not a JSON record").alias("reason"),
     )
 
 

@@ -622,30 +622,33 @@ def traffic_classify(spark, sf_dir):
 CUTS = (dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21))
 
 
-def arrivals(silver: DataFrame) -> list[DataFrame]:
+def arrivals(silver: DataFrame, *, held_back: bool = False) -> list[DataFrame]:
     """Three arrivals in time order that together hold every reading, with repeats.
 
     Each arrival repeats one in ten of its own readings, and one in ten of the arrival before it;
-    by then those are late.
+    by then those are late. With ``held_back`` some readings of the day before the first cut arrive
+    only at the end, weeks late.
     """
     edges = [None, *CUTS, None]
-    stamp = F.col("reading_datetime")
     parts = []
     for low, high in zip(edges, edges[1:]):
         part = silver
         if low is not None:
-            part = part.filter(stamp >= F.lit(str(low)).cast("timestamp"))
+            part = part.filter(f"reading_datetime >= timestamp '{low}'")
         if high is not None:
-            part = part.filter(stamp < F.lit(str(high)).cast("timestamp"))
+            part = part.filter(f"reading_datetime < timestamp '{high}'")
         parts.append(part)
-    def repeats(rows: DataFrame) -> DataFrame:
-        return rows.filter(F.col("event_id").endswith("0"))
 
-    out = []
-    for i, part in enumerate(parts):
-        landed = part.unionByName(repeats(part))
-        out.append(landed.unionByName(repeats(parts[i - 1])) if i else landed)
-    return out
+    def ending(rows: DataFrame, digit: str) -> DataFrame:
+        return rows.filter(F.col("event_id").endswith(digit))
+
+    landed = [part.unionByName(ending(part, "0")) for part in parts]
+    landed[1:] = [later.unionByName(ending(before, "0")) for later, before in zip(landed[1:], parts)]
+    if held_back:
+        is_late = F.col("event_id").endswith("5") & F.expr(f"reading_datetime >= timestamp '{CUTS[0] - DAY}'")
+        landed[0] = landed[0].filter(~is_late)
+        landed[-1] = landed[-1].unionByName(parts[0].filter(is_late))
+    return landed
 
 
 @contextmanager
@@ -660,11 +663,11 @@ def state_per_core(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def stream_arrivals(spark, sf_dir, run, *, closing: bool = False) -> str:
+def stream_arrivals(spark, sf_dir, run, *, closing: bool = False, held_back: bool = False) -> str:
     """Land the arrivals one after the other and run the stream after each; returns its output path."""
     base = scratch_dir(spark, "stream")
     silver = frames.traffic(spark, sf_dir)
-    parts = arrivals(silver)
+    parts = arrivals(silver, held_back=held_back)
     if closing:
         # One reading far in the future closes every window before it.
         closer = silver.agg(*(F.max(c).alias(c) for c in silver.columns)).withColumns({
@@ -675,23 +678,28 @@ def stream_arrivals(spark, sf_dir, run, *, closing: bool = False) -> str:
     for part in parts:
         frames.traffic_records(part).write.mode("append").option("compression", "gzip").json(f"{base}/landing")
         with state_per_core(spark):
-            run(f"{base}/landing", f"{base}/out", f"{base}/checkpoint")
+            run(f"{base}/landing", f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return f"{base}/out"
 
 
+def landed(spark, path):
+    return stream.project_traffic(tables.stream_jsonl(spark, path, schemas.BRONZE_TRAFFIC), RUN_AT)
+
+
 @query("st_traffic_silver")
 def st_traffic_silver(spark, sf_dir):
-    # One file per hour is enough for tables that have a few rows in each.
-    out = stream_arrivals(spark, sf_dir, lambda src, to, cp: stream.run_silver(spark, src, to, cp, RUN_AT, spread=1))
+    def run(landing, to, progress):
+        return stream.run_silver(spark, landing, to, progress, RUN_AT)
+
+    out = stream_arrivals(spark, sf_dir, run, held_back=True)
     return run_at_free(tables.read_parquet(spark, out, schemas.SILVER_TRAFFIC))
 
 
 @query("st_dedup")
 def st_dedup(spark, sf_dir):
     def run(landing, to, checkpoint):
-        rows = stream.project_traffic(stream.landed_stream(spark, landing), RUN_AT)
-        first = stream.deduplicated(rows).select("event_id", "sensor_id", "reading_datetime")
-        stream.start_parquet(first, to, checkpoint, by=()).awaitTermination()
+        first = stream.deduplicated(landed(spark, landing)).select("event_id", "sensor_id", "reading_datetime")
+        return stream.start_parquet(first, to, checkpoint)
 
     return tables.read_parquet(spark, stream_arrivals(spark, sf_dir, run))
 
@@ -699,21 +707,20 @@ def st_dedup(spark, sf_dir):
 @query("st_enrich")
 def st_enrich(spark, sf_dir):
     def run(landing, to, checkpoint):
-        rows = stream.project_traffic(stream.landed_stream(spark, landing), RUN_AT)
-        bare = rows.withColumns({c: F.lit(None).cast(t) for c, t in (
-            ("latitude", "double"), ("longitude", "double"), ("road_type", "string"))})
-        found = stream.located(bare).select("event_id", "intersection", "latitude", "longitude", "road_type")
-        stream.start_parquet(found, to, checkpoint, by=()).awaitTermination()
+        unknown = {"latitude": "double", "longitude": "double", "road_type": "string"}
+        bare = landed(spark, landing).withColumns({c: F.lit(None).cast(t) for c, t in unknown.items()})
+        found = stream.located(bare).select("event_id", "intersection", *unknown)
+        return stream.start_parquet(found, to, checkpoint)
 
     return tables.read_parquet(spark, stream_arrivals(spark, sf_dir, run))
 
 
 @query("st_congestion_15m")
 def st_congestion_15m(spark, sf_dir):
-    out = stream_arrivals(
-        spark, sf_dir, lambda src, to, cp: stream.run_congestion(spark, src, to, cp, RUN_AT), closing=True
-    )
-    return tables.read_parquet(spark, out).filter("year < 2100")
+    def run(landing, to, checkpoint):
+        return stream.run_congestion(spark, landing, to, checkpoint, RUN_AT)
+
+    return tables.read_parquet(spark, stream_arrivals(spark, sf_dir, run, closing=True)).filter("year < 2100")
 
 
 @query("st_incremental_bronze")
@@ -723,7 +730,7 @@ def st_incremental_bronze(spark, sf_dir):
     feed = frames.changes(spark, sf_dir, spoiled=True)
     for kinds in (["MODIFY"], ["INSERT", "REMOVE"]):
         feed.filter(F.col("cdc_event_type").isin(kinds)).write.mode("append").json(f"{base}/bronze")
-        air_changes.run_incremental(spark, f"{base}/bronze", f"{base}/silver", f"{base}/progress", RUN_AT)
+        air_changes.run_incremental(spark, f"{base}/bronze", f"{base}/silver", f"{base}/progress", RUN_AT).awaitTermination()
     return run_at_free(air_changes.silver_from_state(spark, f"{base}/silver"))
 
 

@@ -20,19 +20,28 @@ HOURLY = ("year", "month", "day", "hour")
 # --- sources --------------------------------------------------------------------------------
 
 
+_JSONL = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": schemas.CORRUPT,
+    "recursiveFileLookup": "true",
+}
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON Lines below ``path`` with a declared schema; gzip is recognised by extension.
 
     The folder names (``year=...``) are arrival parts, not reading times, so the declared schema
     leaves them out. Broken lines are kept with their text in ``_corrupt_record``.
     """
-    return (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .json(path)
-    )
+    return spark.read.schema(schema).options(**_JSONL).json(path)
+
+
+def stream_jsonl(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """The same files as a stream of what has not been read yet; ``max_files`` bounds a batch."""
+    reader = spark.readStream.schema(schema).options(**_JSONL)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(path)
 
 
 def read_air_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from curbsight import schemas
 from curbsight.operators.changes import latest_readings, project_air, silver_columns, upserts, with_entity_key
 from curbsight.operators.quality import air_rules, judged
-from curbsight.sources.tables import DAILY, laid_out, only_days, read_parquet
+from curbsight.sources.tables import DAILY, laid_out, only_days, read_parquet, stream_jsonl
+from curbsight.streaming.staging import discard, exists, stage, staged_days, started
 
 
 def newest_state(changes: DataFrame) -> DataFrame:
@@ -24,47 +25,24 @@ def newest_state(changes: DataFrame) -> DataFrame:
     return judged(latest_readings(changes), air_rules()).select(*schemas.SILVER_AIR_STATE.names)
 
 
-def touched_days(staged: DataFrame) -> list[dt.date | None]:
-    """Days a staged batch touches, from its folder names; bounded by the calendar."""
-    rows = staged.select(*DAILY).distinct().collect()
-    return [None if r.year is None else dt.date(r.year, r.month, r.day) for r in rows]
-
-
-def _folder(spark: SparkSession, path: str):
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    store, folder = _folder(spark, path)
-    return store.exists(folder)
-
-
-def _stage(state: DataFrame, path: str) -> DataFrame:
-    """Write a table and go on from the files: parsed once, and no lineage to repeat on a lost task."""
-    if not _exists(state.sparkSession, f"{path}/_SUCCESS"):
-        laid_out(state, DAILY).write.mode("overwrite").partitionBy(*DAILY).parquet(path)
-    return read_parquet(state.sparkSession, path, schemas.SILVER_AIR_STATE)
-
-
 def merge_batch(changes: DataFrame, state_path: str, redo_path: str) -> None:
     """Fold a batch of projected changes into the state table.
 
-    The new content of the touched days is written below ``redo_path`` first and only then copied
-    over the old. A run that dies in between finds the finished redo table and copies again, so a
-    half replaced day is never read back as the old state.
+    The new content of the touched days is staged below ``redo_path`` first and only then copied
+    over the old. A run that dies in between finds the finished copy and goes on from it, so a half
+    replaced day is never read back as the old state.
     """
     spark = changes.sparkSession
-    staged = _stage(newest_state(changes), f"{redo_path}/incoming")
-    days = touched_days(staged)
+    staged = stage(newest_state(changes), f"{redo_path}/incoming", schemas.SILVER_AIR_STATE)
+    days = staged_days(staged)
     if not days:
         return
     merged = staged
-    if _exists(spark, state_path):
+    if exists(spark, state_path):
         known = only_days(read_parquet(spark, state_path, schemas.SILVER_AIR_STATE), days)
         merged = newest_state(staged.unionByName(known).drop("failed_rules", "is_valid"))
     (
-        laid_out(_stage(merged, f"{redo_path}/merged"), DAILY)
+        laid_out(stage(merged, f"{redo_path}/merged", schemas.SILVER_AIR_STATE), DAILY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -81,35 +59,23 @@ def run_incremental(
     run_at: dt.datetime,
     *,
     apply_deletes: bool = False,
+    every: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Process the bronze files that arrived since the last run, then stop.
+    """Fold the bronze files that arrived since the last run into the state.
 
     Redo tables lie beside the checkpoint: whoever resets one resets both, so a batch number never
     meets the redo table of another history.
     """
-    bronze = (
-        spark.readStream.schema(schemas.BRONZE_AIR)
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .json(bronze_path)
-    )
+    bronze = stream_jsonl(spark, bronze_path, schemas.BRONZE_AIR, max_files)
     feed = with_entity_key(bronze) if apply_deletes else upserts(bronze)
 
     def fold(batch: DataFrame, number: int) -> None:
         merge_batch(batch, state_path, f"{progress_path}/redo/batch-{number}")
         # The batch before this one is committed, so its redo tables are of no more use.
-        store, old = _folder(spark, f"{progress_path}/redo/batch-{number - 1}")
-        store.delete(old, True)
-
-    query = (
-        project_air(feed, run_at)
-        .writeStream.foreachBatch(fold)
-        .option("checkpointLocation", f"{progress_path}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+        discard(spark, f"{progress_path}/redo/batch-{number - 1}")
+
+    return started(project_air(feed, run_at).writeStream.foreachBatch(fold), f"{progress_path}/checkpoint", every)
 
 
 def silver_from_state(spark: SparkSession, state_path: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Traffic stream: parse, validate, deduplicate, enrich, write; and windowed congestion."""
+"""Traffic stream: parse, validate, enrich, deduplicate, write; and windowed congestion."""
 
 from __future__ import annotations
 
@@ -11,10 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from curbsight import schemas
 from curbsight.functions.common import calendar, moment
 from curbsight.functions.places import intersection_dimension
-from curbsight.operators.changes import lenient
+from curbsight.operators.changes import latest_per_key, lenient
 from curbsight.operators.quality import accepted, documented_traffic_rules
 from curbsight.operators.traffic_gold import congestion_trends
-from curbsight.sources.tables import HOURLY
+from curbsight.sources.tables import HOURLY, only_days, read_parquet, stream_jsonl, write_parquet
+from curbsight.streaming.staging import discard, exists, stage, staged_days, started
 
 READING = "reading_datetime"
 
@@ -22,18 +23,8 @@ READING = "reading_datetime"
 LATENESS = "10 minutes"
 
 
-def landed_stream(spark: SparkSession, path: str) -> DataFrame:
-    """New JSON Lines files below the landing folder; gzip is recognised by extension."""
-    return (
-        spark.readStream.schema(schemas.BRONZE_TRAFFIC)
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .json(path)
-    )
-
-
 def broker_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """The same records from a broker, keyed by sensor. Needs the Kafka connector on the class path."""
+    """The landed records from a broker, keyed by sensor. Needs the Kafka connector on the class path."""
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -95,9 +86,17 @@ def cleansed(silver: DataFrame) -> DataFrame:
     return accepted(silver, rules)
 
 
-def deduplicated(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """First arrival of each event; the state is bounded by the watermark."""
-    return silver.withWatermark(READING, lateness).dropDuplicatesWithinWatermark(["event_id"])
+def deduplicated(silver: DataFrame, lateness: str = LATENESS, lanes: int = 32) -> DataFrame:
+    """First arrival of each event; the state is bounded by the watermark.
+
+    One event may have very many copies. They are reduced to one per lane first, where the lane is
+    the input task modulo ``lanes``, so no single task receives all of them. The second step then
+    sees at most ``lanes`` copies of an event.
+    """
+    by_lane = silver.withWatermark(READING, lateness).withColumn("_lane", F.spark_partition_id() % lanes)
+    return by_lane.dropDuplicatesWithinWatermark(["event_id", "_lane"]).dropDuplicatesWithinWatermark(
+        ["event_id"]
+    ).drop("_lane")
 
 
 def located(silver: DataFrame) -> DataFrame:
@@ -114,35 +113,68 @@ def located(silver: DataFrame) -> DataFrame:
     return silver.join(sites, "intersection", "left").withColumns(filled).select(*silver.columns)
 
 
-def start_parquet(
-    frame: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = HOURLY, spread: int = 16
-) -> StreamingQuery:
-    """Append a stream to a Parquet table; take what is there, then stop.
+def append_new(batch: DataFrame, silver_path: str, staged_path: str) -> None:
+    """Append the events of a batch that silver does not hold yet, however late they are.
 
-    Rows of one folder are brought together in ``spread`` tasks, so that a batch writes that many
-    files per folder and not one per task, and a folder with very many rows still has many writers.
+    Copies within the batch are cut to one per input task before they are shuffled. Events written
+    before are found in the folders of the days the batch touches, so nothing has to be remembered
+    between batches and no late event is given up. A batch that is run again after a crash finds
+    what it has already written and adds only the rest.
     """
-    if by:
-        salt = F.pmod(F.xxhash64("event_id"), F.lit(spread))
-        frame = frame.repartition(*by, salt)
-    writer = frame.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    if by:
-        writer = writer.partitionBy(*by)
-    return writer.trigger(availableNow=True).start()
+    spark = batch.sparkSession
+    once = latest_per_key(batch, ("event_id",), [F.col(READING), F.col("sensor_id")])
+    fresh = stage(once, staged_path, schemas.SILVER_TRAFFIC)
+    days = staged_days(fresh)
+    if not days:
+        return
+    if exists(spark, silver_path):
+        known = only_days(read_parquet(spark, silver_path, schemas.SILVER_TRAFFIC), days).select("event_id")
+        fresh = fresh.join(known, "event_id", "left_anti")
+    write_parquet(fresh, silver_path, by=HOURLY, mode="append")
 
 
 def run_silver(
-    spark: SparkSession, landing: str, silver_path: str, checkpoint: str, run_at: dt.datetime, spread: int = 16
-) -> None:
-    """Landing zone to silver traffic: cleanse, deduplicate, enrich, write by hour."""
-    rows = located(deduplicated(cleansed(project_traffic(landed_stream(spark, landing), run_at))))
-    start_parquet(rows, silver_path, checkpoint, spread=spread).awaitTermination()
+    spark: SparkSession,
+    landing: str,
+    silver_path: str,
+    progress_path: str,
+    run_at: dt.datetime,
+    *,
+    every: str | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Landing zone to silver traffic: cleanse, enrich, deduplicate, append by hour."""
+    landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
+    rows = located(cleansed(project_traffic(landed, run_at)))
+
+    def append(batch: DataFrame, number: int) -> None:
+        append_new(batch, silver_path, f"{progress_path}/staged/batch-{number}")
+        # The batch before this one is committed, so its staged rows are of no more use.
+        discard(spark, f"{progress_path}/staged/batch-{number - 1}")
+
+    return started(rows.writeStream.foreachBatch(append), f"{progress_path}/checkpoint", every)
 
 
-def run_congestion(spark: SparkSession, landing: str, path: str, checkpoint: str, run_at: dt.datetime) -> None:
+def start_parquet(frame: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append a stream to a Parquet table, exactly once."""
+    return started(frame.writeStream.format("parquet").option("path", path), checkpoint, every)
+
+
+def run_congestion(
+    spark: SparkSession,
+    landing: str,
+    path: str,
+    checkpoint: str,
+    run_at: dt.datetime,
+    *,
+    every: str | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
     """Landing zone to closed 15-minute windows.
 
-    A window is written once the watermark has passed its end.
+    A window is written once the watermark has passed its end. Readings that come later than that
+    are in silver all the same, and in the table the gold job builds from it.
     """
-    rows = deduplicated(cleansed(project_traffic(landed_stream(spark, landing), run_at)))
-    start_parquet(congestion_trends(rows), path, checkpoint, by=()).awaitTermination()
+    landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
+    rows = deduplicated(cleansed(project_traffic(landed, run_at)))
+    return start_parquet(congestion_trends(rows), path, checkpoint, every)

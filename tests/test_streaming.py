@@ -36,7 +36,8 @@ def reading(event, minute, **over):
 
 
 def run_traffic(spark, base):
-    stream.run_silver(spark, str(base / "landing"), str(base / "silver"), str(base / "checkpoint"), RUN, spread=2)
+    paths = (str(base / name) for name in ("landing", "silver", "progress"))
+    stream.run_silver(spark, *paths, RUN).awaitTermination()
     return tables.read_parquet(spark, str(base / "silver"), schemas.SILVER_TRAFFIC)
 
 
@@ -53,15 +54,41 @@ def test_traffic_stream(spark, tmp_path):
 
     # Nothing new has landed: a second run adds nothing.
     assert run_traffic(spark, tmp_path).count() == 4
-    # A repeat within the watermark is dropped, a new event is kept.
-    land(tmp_path / "landing", reading("b", 5), reading("c", 7))
-    assert run_traffic(spark, tmp_path).count() == 5
+    # A repeat is dropped, new events are kept, however late.
+    land(tmp_path / "landing", reading("b", 5), reading("c", 7), reading("late", -60 * 24 * 40))
+    assert run_traffic(spark, tmp_path).count() == 6
+
+
+def test_a_batch_run_again_adds_only_what_is_missing(spark, tmp_path):
+    silver = str(tmp_path / "silver")
+
+    def batch(*lines):
+        rows = spark.createDataFrame([(json.dumps(x),) for x in lines], "v string")
+        bronze = rows.select(F.from_json("v", schemas.BRONZE_TRAFFIC).alias("r")).select("r.*")
+        return stream.project_traffic(bronze, RUN)
+
+    stream.append_new(batch(reading("a", 0)), silver, str(tmp_path / "s0"))
+    for _ in range(2):
+        stream.append_new(batch(reading("a", 0), reading("b", 1), reading("b", 1)), silver, str(tmp_path / "s1"))
+    rows = tables.read_parquet(spark, silver, schemas.SILVER_TRAFFIC).collect()
+    assert sorted(r.event_id for r in rows) == ["a", "b"]
+
+
+def test_stateful_dedup_with_very_many_copies(spark, tmp_path):
+    for part in range(3):
+        land(tmp_path / "landing", *[reading("hot", 1)] * 500, *[reading(f"e{part}-{i}", 1) for i in range(20)])
+    landed = tables.stream_jsonl(spark, str(tmp_path / "landing"), schemas.BRONZE_TRAFFIC, max_files=1)
+    once = stream.deduplicated(stream.project_traffic(landed, RUN), lanes=4).select("event_id")
+    out = str(tmp_path / "out")
+    stream.start_parquet(once, out, str(tmp_path / "checkpoint")).awaitTermination()
+    assert spark.read.parquet(out).count() == 61
+    assert spark.read.parquet(out).distinct().count() == 61
 
 
 def run_changes(spark, base, **kind):
     air_changes.run_incremental(
         spark, str(base / "bronze"), str(base / "state"), str(base / "progress"), RUN, **kind
-    )
+    ).awaitTermination()
     return air_changes.silver_from_state(spark, str(base / "state"))
 
 

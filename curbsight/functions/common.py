@@ -153,24 +153,24 @@ def averages(spec: Mapping[str, str]) -> list[Column]:
     return [F.avg(source).alias(name) for name, source in spec.items()]
 
 
-def mean_parts(columns: Iterable[str]) -> dict[str, Column]:
+def mean_parts(columns: Iterable[str]) -> list[Column]:
     """Sum and count of a single reading per column: the finest parts of a mean."""
-    parts: dict[str, Column] = {}
-    for c in columns:
-        parts[f"{c}__sum"] = F.col(c)
-        parts[f"{c}__n"] = F.col(c).isNotNull().cast("bigint")
-    return parts
+    return [
+        F.expr(part)
+        for c in columns
+        for part in (f"{c} as {c}__sum", f"cast({c} is not null as bigint) as {c}__n")
+    ]
 
 
 def merged_parts(columns: Iterable[str]) -> list[Column]:
     """Merge mean parts to a coarser grain, still as parts."""
-    return [F.sum(f"{c}__{part}").alias(f"{c}__{part}") for c in columns for part in ("sum", "n")]
+    return [F.expr(f"sum({c}__{part}) as {c}__{part}") for c in columns for part in ("sum", "n")]
 
 
 def finished_means(spec: Mapping[str, str]) -> list[Column]:
     """``{result: source}`` means from parts; NULL when nothing was counted."""
     return [
-        F.try_divide(F.sum(f"{source}__sum").cast("double"), F.sum(f"{source}__n")).alias(name)
+        F.expr(f"try_divide(cast(sum({source}__sum) as double), sum({source}__n)) as {name}")
         for name, source in spec.items()
     ]
 

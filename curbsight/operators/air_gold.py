@@ -87,7 +87,7 @@ def reading_parts(silver: DataFrame) -> DataFrame:
     """Every reading as a part of its own, for tables that need no rollup before them."""
     return silver.select(
         hour_bucket(), "sensor_id", "zone", "city", "country", "device_status", "firmware_version",
-        *(c.alias(name) for name, c in mean_parts(_MEANS).items()),
+        *mean_parts(_MEANS),
         *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
         F.col("battery_level").alias("last_battery"),
         F.lit(1).cast("bigint").alias("readings"),
@@ -200,7 +200,7 @@ def aqi_trends(silver: DataFrame) -> DataFrame:
     """
     parts = silver.select(
         F.to_date(READING).alias("date"), F.hour(READING).alias("hour"), "zone", "aqi_category",
-        *(c.alias(name) for name, c in mean_parts(["aqi_value"]).items()),
+        *mean_parts(["aqi_value"]),
     )
     per_category = parts.groupBy("date", "hour", "zone", "aqi_category").agg(
         *merged_parts(["aqi_value"]), F.count(F.lit(1)).alias("readings")

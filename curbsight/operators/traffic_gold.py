@@ -87,7 +87,7 @@ def sensor_hours(silver: DataFrame) -> DataFrame:
     """Mergeable parts per hour and sensor: sums, counts and extremes."""
     parts = silver.select(
         F.date_trunc("hour", READING).alias("hour_timestamp"), "intersection", "road_type", "city", "sensor_id",
-        *(c.alias(name) for name, c in mean_parts(_MEANS).items()),
+        *mean_parts(_MEANS),
         *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
         *_TOTALS,
         F.col("congestion_level").isin("high", "severe").alias("congested"),

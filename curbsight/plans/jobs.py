@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from curbsight import schemas
 from curbsight.functions.common import moment
@@ -21,6 +22,7 @@ from curbsight.sources.tables import (
     only_days,
     read_air_bronze,
     read_parquet,
+    register_table,
     write_parquet,
 )
 
@@ -121,6 +123,27 @@ def build_gold(
     return [domain.rollup.name, *(table.name for table in domain.tables)]
 
 
+def days_changed_since(table: DataFrame, last_run: dt.datetime) -> list[dt.date | None]:
+    """Days with rows processed after ``last_run``: what an incremental gold run has to rebuild.
+
+    For air quality pass the incremental state rather than silver, because a reading that became
+    invalid is missing from silver. The list is bounded by the calendar.
+    """
+    rows = table.filter(F.col("silver_processed_at") > moment(last_run)).select(*DAILY).distinct().collect()
+    return [None if r.year is None else dt.date(r.year, r.month, r.day) for r in rows]
+
+
+def register_gold(spark: SparkSession, database: str, gold_path: str, domain: Domain) -> list[str]:
+    """Declare all tables of a domain in the catalog, so that they can be queried by name."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for table in (domain.rollup, *domain.tables):
+        name, path = f"{database}.{table.name}", f"{gold_path}/{table.name}"
+        register_table(spark, name, path, read_parquet(spark, path).schema, by=table.layout)
+        names.append(name)
+    return names
+
+
 def whole_months(days: Iterable[dt.date | None]) -> list[dt.date | None]:
     """All days of the months that ``days`` lie in."""
     months = {None if d is None else (d.year, d.month) for d in days}

@@ -15,6 +15,8 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Recording the Python call site of every column costs more than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Keeps streaming state off the heap, so it can grow with the number of open keys.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

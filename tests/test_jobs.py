@@ -64,6 +64,28 @@ def test_refresh_of_some_days_equals_a_rebuild(spark, tmp_path):
         assert content(a) == content(b.select(*a.columns)), name
 
 
+def test_gold_tables_can_be_queried_by_name(spark, tmp_path):
+    gold = str(tmp_path / "gold")
+    jobs.build_gold(readings(spark), gold, jobs.TRAFFIC, RUN)
+    names = jobs.register_gold(spark, "city_gold", gold, jobs.TRAFFIC)
+    assert set(names) == {f"city_gold.{t.name}" for t in (jobs.TRAFFIC.rollup, *jobs.TRAFFIC.tables)}
+    row = spark.sql(
+        "SELECT sum(total_readings) AS n, count(DISTINCT date) AS days FROM city_gold.traffic_daily_summary "
+        "WHERE year = 2024"
+    ).first()
+    assert (row.n, row.days) == (3, 3)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_changed_days(spark):
+    earlier = readings(spark).withColumn("silver_processed_at", F.lit("2024-01-10 00:00:00").cast("timestamp"))
+    later = readings(spark).filter("event_id = 'b'").withColumn(
+        "silver_processed_at", F.lit("2024-01-12 00:00:00").cast("timestamp")
+    )
+    assert jobs.days_changed_since(earlier.unionByName(later), RUN) == [minutes(60 * 24).date()]
+
+
 def test_month_tables_are_refreshed_from_the_rollup(spark, tmp_path):
     """Silver of the other days may be gone: the month's table still holds them."""
     gold = str(tmp_path / "gold")

@@ -402,7 +402,8 @@ SELECT hour_timestamp, intersection, road_type, city, year, month, day, hour,
            + low_congestion_count * 10) / CAST(reading_count AS DOUBLE)''', "congestion_score", 2)}
 FROM traffic_hourly""")
 
-define("gold_traffic_daily", TRAFFIC, f"""
+for _name in ("gold_traffic_daily", "job_traffic"):
+    define(_name, TRAFFIC, f"""
 SELECT date, road_type, city, year, month, day,
        {rs(("avg(vehicle_count)", "daily_avg_vehicles"), ("avg(avg_speed_mph)", "daily_avg_speed"),
            ("min(avg_speed_mph)", "daily_min_speed"), ("max(avg_speed_mph)", "daily_max_speed"),

@@ -19,10 +19,12 @@ from curbsight.sources.tables import (
     DAILY,
     MONTHLY,
     has_rows,
+    laid_out,
     only_days,
     read_air_bronze,
     read_parquet,
     register_table,
+    write_arranged,
     write_parquet,
 )
 
@@ -73,7 +75,8 @@ def bronze_to_silver(
     """Rebuild silver from all of bronze and return the batch metrics; None for empty input.
 
     A rebuild replaces the table, so running it twice gives the same silver. The metrics are
-    counted while the table is written, not by further passes.
+    counted while the table is written, not by further passes, and behind the last shuffle: a
+    task of the last stage counts once, while earlier ones may run again if an executor is lost.
     """
     bronze = read_air_bronze(spark, bronze_path)
     if not has_rows(bronze):
@@ -81,8 +84,8 @@ def bronze_to_silver(
     metrics = Observation()
     rules = air_rules()
     candidates = current_readings(bronze, run_at, apply_deletes=apply_deletes)
-    observed = candidates.observe(metrics, *summary(rules))
-    write_parquet(silver_columns(accepted(observed, rules)), silver_path)
+    counted = laid_out(silver_columns(candidates), DAILY).observe(metrics, *summary(rules))
+    write_arranged(accepted(counted, rules), silver_path)
     return metrics.get
 
 

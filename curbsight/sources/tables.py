@@ -107,17 +107,16 @@ def append_jsonl(frame: DataFrame, path: str, run_at: dt.datetime) -> None:
     frame.withColumns(parts).write.mode("append").partitionBy(*HOURLY).json(path)
 
 
-def write_parquet(
-    frame: DataFrame, path: str, by: Sequence[str] = DAILY, mode: str = "overwrite", overwrite: str = "static"
+def write_arranged(
+    rows: DataFrame, path: str, by: Sequence[str] = DAILY, mode: str = "overwrite", overwrite: str = "static"
 ) -> None:
-    """Write a Snappy Parquet table laid out by ``by``.
+    """Write rows that are already ``laid_out`` as a Snappy Parquet table with folders ``by``.
 
     ``overwrite='static'`` replaces the whole table, ``'dynamic'`` only the folders that occur in
-    ``frame``; the latter is for a refresh of some days and never for a partial rebuild.
+    ``rows``; the latter is for a refresh of some days and never for a partial rebuild.
     """
     (
-        laid_out(frame, by)
-        .write.mode(mode)
+        rows.write.mode(mode)
         .option("partitionOverwriteMode", overwrite)
         .option("compression", "snappy")
         .partitionBy(*by)
@@ -125,6 +124,13 @@ def write_parquet(
     )
 
 
+def write_parquet(
+    frame: DataFrame, path: str, by: Sequence[str] = DAILY, mode: str = "overwrite", overwrite: str = "static"
+) -> None:
+    """Lay rows out by folder and write them; options as in ``write_arranged``."""
+    write_arranged(laid_out(frame, by), path, by, mode, overwrite)
+
+
 def write_unless_empty(frame: DataFrame, path: str, by: Sequence[str] = DAILY) -> bool:
     """Conditional write: an empty result leaves the table as it is."""
     if not has_rows(frame):

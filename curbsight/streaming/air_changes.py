@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from curbsight import schemas
 from curbsight.operators.changes import latest_readings, project_air, silver_columns, upserts, with_entity_key
 from curbsight.operators.quality import air_rules, judged
-from curbsight.sources.tables import DAILY, only_days, read_parquet, stream_jsonl
+from curbsight.sources.tables import only_days, read_parquet, stream_jsonl, write_arranged
 from curbsight.streaming.staging import discard, exists, stage, staged_days, started
 
 
@@ -42,14 +42,8 @@ def merge_batch(changes: DataFrame, state_path: str, redo_path: str) -> None:
         known = only_days(read_parquet(spark, state_path, schemas.SILVER_AIR_STATE), days)
         merged = newest_state(staged.unionByName(known).drop("failed_rules", "is_valid"))
     # The staged files hold one day each already, so the copy needs no shuffle.
-    (
-        stage(merged, f"{redo_path}/merged", schemas.SILVER_AIR_STATE)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*DAILY)
-        .parquet(state_path)
-    )
+    redo = stage(merged, f"{redo_path}/merged", schemas.SILVER_AIR_STATE)
+    write_arranged(redo, state_path, overwrite="dynamic")
 
 
 def run_incremental(

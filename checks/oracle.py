@@ -828,7 +828,7 @@ define("doc_dq_traffic", TRAFFIC, rule_report("traffic", {
 def gold_report(source: str, name: str, stamp: str, seconds: int) -> str:
     return rule_report(source, {
         "reading_count_positive": "reading_count <= 0",
-        "within_ten_years": f"{stamp} < {AS_OF} - INTERVAL 10 YEAR",
+        "within_ten_years": f"{stamp} < {AS_OF} - INTERVAL 10 YEAR OR {stamp} > {AS_OF}",
         "bucket_aligned": f"epoch({stamp}) % {seconds} <> 0",
     }, f"'{name}' AS gold_table, ")
 

@@ -56,11 +56,11 @@ def documented_traffic_rules() -> dict[str, Column]:
 
 def gold_rules(stamp: str, count: str, as_of: dt.datetime, minutes: int) -> dict[str, Column]:
     """Constraints on a gold table: counts, age and alignment of its time buckets."""
-    bound = as_of.replace(year=as_of.year - 10)
+    stamped, now = F.col(stamp), moment(as_of)
     return {
         "reading_count_positive": F.col(count) > 0,
-        "within_ten_years": F.col(stamp) >= moment(bound),
-        "bucket_aligned": F.unix_seconds(stamp) % (minutes * 60) == 0,
+        "within_ten_years": (stamped >= now - F.expr("INTERVAL 10 YEARS")) & (stamped <= now),
+        "bucket_aligned": F.unix_micros(stamp) % (minutes * 60_000_000) == 0,
     }
 
 

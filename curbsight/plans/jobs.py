@@ -14,10 +14,11 @@ from curbsight import schemas
 from curbsight.functions.common import moment
 from curbsight.operators import air_gold, traffic_gold
 from curbsight.operators.changes import current_readings, silver_columns
-from curbsight.operators.quality import accepted, air_rules, summary
+from curbsight.operators.quality import accepted, air_rules, quarantine, summary
 from curbsight.sources.tables import (
     DAILY,
     MONTHLY,
+    broken_lines,
     has_rows,
     laid_out,
     only_days,
@@ -89,6 +90,22 @@ def bronze_to_silver(
     return metrics.get
 
 
+def bronze_quarantine(spark: SparkSession, bronze_path: str, quarantine_path: str, run_at: dt.datetime) -> None:
+    """Write what a rebuild leaves out: lines that are no record, and readings that break a rule.
+
+    Kept apart from the rebuild, which would otherwise have to do its work twice or store all rows
+    twice. The incremental job needs no such pass; its state holds the rejected readings.
+    """
+    bronze = read_air_bronze(spark, bronze_path)
+    rejected = quarantine(current_readings(bronze, run_at), air_rules())
+    rows = rejected.select(
+        F.col("source_cdc_event_id").alias("record_id"),
+        F.to_json(F.struct(*silver_columns(rejected).columns)).alias("record"),
+        F.array_join("failed_rules", ", ").alias("reason"),
+    )
+    rows.unionByName(broken_lines(bronze)).write.mode("overwrite").parquet(quarantine_path)
+
+
 def build_gold(
     silver: DataFrame,
     gold_path: str,

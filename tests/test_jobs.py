@@ -35,6 +35,16 @@ def test_silver_rebuild_is_idempotent(spark, tmp_path):
     assert (first["rows_in"], first["rows_valid"], first["rows_rejected"], first["failed_pm25"]) == (2, 1, 1, 1)
 
 
+def test_quarantine_holds_what_silver_leaves_out(spark, tmp_path):
+    bronze, path = tmp_path / "bronze", str(tmp_path / "quarantine")
+    write_lines(bronze, change_line("INSERT", "1"), change_line("INSERT", "2", -5.0, sensor="AQ_2"))
+    (bronze / "broken.jsonl").write_text('{"cdc_event_id": "x", \n')
+    jobs.bronze_quarantine(spark, str(bronze), path, RUN)
+    rows = {r.reason: r for r in spark.read.parquet(path).collect()}
+    assert set(rows) == {"pm25", "not a JSON record"}
+    assert rows["pm25"].record_id == "c2" and json.loads(rows["pm25"].record)["pm25"] == -5.0
+
+
 def test_empty_input_stops_early(spark, tmp_path):
     bronze = tmp_path / "bronze"
     bronze.mkdir()

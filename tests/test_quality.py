@@ -45,8 +45,8 @@ def test_documented_ranges_allow_missing(spark):
 def test_gold_rules(spark):
     frame = spark.sql(
         "SELECT * FROM VALUES (timestamp '2024-01-01 10:00:00', 1L), (timestamp '2024-01-01 10:15:00', 0L), "
-        "(timestamp '2010-01-01 10:00:00', 1L) AS t(ts, n)"
+        "(timestamp '2010-01-01 10:00:00', 1L), (timestamp '2024-03-01 10:00:00', 1L) AS t(ts, n)"
     )
-    rules = quality.gold_rules("ts", "n", dt.datetime(2024, 1, 30), 60)
+    rules = quality.gold_rules("ts", "n", dt.datetime(2024, 2, 29), 60)
     report = {r.rule: r.violations for r in quality.rule_report(frame, rules).collect()}
-    assert report == {"reading_count_positive": 1, "within_ten_years": 1, "bucket_aligned": 1}
+    assert report == {"reading_count_positive": 1, "within_ten_years": 2, "bucket_aligned": 1}

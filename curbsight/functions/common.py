@@ -70,7 +70,7 @@ def distinct_hours(hour: Column) -> Column:
     return F.coalesce(F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), hour))), F.lit(0)).cast("bigint")
 
 
-# --- look-back bounds -----------------------------------------------------------------------
+# --- times and look-back bounds -----------------------------------------------------------------------
 
 
 def moment(value: dt.date | dt.datetime) -> Column:
@@ -83,6 +83,11 @@ def moment(value: dt.date | dt.datetime) -> Column:
     return F.lit(value)
 
 
+def processing_time(run_at: dt.datetime | None) -> Column:
+    """Time of the run; without one the time of the micro-batch, which a retry repeats."""
+    return F.current_timestamp() if run_at is None else moment(run_at)
+
+
 def partitions_since(frame: DataFrame, first: dt.date) -> DataFrame:
     """Restrict a table laid out by year, month, day to partitions on or after ``first``.
 

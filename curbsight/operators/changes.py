@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbsight import schemas
-from curbsight.functions.common import calendar, moment
+from curbsight.functions.common import calendar, processing_time
 from curbsight.functions.documents import decode_documents
 
 # Event kinds and the feed they come from.
@@ -101,7 +101,7 @@ def upserts(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("cdc_event_type").isin(*UPSERTS))
 
 
-def project_air(bronze: DataFrame, run_at: dt.datetime) -> DataFrame:
+def project_air(bronze: DataFrame, run_at: dt.datetime | None) -> DataFrame:
     """Flatten envelopes to silver columns, partitioned by the time of the reading.
 
     The order of the change, its kind and the calibration date ride along for the steps that
@@ -115,7 +115,7 @@ def project_air(bronze: DataFrame, run_at: dt.datetime) -> DataFrame:
         *(lenient(F.col(f"new_image.{path}"), kind).alias(name) for name, path, kind in _AIR_PATHS),
         F.col("cdc_event_id").alias("source_cdc_event_id"),
         F.col("cdc_timestamp").alias("cdc_processed_at"),
-        moment(run_at).alias("silver_processed_at"),
+        processing_time(run_at).alias("silver_processed_at"),
         F.col("new_image.data_source").alias("data_source"),
         "cdc_event_type",
         "cdc_sequence_number",

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from curbsight.functions import traffic as classify
 from curbsight.functions.common import (
-    averages,
     day_of_week,
     grade,
     moment,

@@ -51,7 +51,7 @@ def run_incremental(
     bronze_path: str,
     state_path: str,
     progress_path: str,
-    run_at: dt.datetime,
+    run_at: dt.datetime | None,
     *,
     apply_deletes: bool = False,
     every: str | None = None,
@@ -59,6 +59,8 @@ def run_incremental(
 ) -> StreamingQuery:
     """Fold the bronze files that arrived since the last run into the state.
 
+    A stream that runs without end passes no ``run_at``, so each batch is stamped with its own time.
+
     Redo tables lie beside the checkpoint: whoever resets one resets both, so a batch number never
     meets the redo table of another history.
     """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from curbsight import schemas
-from curbsight.functions.common import calendar, moment
+from curbsight.functions.common import calendar, processing_time
 from curbsight.functions.places import intersection_dimension
 from curbsight.operators.changes import latest_per_key, lenient
 from curbsight.operators.quality import accepted, documented_traffic_rules
@@ -61,7 +61,7 @@ _PATHS = (
 )
 
 
-def project_traffic(bronze: DataFrame, run_at: dt.datetime) -> DataFrame:
+def project_traffic(bronze: DataFrame, run_at: dt.datetime | None) -> DataFrame:
     """Flatten landed records to silver columns, partitioned by the hour of the reading."""
     flat = bronze.select(
         "sensor_id",
@@ -69,7 +69,7 @@ def project_traffic(bronze: DataFrame, run_at: dt.datetime) -> DataFrame:
         "event_id",
         *(lenient(F.col(path), kind).alias(name) for name, path, kind in _PATHS),
         F.coalesce("incident_detected", F.lit(False)).alias("incident_detected"),
-        moment(run_at).alias("silver_processed_at"),
+        processing_time(run_at).alias("silver_processed_at"),
         "data_source",
         "ingestion_type",
     )
@@ -138,7 +138,7 @@ def run_silver(
     landing: str,
     silver_path: str,
     progress_path: str,
-    run_at: dt.datetime,
+    run_at: dt.datetime | None,
     *,
     every: str | None = None,
     max_files: int | None = None,
@@ -165,7 +165,7 @@ def run_congestion(
     landing: str,
     path: str,
     checkpoint: str,
-    run_at: dt.datetime,
+    run_at: dt.datetime | None,
     *,
     every: str | None = None,
     max_files: int | None = None,

@@ -59,6 +59,22 @@ def test_traffic_stream(spark, tmp_path):
     assert run_traffic(spark, tmp_path).count() == 6
 
 
+def test_an_endless_stream_stamps_its_batches(spark, tmp_path):
+    land(tmp_path / "landing", reading("a", 0))
+    paths = [str(tmp_path / name) for name in ("landing", "silver", "progress")]
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    query = stream.run_silver(spark, *paths, None, every="1 second")
+    query.processAllAvailable()
+    land(tmp_path / "landing", reading("b", 1))
+    query.processAllAvailable()
+    query.stop()
+    rows = tables.read_parquet(spark, paths[1], schemas.SILVER_TRAFFIC).withColumn(
+        "silver_processed_at", F.col("silver_processed_at").cast("timestamp_ntz")
+    ).orderBy("event_id").collect()
+    assert [r.event_id for r in rows] == ["a", "b"]
+    assert before <= rows[0].silver_processed_at < rows[1].silver_processed_at
+
+
 def test_a_batch_run_again_adds_only_what_is_missing(spark, tmp_path):
     silver = str(tmp_path / "silver")
 

@@ -3,3 +3,30 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op8_decontamination"] = f"""
+with doc as (select doc_id, {WORDS.format("coalesce(text, '')")} as w from documents),
+item as (select item_id, {WORDS.format("text")} as w from benchmark where text is not null),
+phrase as (
+  select distinct item_id, least(13, len(w)) as n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') as p
+  from item, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as r(i) where len(w) > 0),
+lengths as (select distinct n from phrase),
+grams as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as p
+  from doc, lengths, unnest(range(1, len(w) - n + 2)) as r(i) where len(w) >= n),
+found as (select doc_id, i, n, item_id from grams join phrase using (n, p)),
+hit as (
+  select doc_id, count(distinct i + k) as n_hit
+  from (select distinct doc_id, i, n from found), unnest(range(0, n)) as r(k) group by doc_id),
+whose as (
+  select doc_id, count(distinct item_id) as n_items,
+    array_to_string(list_sort(list(distinct cast(item_id as varchar))), ',') as items
+  from found group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc left join hit using (doc_id) left join whose using (doc_id)
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbsight.llm import packing, token_files
+from curbsight.llm import decontamination, line_dedup, main_text, near_dedup, packing, quality, token_files
 from curbsight.llm.common import ship
 from curbsight.session import scratch_dir
 
@@ -52,3 +52,36 @@ def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
 @query
 def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                           keep=["doc_id"])
+    listed = "concat_ws(',', array_sort(transform(items, x -> string(x))))"
+    return decontamination.contaminated(found).selectExpr(
+        "doc_id", "n_words", "n_hit", "cast(size(items) as long) as n_items", f"sha2({listed}, 256) as items_sha256",
+        "contaminated")
+
+
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_words", "n_removed")
+
+
+@query
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs).select("doc_id", "class_id", "kept")

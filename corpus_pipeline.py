@@ -4,19 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbsight.llm import registry
+from curbsight.llm import decontamination, line_dedup, near_dedup, quality, registry
 from curbsight.llm.common import ship
 from curbsight.session import scratch_dir
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject; it is trained on the labels of this stage's rows."""
+    ship(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.where("predicted = 1").select(*docs.columns)
+
+
+def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of repeated runs; ``n_chars`` follows the text."""
+    ship(spark)
+    cut = line_dedup.dedup_lines(docs).withColumn("n_chars", registry.n_chars("text"))
+    return cut.select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    ship(spark)
+    return near_dedup.without_near_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty is part of a benchmark phrase."""
+    ship(spark)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.find_benchmark(docs, benchmark, keep=docs.columns)
+    return decontamination.contaminated(found).where("not contaminated").select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all remaining documents with their sequence and place."""
     ship(spark)
-    return registry.packed(spark, docs)
+    return registry.packed(docs)
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", cut_repeated),
+    ("near-duplicates", keep_one_of_each),
+    ("decontamination", drop_contaminated),
+    ("best-fit packing", pack),
+]
 
-#: The stages tokenize and pack, which SQL can't express.
+#: A classifier is fitted and texts are tokenized, which SQL can't express.
 ORACLE_SQL = None
 
 

@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from curbsight.llm.common import Emitter, stored, values
+from curbsight.llm.common import stored, values
 
 BLOCK_WORDS = 2_000_000
 SHARD_SYMBOLS = 1 << 20
@@ -40,8 +41,6 @@ _WORD_BYTES = bytes(b if WORD.match(bytes([b])) else 32 for b in bytes(range(256
 FOUND = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()),
                    ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                    ("items", pa.list_(pa.int64())), ("kept_text", pa.string())])
-FOUND_SQL = "n_words long, n_hit long, spans array<struct<start:bigint,end:bigint>>, items array<bigint>, " \
-            "kept_text string"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -168,8 +167,8 @@ class FmIndex:
 class Document:
     """What is known of a document while its segments are searched."""
 
-    def __init__(self, row: tuple, words: list[bytes], phrases: Phrases) -> None:
-        self.row, self.n_words = row, len(words)
+    def __init__(self, words: list[bytes], phrases: Phrases) -> None:
+        self.n_words = len(words)
         self.symbols, self.at = phrases.symbols(words)
         self.marks = np.zeros(len(self.at) + 1, np.int64)
         self.items: set[int] = set()
@@ -231,45 +230,56 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def found_schema(batch: pa.RecordBatch, keep: list[str]) -> pa.Schema:
-    return pa.schema([*(batch.schema.field(batch.schema.get_field_index(k)) for k in keep), *FOUND])
+def with_found(row: T.StructField) -> T.StructType:
+    return T.StructType([row, *T.StructType.fromDDL(
+        "n_words long, n_hit long, spans array<struct<start:bigint,end:bigint>>, items array<bigint>, "
+        "kept_text string")])
 
 
-def _search(docs: DataFrame, shared: Broadcast, keep: list[str], cut_text: bool) -> DataFrame:
-    kept = docs.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields) + ", " + FOUND_SQL
+def found_batch(rows: list[pa.Array], found: list[tuple]) -> pa.RecordBatch:
+    """The rows' own columns, carried along in one, with what was found in them."""
+    columns = zip(*found) if found else [[]] * len(FOUND)
+    return pa.RecordBatch.from_arrays(
+        [pa.concat_arrays(rows), *(pa.array(c, f.type) for c, f in zip(columns, FOUND))], ["_row", *FOUND.names])
 
+
+def found_row(text: str | None, n_words: int, spans: list[tuple[int, int]], items: list[int], cut_text: bool) -> tuple:
+    kept = (without_spans(text, spans) if spans and text else text) if cut_text else None
+    return n_words, sum(e - s for s, e in spans), [{"start": s, "end": e} for s, e in spans], items, kept
+
+
+def _search(docs: DataFrame, shared: Broadcast, cut_text: bool) -> DataFrame:
+    """docs: _row, _text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases: Phrases = shared.value
-        out: Emitter | None = None
         waiting: list[tuple[Document, str | None]] = []
+        rows: list[pa.Array] = []
         size = 0
 
-        def finish() -> None:
+        def finish() -> pa.RecordBatch:
             search_documents([doc for doc, _ in waiting], phrases)
-            for doc, text in waiting:
-                spans = doc.spans()
-                clean = without_spans(text, spans) if spans and text else text
-                out.add((*doc.row, doc.n_words, sum(e - s for s, e in spans),
-                         [{"start": s, "end": e} for s, e in spans], sorted(doc.items), clean), len(clean or ""))
+            out = found_batch(rows, [found_row(text, doc.n_words, doc.spans(), sorted(doc.items), cut_text)
+                                     for doc, text in waiting])
             waiting.clear()
+            rows.clear()
+            return out
 
         for batch in batches:
-            if out is None:
-                out = Emitter(found_schema(batch, keep))
-            for text, *row in zip(values(batch, "text"), *(values(batch, k) for k in keep)):
-                doc = Document(tuple(row), words_of(text), phrases)
+            begin = 0
+            for i, text in enumerate(values(batch, "_text")):
+                doc = Document(words_of(text), phrases)
                 waiting.append((doc, text if cut_text else None))
                 size += len(doc.symbols) + 1
                 if size >= SHARD_SYMBOLS:
-                    finish()
-                    size = 0
-                    yield from out.ready()
-        if out is not None:
-            finish()
-            yield from out.rest()
+                    rows.append(batch.column(0).slice(begin, i + 1 - begin))
+                    begin, size = i + 1, 0
+                    yield finish()
+            if begin < batch.num_rows:
+                rows.append(batch.column(0).slice(begin))
+        if waiting:
+            yield finish()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, with_found(docs.schema["_row"]))
 
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, list[bytes]]]]:
@@ -293,48 +303,43 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], windo
     With ``cut_text`` also the text without the spans, as ``kept_text`` (null otherwise).
     """
     context = docs.sparkSession.sparkContext
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), F.col("text").alias("_text"))
     blocks = benchmark_blocks(benchmark, block_words)
     first, second = next(blocks), next(blocks, None)
+    found = ["n_words", "n_hit", "spans", "items", "kept_text"]
     if second is None:
-        return _search(docs.select("text", *keep), context.broadcast(Phrases(first, window)), keep, cut_text)
-    named = stored(docs.select("text", *keep).withColumn("_row", F.monotonically_increasing_id()), "named-documents")
+        one = _search(packed, context.broadcast(Phrases(first, window)), cut_text)
+        return one.select("_row.*", *found)
+    named = stored(packed.withColumn("_no", F.monotonically_increasing_id()), "named-documents")
     parts = None
     while first is not None:
-        part = _search(named, context.broadcast(Phrases(first, window)), ["_row"], False)
-        part = part.where("n_hit > 0").select("_row", "spans", "items")
+        numbers = named.select(F.struct("_no").alias("_row"), "_text")
+        part = _search(numbers, context.broadcast(Phrases(first, window)), False).where("n_hit > 0")
         parts = part if parts is None else parts.unionByName(part)
         first, second = second, next(blocks, None)
-    by_row = parts.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("spans"),
-                                       F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return _merged(named.join(by_row, "_row", "left"), keep, cut_text)
+    by_row = parts.groupBy(F.col("_row._no").alias("_no")).agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return _merged(named.join(by_row, "_no", "left"), cut_text).select("_row.*", *found)
 
 
-def _merged(joined: DataFrame, keep: list[str], cut_text: bool) -> DataFrame:
+def _merged(joined: DataFrame, cut_text: bool) -> DataFrame:
     """Spans of several passes united."""
-    kept = joined.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields) + ", " + FOUND_SQL
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = None
         for batch in batches:
-            if out is None:
-                out = Emitter(found_schema(batch, keep))
-            for text, spans, items, *row in zip(values(batch, "text"), values(batch, "spans"), values(batch, "items"),
-                                                *(values(batch, k) for k in keep)):
-                united: list[list[int]] = []
-                for span in sorted((s["start"], s["end"]) for s in spans or []):
-                    if united and span[0] <= united[-1][1]:
-                        united[-1][1] = max(united[-1][1], span[1])
+            out = []
+            for text, spans, items in zip(*(values(batch, c) for c in ("_text", "spans", "items"))):
+                united: list[tuple[int, int]] = []
+                for start, end in sorted((s["start"], s["end"]) for s in spans or []):
+                    if united and start <= united[-1][1]:
+                        united[-1] = (united[-1][0], max(end, united[-1][1]))
                     else:
-                        united.append(list(span))
-                clean = (without_spans(text, united) if united and text else text) if cut_text else None
-                out.add((*row, len(words_of(text)), sum(e - s for s, e in united),
-                         [{"start": s, "end": e} for s, e in united], items or [], clean), len(clean or ""))
-            yield from out.ready()
-        if out is not None:
-            yield from out.rest()
-
-    return joined.mapInArrow(run, schema)
+                        united.append((start, end))
+                out.append(found_row(text, len(words_of(text)), united, items or [], cut_text))
+            if out:
+                yield found_batch([batch.column(0)], out)
+
+    return joined.select("_row", "_text", "spans", "items").mapInArrow(run, with_found(joined.schema["_row"]))
 
 
 def contaminated(found: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from curbsight.llm.secret_scan import BASE, MORE
+
 ORACLE: dict[str, str] = {}
 
 WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
@@ -30,3 +32,62 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from doc left join hit using (doc_id) left join whose using (doc_id)
 """
+
+
+def sketch(text: str) -> str:
+    """The 128 smallest hashes of the runs of five words."""
+    words = f"list_filter(string_split(replace(replace(replace({text}, chr(10), ' '), chr(9), ' '), chr(13), ' '), ' '), " \
+            "lambda x: x <> '')"
+    return f"""(select list_sort(list_distinct(
+        case when len(w) = 0 then [] else list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+          lambda i: md5(array_to_string(w[i:i + 4], ' '))[1:16]) end))[1:128] from (select {words} as w))"""
+
+
+def alike(a: str, b: str) -> str:
+    return f"""(select case when len(u) = 0 then 1.0::double
+        else len(list_filter(u, lambda x: list_contains({a}, x) and list_contains({b}, x)))::double / len(u) end
+      from (select list_sort(list_distinct(list_concat({a}, {b})))[1:128] as u))"""
+
+
+ORACLE["op2_fingerprints"] = f"""
+with doc as (
+  select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n,
+    coalesce(lead(coalesce(text, '')) over (order by doc_id desc),
+      first_value(coalesce(text, '')) over (order by doc_id desc)) as next
+  from documents),
+edit as (select *, left(t, n - n // 2) || left(next, n // 2) as e from doc),
+done as (
+  select doc_id, n, e, {sketch("t")} as a, {sketch("e")} as b, {sketch("next")} as c from edit)
+select doc_id, cast(n as bigint) as n_chars, sha256(e) as edited_sha256, array_to_string(a, '') as fingerprint,
+  array_to_string(b, '') as edited_fingerprint, {alike("a", "b")} as near_edited, {alike("a", "c")} as near_next
+from done
+"""
+
+
+def rule_spans(kind: str, pattern: str, group: int, shortest: int, order: int) -> str:
+    """One row per span: what stands between matches and the matches add up to its place."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+  select doc_id, '{kind}' as kind, {order} as o, s, s + len(found[i]) as e from (
+    select *, unnest(range(1, len(found) + 1)) as i from (
+      select doc_id, string_split_regex(t, '{quoted}') as gaps, regexp_extract_all(t, '{quoted}', 0) as found,
+        regexp_extract_all(t, '{quoted}', {group}) as judged from doc)),
+    lateral (select coalesce(list_sum(list_transform(gaps[1:i], lambda x: len(x))), 0)
+      + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: len(x))), 0) as s)
+  where len(judged[i]) >= {shortest}"""
+
+
+ORACLE["op7_secret_scan"] = f"""
+with doc as (select doc_id, coalesce(text, '') as t from documents),
+span as ({" union all ".join(rule_spans(r.kind, r.pattern, r.group, r.shortest, i) for i, r in enumerate(BASE + MORE))}),
+listed as (
+  select doc_id,
+    count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+    count(*) filter (kind = 'hex') as n_hex,
+    string_agg(kind || ':' || cast(s as bigint) || ':' || cast(e as bigint), ',' order by s, o) filter (o < 3) as base,
+    string_agg(kind || ':' || cast(s as bigint) || ':' || cast(e as bigint), ',' order by s, o) as spans
+  from span group by doc_id)
+select doc_id, cast(coalesce(n_assign, 0) as bigint) as n_assign, cast(coalesce(n_access, 0) as bigint) as n_access,
+  cast(coalesce(n_hex, 0) as bigint) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join listed using (doc_id)
+"""

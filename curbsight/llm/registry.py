@@ -6,10 +6,21 @@ import functools
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbsight.llm import decontamination, line_dedup, main_text, near_dedup, packing, quality, token_files
+from curbsight.llm import (
+    decontamination,
+    fingerprints,
+    line_dedup,
+    lm_scoring,
+    main_text,
+    near_dedup,
+    packing,
+    quality,
+    secret_scan,
+    token_files,
+)
 from curbsight.llm.common import ship
 from curbsight.session import scratch_dir
 
@@ -44,14 +55,18 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.expr(CRC32).alias("ids_crc32"))
 
 
-def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def n_chars(column: str) -> Column:
+    return F.length(column).cast("long")
+
+
+def packed(docs: DataFrame) -> DataFrame:
     return packing.pack_documents(docs, word_bpe(), end_id=0, capacity=2048, with_ids=False).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query
 def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(spark, table(spark, sf_dir, "documents"))
+    return packed(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -66,7 +81,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+    return main_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", n_chars("text"))
 
 
 @query
@@ -85,3 +100,28 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup.near_duplicates(docs).select("doc_id", "class_id", "kept")
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["order"] < len(secret_scan.BASE))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *(count(r.kind) for r in secret_scan.BASE),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.cross_entropy_difference(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("quality") == 1)

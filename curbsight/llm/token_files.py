@@ -3,7 +3,7 @@
 ``write_tokens`` encodes texts, counts ids over the whole corpus, derives one code book and writes a folder:
 
 * ``book``    one row per used id: its code length. Canonical codes follow from the lengths alone.
-* ``blocks``  Parquet rows, in ascending order of ``doc_id`` over the files (``part``) and within them (``block``,
+* ``blocks``  Parquet rows, in ascending order of ``doc_id`` over ranges (``part``) and within them (``block``,
   ``tokens_before``). A block holds whole documents and can be decoded on its own: ``doc_ids``, ``n_tokens`` per
   document, the codes as ``payload`` (each document starts at a byte) and ``checkpoints``: the bit offset of every
   ``STEP``-th token of each document. A very long document makes a block of its own, about as large as the row
@@ -23,21 +23,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbsight.llm.common import Emitter, RowNames, stored, values
+from curbsight.llm.common import Emitter, RowNames, range_of, splits, stored, values
 from curbsight.llm.tokens import encoder
 
 MAX_BITS = 16
 STEP = 256
 BLOCK_TOKENS = 1 << 16
-#: Bytes of codes per range of documents that one task writes.
-PART_BYTES = 48 << 20
+#: Bytes of codes in a range of documents, on average.
+PART_BYTES = 8 << 20
 
 IDS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
-CODED = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("ids_crc32", pa.int64()), ("n_tokens", pa.int64()),
+CODED = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("ids_crc32", pa.int64()), ("n_tokens", pa.int64()),
                    ("codes", pa.binary()), ("marks", pa.binary())])
 BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("tokens_before", pa.int64()),
                     ("block_tokens", pa.int64()),
@@ -172,19 +171,20 @@ def _coded(encoded: DataFrame, book: CodeBook) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book, out = shared.value, Emitter(CODED)
         for batch in batches:
-            for doc_id, row, crc, raw in zip(*(values(batch, c) for c in IDS.names)):
+            for part, doc_id, row, crc, raw in zip(*(values(batch, c) for c in ("part", *IDS.names))):
                 ids = np.frombuffer(raw, "<u4")
                 codes, marks = book.encode(ids)
-                out.add((doc_id, row, crc, len(ids), codes, marks.astype("<u8").tobytes()), len(codes))
+                out.add((part, doc_id, row, crc, len(ids), codes, marks.astype("<u8").tobytes()), len(codes))
                 yield from out.ready()
         yield from out.rest()
 
     return encoded.mapInArrow(
-        run, "doc_id long, row long, ids_crc32 long, n_tokens long, codes binary, marks binary")
+        run, "part int, doc_id long, row long, ids_crc32 long, n_tokens long, codes binary, marks binary")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, number, before, out = TaskContext.get().partitionId(), 0, 0, Emitter(BLOCKS, rows=64)
+    """The rows of whole ranges, in order, as blocks."""
+    part, number, before, out = None, 0, 0, Emitter(BLOCKS, rows=64)
     docs: list[tuple] = []
 
     def flush() -> None:
@@ -201,11 +201,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     tokens = 0
     for batch in batches:
-        for doc in zip(*(values(batch, c) for c in ("doc_id", "n_tokens", "codes", "marks"))):
-            if docs and tokens + doc[1] > BLOCK_TOKENS:
+        for of, *doc in zip(*(values(batch, c) for c in ("part", "doc_id", "n_tokens", "codes", "marks"))):
+            if docs and (of != part or tokens + doc[1] > BLOCK_TOKENS):
                 flush()
                 yield from out.ready()
                 tokens = 0
+            if of != part:
+                part, number, before = of, 0, 0
             docs.append(doc)
             tokens += doc[1]
     if docs:
@@ -223,10 +225,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     lengths = code_lengths(n)
     spark.createDataFrame([(int(i), int(b)) for i, b in zip(ids, lengths)], "id long, bits int").coalesce(1) \
         .write.parquet(f"{path}/book")
-    parts = max(1, -(-int((n * lengths).sum()) // 8 // PART_BYTES))
-    in_order = _coded(encoded, CodeBook(ids, lengths)).repartitionByRange(
-        max(parts, spark.sparkContext.defaultParallelism), "doc_id", "ids_crc32", "row")
-    in_order.sortWithinPartitions("doc_id", "ids_crc32", "row").mapInArrow(_blocks, BLOCKS_SQL) \
+    size = max(1, -(-int((n * lengths).sum()) // 8))
+    cuts = splits(encoded, "doc_id", max(1, encoded.count() * PART_BYTES // size))
+    ranged = encoded.withColumn("part", range_of("doc_id", cuts))
+    dealt = _coded(ranged, CodeBook(ids, lengths)).repartition("part")
+    dealt.sortWithinPartitions("part", "doc_id", "ids_crc32", "row").mapInArrow(_blocks, BLOCKS_SQL) \
         .write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
@@ -255,7 +258,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids, read from the files."""
     book = spark.sparkContext.broadcast(read_book(spark, path))
     blocks = spark.read.schema(BLOCKS_SQL).parquet(f"{path}/blocks")
-    # One row per file, at most as many as there are write tasks.
+    # One row per range, so one per PART_BYTES of codes.
     totals = blocks.groupBy("part").agg(F.sum("block_tokens").alias("n")).orderBy("part").collect()
     before, first = {}, 0
     for row in totals:

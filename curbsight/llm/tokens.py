@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import unicodedata
 
 import numpy as np
 
@@ -11,13 +12,21 @@ import numpy as np
 KEPT_RUNS = 700_000
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
 class TextEncoder(dict):
     """Maps text to its ids as little-endian unsigned 32-bit integers, exactly as the library encodes it whole.
 
     A tokenizer that lower-cases and whose splitting pattern only matches text without white space never joins
     anything over an ASCII blank, so a text is the concatenation of its blank-free runs. The runs repeat, so
-    their ids are looked up. Other tokenizers, and texts that spell one of the special tokens, go whole through
-    the library.
+    their ids are looked up. A new run of letters only is one word to the tokenizer, so the library's model gets
+    it at once; other runs take the whole way. Other tokenizers, and texts that spell one of the special tokens, go
+    whole through the library.
     """
 
     def __init__(self, path: str) -> None:
@@ -33,18 +42,33 @@ class TextEncoder(dict):
         self.by_run = (
             kinds == ["NFC", "Replace", "Lowercase"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
             and pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and not spec.get("post_processor")
+            and len(steps) == 2 and steps[1]["type"] == "ByteLevel" and not steps[1]["add_prefix_space"]
+            and not steps[1]["use_regex"] and spec["model"]["type"] == "BPE"
         )
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self.special = [x["content"].lower().encode() for x in spec.get("added_tokens", [])]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, text: str) -> bytes | None:
+        """Ids of a run of letters; None where lower case or composition might change more than single letters."""
+        lower = text.lower()
+        if not lower.isalpha() or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
+            return None
+        if not lower.isascii():
+            lower = lower.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(lower)], "<u4").tobytes()
+
     def __missing__(self, run: bytes) -> bytes:
         if len(self) >= KEPT_RUNS:
             self.clear()
         text = run.decode()
+        ids = self.word(text) if text.isalpha() else None
         word = text.rstrip("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-        if len(word) < len(text) and word.isalpha():  # letters and the marks behind them are split anyway
+        if ids is not None:
+            pass
+        elif len(word) < len(text) and word.isalpha():  # letters and the marks behind them are split anyway
             ids = self[word.encode()] + self[text[len(word):].encode()]
         else:
             ids = self.whole(text)

@@ -199,4 +199,4 @@ def range_of(column: str, cuts: list[int]) -> Column:
     # Two steps, each over about the square root of the number of cuts: the group by its last cut, then within it.
     group = below(longs([g[-1] for g in groups]))
     inside = F.lit([*groups, []]).cast("array<array<bigint>>")
-    return group * width + below(F.element_at(inside, group + 1))
+    return F.least(group * width + below(F.element_at(inside, group + 1)), F.lit(len(cuts)))

@@ -8,6 +8,7 @@ smallest hash is a fingerprint. Any run that two texts share is bound to share a
 1. Positions of equal fingerprints are joined to the first one (many to one, so a passage in n texts gives n rows).
 2. Matches of two texts on one diagonal become stretches. The words of the earlier text around a stretch are
    fetched in pages, and the match is extended word by word in both directions.
+   A text that holds the passage later, with a word or two more in common, is not compared.
 3. Equal runs of at least ``RUN_WORDS`` words are cut from the later text.
 
 Texts are ordered by doc_id (nulls first), then by content, then by place. Rows that are equal in doc_id and text are one text to this

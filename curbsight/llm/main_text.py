@@ -51,7 +51,9 @@ BONUS = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 5.0, "td": 3.0, "
          "ol": -3.0, "dl": -3.0, "address": -3.0, "form": -3.0, "html": -10.0, "body": -5.0}
 LEVELS = 5
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-CONTAINER = frozenset("html body article main section div td center figure details".split())
+#: What can hold an article. Lists and tables belong to what stands around them, text in a cell too.
+CONTAINER = frozenset("#root html body article main section div center figure details".split())
+CELL = frozenset("td th".split())
 
 
 def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
@@ -178,14 +180,14 @@ class Page:
         for i in range(n):
             if own[i]:
                 earned = 1 + commas[i] + min(own[i] / 100, 3)
-                ancestor = i
-                if self.tag[i] in CONTAINER or not i:
+                ancestor, level = i, 0
+                if self.tag[i] in CONTAINER:
                     points[i] += earned  # text that stands in the container itself
-                for level in range(1, LEVELS + 1):
-                    if not ancestor:
-                        break
+                while ancestor and level < LEVELS:
                     ancestor = self.parent[ancestor]
-                    points[ancestor] += earned / (1 if level == 1 else 2 * (level - 1))
+                    if self.tag[ancestor] in CONTAINER or self.tag[ancestor] in CELL:
+                        level += 1
+                        points[ancestor] += earned / (1 if level == 1 else 2 * (level - 1))
         density = [b / a if a else 0.0 for a, b in zip(letters, linked)]
         score = [(p + BONUS.get(t, 0.0)) * (1 - d) if p else 0.0
                  for p, t, d in zip(points, self.tag, density)]

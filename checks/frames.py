@@ -105,6 +105,7 @@ def air(spark: SparkSession, sf_dir: str, since: dt.datetime | dt.date | None =
         "concat('2.1.', cast(k % 5 as string)) as firmware_version",
         "date '2024-01-10' as calibration_date",
         "'synthetic_iot' as data_source",
+        "cast(event_id as string) as source_cdc_event_id",
         *_DATE_PARTS,
     )
     return rows.withColumn("aqi_value", pm25_index(F.col("pm25"))).withColumn(

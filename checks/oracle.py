@@ -333,7 +333,8 @@ newest AS (
   SELECT date, sensor_id, zone, device_status AS latest_status, firmware_version,
          battery_level AS latest_battery_level, reading_datetime AS last_reading_time
   FROM {source}
-  QUALIFY row_number() OVER (PARTITION BY date, sensor_id, zone ORDER BY reading_datetime DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY date, sensor_id, zone ORDER BY reading_datetime DESC,
+    CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15) AS BIGINT) DESC) = 1
 ),
 health AS (
   SELECT *, CASE WHEN latest_battery_level < 20 OR latest_status = 'maintenance' THEN 'Critical'
@@ -354,6 +355,13 @@ SELECT date, sensor_id, zone, year, month, day, {rs("avg_battery_level", "avg_si
        uptime_percent, health_status
 FROM health""")
 
+define("gold_sensor_health_ties", f"""{AIR},
+tied AS (SELECT * REPLACE (date_trunc('day', reading_datetime) AS reading_datetime, 0 AS hour) FROM air),
+{health('tied')}""", f"""
+SELECT date, sensor_id, zone, {rs("avg_battery_level", "avg_signal_strength")}, min_battery_level,
+       readings_count, latest_status, firmware_version, latest_battery_level, health_status
+FROM health""")
+
 define("gold_aqi_trends", AIR, f"""
 SELECT date, hour, zone, year, month, day, count(*) AS aqi_category_count,
        string_agg(aqi_category || '=' || CAST(n AS VARCHAR), '|' ORDER BY aqi_category) AS aqi_categories,
@@ -844,7 +852,7 @@ PM10_ROWS = ((54, 0, 0, 50), (154, 55, 51, 100), (254, 155, 101, 150), (354, 255
 PM10_AQI = "CASE " + " ".join(
     f"WHEN floor(pm10) <= {hi} THEN floor({ilo}e0 + ({ihi - ilo}e0 / {hi - lo}e0) * (floor(pm10) - {lo}) + 0.5)"
     for hi, lo, ilo, ihi in PM10_ROWS
-) + " END"
+) + " ELSE floor(pm10) - 604 + 500 END"  # one index point per microgram beyond the table
 
 define("air_aqi_index", f"""{AIR},
 indexed AS (SELECT event_id, pm25, pm10, aqi_value AS aqi_pm25, CAST({PM10_AQI} AS INTEGER) AS aqi_pm10 FROM air),

@@ -354,6 +354,15 @@ for _name, (_frame, _build) in GOLD.items():
     query(_name)(lambda spark, sf_dir, f=_frame, b=_build: b(f(spark, sf_dir)))
 
 
+@query("gold_sensor_health_ties")
+def gold_sensor_health_ties(spark, sf_dir):
+    """All readings of a day at the same time: the event decides which one is the latest."""
+    tied = frames.air(spark, sf_dir).withColumn("reading_datetime", F.date_trunc("day", "reading_datetime"))
+    return air_gold.sensor_health(air_gold.sensor_hours(tied)).select(
+        "date", "sensor_id", "zone", "avg_battery_level", "avg_signal_strength", "min_battery_level", "readings_count",
+        "latest_status", "firmware_version", "latest_battery_level", "health_status")
+
+
 @query("gold_aqi_trends")
 def gold_aqi_trends(spark, sf_dir):
     rows = air_gold.aqi_trends(frames.air(spark, sf_dir))

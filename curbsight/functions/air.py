@@ -51,13 +51,14 @@ def pm25_index(pm25: Column) -> Column:
 
 
 def pm10_index(pm10: Column) -> Column:
-    """EPA index of the concentration cut to whole micrograms; NULL above the published table."""
+    """EPA index of the concentration cut to whole micrograms; the last segment goes on above the published table."""
     whole = F.floor(pm10)
-    index = F.lit(None).cast("double")
+    index: Column | None = None
     for low, high, index_low, index_high in reversed(PM10_SEGMENTS):
         slope = (index_high - index_low) / (high - low)
-        index = F.when(whole <= F.lit(high), F.lit(float(index_low)) + F.lit(slope) * (whole - F.lit(low))).otherwise(index)
-    return F.floor(F.when(pm10 >= 0, index) + F.lit(0.5)).cast("int")
+        line = F.lit(float(index_low)) + F.lit(slope) * (whole - F.lit(low))
+        index = line if index is None else F.when(whole <= F.lit(high), line).otherwise(index)
+    return F.floor(F.when(pm10 >= 0, index) + F.lit(0.5)).try_cast("int")
 
 
 def overall_index(*indices: Column) -> Column:

@@ -83,6 +83,17 @@ _HIGHEST = {
 _TOTALS = ("readings", "elevated", "unhealthy")
 
 
+def newness() -> Column:
+    """Orders readings by time and then by their event, as one number.
+
+    A number of this kind fits the fixed buffers of a hash aggregate, which a struct or the event's text doesn't.
+    Equal times are rare, so it is enough that their order is fixed: it is that of the first 60 bits of the MD5.
+    """
+    event = F.conv(F.substring(F.md5(F.coalesce("source_cdc_event_id", F.lit("")).cast("binary")), 1, 15), 16, 10)
+    time = F.unix_micros(READING).cast("decimal(19,0)") * F.lit(1 << 60).cast("decimal(19,0)")
+    return (time + event.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def reading_parts(silver: DataFrame) -> DataFrame:
     """Every reading as a part of its own, for tables that need no rollup before them."""
     return silver.select(
@@ -90,6 +101,7 @@ def reading_parts(silver: DataFrame) -> DataFrame:
         *mean_parts(_MEANS),
         *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
         F.col("battery_level").alias("last_battery"),
+        newness().alias("newness"),
         F.lit(1).cast("bigint").alias("readings"),
         (F.col("aqi_value") > ELEVATED_AQI).cast("bigint").alias("elevated"),
         (F.col("aqi_value") > UNHEALTHY_AQI).cast("bigint").alias("unhealthy"),
@@ -104,7 +116,8 @@ def sensor_hours(silver: DataFrame) -> DataFrame:
         *merged_parts(_MEANS),
         *(F.min(c).alias(c) for c in _LOWEST),
         *(F.max(c).alias(c) for c in _HIGHEST),
-        F.max_by("last_battery", "last_seen").alias("last_battery"),
+        F.max_by("last_battery", "newness").alias("last_battery"),
+        F.max("newness").alias("newness"),
         *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TOTALS),
     )
     return rows.withColumns(calendar("hour_timestamp"))
@@ -137,9 +150,10 @@ def daily_by_zone(hours: DataFrame) -> DataFrame:
 def sensor_health(hours: DataFrame) -> DataFrame:
     """One row per day and sensor: last seen status, battery, signal and hours on air.
 
-    "Latest" is the reading with the highest time.
+    "Latest" is the reading with the highest time, of equal times the one its event decides; status, firmware
+    and battery are those of this one reading.
     """
-    newest = F.struct("last_seen", "device_status", "firmware_version", "last_battery")
+    newest = F.struct("newness", "last_seen", "device_status", "firmware_version", "last_battery")
     rows = hours.groupBy(F.to_date("hour_timestamp").alias("date"), "sensor_id", "zone").agg(
         *finished_means({"avg_battery_level": "battery_level", "avg_signal_strength": "signal_strength_dbm"}),
         F.max(newest).alias("newest"),

@@ -102,18 +102,22 @@ def devices_needing_attention(health: DataFrame, as_of: dt.date) -> DataFrame:
 def week_over_week(sensor_days: DataFrame, as_of: dt.date) -> DataFrame:
     """This calendar week against the one before, for zones seen in both."""
     monday = week_start(as_of)
-
-    def zone_means(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("zone").agg(F.avg("avg_aqi").alias(name))
-
-    current = zone_means(on_or_after(sensor_days, "date", monday), "now_aqi")
-    before = zone_means(
-        on_or_after(sensor_days, "date", monday - 7 * DAY).filter(F.col("date") < moment(monday)), "then_aqi"
+    this_week = F.col("date") >= moment(monday)
+    both = (
+        on_or_after(sensor_days, "date", monday - 7 * DAY)
+        .filter(F.col("zone").isNotNull())
+        .groupBy("zone")
+        .agg(
+            F.avg(F.when(this_week, F.col("avg_aqi"))).alias("now_aqi"),
+            F.avg(F.when(~this_week, F.col("avg_aqi"))).alias("then_aqi"),
+            F.count_if(this_week).alias("now_days"),
+            F.count_if(~this_week).alias("then_days"),
+        )
+        .filter((F.col("now_days") > 0) & (F.col("then_days") > 0))
     )
     change = F.col("now_aqi") - F.col("then_aqi")
     return (
-        current.join(before, "zone")
-        .orderBy(F.abs(change).desc(), "zone")
+        both.orderBy(F.abs(change).desc(), "zone")
         .select(
             "zone",
             rounded("now_aqi", 2).alias("current_week_aqi"),

@@ -886,3 +886,38 @@ define("st_enrich", TRAFFIC, f"""
 SELECT event_name AS event_id, intersection, {rs("latitude", "longitude")}, road_type
 FROM traffic,
      range(CASE WHEN event_id % 10 <> 0 THEN 1 WHEN reading_datetime < TIMESTAMP '2024-01-21' THEN 3 ELSE 2 END)""")
+
+# --- refreshes: rows per table and day, as a rebuild from the corrected readings leaves them --
+
+
+def rows_by_day(source: str, keys_by_table: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, year, month, day, count(*) AS n_rows "
+        f"FROM (SELECT DISTINCT year, month, day, {keys} FROM {source}) GROUP BY year, month, day"
+        for name, keys in keys_by_table.items()
+    )
+
+
+CORRECTED = "make_date(year, month, day) <> DATE '2024-01-10' AND NOT (year = 2024 AND month = 1 AND day = 12 AND hour < 12)"
+
+define("job_air_refresh", f"{AIR}, corrected AS (SELECT * FROM air WHERE {CORRECTED})", rows_by_day("corrected", {
+    "air_quality_sensor_hours": "hour, sensor_id, zone, city, country, device_status, firmware_version",
+    "air_quality_hourly_avg": "hour, zone, city, country",
+    "aqi_trends": "hour, zone",
+    "air_quality_daily_summary": "zone, city",
+    "sensor_health_metrics": "sensor_id, zone",
+    "air_quality_daily_by_sensor": "sensor_id, zone",
+    "air_quality_hourly_by_sensor": "hour, sensor_id, zone",
+}))
+
+define("job_traffic_refresh", f"{TRAFFIC}, corrected AS (SELECT * FROM traffic WHERE {CORRECTED})", rows_by_day(
+    "corrected", {
+        "traffic_sensor_hours": "hour, intersection, road_type, city, sensor_id",
+        "traffic_hourly_by_intersection": "hour, intersection, road_type, city",
+        "traffic_daily_summary": "road_type, city",
+        "traffic_congestion_trends": "quarter, road_type, city",
+        "traffic_congestion_by_intersection": "quarter, intersection, road_type, city",
+    }) + """
+UNION ALL
+SELECT 'traffic_incidents' AS table_name, year, month, day, count(*) AS n_rows FROM corrected
+WHERE incident_detected AND NOT (year = 2024 AND month = 1 AND day = 11) GROUP BY year, month, day""")

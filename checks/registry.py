@@ -765,3 +765,42 @@ def job_traffic(spark, sf_dir):
     tables.write_parquet(silver.select(*schemas.SILVER_TRAFFIC.names), f"{base}/silver")
     jobs.traffic_silver_to_gold(spark, f"{base}/silver", f"{base}/gold", RUN_AT)
     return tables.read_parquet(spark, f"{base}/gold/traffic_daily_summary").drop("processed_at")
+
+
+def refreshed(spark: SparkSession, domain, silver: DataFrame, changed: DataFrame, changed_days) -> DataFrame:
+    """Gold built from ``silver`` and refreshed for some days of ``changed``: rows per table, month and day."""
+    base = scratch_dir(spark, "refresh")
+    names = jobs.build_gold(silver, base, domain, RUN_AT)
+    assert jobs.build_gold(changed, base, domain, RUN_AT, days=changed_days) == names
+    counts = None
+    for table in (domain.rollup, *domain.tables):
+        rows = tables.read_parquet(spark, f"{base}/{table.name}", jobs.gold_schema(spark, domain, table))
+        count = rows.groupBy("year", "month", F.col("day") if "day" in rows.columns else F.lit(None).cast("int").alias("day")) \
+            .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(table.name))
+        counts = count if counts is None else counts.unionByName(count)
+    return counts
+
+
+REFRESHED = (dt.date(2024, 1, 10), dt.date(2024, 1, 11), dt.date(2024, 1, 12))
+
+
+def after_corrections(rows: DataFrame) -> DataFrame:
+    """The first refreshed day loses all readings, the second its incidents, the third half of its readings."""
+    day = F.to_date("reading_datetime")
+    kept = rows.filter((day != F.lit(REFRESHED[0])) & ~((day == F.lit(REFRESHED[2])) & (F.hour("reading_datetime") < 12)))
+    if "incident_detected" in rows.columns:
+        calm = day == F.lit(REFRESHED[1])
+        kept = kept.withColumn("incident_detected", F.col("incident_detected") & ~calm)
+    return kept
+
+
+@query("job_air_refresh")
+def job_air_refresh(spark, sf_dir):
+    silver = frames.air(spark, sf_dir)
+    return refreshed(spark, jobs.AIR, silver, after_corrections(silver), REFRESHED)
+
+
+@query("job_traffic_refresh")
+def job_traffic_refresh(spark, sf_dir):
+    silver = frames.traffic(spark, sf_dir)
+    return refreshed(spark, jobs.TRAFFIC, silver, after_corrections(silver), REFRESHED)

@@ -9,6 +9,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbsight import schemas
 from curbsight.functions.common import moment
@@ -25,6 +26,7 @@ from curbsight.sources.tables import (
     read_air_bronze,
     read_parquet,
     register_table,
+    replace_folders,
     write_arranged,
     write_parquet,
 )
@@ -40,10 +42,11 @@ class GoldTable(NamedTuple):
 
 
 class Domain(NamedTuple):
-    """The sensor-hour rollup of a domain and its tables."""
+    """The sensor-hour rollup of a domain, its tables and the silver schema they are built from."""
 
     rollup: GoldTable
     tables: tuple[GoldTable, ...]
+    silver: T.StructType
 
 
 AIR = Domain(
@@ -56,6 +59,7 @@ AIR = Domain(
         GoldTable("air_quality_daily_by_sensor", air_gold.daily_by_sensor, from_rollup=True),
         GoldTable("air_quality_hourly_by_sensor", air_gold.hourly_by_sensor, from_rollup=True),
     ),
+    schemas.SILVER_AIR,
 )
 
 TRAFFIC = Domain(
@@ -67,6 +71,7 @@ TRAFFIC = Domain(
         GoldTable("traffic_congestion_trends", traffic_gold.congestion_trends),
         GoldTable("traffic_congestion_by_intersection", traffic_gold.quarter_hours_by_intersection),
     ),
+    schemas.SILVER_TRAFFIC,
 )
 
 
@@ -117,14 +122,13 @@ def build_gold(
 
     Without ``days`` every table is rebuilt and replaced as a whole, empty ones included, so no
     stale rows survive. With ``days`` only those days of silver are read and only their folders
-    replaced. Tables laid out by month need their whole months, which they take from the stored
-    rollup instead of silver.
+    replaced, also where nothing is left of a day, so a refresh leaves what a rebuild would. Tables
+    laid out by month need their whole months, which they take from the stored rollup instead of silver.
     """
-    if not has_rows(silver):
+    if days is None and not has_rows(silver):
         return []
     spark = silver.sparkSession
     wanted = None if days is None else list(days)
-    overwrite = "static" if wanted is None else "dynamic"
 
     def restricted(frame: DataFrame, layout: tuple[str, ...]) -> DataFrame:
         if wanted is None:
@@ -134,10 +138,15 @@ def build_gold(
     def store(table: GoldTable, source: DataFrame) -> str:
         rows = table.build(restricted(source, table.layout)).withColumn("processed_at", moment(run_at))
         path = f"{gold_path}/{table.name}"
-        write_parquet(rows, path, by=table.layout, overwrite=overwrite)
+        if wanted is None:
+            write_parquet(rows, path, by=table.layout)
+        else:
+            folders = {(None,) * len(table.layout) if d is None else (d.year, d.month, d.day)[: len(table.layout)]
+                       for d in wanted}
+            replace_folders(rows, path, table.layout, folders)
         return path
 
-    rollup = read_parquet(spark, store(domain.rollup, silver))
+    rollup = read_parquet(spark, store(domain.rollup, silver), gold_schema(spark, domain, domain.rollup))
     for table in domain.tables:
         store(table, rollup if table.from_rollup else silver)
     return [domain.rollup.name, *(table.name for table in domain.tables)]
@@ -153,13 +162,20 @@ def days_changed_since(table: DataFrame, last_run: dt.datetime) -> list[dt.date
     return [None if r.year is None else dt.date(r.year, r.month, r.day) for r in rows]
 
 
+def gold_schema(spark: SparkSession, domain: Domain, table: GoldTable) -> T.StructType:
+    """The columns of a gold table, whether or not it has rows."""
+    silver = spark.createDataFrame([], domain.silver)
+    source = domain.rollup.build(silver) if table.from_rollup else silver
+    return table.build(source).withColumn("processed_at", F.lit(None).cast("timestamp")).schema
+
+
 def register_gold(spark: SparkSession, database: str, gold_path: str, domain: Domain) -> list[str]:
     """Declare all tables of a domain in the catalog, so that they can be queried by name."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for table in (domain.rollup, *domain.tables):
         name, path = f"{database}.{table.name}", f"{gold_path}/{table.name}"
-        register_table(spark, name, path, read_parquet(spark, path).schema, by=table.layout)
+        register_table(spark, name, path, gold_schema(spark, domain, table), by=table.layout)
         names.append(name)
     return names
 
@@ -176,13 +192,25 @@ def whole_months(days: Iterable[dt.date | None]) -> list[dt.date | None]:
     return out
 
 
-def air_silver_to_gold(
-    spark: SparkSession, silver_path: str, gold_path: str, run_at: dt.datetime, days: Iterable[dt.date] | None = None
+def silver_to_gold(
+    spark: SparkSession,
+    domain: Domain,
+    silver_path: str,
+    gold_path: str,
+    run_at: dt.datetime,
+    days: Iterable[dt.date | None] | None = None,
+    database: str | None = None,
 ) -> list[str]:
-    return build_gold(read_parquet(spark, silver_path, schemas.SILVER_AIR), gold_path, AIR, run_at, days)
+    """Build the gold tables of a domain and, with a database, bring its catalog up to date."""
+    built = build_gold(read_parquet(spark, silver_path, domain.silver), gold_path, domain, run_at, days)
+    if built and database:
+        register_gold(spark, database, gold_path, domain)
+    return built
 
 
-def traffic_silver_to_gold(
-    spark: SparkSession, silver_path: str, gold_path: str, run_at: dt.datetime, days: Iterable[dt.date] | None = None
-) -> list[str]:
-    return build_gold(read_parquet(spark, silver_path, schemas.SILVER_TRAFFIC), gold_path, TRAFFIC, run_at, days)
+def air_silver_to_gold(spark: SparkSession, *args, **options) -> list[str]:
+    return silver_to_gold(spark, AIR, *args, **options)
+
+
+def traffic_silver_to_gold(spark: SparkSession, *args, **options) -> list[str]:
+    return silver_to_gold(spark, TRAFFIC, *args, **options)

@@ -131,6 +131,32 @@ def write_parquet(
     write_arranged(laid_out(frame, by), path, by, mode, overwrite)
 
 
+def replace_folders(
+    frame: DataFrame, path: str, by: Sequence[str], wanted: Iterable[tuple[int | None, ...]]
+) -> None:
+    """Replace the ``wanted`` folders of a table by ``frame``, also those that get no rows.
+
+    A dynamic overwrite leaves a folder alone if no row falls into it. Such a folder is overwritten with a file
+    without rows. The written folders are noted during the write; like the wanted ones they are
+    bounded by the calendar.
+    """
+    spark, written = frame.sparkSession, Observation()
+    parts = F.collect_set(F.struct(*(F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c) for c in by)))
+    write_arranged(laid_out(frame, by).observe(written, parts.alias("parts")), path, by, overwrite="dynamic")
+    filled = {tuple(p) for p in written.get["parts"]}
+    empty = spark.createDataFrame([], frame.drop(*by).schema)
+    for values in sorted({tuple(-1 if v is None else v for v in w) for w in wanted} - filled):
+        names = (f"{c}={'__HIVE_DEFAULT_PARTITION__' if v < 0 else v}" for c, v in zip(by, values))
+        folder = "/".join([path, *names])
+        if folder_exists(spark, folder):
+            empty.write.mode("overwrite").parquet(folder)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def write_unless_empty(frame: DataFrame, path: str, by: Sequence[str] = DAILY) -> bool:
     """Conditional write: an empty result leaves the table as it is."""
     if not has_rows(frame):
@@ -145,13 +171,20 @@ def write_unless_empty(frame: DataFrame, path: str, by: Sequence[str] = DAILY) -
 def register_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType, by: Sequence[str] = DAILY
 ) -> None:
-    """Declare a Parquet folder as a table with a known schema and pick up its partitions."""
+    """Declare a Parquet folder as a table with a known schema, with exactly the partitions that it has now.
+
+    A table that was declared with other columns is declared anew; its files stay.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    declared = {f.name: f.dataType.simpleString() for f in schema.fields}
+    if spark.catalog.tableExists(name):
+        if {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields} != declared:
+            spark.sql(f"DROP TABLE {name}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(by)}) LOCATION '{path}'"
     )
-    spark.catalog.recoverPartitions(name)
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def refresh_days(spark: SparkSession, name: str, frame: DataFrame, days: Iterable[dt.date]) -> None:

@@ -880,6 +880,12 @@ SELECT sensor_id, reading_datetime, event_name AS event_id, {rs("latitude", "lon
        signal_strength_dbm, firmware_version, data_source, ingestion_type, year, month, day, hour
 FROM traffic""")
 
+define("st_traffic_rejected", TRAFFIC, """
+SELECT event_name AS record_id,
+       CASE event_id % 40 WHEN 0 THEN 'avg_speed_mph' WHEN 1 THEN 'time' ELSE 'congestion_level' END AS reason
+FROM traffic WHERE event_id % 40 < 3
+UNION ALL SELECT NULL, 'not a JSON record'""")
+
 define("st_dedup", TRAFFIC, "SELECT event_name AS event_id, sensor_id, reading_datetime FROM traffic")
 
 define("st_enrich", TRAFFIC, f"""

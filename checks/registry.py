@@ -15,7 +15,7 @@ from checks.frames import AS_OF, LONG_AS_OF, RUN_AT
 from curbsight import schemas
 from curbsight.functions import air as air_index
 from curbsight.functions import traffic as classify
-from curbsight.functions.common import months_back, rounded, week_start
+from curbsight.functions.common import moment, months_back, rounded, week_start
 from curbsight.functions.documents import decode_documents
 from curbsight.operators import air_gold, changes, quality, traffic_gold
 from curbsight.plans import air_reports, documented, jobs, traffic_reports
@@ -678,12 +678,14 @@ def stream_arrivals(spark, sf_dir, run, *, closing: bool = False, held_back: boo
     silver = frames.traffic(spark, sf_dir)
     parts = arrivals(silver, held_back=held_back)
     if closing:
-        # One reading far in the future closes every window before it.
-        closer = silver.agg(*(F.max(c).alias(c) for c in silver.columns)).withColumns({
-            "reading_datetime": F.lit("2100-01-01 00:00:00").cast("timestamp"),
-            "event_id": F.lit("closing"),
-        })
-        parts.append(closer.select(*silver.columns))
+        # One reading after all others closes every window before it. One with a broken clock comes first.
+        one = silver.agg(*(F.max(c).alias(c) for c in silver.columns))
+
+        def dated(when: dt.datetime, event: str) -> DataFrame:
+            return one.withColumns({"reading_datetime": moment(when), "event_id": F.lit(event)}).select(*silver.columns)
+
+        parts.append(dated(RUN_AT + dt.timedelta(minutes=30), "closing"))
+        parts[0] = parts[0].unionByName(dated(dt.datetime(2099, 1, 1), "future"))
     for part in parts:
         frames.traffic_records(part).write.mode("append").option("compression", "gzip").json(f"{base}/landing")
         with state_per_core(spark):
@@ -729,7 +731,25 @@ def st_congestion_15m(spark, sf_dir):
     def run(landing, to, checkpoint):
         return stream.run_congestion(spark, landing, to, checkpoint, RUN_AT)
 
-    return tables.read_parquet(spark, stream_arrivals(spark, sf_dir, run, closing=True)).filter("year < 2100")
+    closed = tables.read_parquet(spark, stream_arrivals(spark, sf_dir, run, closing=True))
+    return closed.filter(F.col("time_window_start") < moment(RUN_AT))
+
+
+@query("st_traffic_rejected")
+def st_traffic_rejected(spark, sf_dir):
+    """Three kinds of bad readings and a line that is no record, as the stream leaves them with their reasons."""
+    base = scratch_dir(spark, "rejected")
+    kind = F.regexp_extract("event_id", "[0-9]+", 0).cast("long") % 40
+    spoiled = frames.traffic(spark, sf_dir).withColumns({
+        "avg_speed_mph": F.when(kind == 0, F.lit(500.0)).otherwise(F.col("avg_speed_mph")),
+        "reading_datetime": F.when(kind == 1, moment(dt.datetime(2099, 1, 1))).otherwise(F.col("reading_datetime")),
+        "congestion_level": F.when(kind == 2, F.lit("jam")).otherwise(F.col("congestion_level")),
+    })
+    frames.traffic_records(spoiled).write.json(f"{base}/landing")
+    spark.createDataFrame([("{broken",)], "line string").write.mode("append").text(f"{base}/landing")
+    stream.run_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/progress", RUN_AT,
+                      rejected_path=f"{base}/rejected").awaitTermination()
+    return tables.read_parquet(spark, f"{base}/rejected").select("record_id", "reason")
 
 
 @query("st_incremental_bronze")

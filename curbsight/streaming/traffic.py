@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,17 @@ from curbsight import schemas
 from curbsight.functions.common import calendar, processing_time
 from curbsight.functions.places import intersection_dimension
 from curbsight.operators.changes import latest_per_key, lenient
-from curbsight.operators.quality import accepted, documented_traffic_rules
+from curbsight.operators.quality import accepted, documented_traffic_rules, quarantine
 from curbsight.operators.traffic_gold import congestion_trends
-from curbsight.sources.tables import HOURLY, only_days, read_parquet, stream_jsonl, write_parquet
+from curbsight.sources.tables import (
+    DAILY,
+    HOURLY,
+    broken_lines,
+    only_days,
+    read_parquet,
+    stream_jsonl,
+    write_parquet,
+)
 from curbsight.streaming.staging import discard, exists, stage, staged_days, started
 
 READING = "reading_datetime"
@@ -22,6 +31,11 @@ READING = "reading_datetime"
 # Twice the time the landing zone buffers a record (300 s).
 LATENESS = "10 minutes"
 
+# How far a reading's time may lie ahead of its arrival. A clock beyond that is wrong, and one such time would move
+# the watermark past all other readings.
+AHEAD = "1 hour"
+EARLIEST = "2000-01-01"
+
 
 def broker_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """The landed records from a broker, keyed by sensor. Needs the Kafka connector on the class path."""
@@ -76,14 +90,31 @@ def project_traffic(bronze: DataFrame, run_at: dt.datetime | None) -> DataFrame:
     return flat.withColumns(calendar(READING, hour=True)).select(*schemas.SILVER_TRAFFIC.names)
 
 
-def cleansed(silver: DataFrame) -> DataFrame:
-    """Rows with an identity and a time whose measurements lie in their ranges."""
-    rules: dict[str, Column] = {
+def traffic_rules(ahead: str = AHEAD) -> dict[str, Column]:
+    """An identity, a time that a working clock can have, and measurements in their ranges."""
+    arrived = F.col("silver_processed_at")
+    return {
         "identity": F.col("sensor_id").isNotNull() & F.col("event_id").isNotNull(),
-        "time": F.col(READING).isNotNull(),
+        "time": (F.col(READING) >= F.lit(EARLIEST).cast("timestamp"))
+        & (F.col(READING) <= arrived + F.expr(f"INTERVAL {ahead}")),
         **documented_traffic_rules(),
     }
-    return accepted(silver, rules)
+
+
+def cleansed(silver: DataFrame, ahead: str = AHEAD) -> DataFrame:
+    return accepted(silver, traffic_rules(ahead))
+
+
+def rejected(landed: DataFrame, run_at: dt.datetime | None, ahead: str = AHEAD) -> DataFrame:
+    """What ``cleansed`` leaves out, and lines that are no record: id, the record as text, the reasons."""
+    readable = landed.filter(F.col(schemas.CORRUPT).isNull())
+    rows = quarantine(project_traffic(readable, run_at), traffic_rules(ahead))
+    columns = [c for c in rows.columns if c != "failed_rules"]
+    return rows.select(
+        F.col("event_id").alias("record_id"),
+        F.to_json(F.struct(*columns)).alias("record"),
+        F.array_join("failed_rules", ", ").alias("reason"),
+    ).unionByName(broken_lines(landed))
 
 
 def deduplicated(silver: DataFrame, lateness: str = LATENESS, lanes: int = 32) -> DataFrame:
@@ -140,24 +171,34 @@ def run_silver(
     progress_path: str,
     run_at: dt.datetime | None,
     *,
+    rejected_path: str | None = None,
     every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Landing zone to silver traffic: cleanse, enrich, deduplicate, append by hour."""
+    """Landing zone to silver traffic: cleanse, enrich, deduplicate, append by hour.
+
+    With ``rejected_path`` what is left out is written there, one folder per batch; a batch that is run again
+    replaces its folder.
+    """
     landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
-    rows = located(cleansed(project_traffic(landed, run_at)))
 
     def append(batch: DataFrame, number: int) -> None:
-        append_new(batch, silver_path, f"{progress_path}/staged/batch-{number}")
+        rows = located(cleansed(project_traffic(batch, run_at)))
+        append_new(rows, silver_path, f"{progress_path}/staged/batch-{number}")
+        if rejected_path:
+            rejected(batch, run_at).write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
         # The batch before this one is committed, so its staged rows are of no more use.
         discard(spark, f"{progress_path}/staged/batch-{number - 1}")
 
-    return started(rows.writeStream.foreachBatch(append), f"{progress_path}/checkpoint", every)
+    return started(landed.writeStream.foreachBatch(append), f"{progress_path}/checkpoint", every)
 
 
-def start_parquet(frame: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def start_parquet(
+    frame: DataFrame, path: str, checkpoint: str, every: str | None = None, by: Sequence[str] = ()
+) -> StreamingQuery:
     """Append a stream to a Parquet table, exactly once."""
-    return started(frame.writeStream.format("parquet").option("path", path), checkpoint, every)
+    writer = frame.writeStream.format("parquet").option("path", path)
+    return started(writer.partitionBy(*by) if by else writer, checkpoint, every)
 
 
 def run_congestion(
@@ -167,14 +208,17 @@ def run_congestion(
     checkpoint: str,
     run_at: dt.datetime | None,
     *,
+    lateness: str = LATENESS,
+    ahead: str = AHEAD,
     every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Landing zone to closed 15-minute windows.
+    """Landing zone to closed 15-minute windows, in folders by day like the table of the gold job.
 
     A window is written once the watermark has passed its end. Readings that come later than that
-    are in silver all the same, and in the table the gold job builds from it.
+    are in silver all the same, and in the table the gold job builds from it. Readings from the future
+    are left out before the watermark sees them.
     """
     landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
-    rows = deduplicated(cleansed(project_traffic(landed, run_at)))
-    return start_parquet(congestion_trends(rows), path, checkpoint, every)
+    rows = deduplicated(cleansed(project_traffic(landed, run_at), ahead), lateness)
+    return start_parquet(congestion_trends(rows), path, checkpoint, every, by=DAILY)

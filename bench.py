@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from checks.registry import BUILDS  # noqa: E402
 from curbsight.session import local_session  # noqa: E402
 
-HEADLINE = ("gold_", "aq_q", "tr_q", "silver_air_valid", "cdc_dedup_latest", "st_incremental", "job_air")
+HEADLINE = ("gold_", "aq_q", "tr_q", "saved_", "silver_air_valid", "cdc_dedup_latest", "st_incremental", "job_air")
 WRITING = ("rt_", "st_", "job_", "src_jsonl", "src_parquet_table", "cdc_decode", "cdc_flatten")
 
 

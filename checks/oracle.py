@@ -923,7 +923,21 @@ define("job_traffic_refresh", f"{TRAFFIC}, corrected AS (SELECT * FROM traffic W
         "traffic_daily_summary": "road_type, city",
         "traffic_congestion_trends": "quarter, road_type, city",
         "traffic_congestion_by_intersection": "quarter, intersection, road_type, city",
+        "traffic_hourly_congestion": "hour, intersection, city, road_type",
     }) + """
 UNION ALL
 SELECT 'traffic_incidents' AS table_name, year, month, day, count(*) AS n_rows FROM corrected
 WHERE incident_detected AND NOT (year = 2024 AND month = 1 AND day = 11) GROUP BY year, month, day""")
+
+
+# --- saved reports over stored tables: the results of the same reports straight from readings ----
+
+SAVED = {
+    "weekly_trend": "aq_q1", "today_by_sensor": "aq_q2", "most_polluted_zones": "aq_q3",
+    "devices_needing_attention": "aq_q4", "week_over_week": "aq_q5", "weather_and_aqi": "aq_q7",
+    "missing_sensor_days": "aq_q8", "worst_hours": "doc_q1", "congested_hours": "doc_q2", "air_with_traffic": "doc_q3",
+    "today_by_intersection": "tr_q2", "rush_hours": "tr_q4", "incident_profile": "tr_q5",
+    "congested_quarter_hours": "tr_q6", "dangerous_intersections": "tr_q8", "flow_efficiency": "tr_q9",
+}
+for _name, _direct in SAVED.items():
+    ORACLE[f"saved_{_name}"] = ORACLE[_direct]

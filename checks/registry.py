@@ -18,7 +18,7 @@ from curbsight.functions import traffic as classify
 from curbsight.functions.common import moment, months_back, rounded, week_start
 from curbsight.functions.documents import decode_documents
 from curbsight.operators import air_gold, changes, quality, traffic_gold
-from curbsight.plans import air_reports, documented, jobs, traffic_reports
+from curbsight.plans import air_reports, documented, jobs, saved, traffic_reports
 from curbsight.session import scratch_dir
 from curbsight.sources import tables
 from curbsight.streaming import air_changes
@@ -824,3 +824,48 @@ def job_air_refresh(spark, sf_dir):
 def job_traffic_refresh(spark, sf_dir):
     silver = frames.traffic(spark, sf_dir)
     return refreshed(spark, jobs.TRAFFIC, silver, after_corrections(silver), REFRESHED)
+
+
+# --- saved reports by name ------------------------------------------------------------------
+
+_DATABASES: dict[tuple[str, str], str] = {}
+
+
+def gold_database(spark: SparkSession, sf_dir: str) -> str:
+    """Gold tables of both domains in the catalog, built once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DATABASES:
+        base = scratch_dir(spark, "saved")
+        name = f"saved_gold_{len(_DATABASES)}"
+        candidates = frames.air_candidates(spark, sf_dir)
+        for silver, domain in ((quality.accepted(candidates, quality.air_rules()), jobs.AIR),
+                               (frames.traffic(spark, sf_dir), jobs.TRAFFIC)):
+            jobs.build_gold(silver, f"{base}/bad", domain, RUN_AT)
+            jobs.register_gold(spark, f"{name}_bad", f"{base}/bad", domain)
+        jobs.build_gold(frames.air(spark, sf_dir), f"{base}/all", jobs.AIR, RUN_AT)
+        jobs.register_gold(spark, name, f"{base}/all", jobs.AIR)
+        jobs.register_gold(spark, name, f"{base}/bad", jobs.TRAFFIC)
+        jobs.store_quality(candidates, f"{base}/bad", RUN_AT, f"{name}_bad")
+        _DATABASES[key] = name
+    return _DATABASES[key]
+
+
+SAVED = (
+    "weekly_trend", "today_by_sensor", "most_polluted_zones", "devices_needing_attention", "week_over_week",
+    "weather_and_aqi", "missing_sensor_days", "worst_hours", "congested_hours", "air_with_traffic",
+    "today_by_intersection", "rush_hours", "incident_profile", "congested_quarter_hours", "dangerous_intersections",
+    "flow_efficiency",
+)
+
+
+def saved_report(name: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database = gold_database(spark, sf_dir)
+        # Only the report on devices is about readings of which some break the rules.
+        return saved.run_report(spark, f"{database}_bad" if name == "devices_needing_attention" else database, name, AS_OF)
+
+    return build
+
+
+for _name in SAVED:
+    query(f"saved_{_name}")(saved_report(_name))

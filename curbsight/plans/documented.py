@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curbsight.functions import traffic as classify
 from curbsight.functions.air import index_category
-from curbsight.functions.common import on_or_after, percent, rounded
+from curbsight.functions.common import calendar, on_or_after, percent, rounded
 from curbsight.operators.quality import air_rules, all_hold, holds
 from curbsight.operators.traffic_gold import WINDOW_MINUTES
 
@@ -98,6 +98,16 @@ def quality_scores(candidates: DataFrame) -> DataFrame:
     )
 
 
+def quality_days(candidates: DataFrame) -> DataFrame:
+    """``quality_scores`` as a table by day."""
+    return quality_scores(candidates).withColumns(calendar("date"))
+
+
+def congestion_hours(silver: DataFrame) -> DataFrame:
+    """``hourly_congestion`` as a table by day."""
+    return hourly_congestion(silver).withColumns(calendar("hour_timestamp"))
+
+
 def with_quality(health: DataFrame, candidates: DataFrame) -> DataFrame:
     """Attach quality scores; both sides hold one row per sensor and day."""
     return health.join(quality_scores(candidates), ["date", "sensor_id"], "left")

@@ -16,6 +16,7 @@ from curbsight.functions.common import moment
 from curbsight.operators import air_gold, traffic_gold
 from curbsight.operators.changes import current_readings, silver_columns
 from curbsight.operators.quality import accepted, air_rules, quarantine, summary
+from curbsight.plans import documented
 from curbsight.sources.tables import (
     DAILY,
     MONTHLY,
@@ -70,11 +71,16 @@ TRAFFIC = Domain(
         GoldTable("traffic_incidents", traffic_gold.incidents),
         GoldTable("traffic_congestion_trends", traffic_gold.congestion_trends),
         GoldTable("traffic_congestion_by_intersection", traffic_gold.quarter_hours_by_intersection),
+        GoldTable("traffic_hourly_congestion", documented.congestion_hours),
     ),
     schemas.SILVER_TRAFFIC,
 )
 
 
+# Built from readings before the rules, so not from silver.
+SENSOR_QUALITY = GoldTable("sensor_quality_daily", documented.quality_days)
+
+
 def bronze_to_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, run_at: dt.datetime, *, apply_deletes: bool = False
 ) -> dict[str, int] | None:
@@ -162,6 +168,23 @@ def days_changed_since(table: DataFrame, last_run: dt.datetime) -> list[dt.date
     return [None if r.year is None else dt.date(r.year, r.month, r.day) for r in rows]
 
 
+def bronze_to_quality(
+    spark: SparkSession, bronze_path: str, gold_path: str, run_at: dt.datetime, database: str | None = None
+) -> None:
+    """The share of valid readings per sensor and day, from all current readings."""
+    store_quality(current_readings(read_air_bronze(spark, bronze_path), run_at), gold_path, run_at, database)
+
+
+def store_quality(candidates: DataFrame, gold_path: str, run_at: dt.datetime, database: str | None = None) -> None:
+    rows = SENSOR_QUALITY.build(candidates).withColumn("processed_at", moment(run_at))
+    path = f"{gold_path}/{SENSOR_QUALITY.name}"
+    write_parquet(rows, path, by=SENSOR_QUALITY.layout)
+    if database:
+        spark = candidates.sparkSession
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        register_table(spark, f"{database}.{SENSOR_QUALITY.name}", path, rows.schema, by=SENSOR_QUALITY.layout)
+
+
 def gold_schema(spark: SparkSession, domain: Domain, table: GoldTable) -> T.StructType:
     """The columns of a gold table, whether or not it has rows."""
     silver = spark.createDataFrame([], domain.silver)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbsight.plans import air_reports, traffic_reports
+from curbsight.plans import air_reports, documented, traffic_reports
 
 Tables = Callable[[str], DataFrame]
 
@@ -36,12 +36,21 @@ def _road_days(table: Tables) -> DataFrame:
     return table("traffic_daily_summary")
 
 
-# Reports need nothing but gold tables, except for the one on devices, whose quality score comes
-# from readings before the rules: see ``documented.with_quality``.
+def _devices(table: Tables) -> DataFrame:
+    """Sensor days with the quality score, which comes from readings before the rules and is a table of its own."""
+    scores = table("sensor_quality_daily").select("date", "sensor_id", "data_quality_score", "last_calibration_date")
+    return table("sensor_health_metrics").join(scores, ["date", "sensor_id"], "left")
+
+
 REPORTS: dict[str, Callable[[Tables, dt.datetime], DataFrame]] = {
     "weekly_trend": lambda t, at: air_reports.weekly_trend(_sensor_days(t), at.date()),
     "today_by_sensor": lambda t, at: air_reports.today_by_sensor(_sensor_hours(t), at.date()),
     "most_polluted_zones": lambda t, at: air_reports.most_polluted_zones(_sensor_hours(t), at),
+    "devices_needing_attention": lambda t, at: air_reports.devices_needing_attention(_devices(t), at.date()),
+    "congested_hours": lambda t, at: documented.congested_hours(t("traffic_hourly_congestion"), at),
+    "air_with_traffic": lambda t, at: documented.air_with_traffic(
+        t("air_quality_hourly_avg"), t("traffic_hourly_congestion"), at
+    ),
     "week_over_week": lambda t, at: air_reports.week_over_week(_sensor_days(t), at.date()),
     "monthly_summary": lambda t, at: air_reports.monthly_summary(_daily_index(t), at.date()),
     "weather_and_aqi": lambda t, at: air_reports.weather_and_aqi(_sensor_days(t), at.date()),

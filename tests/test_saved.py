@@ -18,6 +18,8 @@ DIRECT = {
     "weather_and_aqi": "aq_q7",
     "missing_sensor_days": "aq_q8",
     "worst_hours": "doc_q1",
+    "congested_hours": "doc_q2",
+    "air_with_traffic": "doc_q3",
     "today_by_intersection": "tr_q2",
     "rush_hours": "tr_q4",
     "incident_profile": "tr_q5",
@@ -33,6 +35,7 @@ def database(spark, tmp_path_factory):
     for silver, domain in ((frames.air(spark, SF), jobs.AIR), (frames.traffic(spark, SF), jobs.TRAFFIC)):
         jobs.build_gold(silver, base, domain, frames.RUN_AT)
         jobs.register_gold(spark, "saved_gold", base, domain)
+    jobs.store_quality(frames.air(spark, SF), base, frames.RUN_AT, "saved_gold")
     yield "saved_gold"
     spark.sql("DROP DATABASE saved_gold CASCADE")
 

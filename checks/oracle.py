@@ -226,6 +226,14 @@ SELECT event_id, sensor_id AS id, {rs("pm25")}, battery_level AS battery, batter
        zone || '|' || city AS tags, {r("battery_level + 2.5", "level_sum")}
 FROM air""")
 
+define("job_capture", AIR, """
+SELECT 'rec_' || CAST(event_id AS VARCHAR) AS record_id,
+       CASE WHEN battery_level % 7 = 0 THEN 'REMOVE' WHEN battery_level % 2 = 0 THEN 'MODIFY' ELSE 'INSERT' END AS outcome
+FROM air WHERE battery_level % 13 <> 0
+UNION ALL SELECT 'rec_odd', 'INSERT'
+UNION ALL SELECT NULL, 'not a JSON record'
+UNION ALL SELECT NULL, 'not a JSON record'""")
+
 define("cdc_flatten", AIR, f"""
 SELECT 'rec_' || CAST(event_id AS VARCHAR) AS cdc_event_id,
        CASE WHEN k % 7 = 0 THEN 'REMOVE' WHEN k % 2 = 0 THEN 'MODIFY' ELSE 'INSERT' END AS cdc_event_type,

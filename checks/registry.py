@@ -291,6 +291,22 @@ def cdc_flatten(spark, sf_dir):
     )
 
 
+@query("job_capture")
+def job_capture(spark, sf_dir):
+    """Change records with broken lines among them: what reaches bronze, and what is kept aside with its reason."""
+    base = scratch_dir(spark, "capture")
+    broken = spark.createDataFrame([("{\"eventID\": \"rec_x\", ",), ("no json",)], "value string")
+    odd = spark.createDataFrame([(
+        '{"eventID": "rec_odd", "eventName": "INSERT", "eventSource": "aws:dynamodb", '
+        '"dynamodb": {"SequenceNumber": "1", "SizeBytes": "many"}}',)], "value string")
+    typed_text(spark, sf_dir).unionByName(broken).unionByName(odd).write.text(f"{base}/landing")
+    jobs.capture_changes(spark, f"{base}/landing", f"{base}/bronze", f"{base}/failed", RUN_AT)
+    kept = tables.read_air_bronze(spark, f"{base}/bronze").select(
+        F.col("cdc_event_id").alias("record_id"), F.col("cdc_event_type").alias("outcome"))
+    failed = spark.read.schema("record_id string, record string, reason string").json(f"{base}/failed")
+    return kept.unionByName(failed.select("record_id", F.col("reason").alias("outcome")))
+
+
 @query("silver_air_project")
 def silver_air_project(spark, sf_dir):
     rows = changes.project_air(changes.upserts(frames.changes(spark, sf_dir, spoiled=True)), RUN_AT)

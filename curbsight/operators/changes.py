@@ -24,12 +24,13 @@ def flatten_changes(records: DataFrame, run_at: dt.datetime) -> DataFrame:
     """Change records of the feed as bronze envelopes, images decoded and key readings lifted.
 
     The event id of the record is kept as the envelope's id: a random id would change whenever a
-    lost task is run again.
+    lost task is run again. Records of other sources are none of this feed; lines that are no record are found
+    with ``broken_lines``.
     """
     feed = records.filter(F.col("eventSource") == FEED_SOURCE).select(
         "eventID", "eventName", "awsRegion", "eventSourceARN",
         F.col("dynamodb.SequenceNumber").alias("sequence"),
-        F.col("dynamodb.SizeBytes").alias("size"),
+        F.col("dynamodb.SizeBytes").try_cast("bigint").alias("size"),
         F.col("dynamodb.Keys").alias("keys"),
         F.col("dynamodb.OldImage").alias("old_image"),
         F.col("dynamodb.NewImage").alias("new_image"),

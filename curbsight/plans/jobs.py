@@ -14,17 +14,19 @@ from pyspark.sql import types as T
 from curbsight import schemas
 from curbsight.functions.common import moment
 from curbsight.operators import air_gold, traffic_gold
-from curbsight.operators.changes import current_readings, silver_columns
+from curbsight.operators.changes import current_readings, flatten_changes, silver_columns
 from curbsight.operators.quality import accepted, air_rules, quarantine, summary
 from curbsight.plans import documented
 from curbsight.sources.tables import (
     DAILY,
     MONTHLY,
+    append_jsonl,
     broken_lines,
     has_rows,
     laid_out,
     only_days,
     read_air_bronze,
+    read_change_records,
     read_parquet,
     register_table,
     replace_folders,
@@ -81,6 +83,15 @@ TRAFFIC = Domain(
 SENSOR_QUALITY = GoldTable("sensor_quality_daily", documented.quality_days)
 
 
+def capture_changes(
+    spark: SparkSession, landing_path: str, bronze_path: str, failed_path: str, run_at: dt.datetime
+) -> None:
+    """Change records to bronze envelopes by processing hour; what can't be read is kept with its reason."""
+    records = read_change_records(spark, landing_path)
+    append_jsonl(flatten_changes(records, run_at), bronze_path, run_at)
+    append_jsonl(broken_lines(records), failed_path, run_at)
+
+
 def bronze_to_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, run_at: dt.datetime, *, apply_deletes: bool = False
 ) -> dict[str, int] | None:

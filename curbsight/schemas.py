@@ -110,11 +110,13 @@ SILVER_TRAFFIC = struct(
     ("year month day hour", WHOLE),
 )
 
-# The envelope one change record arrives in; its typed documents stay text until they are decoded.
+# The envelope one change record arrives in; its typed documents stay text until they are decoded. The size is
+# text as well: a bad one must not make the whole record unreadable.
 CHANGE_RECORD = struct(
     ("eventID eventName eventSource awsRegion eventSourceARN", TEXT),
     (
         "dynamodb",
-        struct(("Keys OldImage NewImage SequenceNumber", TEXT), ("SizeBytes", BIG)),
+        struct(("Keys OldImage NewImage SequenceNumber SizeBytes", TEXT)),
     ),
+    (CORRUPT, TEXT),
 )

@@ -77,6 +77,21 @@ def only_days(table: DataFrame, days: Iterable[dt.date | None]) -> DataFrame:
     return table.filter(days_predicate(days))
 
 
+def only_hours(table: DataFrame, hours: Iterable[tuple[int | None, ...]]) -> DataFrame:
+    """Restrict a table laid out by hour to some hours (year, month, day, hour); only their folders are read."""
+    by_day: dict[tuple, list[int]] = {}
+    for *day, hour in hours:
+        by_day.setdefault(tuple(day), []).append(hour)
+    wanted = F.lit(False)
+    for (year, month, day), own in sorted(by_day.items(), key=str):
+        if year is None:
+            wanted = wanted | F.col("year").isNull()
+        else:
+            wanted = wanted | ((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
+                               & F.col("hour").isin(sorted(own)))
+    return table.filter(wanted)
+
+
 def has_rows(frame: DataFrame) -> bool:
     """Whether there is any input; stops at the first row instead of counting all."""
     return not frame.isEmpty()

@@ -45,6 +45,11 @@ def staged_days(staged: DataFrame) -> list[dt.date | None]:
     return [None if r.year is None else dt.date(r.year, r.month, r.day) for r in rows]
 
 
+def staged_hours(staged: DataFrame) -> list[tuple[int | None, ...]]:
+    """Hour folders a staged batch touches (year, month, day, hour); bounded by the calendar."""
+    return [tuple(r) for r in staged.select("year", "month", "day", "hour").distinct().collect()]
+
+
 def started(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
     """Start a stream: a batch per interval without end, or all that is there and then stop."""
     trigger = {"processingTime": every} if every else {"availableNow": True}

@@ -19,12 +19,12 @@ from curbsight.sources.tables import (
     DAILY,
     HOURLY,
     broken_lines,
-    only_days,
+    only_hours,
     read_parquet,
     stream_jsonl,
     write_parquet,
 )
-from curbsight.streaming.staging import discard, exists, stage, staged_days, started
+from curbsight.streaming.staging import discard, exists, stage, staged_hours, started
 
 READING = "reading_datetime"
 
@@ -148,19 +148,21 @@ def append_new(batch: DataFrame, silver_path: str, staged_path: str) -> None:
     """Append the events of a batch that silver does not hold yet, however late they are.
 
     Copies within the batch are cut to one per input task before they are shuffled. Events written
-    before are found in the folders of the days the batch touches, so nothing has to be remembered
-    between batches and no late event is given up. A batch that is run again after a crash finds
+    before are found in the folders of the hours the batch touches, so nothing has to be remembered
+    between batches and no late event is given up. Of these hours only the ids that the batch has as well
+    meet it, so a batch costs what it holds, not what its day holds. A batch that is run again after a crash finds
     what it has already written and adds only the rest.
     """
     spark = batch.sparkSession
     once = latest_per_key(batch, ("event_id",), [F.col(READING), F.col("sensor_id")])
     fresh = stage(once, staged_path, schemas.SILVER_TRAFFIC)
-    days = staged_days(fresh)
-    if not days:
+    hours = staged_hours(fresh)
+    if not hours:
         return
     if exists(spark, silver_path):
-        known = only_days(read_parquet(spark, silver_path, schemas.SILVER_TRAFFIC), days).select("event_id")
-        fresh = fresh.join(known, "event_id", "left_anti")
+        known = only_hours(read_parquet(spark, silver_path, schemas.SILVER_TRAFFIC), hours).select("event_id")
+        repeated = known.join(fresh.select("event_id"), "event_id", "left_semi")
+        fresh = fresh.join(repeated, "event_id", "left_anti")
     write_parquet(fresh, silver_path, by=HOURLY, mode="append")
 
 

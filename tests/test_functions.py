@@ -36,8 +36,8 @@ def test_pm25_index_never_falls(spark, readings):
 
 
 def test_pm10_index(spark):
-    assert values(spark, air.pm10_index, [0.0, 54.9, 55.0, 154.0, 604.0, 605.0, -1.0]) == [
-        0, 50, 51, 100, 500, None, None,
+    assert values(spark, air.pm10_index, [0.0, 54.9, 55.0, 154.0, 604.0, 605.0, 700.0, -1.0]) == [
+        0, 50, 51, 100, 500, 501, 596, None,
     ]
 
 

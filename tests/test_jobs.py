@@ -74,6 +74,50 @@ def test_refresh_of_some_days_equals_a_rebuild(spark, tmp_path):
         assert content(a) == content(b.select(*a.columns)), name
 
 
+def test_a_refresh_clears_days_that_lost_their_rows(spark, tmp_path):
+    """Incidents corrected away, a day without readings, silver without any row, a first run for some days."""
+    day = minutes(60 * 24 * 30).date()
+    calm = readings(spark).withColumn("incident_detected", F.lit(False))
+    gone = readings(spark).filter(F.to_date("reading_datetime") != F.lit(day))
+    for number, (after, left) in enumerate(((calm, 3), (gone, 2), (readings(spark).limit(0), 2))):
+        part, full = str(tmp_path / f"part{number}"), str(tmp_path / f"full{number}")
+        jobs.build_gold(readings(spark), part, jobs.TRAFFIC, RUN)
+        names = jobs.build_gold(after, part, jobs.TRAFFIC, RUN, days=[day])
+        assert len(names) == 1 + len(jobs.TRAFFIC.tables)
+        jobs.build_gold(gone if number == 2 else after, full, jobs.TRAFFIC, RUN)
+        for table in (jobs.TRAFFIC.rollup, *jobs.TRAFFIC.tables):
+            schema = jobs.gold_schema(spark, jobs.TRAFFIC, table)
+            a, b = (tables.read_parquet(spark, f"{p}/{table.name}", schema) for p in (full, part))
+            assert content(a) == content(b), table.name
+        assert spark.read.parquet(f"{part}/traffic_daily_summary").count() == left
+    first = str(tmp_path / "first")
+    assert jobs.build_gold(readings(spark), first, jobs.TRAFFIC, RUN, days=[day])
+    assert spark.read.parquet(f"{first}/traffic_daily_summary").count() == 1
+
+
+def test_catalog_follows_the_folders(spark, tmp_path):
+    """A city without incidents, a refreshed day, a rebuild with fewer days and another schema."""
+    gold = str(tmp_path / "gold")
+    calm = readings(spark).withColumn("incident_detected", F.lit(False))
+    jobs.build_gold(calm, gold, jobs.TRAFFIC, RUN)
+    names = jobs.register_gold(spark, "kept_gold", gold, jobs.TRAFFIC)
+    assert spark.table("kept_gold.traffic_incidents").count() == 0
+    jobs.build_gold(readings(spark), gold, jobs.TRAFFIC, RUN, days=[minutes(60 * 24 * 30).date()])
+    jobs.register_gold(spark, "kept_gold", gold, jobs.TRAFFIC)
+    assert spark.table("kept_gold.traffic_incidents").count() == 1
+    jobs.build_gold(calm.limit(1), gold, jobs.TRAFFIC, RUN)
+    jobs.register_gold(spark, "kept_gold", gold, jobs.TRAFFIC)
+    hours = spark.sql("SHOW PARTITIONS kept_gold.traffic_hourly_by_intersection")
+    assert hours.count() == 1 and spark.table("kept_gold.traffic_incidents").count() == 0
+    spark.sql("DROP TABLE kept_gold.traffic_incidents")
+    spark.sql(f"CREATE TABLE kept_gold.traffic_incidents (old int, year int) USING parquet PARTITIONED BY (year) "
+              f"LOCATION '{gold}/traffic_incidents'")
+    jobs.register_gold(spark, "kept_gold", gold, jobs.TRAFFIC)
+    assert "incident_severity" in spark.table("kept_gold.traffic_incidents").columns
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_gold_tables_can_be_queried_by_name(spark, tmp_path):
     gold = str(tmp_path / "gold")
     jobs.build_gold(readings(spark), gold, jobs.TRAFFIC, RUN)

@@ -59,6 +59,16 @@ def test_traffic_stream(spark, tmp_path):
     assert run_traffic(spark, tmp_path).count() == 6
 
 
+def test_rejects_are_kept_and_the_future_is_refused(spark, tmp_path):
+    land(tmp_path / "landing", reading("a", 0), reading("fast", 5, avg_speed_mph=200), reading("future", 60 * 24 * 9000))
+    paths = [str(tmp_path / name) for name in ("landing", "silver", "progress")]
+    stream.run_silver(spark, *paths, RUN, rejected_path=str(tmp_path / "rejected")).awaitTermination()
+    silver = tables.read_parquet(spark, paths[1], schemas.SILVER_TRAFFIC)
+    assert {r.event_id for r in silver.collect()} == {"a"}
+    rejected = {r.record_id: r.reason for r in spark.read.parquet(str(tmp_path / "rejected")).collect()}
+    assert rejected == {"fast": "avg_speed_mph", "future": "time"}
+
+
 def test_an_endless_stream_stamps_its_batches(spark, tmp_path):
     land(tmp_path / "landing", reading("a", 0))
     paths = [str(tmp_path / name) for name in ("landing", "silver", "progress")]

@@ -83,7 +83,8 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the Python workers, which need not see the driver's folders."""
+    """Send the package to the Python workers, which need not see the driver's folders; hand them small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

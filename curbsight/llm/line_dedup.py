@@ -3,11 +3,12 @@
 A copied passage seldom keeps its place in the lines of a text, so the text is wrapped anew at every word: the line
 at a word is the ``LINE_WORDS`` words from there on. Of every window of ``WINDOW`` neighbouring lines the one with the
 smallest hash is a fingerprint. Any run that two texts share is bound to share a fingerprint from
-``WINDOW + LINE_WORDS - 1`` words on, which is below ``RUN_WORDS``.
+``WINDOW + LINE_WORDS - 1`` words on, which is below ``RUN_WORDS``. (A stretch that only repeats itself, with a period
+shorter than a window, has one fingerprint. Its copies in other texts are found by that.)
 
 1. Positions of equal fingerprints are joined to the first one (many to one, so a passage in n texts gives n rows).
-2. Matches of two texts on one diagonal become stretches. The words of the earlier text around a stretch are
-   fetched in pages, and the match is extended word by word in both directions.
+2. The words of the earlier text around a match are fetched in pages, and the match is extended word by word in both
+   directions, from page to page of the same diagonal.
    A text that holds the passage later, with a word or two more in common, is not compared.
 3. Equal runs of at least ``RUN_WORDS`` words are cut from the later text.
 
@@ -28,24 +29,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbsight.llm.common import Emitter, KeyFilter, mix, stored, values
+from curbsight.llm.common import KeyFilter, mix, stored, values
 
 LINE_WORDS = 16
 WINDOW = 32
 RUN_WORDS = 50
-#: Words of the earlier text that are compared beyond a stretch, on either side.
+#: Words of the earlier text that are compared beyond a matched line, on either side.
 REACH = 2 * WINDOW
-PAGE_WORDS = 128
+PAGE_WORDS = 64
+#: Pages that are compared at once, as far as they belong to different diagonals.
+PAGES_AT_ONCE = 2048
 
 _MULTIPLIER = 0x5851F42D4C957F2D
 _POWERS = [np.uint64(pow(_MULTIPLIER, n, 1 << 64)) for n in (1, 2, 4, 8)]
-_POSTING = "doc_id long, key long, pos int, print long"
+_POSTING = "doc_id long, key long, pos int, back int, period int, print long"
 _BLANK = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
     words = raw.split()
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+    return np.maximum(np.fromiter(map(zlib.crc32, words), np.uint32, len(words)), 1)  # 0: no word
 
 
 def line_hashes(words: np.ndarray) -> np.ndarray:
@@ -59,20 +62,30 @@ def line_hashes(words: np.ndarray) -> np.ndarray:
     return mix(lines)
 
 
-def winnow(lines: np.ndarray) -> np.ndarray:
-    """Positions of the smallest hash of each window, the last one of equal ones."""
-    if len(lines) < WINDOW:
-        return np.zeros(0, np.int64)
-    backward = np.ascontiguousarray(lines[::-1])
-    smallest = np.lib.stride_tricks.sliding_window_view(backward, WINDOW).argmin(1) + np.arange(len(lines) - WINDOW + 1)
-    return len(lines) - 1 - np.unique(smallest)[::-1]
-
+def winnow(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the smallest hash of each window; how far back the same line repeats itself, and after how many words.
 
-def equal_runs(mine: np.ndarray, other: np.ndarray, shortest: int) -> list[tuple[int, int]]:
-    same = np.concatenate([[0], mine == other, [0]]).astype(np.int8)
-    edge = np.diff(same)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return [(int(s), int(e)) for s, e in zip(starts, ends) if e - s >= shortest]
+    Where the same line comes again within a window, the text repeats itself there. Of such a chain only the last line
+    is taken, or a word that stands a thousand times in a row would match itself at as many distances.
+    """
+    if len(lines) < WINDOW:
+        return (np.zeros(0, np.int64),) * 3
+    least = lines
+    size = 1
+    while size < WINDOW:  # the smallest of each window, by doubling
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    # A line is the smallest of some window if the largest of the minima around it is its own hash.
+    around = np.concatenate([np.zeros(WINDOW - 1, lines.dtype), least, np.zeros(WINDOW - 1, lines.dtype)])
+    size = 1
+    while size < WINDOW:
+        around = np.maximum(around[:-size], around[size:])
+        size *= 2
+    chosen = np.flatnonzero(around == lines)
+    again = (lines[chosen[:-1]] == lines[chosen[1:]]) & (np.diff(chosen) < WINDOW)
+    last, first = np.append(~again, True), np.append(True, ~again)
+    before = np.diff(chosen, prepend=chosen[0]) * np.append(False, again)
+    return chosen[last], chosen[last] - chosen[first], before[last]
 
 
 def cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -106,96 +119,112 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def postings(docs: DataFrame) -> DataFrame:
     """The fingerprints of all texts with their places."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("print", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("back", pa.int32()),
+                        ("period", pa.int32()), ("print", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list[tuple] = []
             for doc_id, key, text in zip(*(values(batch, c) for c in ("_id", "_key", "text"))):
                 lines = line_hashes(word_hashes(text.encode())) if text else np.zeros(0, np.uint64)
-                found = winnow(lines)
+                found, *chain = winnow(lines)
                 if len(found):
-                    parts.append((doc_id, key, found.astype(np.int32), lines[found].view(np.int64)))
+                    parts.append((doc_id, key, *(x.astype(np.int32) for x in (found, *chain)),
+                                  lines[found].view(np.int64)))
             if parts:
                 sizes = [len(p[2]) for p in parts]
                 which = np.repeat(np.arange(len(parts)), sizes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p[0] for p in parts], pa.int64()).take(pa.array(which)),
                      pa.array(np.repeat(np.array([p[1] for p in parts], np.int64), sizes)),
-                     pa.array(np.concatenate([p[2] for p in parts])),
-                     pa.array(np.concatenate([p[3] for p in parts]))], schema=schema)
+                     *(pa.array(np.concatenate([p[i] for p in parts])) for i in range(2, 6))], schema=schema)
 
     return docs.select("_id", "_key", "text").mapInArrow(run, _POSTING)
 
 
-def stretches(found: DataFrame) -> DataFrame:
-    """Matched stretches: key, first and last line, the earlier text (other) and the distance to it (shift)."""
+def matches(found: DataFrame) -> DataFrame:
+    """Lines that occurred before: key and pos, the first text that has them (other) and how far away (shift).
+
+    A line that repeats itself is matched with its own last occurrence, one period before.
+    """
     spark = found.sparkSession
     place = F.struct("doc_id", "key", "pos")
     firsts = stored(
         found.groupBy("print").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         .selectExpr("print", "first.key as other", "first.pos as other_pos"), "first-places")
     repeated = KeyFilter.of(firsts.select("print")).column(spark)
-    matches = found.where(repeated("print")).join(firsts, "print") \
-        .where("key != other or pos != other_pos") \
-        .selectExpr("key", "other", "pos - other_pos as shift", "pos")
-    # Each line is in at most one match, so the matches of one key are bounded by its own text.
-    step = matches.selectExpr(
-        "*", "coalesce(pos - lag(pos) over (partition by key, other, shift order by pos), 1000000) as gap")
-    numbered = step.selectExpr("*", f"sum(if(gap > {2 * REACH}, 1, 0)) over "
-                                    "(partition by key, other, shift order by pos) as stretch")
-    return numbered.groupBy("key", "other", "shift", "stretch").agg(
-        F.min("pos").alias("first"), F.max("pos").alias("last")).drop("stretch")
+    earlier = found.where(repeated("print")).join(firsts, "print").where("key != other or pos != other_pos") \
+        .selectExpr("key", "other", "pos - other_pos as shift", "pos", "back")
+    itself = found.where("period > 0").selectExpr("key", "key as other", "period as shift", "pos", "back")
+    return earlier.unionByName(itself)
 
 
 def pages_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The word hashes of the wanted pages (key, pages) of texts."""
-    schema = pa.schema([("other", pa.int64()), ("page", pa.int32()), ("hashes", pa.binary())])
-
+    """The word hashes of the wanted pages (other, pages) of texts; the last page is filled up with zeros."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Emitter(schema)
         for batch in batches:
-            for key, text, pages in zip(*(values(batch, c) for c in ("_key", "text", "pages"))):
+            parts = []
+            for text, pages in zip(values(batch, "text"), values(batch, "pages")):
                 words = word_hashes(text.encode())
-                for page in pages:
-                    part = words[page * PAGE_WORDS:(page + 1) * PAGE_WORDS].tobytes()
-                    out.add((key, page, part), len(part))
-                yield from out.ready()
-        yield from out.rest()
-
-    texts = docs.select("_key", "text").dropDuplicates(["_key"])
-    return texts.join(wanted.withColumnRenamed("key", "_key"), "_key").mapInArrow(
+                at = np.array(pages, np.int64)
+                at = at[at * PAGE_WORDS < len(words)]
+                full = np.concatenate([words, np.zeros(-len(words) % PAGE_WORDS, np.uint32)])
+                parts.append((at, full.reshape(-1, PAGE_WORDS)[at]))
+            if parts:
+                n = [len(p[0]) for p in parts]
+                data = np.concatenate([p[1] for p in parts])
+                offsets = np.arange(sum(n) + 1, dtype=np.int32) * 4 * PAGE_WORDS
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(batch.column(0).to_numpy(), n)),
+                    pa.array(np.concatenate([p[0] for p in parts]).astype(np.int32)),
+                    pa.BinaryArray.from_buffers(pa.binary(), sum(n), [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
+                ], ["other", "page", "hashes"])
+
+    texts = docs.select(F.col("_key").alias("other"), "text").dropDuplicates(["other"])
+    return texts.join(wanted, "other").select("other", "text", "pages").mapInArrow(
         run, "other long, page int, hashes binary")
 
 
-def repeated_spans(text: str, parts: list[dict]) -> list[tuple[int, int]]:
-    """Words of a text that repeat an earlier one, from the pages that were fetched for it."""
-    words = word_hashes(text.encode())
-    spans: list[tuple[int, int]] = []
-    chains: dict[tuple, list[dict]] = {}
-    for part in sorted(parts, key=lambda p: (p["other"], p["shift"], p["page"])):
-        chain = chains.setdefault((part["other"], part["shift"]), [])
-        if not chain or chain[-1]["page"] != part["page"]:
-            chain.append(part)
-    for (_, shift), chain in chains.items():
-        begin = 0
-        for i in range(1, len(chain) + 1):
-            if i < len(chain) and chain[i]["page"] == chain[i - 1]["page"] + 1:
-                continue
-            theirs = np.frombuffer(b"".join(p["hashes"] for p in chain[begin:i]), np.uint32)
-            at = chain[begin]["page"] * PAGE_WORDS + shift
-            skip = max(0, -at)
-            mine = words[max(0, at):at + len(theirs)]
-            spans += [(s + max(0, at), e + max(0, at))
-                      for s, e in equal_runs(mine, theirs[skip:skip + len(mine)], RUN_WORDS)]
-            begin = i
-    united: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if united and start <= united[-1][1]:
-            united[-1] = (united[-1][0], max(end, united[-1][1]))
-        else:
-            united.append((start, end))
-    return united
+def repeated_spans(words: np.ndarray, other: np.ndarray, shift: np.ndarray, page: np.ndarray,
+                   hashes: np.ndarray) -> list[tuple[int, int]]:
+    """Words that repeat an earlier text, from the pages that were fetched for this one (one row of hashes each).
+
+    Pages that follow each other on a diagonal are compared as one stretch.
+    """
+    order = np.lexsort((page, shift, other))
+    other, shift, page = other[order], shift[order], page[order]
+    marks = np.zeros(len(words) + 1, np.int64)
+    diagonal = np.concatenate([[True], (other[1:] != other[:-1]) | (shift[1:] != shift[:-1])])
+    begin = 0
+    for end in [*np.flatnonzero(diagonal)[1:].tolist(), len(order)]:
+        if end - begin >= PAGES_AT_ONCE or end == len(order):
+            part = slice(begin, end)
+            _mark(marks, words, other[part], shift[part], page[part], hashes[order[part]])
+            begin = end
+    hit = np.concatenate([[0], np.cumsum(marks[:-1]) > 0, [0]]).astype(np.int8)
+    edge = np.diff(hit)
+    return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
+
+
+def _mark(marks: np.ndarray, words: np.ndarray, other: np.ndarray, shift: np.ndarray, page: np.ndarray,
+          hashes: np.ndarray) -> None:
+    """Mark where repeated runs begin and end; the pages are those of whole diagonals, in order."""
+    at = page[:, None] * PAGE_WORDS + shift[:, None] + np.arange(PAGE_WORDS)
+    inside = (at >= 0) & (at < len(words))
+    same = inside & (words[np.clip(at, 0, len(words) - 1)] == hashes)
+    follows = (other[1:] == other[:-1]) & (shift[1:] == shift[:-1]) & (page[1:] == page[:-1] + 1)
+    # One line of all pages, with a gap where a new stretch begins.
+    gaps = np.concatenate([[1], ~follows]).astype(np.int64)
+    slot = np.arange(same.size).reshape(same.shape) + np.cumsum(gaps)[:, None]
+    line = np.zeros(same.size + int(gaps.sum()) + 1, np.int8)
+    line[slot] = same
+    edge = np.diff(line)
+    starts, ends = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
+    long = ends - starts >= RUN_WORDS
+    place = np.zeros(len(line), np.int64)
+    place[slot] = at
+    np.add.at(marks, place[starts[long]], 1)
+    np.add.at(marks, place[starts[long]] + (ends - starts)[long], -1)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -203,16 +232,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = keyed(docs)
     found = stored(postings(rows), "postings")
-    matched = stored(stretches(found), "stretches").selectExpr(
-        "key", "other", "shift",
-        f"greatest(first - shift - {REACH}, 0) div {PAGE_WORDS} as from_page",
-        f"(last - shift + {LINE_WORDS + REACH}) div {PAGE_WORDS} as to_page")
-    asked = matched.select("key", "other", "shift", F.explode(F.sequence("from_page", "to_page")).alias("page")) \
-        .select("key", "other", "shift", F.col("page").cast("int").alias("page"))
-    wanted = asked.select("other", "page").distinct().groupBy("other").agg(F.collect_list("page").alias("pages"))
-    sources = KeyFilter.of(matched.select("other")).column(spark)
-    pages = pages_of(rows.where(sources("_key") & F.col("text").isNotNull()),
-                     wanted.withColumnRenamed("other", "key"))
+    # Pages of the earlier text around each match; matches of one diagonal ask for the same pages.
+    first, last = f"greatest(pos - shift - back - {REACH}, 0)", f"pos - shift + {LINE_WORDS + REACH - 1}"
+    asked = stored(matches(found).selectExpr(
+        "key", "other", "shift", f"explode(sequence(cast({first} div {PAGE_WORDS} as int), "
+                                 f"cast(({last}) div {PAGE_WORDS} as int))) as page").distinct(), "asked-pages")
+    wanted = asked.groupBy("other").agg(F.collect_set("page").alias("pages"))
+    sources = KeyFilter.of(asked.select("other")).column(spark)
+    pages = pages_of(rows.where(sources("_key") & F.col("text").isNotNull()), wanted)
     served = stored(
         asked.join(pages, ["other", "page"]).groupBy("key").agg(
             F.collect_list(F.struct("other", "shift", "page", "hashes")).alias("parts")), "served-pages")
@@ -220,21 +247,37 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     flagged = rows.withColumn("_touched", touched("_key"))
     hit = flagged.where("_touched").join(served, F.col("_key") == F.col("key"), "left")
-    other = flagged.where("not _touched").withColumn("parts", F.lit(None).cast(served.schema["parts"].dataType))
-    both = hit.select("_rest", "text", "parts").unionByName(other.select("_rest", "text", "parts"))
     schema = T.StructType([rows.schema["_rest"], T.StructField("text", T.StringType()),
                            T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_words, n_removed = [], [], []
-            for text, parts in zip(values(batch, "text"), values(batch, "parts")):
-                spans = repeated_spans(text, parts) if parts and text else []
-                texts.append(cut(text.encode(), spans).decode() if spans else text)
-                n_words.append(len(text.encode().split()) if text else 0)
+            lists = batch.column(2)
+            ends = lists.offsets.to_numpy()
+            parts = lists.values
+            other, shift, page = (parts.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            hashes = parts.field(3)
+            for i, text in enumerate(values(batch, "text")):
+                raw = (text or "").encode()
+                part = slice(ends[i], ends[i + 1])
+                words, spans = word_hashes(raw), []
+                if len(words) and ends[i] < ends[i + 1] and lists[i].is_valid:
+                    own = np.frombuffer(b"".join(h.as_buffer() for h in hashes[part]), np.uint32)
+                    spans = repeated_spans(words, other[part], shift[part].astype(np.int64),
+                                           page[part].astype(np.int64), own.reshape(-1, PAGE_WORDS))
+                texts.append(cut(raw, spans).decode() if spans else text)
+                n_words.append(len(words))
                 n_removed.append(sum(e - s for s, e in spans))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string()), pa.array(n_words, pa.int64()),
-                 pa.array(n_removed, pa.int64())], ["_rest", "text", "n_words", "n_removed"])
-
-    return both.mapInArrow(clean, schema).select("_rest.*", "text", "n_words", "n_removed")
+                 pa.array(n_removed, pa.int64())], schema.names)
+
+    cleaned = hit.select("_rest", "text", "parts").mapInArrow(clean, schema)
+    spaced = F.coalesce("text", F.lit(""))
+    for blank in ("\t", "\n", "\r", "\x0b", "\x0c"):
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    whole = flagged.where("not _touched").select(
+        "_rest", "text", F.size(F.array_remove(F.split(spaced, " "), "")).cast("long").alias("n_words"),
+        F.lit(0).cast("long").alias("n_removed"))
+    return cleaned.unionByName(whole).select("_rest.*", "text", "n_words", "n_removed")

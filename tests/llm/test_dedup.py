@@ -44,10 +44,22 @@ def shared_passages() -> list[tuple]:
         for _ in range(3):
             words[draw.randrange(len(words))] = "changed"
         rows.append((300 + i, " ".join(words)))
-    rows += [(400, "word " * 300), (401, "word " * 90), (402, prose(77, 3000))]
+    rows += [(402, prose(77, 3000))]
     return rows
 
 
+def test_stretches_that_repeat_themselves(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PAGES_AT_ONCE", 2)
+    pair = prose(5, 20) + " "
+    rows = [(1, "word " * 300), (2, "word " * 90), (3, pair * 30), (4, "x y " + pair * 30), (5, pair * 10)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {1: "word ", 2: "", 3: pair, 4: "x y ", 5: ""}
+    frames = line_dedup.repeated_spans(
+        np.arange(1, 200, dtype=np.uint32), np.zeros(4, np.int64), np.array([0, 0, 10, 10]), np.array([0, 1, 1, 2]),
+        np.stack([np.arange(1, 65), np.arange(65, 129), np.arange(75, 139), np.arange(139, 203)]).astype(np.uint32))
+    assert frames == [(0, 199)]
+
+
 def test_repeated_runs_are_cut_and_nothing_else(spark):
     rows = shared_passages()
     got = {r["doc_id"]: r for r in line_dedup.dedup_lines(documents(spark, rows, extra=True)).collect()}
@@ -86,11 +98,16 @@ def test_cut_joins_what_is_left():
 
 def test_winnowing_is_bound_to_choose_in_every_window():
     lines = np.random.default_rng(0).integers(0, 50, 500).astype(np.uint64)
-    chosen = line_dedup.winnow(lines)
+    chosen, *_ = line_dedup.winnow(lines)
     for i in range(len(lines) - line_dedup.WINDOW + 1):
         window = lines[i:i + line_dedup.WINDOW]
         last = i + np.flatnonzero(window == window.min())[-1]
-        assert last in chosen
+        later = chosen[(lines[chosen] == lines[last]) & (chosen >= last)]
+        assert len(later)
+    assert [x.tolist() for x in line_dedup.winnow(np.full(100, 7, np.uint64))] == [[99], [99], [1]]
+    assert [x.tolist() for x in line_dedup.winnow(np.tile(np.arange(9, dtype=np.uint64), 40))] == [[351], [351], [9]]
+    many, back, period = line_dedup.winnow(np.random.default_rng(1).integers(0, 1 << 60, 10_000).astype(np.uint64))
+    assert len(many) < 700 and not back.any() and not period.any()
 
 
 # --- components ------------------------------------------------------------------------------

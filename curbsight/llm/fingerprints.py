@@ -50,7 +50,7 @@ def shingle_hashes(text: Column) -> Column:
 
 
 def smallest(hashes: Column) -> Column:
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, K)
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, K)
 
 
 def fingerprint(text: Column) -> Column:
@@ -72,7 +72,7 @@ def read(text: Column) -> Column:
 
 def merged(a: Column, b: Column) -> Column:
     """The fingerprint of two parts together."""
-    return F.slice(F.array_sort(F.array_union(a, b)), 1, K)
+    return F.slice(F.sort_array(F.array_union(a, b)), 1, K)
 
 
 def resemblance(a: Column, b: Column) -> Column:
@@ -123,23 +123,23 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, text, its fingerprint (written)."""
+    """doc_id, text, its fingerprint with commas between the hashes, which is smaller to send than an array."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", text.alias("text")).withColumn("fingerprint", written(fingerprint(F.col("text"))))
+    listed = F.array_join(fingerprint(F.col("text")), ",")
+    return docs.select("doc_id", text.alias("text")).withColumn("sketch", listed)
 
 
 def edits(docs: DataFrame) -> DataFrame:
     """Each document, its text with the second half taken from the next document, both fingerprints and likenesses."""
-    near = with_next(fingerprints(docs), ["text", "fingerprint"])
+    near = with_next(fingerprints(docs), ["text", "sketch"])
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
     changed = near.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), "fingerprint", "next_fingerprint",
-        edited.alias("edited"))
-    hashed = changed.select("*", fingerprint(F.col("edited")).alias("sketch"),
-                            read(F.col("fingerprint")).alias("own"), read(F.col("next_fingerprint")).alias("next"))
+        "doc_id", F.length("text").cast("long").alias("n_chars"), "sketch", "next_sketch", edited.alias("edited"))
+    hashed = changed.withColumn("edited_sketch", fingerprint(F.col("edited"))) \
+        .withColumns({c: F.array_remove(F.split(c, ","), "") for c in ("sketch", "next_sketch")})
     return hashed.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
-        written(F.col("sketch")).alias("edited_fingerprint"),
-        resemblance(F.col("own"), F.col("sketch")).alias("near_edited"),
-        resemblance(F.col("own"), F.col("next")).alias("near_next"))
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        written(F.col("sketch")).alias("fingerprint"), written(F.col("edited_sketch")).alias("edited_fingerprint"),
+        resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))

@@ -222,7 +222,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
     spans = [matches(r, i) if r.kind not in queries
              else F.when(F.array_contains("kinds", r.kind), matches(r, i)).otherwise(nothing)
              for i, r in enumerate(rules)]
-    return flagged.select("doc_id", "text", F.array_sort(F.concat(*spans)).alias("spans"))
+    return flagged.select("doc_id", "text", F.sort_array(F.concat(*spans)).alias("spans"))
 
 
 def listed(spans: Column) -> Column:

@@ -97,8 +97,13 @@ def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.log(shares[1]) - np.log(shares[0])
 
 
-def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear hinge-loss model; one dual variable per row is moved to its optimum at a time."""
+def dual_descent(rows: list[np.ndarray], ratios: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear hinge-loss model; one dual variable per row is moved to its optimum at a time.
+
+    A row's values are the ratios of its features, brought to unit length. They are looked up when the row's turn
+    comes, so only the features of the sample are held.
+    """
+    length = np.array([np.sqrt(ratios[f] @ ratios[f]) or 1.0 for f in rows])
     sign = np.where(labels == 1, 1.0, -1.0)
     alpha, weights, bias = np.zeros(len(rows)), np.zeros(FEATURES), 0.0
     order = np.arange(len(rows))
@@ -107,7 +112,8 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], labels: np.nd
         shuffle.shuffle(order)
         worst = 0.0
         for i in order.tolist():
-            found, value = rows[i], values[i]
+            found = rows[i]
+            value = ratios[found] / length[i]
             slope = sign[i] * (weights[found] @ value + bias) - 1
             moved = min(max(alpha[i] - slope / 2, 0.0), COST) - alpha[i]  # rows have unit length, and the bias
             if moved:
@@ -122,8 +128,7 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], labels: np.nd
 
 def _fitted(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     ratios = log_count_ratios(rows, labels)
-    values = [ratios[f] / (np.sqrt(ratios[f] @ ratios[f]) or 1.0) for f in rows]
-    weights, bias = dual_descent(rows, values, labels)
+    weights, bias = dual_descent(rows, ratios, labels)
     return Model(ratios, weights, bias, 1.0, 0.0)
 
 
@@ -195,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         parts = [b for b in batches if len(b)]
         frame = pd.concat(parts) if parts else pd.DataFrame({"doc_id": [], "label": [], "features": []})
         frame = frame.sort_values("doc_id", kind="stable")
-        model = fit([np.asarray(f, np.int64) for f in frame["features"]], frame["label"].to_numpy(np.int64))
+        model = fit([np.asarray(f, np.int32) for f in frame["features"]], frame["label"].to_numpy(np.int64))
         yield pd.DataFrame({"ratios": [model.ratios.tobytes()], "weights": [model.weights.tobytes()],
                             "bias": [model.bias], "slope": [model.slope], "shift": [model.shift]})
 

@@ -9,7 +9,7 @@ import unicodedata
 import numpy as np
 
 #: Runs kept per Python worker; the memory is given back and collected anew beyond it. Results don't depend on it.
-KEPT_RUNS = 700_000
+KEPT_RUNS = 400_000
 
 
 def byte_letters() -> dict[int, str]:

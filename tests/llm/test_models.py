@@ -55,7 +55,7 @@ def test_dual_descent_reaches_the_optimum():
     rows = [np.sort(draw.choice(30, 6, replace=False)) for _ in range(80)]
     labels = np.array([int(3 in r or 7 in r) for r in rows])
     values = [np.full(6, 6 ** -0.5) for _ in rows]
-    weights, bias = quality.dual_descent(rows, values, labels)
+    weights, bias = quality.dual_descent(rows, np.ones(quality.FEATURES), labels)
 
     def cost(w, b):
         margins = np.array([w[r] @ v + b for r, v in zip(rows, values)]) * np.where(labels == 1, 1, -1)
@@ -112,7 +112,7 @@ def bits_by_rule(rows, target, text):
     return out
 
 
-@pytest.mark.parametrize("vocabulary", [4000, 25])
+@pytest.mark.parametrize("vocabulary", [2000, 25])
 def test_scores_are_those_of_the_models(spark, monkeypatch, vocabulary):
     monkeypatch.setattr(lm_scoring, "VOCABULARY", vocabulary)
     monkeypatch.setattr(lm_scoring, "HELD_TOKENS", 50)

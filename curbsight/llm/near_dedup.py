@@ -9,8 +9,10 @@ exactly.
 No pairs are spelled out within a group:
 
 1. Each node of a band's bucket is compared with the first node of that bucket; verified links are united.
-2. In buckets that then still hold several components, blocks of nodes are compared by their slots in memory, and
-   only pairs of different components that agree in at least ``CLOSE`` of the slots are verified and united.
+2. In buckets that then still hold several components, blocks of nodes are compared in memory: pairs of different
+   components that agree in at least ``CLOSE`` of the slots, each in the first bucket that they share, by all their
+   shingles. Only links that unite two components leave the block, so at most one per node, and these are verified
+   once more on the texts.
 
 So every pair that shares a bucket is in one class, or was compared. A pair at the threshold of 0.8 shares none of the
 32 buckets with a probability of 5e-8.
@@ -25,7 +27,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ SLOTS = 128
 ROWS = 4
 #: Share of equal slots from which two nodes are verified: five standard deviations below the threshold.
 CLOSE = 0.62
-BLOCK_NODES = 512
+BLOCK_NODES = 2048
 
 #: ASCII letters to lower case, other ASCII but digits to blanks.
 _WORD_BYTES = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in bytes(range(256)).lower())
@@ -177,12 +178,72 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.select("a", "b", "a_text", "b_text").mapInArrow(run, "a binary, b binary")
 
 
+def prints(rows: DataFrame) -> DataFrame:
+    """node, 32-bit shingle hashes in ascending order and how often each occurs (empty: once)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Emitter(pa.schema([("node", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary())]))
+        for batch in batches:
+            for node, text in zip(values(batch, "node"), values(batch, "_text")):
+                full, counts = shingles(text)
+                found, at = np.unique((full >> np.uint64(32)).astype(np.uint32), return_inverse=True)
+                total = np.bincount(at, counts, len(found))
+                out.add((node, found.tobytes(), total.tobytes() if (total > 1).any() else b""), 4 * len(found))
+                yield from out.ready()
+        yield from out.rest()
+
+    return rows.select("node", "_text").dropDuplicates(["node"]).mapInArrow(
+        run, "node binary, prints binary, counts binary")
+
+
+class Block:
+    """Nodes of one bucket (or of two blocks of it) that are compared with each other."""
+
+    def __init__(self, rows: list[tuple]) -> None:
+        self.nodes, roots, own, band, slots, sets, counts = zip(*rows)
+        self.slots = np.frombuffer(b"".join(slots), np.uint32).reshape(len(rows), SLOTS)
+        self.component = np.unique(np.array(roots, dtype=object), return_inverse=True)[1]
+        self.own, self.band = np.array(own), band[0]
+        self.sets = [np.frombuffer(x, np.uint32) for x in sets]
+        self.counts = [np.frombuffer(x) if x else None for x in counts]
+
+    def similar(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Probability Jaccard of one node and several others."""
+        mine = self.sets[i]
+        theirs = [self.sets[j] for j in others]
+        sizes = np.array([len(t) for t in theirs])
+        flat = np.concatenate(theirs)
+        common = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+        n = np.add.reduceat(common, np.cumsum(sizes) - sizes, dtype=np.int64)
+        out = n / (len(mine) + sizes - n)
+        for k, j in enumerate(others):
+            if self.counts[i] is not None or self.counts[j] is not None:
+                out[k] = probability_jaccard(*((self.sets[x], np.ones(len(self.sets[x])) if self.counts[x] is None
+                                                else self.counts[x]) for x in (i, j)))
+        return out
+
+    def links(self, two_blocks: bool) -> Iterator[tuple]:
+        """Links that unite two components. Every pair is looked at in the first band that it shares."""
+        for i in range(len(self.nodes) - 1):
+            others = np.flatnonzero(self.component[i + 1:] != self.component[i]) + i + 1
+            if two_blocks:
+                others = others[self.own[others] != self.own[i]]
+            equal = self.slots[others] == self.slots[i]
+            close = equal.mean(1) >= CLOSE
+            first = equal[close].reshape(-1, SLOTS // ROWS, ROWS).all(2).argmax(1)
+            others = others[close][first == self.band]
+            if not len(others):
+                continue
+            for j in others[self.similar(i, others) >= THRESHOLD]:
+                if self.component[i] != self.component[j]:
+                    self.component[self.component == self.component[j]] = self.component[i]
+                    yield self.nodes[j], self.nodes[i]
+
+
 def close_pairs(open_rows: DataFrame) -> DataFrame:
-    """Pairs of different components in open buckets (bucket, node, root, slots) that agree in enough slots.
+    """Links between components of open buckets (bucket, band, node, root, slots, prints, counts).
 
-    A bucket is split into blocks, and every pair of blocks is a group of its own, so a task holds at most two
-    blocks. Of each pair of components in a group, the closest pairs are kept as far as they are needed to
-    verify: all that are close enough.
+    A bucket is split into blocks, and every pair of blocks is compared on its own, so a task holds two blocks
+    of at most about ``BLOCK_NODES`` rows at a time.
     """
     sizes = open_rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     counted = open_rows.join(sizes, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK_NODES).cast("int"))
@@ -190,33 +251,39 @@ def close_pairs(open_rows: DataFrame) -> DataFrame:
     # Block i meets every block j; a row goes to the groups (min(i, j), max(i, j)).
     dealt = counted.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    group = ["bucket", "low", "high"]
+    columns = ["node", "root", "own", "band", "slots", "prints", "counts"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Emitter(pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+        now, rows = None, []
+
+        def compare() -> None:
+            if len(rows) > 1:
+                for link in Block(rows).links(now[1] != now[2]):
+                    out.add(link)
+            rows.clear()
+
+        for batch in batches:
+            keys = zip(*(values(batch, c) for c in group))
+            for key, row in zip(keys, zip(*(values(batch, c) for c in columns))):
+                if key != now:
+                    compare()
+                    now = key
+                rows.append(row)
+            yield from out.ready()
+        compare()
+        yield from out.rest()
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("node")
-        slots = np.stack([np.frombuffer(s, np.uint32) for s in frame["slots"]])
-        nodes, own = frame["node"].to_numpy(), frame["own"].to_numpy()
-        roots = np.unique(frame["root"].to_numpy(), return_inverse=True)[1]
-        same_block = frame["low"].iloc[0] == frame["high"].iloc[0]
-        found_a, found_b = [], []
-        for i in range(len(nodes)):
-            rest = slice(i + 1, None)
-            agree = (slots[rest] == slots[i]).mean(1) >= CLOSE
-            agree &= roots[rest] != roots[i]
-            if not same_block:
-                agree &= own[rest] != own[i]
-            for j in np.flatnonzero(agree) + i + 1:
-                found_a.append(nodes[j])
-                found_b.append(nodes[i])
-        return pd.DataFrame({"a": found_a, "b": found_b})
-
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(compare, "a binary, b binary").distinct()
+    together = dealt.select(*group, *columns).repartition(*group).sortWithinPartitions(*group, "node")
+    return together.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def classes(rows: DataFrame) -> DataFrame:
     """(node, root) of all nodes that are linked to another one."""
     spark = rows.sparkSession
     sketched = stored(sketches(rows), "sketches")
-    banded = sketched.select("node", F.explode("bands").alias("bucket"))
+    banded = sketched.select("node", F.posexplode("bands").alias("band", "bucket"))
     heads = stored(banded.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n"))
                    .where("n > 1").drop("n"), "bucket-heads")
     shared = KeyFilter.of(heads.select("bucket")).column(spark)
@@ -226,12 +293,15 @@ def classes(rows: DataFrame) -> DataFrame:
     links = stored(verified(spokes, rows), "verified-links")
     roots = stored(components(links), "components")
 
-    named = together.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = together.select("bucket", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = stored(named, "named-buckets")
     still_open = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")) \
         .where("low != high").select("bucket")
-    open_rows = named.join(still_open, "bucket").join(sketched.select("node", "slots"), "node")
-    rest = stored(close_pairs(open_rows).join(spokes, ["a", "b"], "left_anti"), "close-pairs")
+    open_rows = stored(named.join(still_open, "bucket"), "open-buckets")
+    in_question = KeyFilter.of(open_rows.select(F.xxhash64("node"))).column(spark)
+    sets = prints(rows.where(in_question(F.xxhash64("node"))))
+    rest = stored(close_pairs(open_rows.join(sketched.select("node", "slots").join(sets, "node"), "node")),
+                  "close-pairs")
     more = stored(verified(rest, rows), "more-links")
     if more.isEmpty():
         return roots

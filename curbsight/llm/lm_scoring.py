@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from curbsight.llm.common import Emitter, stored, values
 
-VOCABULARY = 4000
+VOCABULARY = 2000
 PRIOR = 50.0
 EDGE, UNKNOWN = 0, 1
 #: Distinct tokens that a task holds before it sends their counts.
@@ -182,8 +182,11 @@ def score(docs: DataFrame, known: dict[bytes, int], model: Model) -> DataFrame:
 
 
 def marked(docs: DataFrame, labels: DataFrame, condition: Column) -> DataFrame:
-    """text and is_target: whether a label of the document fulfils the condition."""
-    wanted = labels.where(condition).select(F.col("doc_id").alias("_target_id")).distinct()
+    """text and is_target: whether a label of the document fulfils the condition.
+
+    Labels grow with the documents, so they are merged and never broadcast, however few they are.
+    """
+    wanted = labels.where(condition).select(F.col("doc_id").alias("_target_id")).distinct().hint("merge")
     return docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_target_id"), "left") \
         .select("text", F.col("_target_id").isNotNull().alias("is_target"))
 

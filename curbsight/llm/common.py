@@ -52,6 +52,11 @@ def values(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def raw_texts(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
+    """A text column as the bytes that Arrow has, without decoding them."""
+    return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
+
+
 class Emitter:
     """Collects rows and hands them on in Arrow batches of bounded size."""
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbsight.llm.common import KeyFilter, mix, stored, values
+from curbsight.llm.common import KeyFilter, mix, raw_texts, stored, values
 
 LINE_WORDS = 16
 WINDOW = 32
@@ -112,7 +112,7 @@ def cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """The text, the long doc_id, the key that names a text of a document, and all other columns in one."""
-    kept = [c for c in docs.columns if c not in ("text", "n_words", "n_removed")]
+    kept = [c for c in docs.columns if c not in ("text", "n_removed")]
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_rest"), "text",
                        F.col("doc_id").cast("long").alias("_id")).withColumn("_key", F.xxhash64("_id", "text"))
 
@@ -125,8 +125,8 @@ def postings(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list[tuple] = []
-            for doc_id, key, text in zip(*(values(batch, c) for c in ("_id", "_key", "text"))):
-                lines = line_hashes(word_hashes(text.encode())) if text else np.zeros(0, np.uint64)
+            for doc_id, key, raw in zip(values(batch, "_id"), values(batch, "_key"), raw_texts(batch, "text")):
+                lines = line_hashes(word_hashes(raw or b""))
                 found, *chain = winnow(lines)
                 if len(found):
                     parts.append((doc_id, key, *(x.astype(np.int32) for x in (found, *chain)),
@@ -164,8 +164,8 @@ def pages_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for text, pages in zip(values(batch, "text"), values(batch, "pages")):
-                words = word_hashes(text.encode())
+            for raw, pages in zip(raw_texts(batch, "text"), values(batch, "pages")):
+                words = word_hashes(raw)
                 at = np.array(pages, np.int64)
                 at = at[at * PAGE_WORDS < len(words)]
                 full = np.concatenate([words, np.zeros(-len(words) % PAGE_WORDS, np.uint32)])
@@ -228,7 +228,7 @@ def _mark(marks: np.ndarray, words: np.ndarray, other: np.ndarray, shift: np.nda
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """All columns with ``text`` cut, and n_words and n_removed of the text before."""
+    """All columns with ``text`` cut, and n_removed: how many words were cut."""
     spark = docs.sparkSession
     rows = keyed(docs)
     found = stored(postings(rows), "postings")
@@ -248,36 +248,29 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     flagged = rows.withColumn("_touched", touched("_key"))
     hit = flagged.where("_touched").join(served, F.col("_key") == F.col("key"), "left")
     schema = T.StructType([rows.schema["_rest"], T.StructField("text", T.StringType()),
-                           T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+                           T.StructField("n_removed", T.LongType())])
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, n_words, n_removed = [], [], []
+            texts, n_removed = [], []
             lists = batch.column(2)
             ends = lists.offsets.to_numpy()
             parts = lists.values
             other, shift, page = (parts.field(i).to_numpy(zero_copy_only=False) for i in range(3))
             hashes = parts.field(3)
-            for i, text in enumerate(values(batch, "text")):
-                raw = (text or "").encode()
+            for i, raw in enumerate(raw_texts(batch, "text")):
                 part = slice(ends[i], ends[i + 1])
-                words, spans = word_hashes(raw), []
-                if len(words) and ends[i] < ends[i + 1] and lists[i].is_valid:
+                spans: list[tuple[int, int]] = []
+                if raw and ends[i] < ends[i + 1] and lists[i].is_valid:
                     own = np.frombuffer(b"".join(h.as_buffer() for h in hashes[part]), np.uint32)
-                    spans = repeated_spans(words, other[part], shift[part].astype(np.int64),
+                    spans = repeated_spans(word_hashes(raw), other[part], shift[part].astype(np.int64),
                                            page[part].astype(np.int64), own.reshape(-1, PAGE_WORDS))
-                texts.append(cut(raw, spans).decode() if spans else text)
-                n_words.append(len(words))
+                texts.append(cut(raw, spans) if spans else raw)
                 n_removed.append(sum(e - s for s, e in spans))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.string()), pa.array(n_words, pa.int64()),
-                 pa.array(n_removed, pa.int64())], schema.names)
+                [batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_removed, pa.int64())],
+                schema.names)
 
     cleaned = hit.select("_rest", "text", "parts").mapInArrow(clean, schema)
-    spaced = F.coalesce("text", F.lit(""))
-    for blank in ("\t", "\n", "\r", "\x0b", "\x0c"):
-        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
-    whole = flagged.where("not _touched").select(
-        "_rest", "text", F.size(F.array_remove(F.split(spaced, " "), "")).cast("long").alias("n_words"),
-        F.lit(0).cast("long").alias("n_removed"))
-    return cleaned.unionByName(whole).select("_rest.*", "text", "n_words", "n_removed")
+    whole = flagged.where("not _touched").select("_rest", "text", F.lit(0).cast("long").alias("n_removed"))
+    return cleaned.unionByName(whole).select("_rest.*", "text", "n_removed")

@@ -93,7 +93,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_words", "n_removed")
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
 @query

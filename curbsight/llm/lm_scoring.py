@@ -1,14 +1,22 @@
 """Cross-entropy difference of two matched n-gram language models.
 
 The target model is counted on a chosen part of the corpus, the background model on the rest, over one shared
-vocabulary: the ``VOCABULARY`` most frequent tokens of the whole corpus, everything else is one unknown token. Both are
-bigram models over all documents of their part, smoothed alike: the bigram's share is mixed with the token's own
-(Dirichlet prior of weight ``PRIOR``), which is smoothed by adding one. A document's score is the mean over its
-tokens and its end of the loss under the target model less that under the background model, in bits: the lower, the
-more the document is like the target.
+vocabulary: all tokens of the whole corpus, however rare (``VOCABULARY`` can bound it to the most frequent ones, then
+everything else is one unknown token). Both are bigram models over all documents of their part, smoothed alike: the
+bigram's share is mixed with the token's own (Dirichlet prior of weight ``PRIOR``), which is smoothed by adding one. A
+document's score is the mean over its tokens and its end of the loss under the target model less that under the
+background model, in bits: the lower, the more the document is like the target.
 
-Counting sums up per task and token or bigram before anything is sent, so a frequent word pair is one row per task. What is
-broadcast is the table of losses of the bigrams that occur, at most (``VOCABULARY`` + 2) squared entries.
+The model grows with the corpus, so it is never in one place. Documents are cut into chunks of about a million tokens, and
+a chunk and a bucket of the model exchange what the chunk has of the bucket:
+
+1. Chunks are stored as numbers of their own tokens. Each distinct token of a chunk is sent to its bucket, which gives it a
+   number in the corpus and says whether other chunks have it too.
+2. A chunk adds up its tokens and bigrams in both parts and sends the sums to their buckets, which send back the sums over
+   all chunks in the same order. What has a token that no other chunk has is complete already and isn't sent.
+3. The chunk's documents are scored by these sums.
+
+A frequent word pair is one entry per chunk. The driver receives the number of distinct tokens and of all tokens.
 
 Tokens are runs of letters, digits and other bytes of words in lower case, and runs of other ASCII marks. A null or empty text has
 one token, its end. Repeated rows count each; null ids and labels make a document background. Extra columns are
@@ -17,8 +25,8 @@ ignored. With an empty part its model knows only the prior; an empty table gives
 
 from __future__ import annotations
 
-import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,16 +35,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbsight.llm.common import Emitter, stored, values
+from curbsight.llm.common import Emitter, RowNames, mix, stored, values
 
-VOCABULARY = 2000
+#: How many of the most frequent tokens are told apart; None: all.
+VOCABULARY: int | None = None
 PRIOR = 50.0
 EDGE, UNKNOWN = 0, 1
 #: Distinct tokens that a task holds before it sends their counts.
 HELD_TOKENS = 500_000
+#: Tokens after which a chunk is closed, and tokens of the corpus for each bucket of the model.
+CHUNK_TOKENS = 1_000_000
+BUCKET_TOKENS = 2_000_000
+#: Stands for the second token in the key of a single token.
+ALONE = np.uint64(0xFFFFFFFF)
 
 TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+|[^\x00-\x20\x7f0-9a-z\x80-\xff]+")
 
+_CHUNK = "chunk long, n_tokens long, doc_ids array<long>, sizes binary, ids binary, tokens binary"
+
 
 def tokens(text: str | None) -> list[bytes]:
     return TOKEN.findall((text or "").encode().lower())
@@ -64,134 +80,283 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> dict[bytes, int]:
-    """Numbers of the most frequent tokens, equal counts in order of the token; at most ``size`` reach the driver."""
+def vocabulary(docs: DataFrame, size: int | None = VOCABULARY) -> frozenset[bytes] | None:
+    """The ``size`` most frequent tokens, of equal counts the first in order of the token; None: all tokens."""
+    if size is None:
+        return None
     top = count_tokens(docs).orderBy(F.desc("n"), "token").limit(size).collect()
-    return {bytes(r["token"]): i + 2 for i, r in enumerate(top)}
+    return frozenset(bytes(r["token"]) for r in top)
 
 
-def numbers(text: str | None, known: dict[bytes, int]) -> np.ndarray:
-    """The document as numbers, between two edges."""
-    found = tokens(text)
-    out = np.empty(len(found) + 2, np.int64)
-    out[0] = out[-1] = EDGE
-    out[1:-1] = np.fromiter((known.get(t, UNKNOWN) for t in found), np.int64, len(found))
-    return out
+class Numbers(dict):
+    """Numbers in the order in which keys are asked for."""
 
+    def __missing__(self, key: bytes) -> int:
+        self[key] = number = len(self)
+        return number
 
-def count_bigrams(docs: DataFrame, known: dict[bytes, int]) -> DataFrame:
-    """bigram, target, background: how often each bigram occurs in either part. docs: text, is_target."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    size = len(known) + 2
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        held: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
-        waiting: list[np.ndarray] = []
-        n = 0
-
-        def add_up() -> None:
-            """Counts so far and the waiting bigrams as one table: bigram, target, background."""
-            keys = np.concatenate([held[0][:, 0], *(w[0] for w in waiting)])
-            found, at = np.unique(keys, return_inverse=True)
-            known_rows = len(held[0])
-            out = np.zeros((len(found), 3), np.int64)
-            out[:, 0] = found
-            out[at[:known_rows], 1:] = held[0][:, 1:]
-            marks = np.concatenate([w[1] for w in waiting]) if waiting else np.zeros(0, np.int64)
-            out[:, 1] += np.bincount(at[known_rows:], marks, len(found)).astype(np.int64)
-            out[:, 2] += np.bincount(at[known_rows:], 1 - marks, len(found)).astype(np.int64)
-            held[0] = out
-            waiting.clear()
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers, compressed byte by byte of their width."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
 
-        for batch in batches:
-            for text, is_target in zip(values(batch, "text"), values(batch, "is_target")):
-                ids = numbers(text, known)
-                pairs = ids[:-1] * size + ids[1:]
-                waiting.append((pairs, np.full(len(pairs), int(bool(is_target)))))
-                n += len(pairs)
-                if n > 1_000_000:
-                    add_up()
-                    n = 0
-        add_up()
-        for i in range(0, len(held[0]), 100_000):
-            part = held[0][i:i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, j]) for j in range(3)],
-                                             ["bigram", "target", "background"])
-
-    return docs.select("text", "is_target").mapInArrow(run, "bigram long, target long, background long") \
-        .groupBy("bigram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-class Model:
-    """Losses in bits under both models: of the bigrams that occur, and what all others come to."""
-
-    def __init__(self, size: int, bigram: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(bigram)
-        self.size, self.bigram, counts = size, bigram[order], counts[order].astype(np.float64)
-        before, token = self.bigram // size, self.bigram % size
-        self.losses, self.token_share, self.rest = [], [], []
-        for part in range(2):
-            n = counts[:, part]
-            as_token = np.bincount(token, n, size)
-            share = (as_token + 1) / (as_token.sum() + size)
-            context = np.bincount(before, n, size) + PRIOR
-            self.losses.append(-np.log2((n + PRIOR * share[token]) / context[before]))
-            self.token_share.append(-np.log2(PRIOR * share))
-            self.rest.append(np.log2(context))
-
-    def loss(self, ids: np.ndarray) -> np.ndarray:
-        """Losses of every token after the first, a row per model."""
-        pairs = ids[:-1] * self.size + ids[1:]
-        at = np.minimum(np.searchsorted(self.bigram, pairs), max(0, len(self.bigram) - 1))
-        seen = self.bigram[at] == pairs if len(self.bigram) else np.zeros(len(pairs), bool)
-        out = []
-        for part in range(2):
-            unseen = self.token_share[part][ids[1:]] + self.rest[part][ids[:-1]]
-            out.append(np.where(seen, self.losses[part][at], unseen) if len(self.bigram) else unseen)
-        return np.stack(out)
-
-
-def train(docs: DataFrame, known: dict[bytes, int]) -> Model:
-    """Both models from all documents (text, is_target)."""
-    counted = stored(count_bigrams(docs, known), "bigrams")
-    # At most one row per pair of tokens of the vocabulary, in plain arrays.
-    rows = counted.toArrow()
-    counts = np.stack([rows["target"].to_numpy(), rows["background"].to_numpy()], 1)
-    return Model(len(known) + 2, rows["bigram"].to_numpy(), counts)
-
-
-def score(docs: DataFrame, known: dict[bytes, int], model: Model) -> DataFrame:
-    """doc_id, n_tokens (with the end), both cross-entropies in bits per token and their difference."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, model))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_bits", pa.float64()),
-                        ("background_bits", pa.float64()), ("score", pa.float64())])
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data[8:], n * width, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    """Tokens, none of which has a blank or a line feed."""
+    data = b"\n".join(words)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def unpacked_words(data: bytes) -> list[bytes]:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True).split(b"\n")
+
+
+def chunks(docs: DataFrame, known: frozenset[bytes] | None) -> DataFrame:
+    """Documents as numbers of the tokens of their chunk, each with an edge at its end."""
+    shared = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
+    limit = CHUNK_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (known, model), out = shared.value, Emitter(schema)
+        names = RowNames()
+        schema = pa.schema([("chunk", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+                            ("sizes", pa.binary()), ("ids", pa.binary()), ("tokens", pa.binary())])
+        numbers, doc_ids, parts, n = Numbers(), [], [], 0
+
+        def fresh() -> Numbers:
+            return Numbers({b"\n": EDGE, b" ": UNKNOWN})  # neither can be a token
+
+        def close() -> pa.RecordBatch:
+            sizes = np.array([len(p) for p in parts], np.uint32)
+            row = (names.take(), n, doc_ids, packed(sizes), packed(np.concatenate(parts)),
+                   packed_words(list(numbers)[2:]))
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema)], schema=schema)
+
+        numbers = fresh()
         for batch in batches:
             for doc_id, text in zip(values(batch, "doc_id"), values(batch, "text")):
-                losses = model.loss(numbers(text, known))
-                target, background = (math.fsum(row) / losses.shape[1] for row in losses)
-                out.add((doc_id, losses.shape[1], target, background, target - background))
-                yield from out.ready()
-        yield from out.rest()
+                found = tokens(text)
+                if shared is not None:
+                    found = [t if t in shared.value else b" " for t in found]
+                found.append(b"\n")
+                parts.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
+                doc_ids.append(doc_id)
+                n += len(found)
+                if n >= limit:
+                    yield close()
+                    numbers, doc_ids, parts, n = fresh(), [], [], 0
+        if parts:
+            yield close()
+
+    return stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _CHUNK), "chunks")
+
+
+def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order that puts entries of a bucket together, and each bucket with its begin and end."""
+    order = np.argsort(bucket, kind="stable")
+    dealt = bucket[order]
+    begin = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1])) if len(dealt) else np.zeros(0, np.int64)
+    end = np.append(begin[1:], len(dealt))
+    return order, list(zip(dealt[begin].tolist(), begin.tolist(), end.tolist()))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
 
+def small(bucket: np.ndarray, buckets: int) -> np.ndarray:
+    return bucket.astype(np.uint16 if buckets < 1 << 16 else np.uint32)
 
-def marked(docs: DataFrame, labels: DataFrame, condition: Column) -> DataFrame:
-    """text and is_target: whether a label of the document fulfils the condition.
+
+def token_buckets(found: list[bytes], buckets: int) -> np.ndarray:
+    return small(np.fromiter(map(zlib.crc32, found), np.uint32, len(found)) % buckets, buckets)
+
+
+def number_tokens(held: DataFrame, buckets: int) -> DataFrame:
+    """A row per chunk: for each bucket the corpus numbers of the chunk's tokens and whether others have them."""
+    sent = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("tokens", pa.binary())])
+    back = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("numbers", pa.binary()),
+                      ("alone", pa.binary()), ("n_distinct", pa.int64())])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Emitter(sent)
+        for batch in batches:
+            for chunk, data in zip(values(batch, "chunk"), values(batch, "tokens")):
+                found = [t for t in unpacked_words(data) if t]
+                order, dealt = by_bucket(token_buckets(found, buckets))
+                for bucket, begin, end in dealt:
+                    words = packed_words([found[i] for i in order[begin:end].tolist()])
+                    out.add((bucket, chunk, words), len(words))
+                    yield from out.ready()
+        yield from out.rest()
+
+    def number(table: pa.Table) -> pa.Table:
+        at, rows = Numbers(), []
+        for data in table["tokens"].to_pylist():
+            found = unpacked_words(data)
+            rows.append(np.fromiter(map(at.__getitem__, found), np.int64, len(found)))
+        alone = np.bincount(np.concatenate(rows)) == 1
+        bucket = table["bucket"][0].as_py()
+        if 2 + len(at) * buckets >= int(ALONE):
+            raise OverflowError("more tokens than numbers of 32 bits")
+        return pa.Table.from_arrays(
+            [table["bucket"].combine_chunks(), table["chunk"].combine_chunks(),
+             pa.array([packed((2 + r * buckets + bucket).astype(np.uint32)) for r in rows], pa.binary()),
+             pa.array([packed(alone[r].astype(np.uint8)) for r in rows], pa.binary()),
+             pa.array([len(at)] * len(rows), pa.int64())], schema=back)
+
+    answers = held.select("chunk", "tokens").mapInArrow(send, "bucket int, chunk long, tokens binary") \
+        .groupBy("bucket").applyInArrow(number, "bucket int, chunk long, numbers binary, alone binary, n_distinct long")
+    return stored(answers.groupBy("chunk").agg(
+        F.collect_list(F.struct("bucket", "numbers", "alone", "n_distinct")).alias("numbered")), "token-numbers")
+
+
+def marked(held: DataFrame, labels: DataFrame, condition: Column) -> DataFrame:
+    """A row per chunk with documents whose label fulfils the condition: their places (targets) and n_target tokens.
 
     Labels grow with the documents, so they are merged and never broadcast, however few they are.
     """
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, ids, sizes in zip(values(batch, "chunk"), values(batch, "doc_ids"), values(batch, "sizes")):
+                n = unpacked(sizes, np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), chunk)), pa.array(np.arange(len(n), dtype=np.int32)),
+                     pa.array(ids, pa.int64()), pa.array(n.astype(np.int64))], ["chunk", "place", "doc_id", "n"])
+
     wanted = labels.where(condition).select(F.col("doc_id").alias("_target_id")).distinct().hint("merge")
-    return docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_target_id"), "left") \
-        .select("text", F.col("_target_id").isNotNull().alias("is_target"))
+    found = held.select("chunk", "doc_ids", "sizes").mapInArrow(places, "chunk long, place int, doc_id long, n long")
+    return stored(
+        found.join(wanted, F.col("doc_id") == F.col("_target_id")).groupBy("chunk").agg(
+            F.collect_list("place").alias("targets"), F.sum("n").alias("n_target")), "targets")
+
+
+class Chunk:
+    """A chunk's distinct bigrams and tokens, how often either part has them, and what it exchanges with buckets."""
+
+    def __init__(self, row: dict, buckets: int) -> None:
+        self.sizes, self.ids = unpacked(row["sizes"], np.uint32), unpacked(row["ids"], np.uint32)
+        found = [t for t in unpacked_words(row["tokens"]) if t]
+        size = len(found) + 2
+        number, alone = np.zeros(size, np.uint64), np.zeros(size, bool)
+        number[UNKNOWN] = UNKNOWN
+        order, dealt = by_bucket(token_buckets(found, buckets))
+        answers = {x["bucket"]: x for x in row["numbered"] or []}
+        for bucket, begin, end in dealt:
+            at = 2 + order[begin:end]
+            number[at] = unpacked(answers[bucket]["numbers"], np.uint32)
+            alone[at] = unpacked(answers[bucket]["alone"], np.uint8) > 0
+
+        is_target = np.zeros(len(self.sizes), bool)
+        is_target[np.array(row["targets"] or [], np.int64)] = True
+        wanted = np.repeat(is_target, self.sizes)
+        before = np.concatenate([[EDGE], self.ids[:-1]]).astype(np.int64)
+        self.pair = before * size + self.ids
+        self.pairs, in_all = np.unique(self.pair, return_counts=True)
+        here, in_target = np.unique(self.pair[wanted], return_counts=True)
+        self.first, self.second = self.pairs // size, self.pairs % size
+        # Rows: all, target. The sums of single tokens stand behind those of the bigrams.
+        self.sums = np.zeros((2, len(self.pairs) + size), np.int64)
+        self.sums[0, :len(self.pairs)] = in_all
+        self.sums[1, np.searchsorted(self.pairs, here)] = in_target
+        self.sums[0, len(self.pairs):] = np.bincount(self.ids, minlength=size)
+        self.sums[1, len(self.pairs):] = np.bincount(self.ids[wanted], minlength=size)
+
+        shared = np.concatenate([~(alone[self.first] | alone[self.second]), ~alone & (self.sums[0, -size:] > 0)])
+        key = np.concatenate([number[self.first] << np.uint64(32) | number[self.second],
+                              number << np.uint64(32) | ALONE])
+        at = np.flatnonzero(shared)
+        at = at[np.argsort(key[at])]
+        order, self.dealt = by_bucket(small(mix(key[at]) % np.uint64(buckets), buckets))
+        #: Places in ``sums`` of what is exchanged, and their keys, ascending in each bucket.
+        self.at = at[order]
+        self.key = key[self.at]
+
+    def losses(self, total: tuple[int, int], size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Mean losses of the documents in bits under both models. total: tokens of the target and of the background."""
+        n_pairs, out = len(self.pairs), []
+        start = np.concatenate([[0], np.cumsum(self.sizes[:-1], dtype=np.int64)])
+        place = np.searchsorted(self.pairs, self.pair)
+        for sums, n in ((self.sums[1], total[0]), (self.sums[0] - self.sums[1], total[1])):
+            token = sums[n_pairs:].astype(np.float64)
+            share = (token + 1) / (n + size)
+            loss = -np.log2((sums[:n_pairs] + PRIOR * share[self.second]) / (token[self.first] + PRIOR))
+            out.append(np.add.reduceat(loss[place], start) / self.sizes)
+        return out[0], out[1]
+
+
+def summed(whole: DataFrame, buckets: int) -> DataFrame:
+    """A row per chunk: for each bucket the sums over all chunks of what the chunk has of it, in the chunk's order."""
+    sent = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()), ("n", pa.binary()),
+                      ("n_target", pa.binary())])
+    back = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("n", pa.binary()), ("n_target", pa.binary())])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Emitter(sent, size=4 << 20)
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = Chunk(row, buckets)
+                for bucket, begin, end in chunk.dealt:
+                    keys = packed(np.diff(chunk.key[begin:end], prepend=np.uint64(0)))
+                    n, n_target = (packed(x.astype(np.uint32)) for x in chunk.sums[:, chunk.at[begin:end]])
+                    out.add((bucket, row["chunk"], keys, n, n_target), len(keys) + len(n) + len(n_target))
+                    yield from out.ready()
+        yield from out.rest()
+
+    def add_up(table: pa.Table) -> pa.Table:
+        keys = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table["keys"].to_pylist()]
+        found, at = np.unique(np.concatenate(keys), return_inverse=True)
+        ends = np.cumsum([len(x) for x in keys])
+        columns = []
+        for name in ("n", "n_target"):
+            own = np.concatenate([unpacked(x, np.uint32) for x in table[name].to_pylist()])
+            total = np.bincount(at, own, len(found)).astype(np.int64)  # whole numbers below 2**53 are exact
+            columns.append(pa.array([packed(total[x]) for x in np.split(at, ends[:-1])], pa.binary()))
+        return pa.Table.from_arrays(
+            [table["bucket"].combine_chunks(), table["chunk"].combine_chunks(), *columns], schema=back)
+
+    answers = whole.mapInArrow(send, "bucket int, chunk long, keys binary, n binary, n_target binary") \
+        .groupBy("bucket").applyInArrow(add_up, "bucket int, chunk long, n binary, n_target binary")
+    return answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "n_target")).alias("sums"))
+
+
+def score(whole: DataFrame, buckets: int, total: tuple[int, int], size: int) -> DataFrame:
+    """doc_id, n_tokens (with the end), both cross-entropies in bits per token and their difference."""
+    names = ["doc_id", "n_tokens", "target_bits", "background_bits", "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = Chunk(row, buckets)
+                answers = {x["bucket"]: x for x in row["sums"] or []}
+                for bucket, begin, end in chunk.dealt:
+                    for k, name in enumerate(("n", "n_target")):
+                        chunk.sums[k, chunk.at[begin:end]] = unpacked(answers[bucket][name], np.int64)
+                target, background = chunk.losses(total, size)
+                out = pa.RecordBatch.from_arrays(
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.sizes.astype(np.int64)), pa.array(target),
+                     pa.array(background), pa.array(target - background)], names)
+                for i in range(0, len(out), 100_000):
+                    yield out.slice(i, 100_000)
+
+    return whole.mapInArrow(
+        run, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, condition: Column) -> DataFrame:
     """Scores of all documents; the target are the documents whose label fulfils the condition."""
-    known = vocabulary(docs)
-    return score(docs, known, train(marked(docs, labels, condition), known))
+    held = chunks(docs, vocabulary(docs))
+    n = held.agg(F.sum("n_tokens")).first()[0] or 0
+    buckets = 4 + n // BUCKET_TOKENS
+    numbered, targets = number_tokens(held, buckets), marked(held, labels, condition)
+    n_distinct = numbered.select(F.explode("numbered").alias("x")).groupBy("x.bucket") \
+        .agg(F.max("x.n_distinct").alias("n")).agg(F.sum("n")).first()[0] or 0
+    n_target = targets.agg(F.sum("n_target")).first()[0] or 0
+    # Never broadcast, however few they are: all of it grows with the corpus.
+    whole = held.join(numbered.hint("merge"), "chunk", "left").join(targets.drop("n_target").hint("merge"), "chunk", "left")
+    sums = stored(summed(whole, buckets), "sums")
+    return score(whole.join(sums.hint("merge"), "chunk", "left"), buckets, (n_target, n - n_target), n_distinct + 2)

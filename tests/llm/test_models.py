@@ -138,3 +138,27 @@ def test_language_models_of_nothing(spark):
     assert lm_scoring.cross_entropy_difference(documents(spark, []), labels, F.col("quality") == 1).count() == 0
     got = lm_scoring.cross_entropy_difference(documents(spark, ODD), labels, F.col("quality") == 1).collect()
     assert len(got) == len(ODD) and all(math.isfinite(r["score"]) for r in got)
+
+
+def test_all_tokens_are_told_apart_over_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CHUNK_TOKENS", 400)
+    monkeypatch.setattr(lm_scoring, "BUCKET_TOKENS", 1500)
+    rows = [*ODD, *((10 + i, " ".join(f"w{i}x{j % 45} common" for j in range(50)) + " " + prose(i, i)) for i in range(70))]
+    rows += [(90, "w3x1 common rare"), (91, "w3x1 common other")]  # differ in a word that is rare
+    labels = spark.createDataFrame([(i, int(i % 2 or i == 90)) for i in range(91)] + [(33, 0)],
+                                   "doc_id long, quality int")
+    every = {t for _, text in rows for t in lm_scoring.tokens(text)}
+    assert len(every) > 3000
+    docs = documents(spark, rows).repartition(3)
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"], r["target_bits"], r["background_bits"])
+                 for r in lm_scoring.cross_entropy_difference(docs, labels, F.col("quality") == 1).collect())
+    monkeypatch.setattr(lm_scoring, "VOCABULARY", len(every))
+    target = {i for i in range(91) if i % 2 or i == 90}
+    expected = sorted((i is not None, i or 0, len(lm_scoring.tokens(t)) + 1, *bits_by_rule(rows, target, t))
+                      for i, t in rows if i is None or i < 14 or i > 76)
+    got = [r for r in got if not r[0] or r[1] < 14 or r[1] > 76]
+    assert len(got) == len(expected)
+    for x, y in zip(got, expected):
+        assert x == pytest.approx(y)
+    scores = {r[1]: r[3] for r in got}
+    assert scores[90] != scores[91]

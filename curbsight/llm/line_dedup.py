@@ -2,15 +2,15 @@
 
 A copied passage seldom keeps its place in the lines of a text, so the text is wrapped anew at every word: the line
 at a word is the ``LINE_WORDS`` words from there on. Of every window of ``WINDOW`` neighbouring lines the one with the
-smallest hash is a fingerprint. Any run that two texts share is bound to share a fingerprint from
-``WINDOW + LINE_WORDS - 1`` words on, which is below ``RUN_WORDS``. (A stretch that only repeats itself, with a period
-shorter than a window, has one fingerprint. Its copies in other texts are found by that.)
+smallest hash is a fingerprint. It depends on the window's words alone, so any two equal runs of ``RUN_WORDS`` words have
+the same one in the window that they begin with. A run can only occur twice if that line does.
 
-1. Positions of equal fingerprints are joined to the first one (many to one, so a passage in n texts gives n rows).
-2. The words of the earlier text around a match are fetched in pages, and the match is extended word by word in both
-   directions, from page to page of the same diagonal.
-   A text that holds the passage later, with a word or two more in common, is not compared.
-3. Equal runs of at least ``RUN_WORDS`` words are cut from the later text.
+1. Fingerprints that occur more than once go to a Bloom filter, which thins out what follows.
+2. Each run of ``RUN_WORDS`` words that begins with such a window is named by a 64-bit hash. Of the runs with one name in a
+   chunk of texts all but the first are cut; the first goes to a bucket by its name.
+3. A bucket sends those back for which another chunk has an earlier text. So every run is compared with all others of
+   its kind, whatever else the texts around share, and a passage in n texts gives one row per chunk.
+4. The words of all repeated runs are cut from the later text.
 
 Texts are ordered by doc_id (nulls first), then by content, then by place. Rows that are equal in doc_id and text are one text to this
 operator: they all keep or lose the same runs. Null texts stay null; texts that repeat as a whole become empty, no row is
@@ -29,20 +29,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbsight.llm.common import KeyFilter, mix, raw_texts, stored, values
+from curbsight.llm.common import Emitter, KeyFilter, RowNames, by_bucket, mix, packed, raw_texts, stored, unpacked, values
 
 LINE_WORDS = 16
 WINDOW = 32
 RUN_WORDS = 50
-#: Words of the earlier text that are compared beyond a matched line, on either side.
-REACH = 2 * WINDOW
+#: Candidate runs after which a chunk of texts is closed, and candidate runs of the corpus for each bucket.
+CHUNK_RUNS = 500_000
+BUCKET_RUNS = 1_000_000
 PAGE_WORDS = 64
 #: Pages that are compared at once, as far as they belong to different diagonals.
 PAGES_AT_ONCE = 2048
 
 _MULTIPLIER = 0x5851F42D4C957F2D
 _POWERS = [np.uint64(pow(_MULTIPLIER, n, 1 << 64)) for n in (1, 2, 4, 8)]
-_POSTING = "doc_id long, key long, pos int, back int, period int, print long"
 _BLANK = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
 
 
@@ -62,6 +62,30 @@ def line_hashes(words: np.ndarray) -> np.ndarray:
     return mix(lines)
 
 
+def run_hashes(words: np.ndarray) -> np.ndarray:
+    """A hash of the ``RUN_WORDS`` words from each word on, put together from runs of a power of two."""
+    power, of_size, size = _MULTIPLIER, words.astype(np.uint64), 1
+    out, done = np.zeros(len(words) - RUN_WORDS + 1, np.uint64), 0
+    with np.errstate(over="ignore"):
+        while size <= RUN_WORDS:
+            if RUN_WORDS & size:
+                out = out * np.uint64(power) + of_size[done:done + len(out)]
+                done += size
+            of_size = of_size[:-size] * np.uint64(power) + of_size[size:]
+            power, size = power * power % (1 << 64), 2 * size
+    return mix(out)
+
+
+def least_lines(lines: np.ndarray) -> np.ndarray:
+    """The smallest hash of each window, by doubling."""
+    least = lines
+    size = 1
+    while size < WINDOW:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    return least
+
+
 def winnow(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions of the smallest hash of each window; how far back the same line repeats itself, and after how many words.
 
@@ -70,11 +94,7 @@ def winnow(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     if len(lines) < WINDOW:
         return (np.zeros(0, np.int64),) * 3
-    least = lines
-    size = 1
-    while size < WINDOW:  # the smallest of each window, by doubling
-        least = np.minimum(least[:-size], least[size:])
-        size *= 2
+    least = least_lines(lines)
     # A line is the smallest of some window if the largest of the minima around it is its own hash.
     around = np.concatenate([np.zeros(WINDOW - 1, lines.dtype), least, np.zeros(WINDOW - 1, lines.dtype)])
     size = 1
@@ -117,79 +137,142 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.col("doc_id").cast("long").alias("_id")).withColumn("_key", F.xxhash64("_id", "text"))
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """The fingerprints of all texts with their places."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("back", pa.int32()),
-                        ("period", pa.int32()), ("print", pa.int64())])
-
+def prints(docs: DataFrame) -> DataFrame:
+    """print, n: the fingerprints of all texts and how often they occur; a line that repeats itself counts twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts: list[tuple] = []
-            for doc_id, key, raw in zip(values(batch, "_id"), values(batch, "_key"), raw_texts(batch, "text")):
+            parts, times = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for raw in raw_texts(batch, "text"):
                 lines = line_hashes(word_hashes(raw or b""))
-                found, *chain = winnow(lines)
-                if len(found):
-                    parts.append((doc_id, key, *(x.astype(np.int32) for x in (found, *chain)),
-                                  lines[found].view(np.int64)))
-            if parts:
-                sizes = [len(p[2]) for p in parts]
-                which = np.repeat(np.arange(len(parts)), sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p[0] for p in parts], pa.int64()).take(pa.array(which)),
-                     pa.array(np.repeat(np.array([p[1] for p in parts], np.int64), sizes)),
-                     *(pa.array(np.concatenate([p[i] for p in parts])) for i in range(2, 6))], schema=schema)
+                found, _, period = winnow(lines)
+                parts.append(lines[found])
+                times.append(1 + (period > 0))
+            found, at = np.unique(np.concatenate(parts), return_inverse=True)
+            n = np.bincount(at, np.concatenate(times), len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["print", "n"])
 
-    return docs.select("_id", "_key", "text").mapInArrow(run, _POSTING)
+    return docs.select("text").mapInArrow(run, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
 
 
-def matches(found: DataFrame) -> DataFrame:
-    """Lines that occurred before: key and pos, the first text that has them (other) and how far away (shift).
+def candidates(words: np.ndarray, repeated: KeyFilter) -> np.ndarray:
+    """The words where a run begins whose fingerprint may occur more than once."""
+    if len(words) < RUN_WORDS:
+        return np.zeros(0, np.int64)
+    least = least_lines(line_hashes(words))[:len(words) - RUN_WORDS + 1]
+    begin = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    return np.flatnonzero(np.repeat(repeated.holds(least[begin].view(np.int64)),
+                                    np.diff(begin, append=len(least))))
+
+
+def runs(docs: DataFrame, repeated: KeyFilter, buckets: int) -> DataFrame:
+    """Runs by bucket and chunk: their names, texts (id, whether there is one, key) and places; bucket -1: to be cut."""
+    shared = docs.sparkSession.sparkContext.broadcast(repeated)
+    limit = CHUNK_RUNS
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("names", pa.binary()), ("known", pa.binary()),
+                        ("ids", pa.binary()), ("keys", pa.binary()), ("pos", pa.binary())])
 
-    A line that repeats itself is matched with its own last occurrence, one period before.
-    """
-    spark = found.sparkSession
-    place = F.struct("doc_id", "key", "pos")
-    firsts = stored(
-        found.groupBy("print").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        .selectExpr("print", "first.key as other", "first.pos as other_pos"), "first-places")
-    repeated = KeyFilter.of(firsts.select("print")).column(spark)
-    earlier = found.where(repeated("print")).join(firsts, "print").where("key != other or pos != other_pos") \
-        .selectExpr("key", "other", "pos - other_pos as shift", "pos", "back")
-    itself = found.where("period > 0").selectExpr("key", "key as other", "period as shift", "pos", "back")
-    return earlier.unionByName(itself)
-
-
-def pages_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The word hashes of the wanted pages (other, pages) of texts; the last page is filled up with zeros."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk_names, out = RowNames(), Emitter(schema, size=4 << 20)
+        texts: dict[int, int | None] = {}
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+
+        def close() -> Iterator[tuple]:
+            chunk = chunk_names.take()
+            keys = np.array(list(texts), np.int64)
+            known = np.array([x is not None for x in texts.values()], np.uint8)
+            ids = np.array([x or 0 for x in texts.values()], np.int64)
+            rank = np.empty(len(keys), np.int64)
+            rank[np.lexsort((keys, ids, known))] = np.arange(len(keys))
+            names, pos = (np.concatenate([p[i] for p in parts]) for i in range(2))
+            text = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+            order = np.lexsort((pos, rank[text], names))
+            first = np.append(True, names[order[1:]] != names[order[:-1]])
+            later, sent = np.sort(order[~first]), np.sort(order[first])
+            if len(later):
+                yield -1, chunk, None, None, None, packed(keys[text[later]]), packed(pos[later])
+            order, dealt = by_bucket((mix(names[sent]) % np.uint64(buckets)).astype(np.int32))
+            for bucket, begin, end in dealt:
+                at = sent[order[begin:end]]
+                yield (bucket, chunk, packed(names[at]), packed(known[text[at]]), packed(ids[text[at]]),
+                       packed(keys[text[at]]), packed(pos[at]))
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for row in close():
+                out.add(row, sum(len(x) for x in row[2:] if x))
+                yield from out.ready()
+
         for batch in batches:
-            parts = []
-            for raw, pages in zip(raw_texts(batch, "text"), values(batch, "pages")):
+            for doc_id, key, raw in zip(values(batch, "_id"), values(batch, "_key"), raw_texts(batch, "text")):
+                if not raw or key in texts:
+                    continue
                 words = word_hashes(raw)
-                at = np.array(pages, np.int64)
-                at = at[at * PAGE_WORDS < len(words)]
-                full = np.concatenate([words, np.zeros(-len(words) % PAGE_WORDS, np.uint32)])
-                parts.append((at, full.reshape(-1, PAGE_WORDS)[at]))
-            if parts:
-                n = [len(p[0]) for p in parts]
-                data = np.concatenate([p[1] for p in parts])
-                offsets = np.arange(sum(n) + 1, dtype=np.int32) * 4 * PAGE_WORDS
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(batch.column(0).to_numpy(), n)),
-                    pa.array(np.concatenate([p[0] for p in parts]).astype(np.int32)),
-                    pa.BinaryArray.from_buffers(pa.binary(), sum(n), [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
-                ], ["other", "page", "hashes"])
-
-    texts = docs.select(F.col("_key").alias("other"), "text").dropDuplicates(["other"])
-    return texts.join(wanted, "other").select("other", "text", "pages").mapInArrow(
-        run, "other long, page int, hashes binary")
+                at = candidates(words, shared.value)
+                if len(at):
+                    texts[key] = doc_id
+                    parts.append((run_hashes(words)[at], at.astype(np.uint32)))
+                    n += len(at)
+                if n >= limit:
+                    yield from flush()
+                    texts.clear()
+                    parts.clear()
+                    n = 0
+        if parts:
+            yield from flush()
+        yield from out.rest()
+
+    return docs.select("_id", "_key", "text").mapInArrow(
+        run, "bucket int, chunk long, names binary, known binary, ids binary, keys binary, pos binary")
+
+
+def later_runs(found: DataFrame) -> DataFrame:
+    """key, starts: the words of each text where a run begins that occurred before."""
+    def compare(table: pa.Table) -> pa.Table:
+        names, known, ids, keys, pos = (
+            [unpacked(x, kind) for x in table[c].to_pylist()] for c, kind in
+            (("names", np.uint64), ("known", np.uint8), ("ids", np.int64), ("keys", np.int64), ("pos", np.uint32)))
+        sizes = [len(x) for x in names]
+        name, *text = (np.concatenate(x) for x in (names, known, ids, keys))
+        order = np.lexsort((*reversed(text), name))
+        first = np.append(True, name[order[1:]] != name[order[:-1]])
+        of = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
+        later = np.zeros(len(name), bool)
+        later[order] = np.logical_or.reduce([x[order] != x[of] for x in text])
+        parts = np.split(later, np.cumsum(sizes)[:-1])
+        return pa.Table.from_arrays(
+            [table["chunk"].combine_chunks(), pa.array([packed(k[x]) for k, x in zip(keys, parts)], pa.binary()),
+             pa.array([packed(p[x]) for p, x in zip(pos, parts)], pa.binary())], ["chunk", "keys", "pos"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        key = np.concatenate([unpacked(x, np.int64) for x in table["keys"].to_pylist()])
+        pos = np.concatenate([unpacked(x, np.uint32) for x in table["pos"].to_pylist()])
+        order = np.lexsort((pos, key))
+        key, pos = key[order], pos[order]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        starts = [x.tobytes() for x in np.split(pos, begin[1:])] if len(key) else []
+        return pa.Table.from_arrays([pa.array(key[begin]), pa.array(starts, pa.binary())], ["key", "starts"])
+
+    answers = found.where("bucket >= 0").groupBy("bucket").applyInArrow(compare, "chunk long, keys binary, pos binary")
+    return found.where("bucket < 0").select("chunk", "keys", "pos").unionByName(answers) \
+        .groupBy("chunk").applyInArrow(merge, "key long, starts binary") \
+        .groupBy("key").agg(F.max("starts").alias("starts"))  # rows of one text in several chunks agree
+
+
+def spans_of(starts: np.ndarray) -> list[tuple[int, int]]:
+    """The words of the runs that begin at distinct words."""
+    starts = starts.astype(np.int64)
+    marks = np.zeros(starts.max() + RUN_WORDS + 1, np.int64)
+    marks[starts] += 1
+    marks[starts + RUN_WORDS] -= 1
+    edge = np.diff(np.concatenate([[0], np.cumsum(marks) > 0]).astype(np.int8))
+    return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
 
 
 def repeated_spans(words: np.ndarray, other: np.ndarray, shift: np.ndarray, page: np.ndarray,
                    hashes: np.ndarray) -> list[tuple[int, int]]:
     """Words that repeat an earlier text, from the pages that were fetched for this one (one row of hashes each).
 
-    Pages that follow each other on a diagonal are compared as one stretch.
+    Pages that follow each other on a diagonal are compared as one stretch. Not used by ``dedup_lines``, which compares runs.
     """
     order = np.lexsort((page, shift, other))
     other, shift, page = other[order], shift[order], page[order]
@@ -231,18 +314,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """All columns with ``text`` cut, and n_removed: how many words were cut."""
     spark = docs.sparkSession
     rows = keyed(docs)
-    found = stored(postings(rows), "postings")
-    # Pages of the earlier text around each match; matches of one diagonal ask for the same pages.
-    first, last = f"greatest(pos - shift - back - {REACH}, 0)", f"pos - shift + {LINE_WORDS + REACH - 1}"
-    asked = stored(matches(found).selectExpr(
-        "key", "other", "shift", f"explode(sequence(cast({first} div {PAGE_WORDS} as int), "
-                                 f"cast(({last}) div {PAGE_WORDS} as int))) as page").distinct(), "asked-pages")
-    wanted = asked.groupBy("other").agg(F.collect_set("page").alias("pages"))
-    sources = KeyFilter.of(asked.select("other")).column(spark)
-    pages = pages_of(rows.where(sources("_key") & F.col("text").isNotNull()), wanted)
-    served = stored(
-        asked.join(pages, ["other", "page"]).groupBy("key").agg(
-            F.collect_list(F.struct("other", "shift", "page", "hashes")).alias("parts")), "served-pages")
+    twice = stored(prints(rows).where("n > 1"), "repeated-prints")
+    buckets = 4 + (twice.agg(F.sum("n")).first()[0] or 0) * WINDOW // 2 // BUCKET_RUNS
+    found = stored(runs(rows, KeyFilter.of(twice.select("print")), buckets), "runs")
+    served = stored(later_runs(found), "later-runs")
     touched = KeyFilter.of(served.select("key")).column(spark)
 
     flagged = rows.withColumn("_touched", touched("_key"))
@@ -253,24 +328,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_removed = [], []
-            lists = batch.column(2)
-            ends = lists.offsets.to_numpy()
-            parts = lists.values
-            other, shift, page = (parts.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            hashes = parts.field(3)
-            for i, raw in enumerate(raw_texts(batch, "text")):
-                part = slice(ends[i], ends[i + 1])
-                spans: list[tuple[int, int]] = []
-                if raw and ends[i] < ends[i + 1] and lists[i].is_valid:
-                    own = np.frombuffer(b"".join(h.as_buffer() for h in hashes[part]), np.uint32)
-                    spans = repeated_spans(word_hashes(raw), other[part], shift[part].astype(np.int64),
-                                           page[part].astype(np.int64), own.reshape(-1, PAGE_WORDS))
+            for raw, starts in zip(raw_texts(batch, "text"), values(batch, "starts")):
+                spans = spans_of(np.frombuffer(starts, np.uint32)) if raw and starts else []
                 texts.append(cut(raw, spans) if spans else raw)
                 n_removed.append(sum(e - s for s, e in spans))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_removed, pa.int64())],
                 schema.names)
 
-    cleaned = hit.select("_rest", "text", "parts").mapInArrow(clean, schema)
+    cleaned = hit.select("_rest", "text", "starts").mapInArrow(clean, schema)
     whole = flagged.where("not _touched").select("_rest", "text", F.lit(0).cast("long").alias("n_removed"))
     return cleaned.unionByName(whole).select("_rest.*", "text", "n_removed")

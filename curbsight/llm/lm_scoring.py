@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbsight.llm.common import Emitter, RowNames, mix, stored, values
+from curbsight.llm.common import Emitter, RowNames, by_bucket, mix, packed, stored, unpacked, values
 
 #: How many of the most frequent tokens are told apart; None: all.
 VOCABULARY: int | None = None
@@ -96,20 +96,6 @@ class Numbers(dict):
         return number
 
 
-def packed(numbers: np.ndarray) -> bytes:
-    """Whole numbers, compressed byte by byte of their width."""
-    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
-    return len(numbers).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
-
-
-def unpacked(data: bytes, kind: type) -> np.ndarray:
-    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
-    if not n:
-        return np.zeros(0, kind)
-    planes = np.frombuffer(pa.decompress(data[8:], n * width, "zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
-
-
 def packed_words(words: list[bytes]) -> bytes:
     """Tokens, none of which has a blank or a line feed."""
     data = b"\n".join(words)
@@ -159,15 +145,6 @@ def chunks(docs: DataFrame, known: frozenset[bytes] | None) -> DataFrame:
     return stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _CHUNK), "chunks")
 
 
-def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """The order that puts entries of a bucket together, and each bucket with its begin and end."""
-    order = np.argsort(bucket, kind="stable")
-    dealt = bucket[order]
-    begin = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1])) if len(dealt) else np.zeros(0, np.int64)
-    end = np.append(begin[1:], len(dealt))
-    return order, list(zip(dealt[begin].tolist(), begin.tolist(), end.tolist()))
-
-
 def small(bucket: np.ndarray, buckets: int) -> np.ndarray:
     return bucket.astype(np.uint16 if buckets < 1 << 16 else np.uint32)
 

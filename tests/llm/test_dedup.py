@@ -89,6 +89,28 @@ def test_line_dedup_of_odd_rows(spark):
     assert line_dedup.dedup_lines(documents(spark, [])).count() == 0
 
 
+def exactly_by_rule(spark, rows) -> None:
+    expected = cut_by_rule(rows, line_dedup.RUN_WORDS)
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(documents(spark, rows).repartition(3)).collect()}
+    assert len(got) == len(rows)
+    for i, text in rows:
+        assert got[i]["text"].encode().split() == expected[i], i
+        assert got[i]["n_removed"] == len(text.encode().split()) - len(expected[i])
+
+
+def test_copies_of_a_passage_that_an_earlier_text_holds_in_part(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CHUNK_RUNS", 300)
+    monkeypatch.setattr(line_dedup, "BUCKET_RUNS", 200)
+    rows = shared_passages()
+    for i in range(60):  # the first holds the middle, the others all of it
+        passage = [f"p{i}x{j}" for j in range(51 + i)]
+        middle = min(49, 20 + i)
+        at = (len(passage) - middle) // 2
+        rows += [(1000 + 10 * i + k, " ".join([prose(5000 + 10 * i + k, 30), *words, prose(9000 + 10 * i + k, 30)]))
+                 for k, words in enumerate([passage[at:at + middle], passage, passage, passage])]
+    exactly_by_rule(spark, rows)
+
+
 def test_cut_joins_what_is_left():
     assert line_dedup.cut(b"a b c\nd e f", [(1, 2)]) == b"a c\nd e f"
     assert line_dedup.cut(b"a b\nc\nd", [(2, 3)]) == b"a b\nd"

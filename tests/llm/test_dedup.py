@@ -111,6 +111,18 @@ def test_copies_of_a_passage_that_an_earlier_text_holds_in_part(spark, monkeypat
     exactly_by_rule(spark, rows)
 
 
+def test_equal_lines_between_words_that_vary(spark):
+    rows = []
+    for i in range(40):
+        x = [f"x{i}y{j}" for j in range(16 + i % 12)]
+        y = [[f"v{i}y{k}z{j}" for j in range(1 + i % 7)] for k in range(3)]
+        rows += [(10 * i, " ".join([*x, *y[0], *x, *y[1], *x, *y[2], *x])),
+                 (10 * i + 1, " ".join([prose(i, 20), *x, *y[0], *x, *y[1], *x[:9]]))]
+    rows.append((900, "a b c " * 40 + "d " + "a b c " * 30))
+    rows.append((901, "x " + "a b c " * 20 + "d " + "a b c " * 35))
+    exactly_by_rule(spark, rows)
+
+
 def test_cut_joins_what_is_left():
     assert line_dedup.cut(b"a b c\nd e f", [(1, 2)]) == b"a c\nd e f"
     assert line_dedup.cut(b"a b\nc\nd", [(2, 3)]) == b"a b\nd"

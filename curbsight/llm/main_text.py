@@ -2,8 +2,8 @@
 
 A page becomes a tree. Every paragraph earns points for its length and its commas and passes them to its ancestors,
 less the further up; a container's points are discounted by the share of its text that stands in links. The best
-container and those of its siblings that look like part of the same article are kept, without menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
+container, or the article or main element around it, and all of its siblings that are not mostly links are kept, however
+short, without menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
 
 Character references are decoded, white space inside a block (``<br>`` too) becomes one space, and blocks are joined in page
 order by one line feed. Null or empty pages and pages without text give the empty string. Rows are independent:
@@ -50,7 +50,10 @@ toolbar banner hidden""".split())
 BONUS = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "ul": -3.0,
          "ol": -3.0, "dl": -3.0, "address": -3.0, "form": -3.0, "html": -10.0, "body": -5.0}
 LEVELS = 5
-HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What holds an article as a whole.
+ARTICLE = frozenset("article main".split())
+#: Share of its text in links from which on what stands beside the article is a menu.
+LINKED = 0.5
 #: What can hold an article. Lists and tables belong to what stands around them, text in a cell too.
 CONTAINER = frozenset("#root html body article main section div center figure details".split())
 CELL = frozenset("td th".split())
@@ -105,7 +108,7 @@ class Page:
         self.tag.append(tag)
         self.parent.append(top)
         self.aside.append(self.aside[top] or _is_aside(tag, attributes, inside))
-        self.in_article.append(inside or tag in ("article", "main"))
+        self.in_article.append(inside or tag in ARTICLE)
         if tag not in VOID:
             self.open.append(len(self.tag) - 1)
 
@@ -194,14 +197,14 @@ class Page:
         best = max(range(n), key=lambda i: (score[i], -i))
         if not points[best]:
             return {0}
+        around = best
+        while around and self.tag[around] not in ARTICLE:
+            around = self.parent[around]
+        best = around or best
         chosen = {best}
         for i in range(1, n):
-            if best and self.parent[i] == self.parent[best] and not self.aside[i] and letters[i]:
-                paragraph = self.tag[i] not in CONTAINER
-                if points[i] and score[i] >= max(10.0, 0.2 * score[best]) and not paragraph \
-                        or self.tag[i] in HEADING and not linked[i] \
-                        or self.tag[i] in ("p", "pre", "blockquote") and letters[i] > 80 and density[i] < 0.25:
-                    chosen.add(i)
+            if best and self.parent[i] == self.parent[best] and letters[i] and density[i] < LINKED:
+                chosen.add(i)
         return chosen
 
     def _inside(self, tag: str) -> list[bool]:

@@ -43,6 +43,18 @@ def test_pages(source, text):
     assert main_text(source) == text
 
 
+@pytest.mark.parametrize("n", [1, 9, 40])
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_what_stands_beside_the_body_is_kept_on_pages_of_any_size(n, around):
+    body = f"<p>{LONG} {LONG} {LONG} {LONG}</p>" * n
+    found = main_text(f"<nav><a href=x>Home</a></nav><{around}><h1>T</h1><p>Short intro.</p><div class=body>{body}</div>"
+                      "<ul><li>a<li>b</ul><table><tr><td>1<td>2</table><dl><dt>c<dd>d</dl><figure><figcaption>e"
+                      f"</figcaption></figure><ul><li><a href=y>More</a></ul><aside>f</aside></{around}>")
+    want = "\n".join(["T", "Short intro.", *[" ".join([LONG] * 4)] * n, *"ab12cde"])
+    # The links belong to an article; beside a container they are a menu.
+    assert found == f"{want}\nMore" or around == "div" and found == want
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 20_000 + f"<p>{LONG}</p>") == LONG
     many = "<article>" + f"<p>{LONG}</p>" * 5_000 + "</article>"

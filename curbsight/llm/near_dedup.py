@@ -15,7 +15,8 @@ No pairs are spelled out within a group:
    once more on the texts.
 
 So every pair that shares a bucket is in one class, or was compared. A pair at the threshold of 0.8 shares none of the
-32 buckets with a probability of 5e-8.
+32 buckets with a probability of 5e-8. In a bucket of several components it is also missed if it agrees in fewer than
+``CLOSE`` of the slots, with 1.4e-6: together 1.5e-6 at most.
 
 Documents without words are alike only if equal. Null texts count as empty. A class is named by its smallest doc_id; rows that
 repeat both id and text are the same document. Extra columns are kept. An empty table gives no rows.

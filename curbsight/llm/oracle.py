@@ -91,3 +91,55 @@ select doc_id, cast(coalesce(n_assign, 0) as bigint) as n_assign, cast(coalesce(
   cast(coalesce(n_hex, 0) as bigint) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
 from documents left join listed using (doc_id)
 """
+
+
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Every combination of a URL's tokens is counted; one that is frequent enough among blocked URLs, and seldom allowed, blocks.
+ORACLE["op11_url_filters"] = f"""
+with page as (
+  select row_number() over () as r, page_id, coalesce(url, '') as url, strpos(coalesce(url, ''), '://') as mark from pages),
+rest as (select *, case when mark > 0 then substr(url, mark + 3) else '' end as t from page),
+part as (
+  select r, page_id, {LOWERED.format("regexp_extract(t, '^[^/?#]*')")} as host,
+    regexp_extract(t, '^[^/?#]*([^?#]*)', 1) as path,
+    case when mark > 0 then {LOWERED.format("left(url, mark - 1)")} else '' end as scheme,
+    regexp_extract(t, '^[^?#]*\\?([^#]*)', 1) as query, regexp_extract(t, '(?s)^[^#]*#(.*)$', 1) as fragment
+  from rest),
+slot as (
+  select r, page_id, host, path, string_split(host, '.') as l, regexp_replace(path, '[0-9]+', '0', 'g') as p,
+    regexp_replace(regexp_replace(query, '=[^&]*', '', 'g'), '[0-9]+', '0', 'g') as q,
+    regexp_replace(fragment, '[0-9]+', '0', 'g') as f, scheme from part),
+named as (
+  select r, page_id, host, path, list_filter([
+      case when scheme <> '' then 'scheme=' || scheme end, case when l[-1] <> '' then 'top=' || l[-1] end,
+      case when l[-2] <> '' then 'domain=' || l[-2] end, case when l[-3] <> '' then 'site=' || l[-3] end,
+      case when len(l) > 3 and array_to_string(l[1:len(l) - 3], '.') <> ''
+        then 'sub=' || array_to_string(l[1:len(l) - 3], '.') end,
+      case when regexp_extract(p, '^/([^/]*)', 1) <> '' then 'section=' || regexp_extract(p, '^/([^/]*)', 1) end,
+      case when regexp_extract(p, '(?s)^/[^/]*(/.*)$', 1) <> '' then 'page=' || regexp_extract(p, '(?s)^/[^/]*(/.*)$', 1) end,
+      case when q <> '' then 'query=' || q end, case when f <> '' then 'fragment=' || f end], lambda x: x is not null) as tokens
+  from slot),
+listed as (
+  select *, case
+      when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/en/1') then 'example.org/en/1'
+      when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/es/') then 'example.org/es/'
+      when (host = 'com' or host like '%.com') and starts_with(path, '/de/') then 'com/de/'
+      when (host = 'com' or host like '%.com') and starts_with(path, '/fr/') then 'com/fr/'
+      when (host = 'org' or host like '%.org') and starts_with(path, '/') then 'org/' end as rule
+  from named),
+subset as (
+  select r, rule in ('example.org/en/1', 'example.org/es/', 'com/de/') as blocked, rule is not null as labelled,
+    list_sort(list_filter(tokens, lambda x, i: (m >> (i - 1)) & 1 = 1)) as tokens
+  from listed, unnest(range(1, 1 << len(tokens))) as u(m)),
+counted as (
+  select tokens, count(*) as n, count(*) filter (blocked) as n_blocked from subset where labelled group by tokens),
+mined as (
+  select tokens from counted where n_blocked >= ceil(0.01 * (select count(*) from listed where rule is not null))
+    and n_blocked > 0 and n_blocked::double / n >= 0.9),
+hit as (select distinct r from subset where tokens in (select tokens from mined))
+select page_id, host, path, rule,
+  case when rule in ('example.org/en/1', 'example.org/es/', 'com/de/') then 'block' when rule is not null then 'allow'
+    when r in (select r from hit) then 'block' else 'allow' end as verdict
+from listed
+"""

@@ -20,6 +20,7 @@ from curbsight.llm import (
     quality,
     secret_scan,
     token_files,
+    url_filters,
 )
 from curbsight.llm.common import ship
 from curbsight.session import scratch_dir
@@ -125,3 +126,19 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.cross_entropy_difference(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("quality") == 1)
+
+
+#: The listed rules of the URL query.
+URL_RULES = (
+    url_filters.Rule("allow", "org", "/"),
+    url_filters.Rule("block", "example.org", "/es/"),
+    url_filters.Rule("block", "example.org", "/en/1"),
+    url_filters.Rule("allow", "com", "/fr/"),
+    url_filters.Rule("block", "com", "/de/"),
+)
+
+
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")

@@ -19,6 +19,7 @@ from curbsight.llm import (
     packing,
     quality,
     secret_scan,
+    spelling,
     token_files,
     url_filters,
 )
@@ -142,3 +143,9 @@ URL_RULES = (
 def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), least_chars=7, least_count=2, misspell_every=31)
+    return spelling.spelling_variants(words, times=10)

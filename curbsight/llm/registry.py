@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbsight.llm import (
+    alignment,
     decontamination,
     fingerprints,
     line_dedup,
@@ -149,3 +150,9 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.count_words(table(spark, sf_dir, "documents"), least_chars=7, least_count=2, misspell_every=31)
     return spelling.spelling_variants(words, times=10)
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))

@@ -332,7 +332,8 @@ FROM air_daily JOIN peaks USING (date, zone, city)"""
 
 for _name in ("gold_air_daily", "rt_parquet_overwrite_ym"):
     define(_name, f"{AIR},{air_daily('air')}", AIR_DAILY_OUT)
-define("job_air", f"{BAD_FEED}, good AS (SELECT * FROM latest WHERE {VALID}),{air_daily('good')}", AIR_DAILY_OUT)
+for _name in ("job_air", "job_gold_ledger"):
+    define(_name, f"{BAD_FEED}, good AS (SELECT * FROM latest WHERE {VALID}),{air_daily('good')}", AIR_DAILY_OUT)
 
 
 def health(source: str) -> str:

@@ -21,7 +21,7 @@ from curbsight.operators import air_gold, changes, quality, traffic_gold
 from curbsight.plans import air_reports, documented, jobs, saved, traffic_reports
 from curbsight.session import scratch_dir
 from curbsight.sources import tables
-from curbsight.streaming import air_changes
+from curbsight.streaming import air_changes, ledger
 from curbsight.streaming import traffic as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -803,6 +803,21 @@ def job_traffic(spark, sf_dir):
     return tables.read_parquet(spark, f"{base}/gold/traffic_daily_summary").drop("processed_at")
 
 
+@query("job_gold_ledger")
+def job_gold_ledger(spark, sf_dir):
+    """Gold by the ledger alone. The second arrival is stamped before the first gold run and finished after it."""
+    base = scratch_dir(spark, "ledger")
+    feed = frames.changes(spark, sf_dir, spoiled=True)
+    arrivals_at = ((["MODIFY"], RUN_AT), (["INSERT", "REMOVE"], RUN_AT - DAY))
+    for kinds, stamped in arrivals_at:
+        feed.filter(F.col("cdc_event_type").isin(kinds)).write.mode("append").json(f"{base}/bronze")
+        air_changes.run_incremental(spark, f"{base}/bronze", f"{base}/state", f"{base}/progress", stamped,
+                                    ledger_path=f"{base}/ledger").awaitTermination()
+        ledger.run_gold(spark, jobs.AIR, lambda s: air_changes.silver_from_state(s, f"{base}/state"), f"{base}/gold",
+                        f"{base}/ledger", f"{base}/gold-progress", RUN_AT).awaitTermination()
+    return tables.read_parquet(spark, f"{base}/gold/air_quality_daily_summary").drop("processed_at")
+
+
 def refreshed(spark: SparkSession, domain, silver: DataFrame, changed: DataFrame, changed_days) -> DataFrame:
     """Gold built from ``silver`` and refreshed for some days of ``changed``: rows per table, month and day."""
     base = scratch_dir(spark, "refresh")

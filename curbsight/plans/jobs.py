@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbsight import schemas
-from curbsight.functions.common import moment
+from curbsight.functions.common import moment, processing_time
 from curbsight.operators import air_gold, traffic_gold
 from curbsight.operators.changes import current_readings, flatten_changes, silver_columns
 from curbsight.operators.quality import accepted, air_rules, quarantine, summary
@@ -132,7 +132,7 @@ def build_gold(
     silver: DataFrame,
     gold_path: str,
     domain: Domain,
-    run_at: dt.datetime,
+    run_at: dt.datetime | None,
     days: Iterable[dt.date | None] | None = None,
 ) -> list[str]:
     """Build the gold tables of a domain from silver; returns their names, none for empty input.
@@ -153,7 +153,7 @@ def build_gold(
         return only_days(frame, whole_months(wanted) if layout == MONTHLY else wanted)
 
     def store(table: GoldTable, source: DataFrame) -> str:
-        rows = table.build(restricted(source, table.layout)).withColumn("processed_at", moment(run_at))
+        rows = table.build(restricted(source, table.layout)).withColumn("processed_at", processing_time(run_at))
         path = f"{gold_path}/{table.name}"
         if wanted is None:
             write_parquet(rows, path, by=table.layout)
@@ -169,16 +169,6 @@ def build_gold(
     return [domain.rollup.name, *(table.name for table in domain.tables)]
 
 
-def days_changed_since(table: DataFrame, last_run: dt.datetime) -> list[dt.date | None]:
-    """Days with rows processed after ``last_run``: what an incremental gold run has to rebuild.
-
-    For air quality pass the incremental state rather than silver, because a reading that became
-    invalid is missing from silver. The list is bounded by the calendar.
-    """
-    rows = table.filter(F.col("silver_processed_at") > moment(last_run)).select(*DAILY).distinct().collect()
-    return [None if r.year is None else dt.date(r.year, r.month, r.day) for r in rows]
-
-
 def bronze_to_quality(
     spark: SparkSession, bronze_path: str, gold_path: str, run_at: dt.datetime, database: str | None = None
 ) -> None:

@@ -12,6 +12,7 @@ from curbsight import schemas
 from curbsight.operators.changes import latest_readings, project_air, silver_columns, upserts, with_entity_key
 from curbsight.operators.quality import air_rules, judged
 from curbsight.sources.tables import only_days, read_parquet, stream_jsonl, write_arranged
+from curbsight.streaming.ledger import batch_name, note_days
 from curbsight.streaming.staging import discard, exists, stage, staged_days, started
 
 
@@ -25,8 +26,8 @@ def newest_state(changes: DataFrame) -> DataFrame:
     return judged(latest_readings(changes), air_rules()).select(*schemas.SILVER_AIR_STATE.names)
 
 
-def merge_batch(changes: DataFrame, state_path: str, redo_path: str) -> None:
-    """Fold a batch of projected changes into the state table.
+def merge_batch(changes: DataFrame, state_path: str, redo_path: str) -> list[dt.date | None]:
+    """Fold a batch of projected changes into the state table; returns the days it touched.
 
     The new content of the touched days is staged below ``redo_path`` first and only then copied
     over the old. A run that dies in between finds the finished copy and goes on from it, so a half
@@ -36,7 +37,7 @@ def merge_batch(changes: DataFrame, state_path: str, redo_path: str) -> None:
     staged = stage(newest_state(changes), f"{redo_path}/incoming", schemas.SILVER_AIR_STATE)
     days = staged_days(staged)
     if not days:
-        return
+        return days
     merged = staged
     if exists(spark, state_path):
         known = only_days(read_parquet(spark, state_path, schemas.SILVER_AIR_STATE), days)
@@ -44,6 +45,7 @@ def merge_batch(changes: DataFrame, state_path: str, redo_path: str) -> None:
     # The staged files hold one day each already, so the copy needs no shuffle.
     redo = stage(merged, f"{redo_path}/merged", schemas.SILVER_AIR_STATE)
     write_arranged(redo, state_path, overwrite="dynamic")
+    return days
 
 
 def run_incremental(
@@ -54,12 +56,14 @@ def run_incremental(
     run_at: dt.datetime | None,
     *,
     apply_deletes: bool = False,
+    ledger_path: str | None = None,
     every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Fold the bronze files that arrived since the last run into the state.
 
-    A stream that runs without end passes no ``run_at``, so each batch is stamped with its own time.
+    A stream that runs without end passes no ``run_at``, so each batch is stamped with its own time. With
+    ``ledger_path`` each batch notes the days it has changed, for gold.
 
     Redo tables lie beside the checkpoint: whoever resets one resets both, so a batch number never
     meets the redo table of another history.
@@ -68,7 +72,9 @@ def run_incremental(
     feed = with_entity_key(bronze) if apply_deletes else upserts(bronze)
 
     def fold(batch: DataFrame, number: int) -> None:
-        merge_batch(batch, state_path, f"{progress_path}/redo/batch-{number}")
+        days = merge_batch(batch, state_path, f"{progress_path}/redo/batch-{number}")
+        if ledger_path:
+            note_days(batch.sparkSession, ledger_path, batch_name(batch.sparkSession, number), days)
         # The batch before this one is committed, so its redo tables are of no more use.
         discard(spark, f"{progress_path}/redo/batch-{number - 1}")
 

@@ -26,6 +26,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(folder)
 
 
+def made(spark: SparkSession, path: str) -> None:
+    """Create a folder that a stream is to watch before anything is in it."""
+    store, folder = _folder(spark, path)
+    store.mkdirs(folder)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     store, folder = _folder(spark, path)
     store.delete(folder, True)

@@ -24,6 +24,7 @@ from curbsight.sources.tables import (
     stream_jsonl,
     write_parquet,
 )
+from curbsight.streaming.ledger import batch_name, note_days
 from curbsight.streaming.staging import discard, exists, stage, staged_hours, started
 
 READING = "reading_datetime"
@@ -144,26 +145,27 @@ def located(silver: DataFrame) -> DataFrame:
     return silver.join(sites, "intersection", "left").withColumns(filled).select(*silver.columns)
 
 
-def append_new(batch: DataFrame, silver_path: str, staged_path: str) -> None:
+def append_new(batch: DataFrame, silver_path: str, staged_path: str) -> list[dt.date | None]:
     """Append the events of a batch that silver does not hold yet, however late they are.
 
     Copies within the batch are cut to one per input task before they are shuffled. Events written
     before are found in the folders of the hours the batch touches, so nothing has to be remembered
     between batches and no late event is given up. Of these hours only the ids that the batch has as well
     meet it, so a batch costs what it holds, not what its day holds. A batch that is run again after a crash finds
-    what it has already written and adds only the rest.
+    what it has already written and adds only the rest. Returns the days the batch touches.
     """
     spark = batch.sparkSession
     once = latest_per_key(batch, ("event_id",), [F.col(READING), F.col("sensor_id")])
     fresh = stage(once, staged_path, schemas.SILVER_TRAFFIC)
     hours = staged_hours(fresh)
     if not hours:
-        return
+        return []
     if exists(spark, silver_path):
         known = only_hours(read_parquet(spark, silver_path, schemas.SILVER_TRAFFIC), hours).select("event_id")
         repeated = known.join(fresh.select("event_id"), "event_id", "left_semi")
         fresh = fresh.join(repeated, "event_id", "left_anti")
     write_parquet(fresh, silver_path, by=HOURLY, mode="append")
+    return [None if year is None else dt.date(year, month, day) for year, month, day, _ in hours]
 
 
 def run_silver(
@@ -174,19 +176,22 @@ def run_silver(
     run_at: dt.datetime | None,
     *,
     rejected_path: str | None = None,
+    ledger_path: str | None = None,
     every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Landing zone to silver traffic: cleanse, enrich, deduplicate, append by hour.
 
     With ``rejected_path`` what is left out is written there, one folder per batch; a batch that is run again
-    replaces its folder.
+    replaces its folder. With ``ledger_path`` each batch notes the days it has changed, for gold.
     """
     landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
 
     def append(batch: DataFrame, number: int) -> None:
         rows = located(cleansed(project_traffic(batch, run_at)))
-        append_new(rows, silver_path, f"{progress_path}/staged/batch-{number}")
+        days = append_new(rows, silver_path, f"{progress_path}/staged/batch-{number}")
+        if ledger_path:
+            note_days(batch.sparkSession, ledger_path, batch_name(batch.sparkSession, number), days)
         if rejected_path:
             rejected(batch, run_at).write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
         # The batch before this one is committed, so its staged rows are of no more use.

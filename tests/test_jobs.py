@@ -132,14 +132,6 @@ def test_gold_tables_can_be_queried_by_name(spark, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
-def test_changed_days(spark):
-    earlier = readings(spark).withColumn("silver_processed_at", F.lit("2024-01-10 00:00:00").cast("timestamp"))
-    later = readings(spark).filter("event_id = 'b'").withColumn(
-        "silver_processed_at", F.lit("2024-01-12 00:00:00").cast("timestamp")
-    )
-    assert jobs.days_changed_since(earlier.unionByName(later), RUN) == [minutes(60 * 24).date()]
-
-
 def test_month_tables_are_refreshed_from_the_rollup(spark, tmp_path):
     """Silver of the other days may be gone: the month's table still holds them."""
     gold = str(tmp_path / "gold")

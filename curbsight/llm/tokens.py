@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import functools
 import json
+import sys
 import unicodedata
+from array import array
 
 import numpy as np
 
 #: Runs kept per Python worker; the memory is given back and collected anew beyond it. Results don't depend on it.
-KEPT_RUNS = 400_000
+KEPT_RUNS = 1_000_000
+#: ASCII marks, which a tokenizer of words never joins to letters before them.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters up to here have long been letters to every library; runs with later ones take the whole way.
+KNOWN_LETTERS = "\u2500"
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,6 +51,7 @@ class TextEncoder(dict):
             and len(steps) == 2 and steps[1]["type"] == "ByteLevel" and not steps[1]["add_prefix_space"]
             and not steps[1]["use_regex"] and spec["model"]["type"] == "BPE"
         )
+        self.by_run = self.by_run and sys.byteorder == "little" and array("I").itemsize == 4
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.special = [x["content"].lower().encode() for x in spec.get("added_tokens", [])]
 
@@ -53,25 +60,29 @@ class TextEncoder(dict):
 
     def word(self, text: str) -> bytes | None:
         """Ids of a run of letters; None where lower case or composition might change more than single letters."""
+        if not text.isalpha() or max(text) >= KNOWN_LETTERS:
+            return None
         lower = text.lower()
         if not lower.isalpha() or "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
             return None
-        if not lower.isascii():
-            lower = lower.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(lower)], "<u4").tobytes()
+        return self.letters_only(lower.encode().decode("latin-1").translate(self.letters))
+
+    def letters_only(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def __missing__(self, run: bytes) -> bytes:
         if len(self) >= KEPT_RUNS:
             self.clear()
-        text = run.decode()
-        ids = self.word(text) if text.isalpha() else None
-        word = text.rstrip("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-        if ids is not None:
-            pass
-        elif len(word) < len(text) and word.isalpha():  # letters and the marks behind them are split anyway
-            ids = self[word.encode()] + self[text[len(word):].encode()]
+        word = run.rstrip(MARKS)
+        if word.isalpha():  # ASCII letters, in lower case already
+            ids = self.letters_only(word.decode()) if len(word) == len(run) else self[word] + self[run[len(word):]]
         else:
-            ids = self.whole(text)
+            # Marks behind letters are split off, but not from a lower form that ends in a mark of its own.
+            ids = self.word(word.decode()) if word else None
+            if ids is None:
+                ids = self.whole(run.decode())
+            elif len(word) < len(run):
+                ids += self[run[len(word):]]
         self[run] = ids
         return ids
 

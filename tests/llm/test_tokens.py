@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -39,6 +41,26 @@ def test_ids_of_hard_texts(text):
     assert np.frombuffer(TextEncoder(word_bpe()).encode(text), "<u4").tolist() == ids_of(text)
 
 
+def test_ids_of_letters_with_marks_of_their_own():
+    """All letters whose lower form is more than one character, or ends in a mark, before all ASCII marks."""
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()
+               and (len(c.lower()) > 1 or unicodedata.category(c.lower()[-1]).startswith("M"))]
+    assert "İ" in letters
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    own = encoder(word_bpe())
+    for text in (f"{a}{c}{mark}{b}" for c in letters for mark in marks for a, b in (("", ""), ("gaz", ""), ("", "x"), ("GA", "Zİ.,"))):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == ids_of(text), text
+    assert own.encode("BELEDİYESİ, GAZİ.") == np.array(ids_of("BELEDİYESİ, GAZİ."), "<u4").tobytes()
+
+
+def test_ids_of_every_letter_before_a_mark():
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()]
+    own = encoder(word_bpe())
+    texts = [f"a{c}, {c}." for c in letters]
+    for text, ids in zip(texts, LIBRARY.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == ids.ids, text
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 10**6), min_size=1, max_size=60), st.integers(6, 16))
 def test_code_lengths_form_a_complete_code_and_are_limited(counts, limit):

@@ -223,9 +223,19 @@ WHERE kind <> 'REMOVE'""")
 define("cdc_decode", AIR, f"""
 SELECT event_id, sensor_id AS id, {rs("pm25")}, battery_level AS battery, battery_level % 2 = 0 AS even,
        CAST(NULL AS VARCHAR) AS gone, zone, battery_level AS n, 2 * battery_level + 1 AS pair_sum,
-       zone || '|' || city AS tags, {r("battery_level + 2.5", "level_sum")}
+       zone || '|' || city AS tags, {r("battery_level + 2.5", "level_sum")},
+       '{{"extra":{{"x":' || battery_level || ',"y":["' || zone || '","' || city || '"]}}'
+       || CASE WHEN battery_level % 2 = 0 THEN ',"note":"seen ' || zone || '"' ELSE '' END
+       || CASE WHEN battery_level % 3 = 0 THEN ',"odd":{{"QQ":' || battery_level || '}}' ELSE '' END
+       || ',"place":{{"city":"' || city || '"}},"raw":["AQI=","Aw=="]}}' AS rest
 FROM air""")
 
+# Records that are no removals have a new image. Whole numbers next to one digit behind the point need 21 digits.
+define("cdc_open_attributes", AIR, """
+SELECT 'new_image' AS document, attribute, count(*) AS n, kind
+FROM air, (VALUES ('site_code', 'DECIMAL(21,1)'), ('owner', 'OBJECT<team: STRING>')) AS v(attribute, kind)
+WHERE battery_level % 13 <> 0 AND battery_level % 7 <> 0 GROUP BY attribute, kind""")
+
 define("job_capture", AIR, """
 SELECT 'rec_' || CAST(event_id AS VARCHAR) AS record_id,
        CASE WHEN battery_level % 7 = 0 THEN 'REMOVE' WHEN battery_level % 2 = 0 THEN 'MODIFY' ELSE 'INSERT' END AS outcome

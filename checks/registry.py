@@ -16,12 +16,12 @@ from curbsight import schemas
 from curbsight.functions import air as air_index
 from curbsight.functions import traffic as classify
 from curbsight.functions.common import moment, months_back, rounded, week_start
-from curbsight.functions.documents import decode_documents
+from curbsight.functions.documents import attribute_report, decode_open_documents
 from curbsight.operators import air_gold, changes, quality, traffic_gold
 from curbsight.plans import air_reports, documented, jobs, saved, traffic_reports
 from curbsight.session import scratch_dir
 from curbsight.sources import tables
-from curbsight.streaming import air_changes, ledger
+from curbsight.streaming import air_changes, capture, ledger
 from curbsight.streaming import traffic as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,7 +239,7 @@ def typed_text(spark, sf_dir) -> DataFrame:
 
 @query("cdc_decode")
 def cdc_decode(spark, sf_dir):
-    """Every tag of a typed document: S, N, BOOL, NULL, M, L, SS, NS."""
+    """Every tag of a typed document: S, N, BOOL, NULL, M, L, SS, NS; and what no schema declares, as one variant."""
     k = F.col("battery_level")
     number = lambda c: F.struct(c.cast("string").alias("N"))
     text = F.to_json(F.struct(
@@ -249,10 +249,16 @@ def cdc_decode(spark, sf_dir):
         F.struct(F.concat(k.cast("string"), F.lit(".0")).alias("N")).alias("battery"),
         F.struct((k % 2 == 0).alias("BOOL")).alias("even"),
         F.struct(F.lit(True).alias("NULL")).alias("gone"),
-        F.struct(F.struct(F.struct(F.col("zone").alias("S")).alias("zone"), number(k).alias("n")).alias("M")).alias("place"),
+        F.struct(F.struct(F.struct(F.col("zone").alias("S")).alias("zone"), number(k).alias("n"),
+                          F.struct(F.col("city").alias("S")).alias("city")).alias("M")).alias("place"),
         F.struct(F.array(number(k), number(k + 1)).alias("L")).alias("pair"),
         F.struct(F.array(F.col("zone"), F.col("city")).alias("SS")).alias("tags"),
         F.struct(F.array(k.cast("string"), F.lit("2.5")).alias("NS")).alias("levels"),
+        F.when(k % 2 == 0, F.struct(F.concat(F.lit("seen "), F.col("zone")).alias("S"))).alias("note"),
+        F.struct(F.struct(number(k).alias("x"), F.struct(F.array(
+            F.struct(F.col("zone").alias("S")), F.struct(F.col("city").alias("S"))).alias("L")).alias("y")).alias("M")).alias("extra"),
+        F.struct(F.array(F.lit("AQI="), F.lit("Aw==")).alias("BS")).alias("raw"),
+        F.when(k % 3 == 0, F.struct(k.alias("QQ"))).alias("odd"),
     ))
     target = schemas.struct(
         ("event_id", schemas.BIG), ("id", schemas.TEXT), ("pm25", schemas.REAL), ("battery", schemas.WHOLE), ("even", schemas.FLAG),
@@ -264,15 +270,30 @@ def cdc_decode(spark, sf_dir):
     path = scratch_dir(spark, "documents")
     frames.air(spark, sf_dir).select(text.alias("d")).write.text(path)
     documents = spark.read.text(path).withColumnRenamed("value", "d")
-    return decode_documents(documents, {"d": target}).select(
+    return decode_open_documents(documents, {"d": target}).select(
         "d.event_id", "d.id", "d.pm25", "d.battery", "d.even", "d.gone",
         F.col("d.place.zone").alias("zone"), F.col("d.place.n").alias("n"),
         F.aggregate("d.pair", F.lit(0), lambda a, x: a + x).alias("pair_sum"),
         "d.tags",
         F.aggregate("d.levels", F.lit(0.0), lambda a, x: a + x).alias("level_sum"),
+        F.col("d_rest").cast("string").alias("rest"),
     )
 
 
+@query("cdc_open_attributes")
+def cdc_open_attributes(spark, sf_dir):
+    """What the feed carries beyond its schema, found in bronze: how often, and the type that holds all its values."""
+    base = scratch_dir(spark, "open")
+    value, k = F.col("value"), F.get_json_object("value", "$.dynamodb.NewImage.aqi.M.value.N").cast("int")
+    site = F.concat(F.lit('"site_code":{"N":"'), k.cast("string"), F.when(k % 2 == 0, ".5").otherwise(""), F.lit('"},'))
+    seen = F.when(k.isNotNull(), F.concat(F.lit('"NewImage":{'), site, F.lit('"owner":{"M":{"team":{"S":"air"}}},')))
+    more = F.replace(value, F.lit('"NewImage":{'), F.coalesce(seen, F.lit('"NewImage":{')))
+    typed_text(spark, sf_dir).select(more).write.text(f"{base}/landing")
+    capture.run_capture(spark, f"{base}/landing", f"{base}/bronze", f"{base}/failed", f"{base}/progress",
+                        RUN_AT).awaitTermination()
+    return attribute_report(tables.read_air_bronze(spark, f"{base}/bronze"), ["keys", "old_image", "new_image"])
+
+
 @query("cdc_flatten")
 def cdc_flatten(spark, sf_dir):
     path = scratch_dir(spark, "feed")
@@ -293,17 +314,24 @@ def cdc_flatten(spark, sf_dir):
 
 @query("job_capture")
 def job_capture(spark, sf_dir):
-    """Change records with broken lines among them: what reaches bronze, and what is kept aside with its reason."""
+    """Change records with broken lines among them, captured as they arrive: what reaches bronze, each once, and what
+    is kept aside with its reason.
+    """
     base = scratch_dir(spark, "capture")
     broken = spark.createDataFrame([("{\"eventID\": \"rec_x\", ",), ("no json",)], "value string")
     odd = spark.createDataFrame([(
         '{"eventID": "rec_odd", "eventName": "INSERT", "eventSource": "aws:dynamodb", '
         '"dynamodb": {"SequenceNumber": "1", "SizeBytes": "many"}}',)], "value string")
-    typed_text(spark, sf_dir).unionByName(broken).unionByName(odd).write.text(f"{base}/landing")
-    jobs.capture_changes(spark, f"{base}/landing", f"{base}/bronze", f"{base}/failed", RUN_AT)
+    arrivals = (typed_text(spark, sf_dir), broken.unionByName(odd), None)
+    for hours, part in enumerate(arrivals):  # the third run finds nothing new
+        if part is not None:
+            part.write.mode("append").text(f"{base}/landing")
+        capture.run_capture(spark, f"{base}/landing", f"{base}/bronze", f"{base}/failed", f"{base}/progress",
+                            RUN_AT + dt.timedelta(hours=hours)).awaitTermination()
     kept = tables.read_air_bronze(spark, f"{base}/bronze").select(
         F.col("cdc_event_id").alias("record_id"), F.col("cdc_event_type").alias("outcome"))
-    failed = spark.read.schema("record_id string, record string, reason string").json(f"{base}/failed")
+    failed = spark.read.schema("record_id string, record string, reason string").option(
+        "recursiveFileLookup", "true").json(f"{base}/failed")
     return kept.unionByName(failed.select("record_id", F.col("reason").alias("outcome")))
 
 

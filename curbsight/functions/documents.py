@@ -3,11 +3,16 @@
 A document of a known schema is parsed once with ``from_json`` into its wire form and read back by
 plain field access, so the decode stays in generated code. The recursion below runs over the
 *schema* while the plan is built, never over rows.
+
+Attributes that no schema declares are kept beside it, as a variant in plain form (``decode_open_documents``): whatever the
+typed struct has no place for, down to members of declared structs, values of another kind than declared, and tags that
+nobody knows. What is nested deeper than ``OPEN_DEPTH`` keeps its tags, so nothing is lost there either.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,3 +87,113 @@ def decode_documents(frame: DataFrame, targets: Mapping[str, T.StructType]) -> D
     return parsed.withColumns({
         c: F.when(F.col(c).isNotNull(), plain_document(F.col(c), target)) for c, target in targets.items()
     })
+
+
+# --- open attributes ------------------------------------------------------------------------
+
+#: Levels of maps and lists below an undeclared attribute that are read back as plain values.
+OPEN_DEPTH = 3
+
+_OPEN = "map<string,variant>"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _members(value: Column) -> Column:
+    """The members of a variant object; NULL for anything else."""
+    return F.try_variant_get(value, "$", _OPEN)
+
+
+def _number(text: Column) -> Column:
+    """Whole numbers exactly, up to 38 digits; others as doubles; what is no number stays text."""
+    whole = F.coalesce(text.try_cast("bigint").cast("variant"), text.try_cast("decimal(38,0)").cast("variant"))
+    return F.coalesce(F.when(text.contains("."), text.try_cast("double").cast("variant")).otherwise(whole),
+                      text.cast("variant"))
+
+
+def open_value(wire: Column, depth: int = OPEN_DEPTH) -> Column:
+    """A tagged value of any kind as a plain variant; an unknown tag, or one too deep down, stays as it is."""
+    def plain(members: Column) -> Column:
+        tag, value = F.map_keys(members)[0], F.map_values(members)[0]
+        texts = F.try_variant_get(value, "$", "array<string>")
+        read = (
+            F.when(tag == "S", F.try_variant_get(value, "$", "string").cast("variant"))
+            .when(tag == "N", _number(F.try_variant_get(value, "$", "string")))
+            .when(tag == "BOOL", F.try_variant_get(value, "$", "boolean").cast("variant"))
+            .when(tag == "NULL", F.parse_json(F.lit("null")))
+            .when(tag.isin("SS", "BS"), F.to_variant_object(texts))
+            .when(tag == "NS", F.to_variant_object(F.transform(texts, _number)))
+        )
+        if depth > 0:
+            inside = F.when(tag == "M", _members(value))
+            items = F.when(tag == "L", F.try_variant_get(value, "$", "array<variant>"))
+            below = F.transform(F.coalesce(items, F.map_values(inside)), lambda v: open_value(v, depth - 1))
+            read = read.otherwise(_let(below, lambda found: F.when(
+                tag == "M", F.to_variant_object(F.map_from_arrays(F.map_keys(inside), found))
+            ).otherwise(F.to_variant_object(found))))
+        return F.when(F.size(members) == 1, read)
+
+    return F.coalesce(_let(_members(wire), plain), wire)
+
+
+def _has_gap(typed: Column, target: T.DataType) -> Column:
+    """Whether a declared value, or some part of it, could not be read."""
+    if isinstance(target, T.ArrayType):
+        return typed.isNull() | F.exists(typed, lambda x: _has_gap(x, target.elementType))
+    if isinstance(target, T.MapType):
+        return typed.isNull() | F.exists(F.map_values(typed), lambda x: _has_gap(x, target.valueType))
+    return typed.isNull()
+
+
+def _with_rest(frame: DataFrame, wire: str, typed: Column, target: T.StructType, name: str) -> DataFrame:
+    """Add column ``name``: what the members in column ``wire`` have beyond the struct ``typed``, NULL if nothing.
+
+    Every level is a projection of its own, so no part of a document is read more than once.
+    """
+    inner = []
+    for field in target.fields:
+        if isinstance(field.dataType, T.StructType):
+            column = f"{name}_{field.name}"
+            below = F.try_variant_get(F.try_element_at(wire, F.lit(field.name)), "$.M", _OPEN)
+            frame = _with_rest(frame.withColumn(f"{column}_wire", below), f"{column}_wire", typed[field.name],
+                               field.dataType, column)
+            inner.append((field.name, column))
+
+    def unread(key: Column, value: Column) -> Column:
+        gaps = [(key == f.name) & _has_gap(typed[f.name], f.dataType) for f in target.fields]
+        is_null = F.coalesce(F.try_variant_get(value, "$.NULL", "boolean"), F.lit(False))
+        return ~key.isin(target.names) | (reduce(lambda a, b: a | b, gaps) & ~is_null)
+
+    own = F.transform_values(F.map_filter(wire, unread), lambda _, v: open_value(v))
+    nested = F.map_from_entries(F.array_compact(F.array(*(
+        F.when(F.col(column).isNotNull(), F.struct(F.lit(field).alias("k"), F.col(column).alias("v"))) for field, column in inner))))
+    frame = frame.withColumn(f"{name}_all", F.map_concat(own, nested) if inner else own)
+    rest = F.when(F.size(f"{name}_all") > 0, F.to_variant_object(f"{name}_all"))
+    return frame.withColumn(name, rest).drop(
+        wire, f"{name}_all", *(column for _, column in inner))
+
+
+def decode_open_documents(frame: DataFrame, targets: Mapping[str, T.StructType]) -> DataFrame:
+    """``decode_documents``, and beside each of these columns one named ``<column>_rest``: the attributes beyond the typed
+    form as a variant object in plain form, NULL if there are none. Text that is no document at all is kept as text.
+    """
+    texts = {f"_{c}_text": F.col(c) for c in targets}
+    frame = decode_documents(frame.withColumns(texts), targets)
+    for c, target in targets.items():
+        frame = frame.withColumn(f"_{c}_wire", _members(F.try_parse_json(f"_{c}_text")))
+        broken = F.when(F.col(f"_{c}_text").isNotNull() & F.col(f"_{c}_wire").isNull(), F.col(f"_{c}_text").cast("variant"))
+        frame = frame.withColumn(f"_{c}_broken", broken)
+        frame = _with_rest(frame, f"_{c}_wire", F.col(c), target, f"{c}_rest")
+        frame = frame.withColumn(f"{c}_rest", F.coalesce(f"_{c}_broken", f"{c}_rest")).drop(f"_{c}_text", f"_{c}_broken")
+    return frame
+
+
+def attribute_report(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """Undeclared attributes in ``<column>_rest`` columns: how often each occurs, and the one type that holds its values."""
+    found = [frame.select(F.lit(c).alias("document"), F.explode(_members(F.col(f"{c}_rest"))).alias("attribute", "value"))
+             for c in columns]
+    return reduce(DataFrame.unionByName, found).groupBy("document", "attribute").agg(
+        F.count(F.lit(1)).alias("n"), F.schema_of_variant_agg("value").alias("kind"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curbsight import schemas
 from curbsight.functions.common import calendar, processing_time
-from curbsight.functions.documents import decode_documents
+from curbsight.functions.documents import decode_open_documents
 
 # Event kinds and the feed they come from.
 UPSERTS = ("INSERT", "MODIFY")
@@ -25,7 +25,7 @@ def flatten_changes(records: DataFrame, run_at: dt.datetime) -> DataFrame:
 
     The event id of the record is kept as the envelope's id: a random id would change whenever a
     lost task is run again. Records of other sources are none of this feed; lines that are no record are found
-    with ``broken_lines``.
+    with ``broken_lines``. Attributes that the images' schema doesn't declare are in the ``_rest`` columns.
     """
     feed = records.filter(F.col("eventSource") == FEED_SOURCE).select(
         "eventID", "eventName", "awsRegion", "eventSourceARN",
@@ -35,7 +35,7 @@ def flatten_changes(records: DataFrame, run_at: dt.datetime) -> DataFrame:
         F.col("dynamodb.OldImage").alias("old_image"),
         F.col("dynamodb.NewImage").alias("new_image"),
     )
-    images = decode_documents(
+    images = decode_open_documents(
         feed, {"keys": schemas.KEYS, "old_image": schemas.AIR_DOCUMENT, "new_image": schemas.AIR_DOCUMENT}
     )
     upsert = F.col("eventName").isin(*UPSERTS)
@@ -59,7 +59,7 @@ def flatten_changes(records: DataFrame, run_at: dt.datetime) -> DataFrame:
         F.col("awsRegion").alias("aws_region"),
         F.col("eventSourceARN").alias("table_arn"),
         *(F.lit(run_at.strftime(code)).alias(f"partition_{part}") for part, code in stamp.items()),
-        "keys", "old_image", "new_image",
+        "keys", "old_image", "new_image", "keys_rest", "old_image_rest", "new_image_rest",
         *(F.when(upsert, F.col(f"new_image.{path}")).alias(name) for name, path in lifted.items()),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 TEXT, REAL, WHOLE, BIG = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType()
-FLAG, STAMP, DATE = T.BooleanType(), T.TimestampType(), T.DateType()
+FLAG, STAMP, DATE, OPEN = T.BooleanType(), T.TimestampType(), T.DateType(), T.VariantType()
 
 
 def struct(*groups: tuple[str, T.DataType]) -> T.StructType:
@@ -40,6 +40,8 @@ BRONZE_AIR = struct(
     ("aws_region table_arn partition_year partition_month partition_day partition_hour", TEXT),
     ("keys", KEYS),
     ("old_image new_image", AIR_DOCUMENT),
+    # Attributes of these documents that are not declared above.
+    ("keys_rest old_image_rest new_image_rest", OPEN),
     ("sensor_id sensor_type sensor_timestamp zone pm25 temperature aqi_value", TEXT),
     (CORRUPT, TEXT),
 )
@@ -120,3 +122,6 @@ CHANGE_RECORD = struct(
     ),
     (CORRUPT, TEXT),
 )
+
+# Change records as a capture stages them: with the time of the batch, which a retry must not change.
+CAPTURED = T.StructType([f for f in CHANGE_RECORD.fields] + [T.StructField("captured_at", STAMP)])

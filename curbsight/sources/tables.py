@@ -122,6 +122,11 @@ def append_jsonl(frame: DataFrame, path: str, run_at: dt.datetime) -> None:
     frame.withColumns(parts).write.mode("append").partitionBy(*HOURLY).json(path)
 
 
+def replace_jsonl(frame: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write JSON Lines below folders ``by``, of which only those that occur in ``frame`` are replaced."""
+    frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(path)
+
+
 def write_arranged(
     rows: DataFrame, path: str, by: Sequence[str] = DAILY, mode: str = "overwrite", overwrite: str = "static"
 ) -> None:

@@ -41,7 +41,10 @@ def stage(frame: DataFrame, path: str, schema: T.StructType, by: Sequence[str] =
     """Write a batch unless an earlier attempt finished doing so, and go on from the files."""
     spark = frame.sparkSession
     if not exists(spark, f"{path}/_SUCCESS"):
-        laid_out(frame, by).write.mode("overwrite").partitionBy(*by).parquet(path)
+        if by:
+            laid_out(frame, by).write.mode("overwrite").partitionBy(*by).parquet(path)
+        else:
+            frame.write.mode("overwrite").parquet(path)
     return read_parquet(spark, path, schema)
 
 

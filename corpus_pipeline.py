@@ -3,25 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curbsight.llm import decontamination, line_dedup, near_dedup, quality, registry
 from curbsight.llm.common import ship
 from curbsight.session import scratch_dir
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """Documents with all their columns in one, so that none of them meets a name that an operator uses."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"), "doc_id", "text")
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject; it is trained on the labels of this stage's rows."""
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.score(docs, quality.train(docs, labels))
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = quality.score(whole(docs), quality.train(docs, labels))
+    return scored.where("predicted = 1").select("document.*")
 
 
 def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated runs; ``n_chars`` follows the text."""
     ship(spark)
-    cut = line_dedup.dedup_lines(docs).withColumn("n_chars", registry.n_chars("text"))
-    return cut.select(*docs.columns)
+    cut = line_dedup.dedup_lines(whole(docs))
+    changed = {"text": F.col("text"), "n_chars": registry.n_chars("text")}
+    return cut.select(*(changed.get(c, F.col(f"document.`{c}`")).alias(c) for c in docs.columns))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +41,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents of which less than one word in twenty is part of a benchmark phrase."""
     ship(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.find_benchmark(docs, benchmark, keep=docs.columns)
-    return decontamination.contaminated(found).where("not contaminated").select(*docs.columns)
+    found = decontamination.find_benchmark(whole(docs), benchmark, keep=["document"])
+    return decontamination.contaminated(found).where("not contaminated").select("document.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

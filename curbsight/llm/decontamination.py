@@ -300,16 +300,19 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], windo
                    cut_text: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The columns ``keep`` of each document with n_words, n_hit, merged spans (word positions), items found.
 
-    With ``cut_text`` also the text without the spans, as ``kept_text`` (null otherwise).
+    Columns of these names, or of ``contaminated``, that the documents have themselves are replaced. With ``cut_text`` also the text without the spans, as ``kept_text`` (null otherwise).
     """
     context = docs.sparkSession.sparkContext
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), F.col("text").alias("_text"))
+    found = ["n_words", "n_hit", "spans", "items", "kept_text"]
+    own = [c for c in keep if c not in (*found, "contaminated")]
+    inside = [F.col(f"`{c}`") for c in own] or [F.lit(0)]
+    packed = docs.select(F.struct(*inside).alias("_row"), F.col("text").alias("_text"))
+    kept = [F.col(f"_row.`{c}`") for c in own]
     blocks = benchmark_blocks(benchmark, block_words)
     first, second = next(blocks), next(blocks, None)
-    found = ["n_words", "n_hit", "spans", "items", "kept_text"]
     if second is None:
         one = _search(packed, context.broadcast(Phrases(first, window)), cut_text)
-        return one.select("_row.*", *found)
+        return one.select(*kept, *found)
     named = stored(packed.withColumn("_no", F.monotonically_increasing_id()), "named-documents")
     parts = None
     while first is not None:
@@ -320,7 +323,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], windo
     by_row = parts.groupBy(F.col("_row._no").alias("_no")).agg(
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return _merged(named.join(by_row, "_no", "left"), cut_text).select("_row.*", *found)
+    return _merged(named.join(by_row, "_no", "left"), cut_text).select(*kept, *found)
 
 
 def _merged(joined: DataFrame, cut_text: bool) -> DataFrame:

@@ -311,7 +311,7 @@ def _mark(marks: np.ndarray, words: np.ndarray, other: np.ndarray, shift: np.nda
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """All columns with ``text`` cut, and n_removed: how many words were cut."""
+    """All columns with ``text`` cut, and n_removed: how many words were cut, which replaces a column of this name."""
     spark = docs.sparkSession
     rows = keyed(docs)
     twice = stored(prints(rows).where("n > 1"), "repeated-prints")

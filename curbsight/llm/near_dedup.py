@@ -311,7 +311,9 @@ def classes(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """All columns with ``class_id`` (the smallest doc_id of the class) and ``kept`` (it is that document)."""
+    """All columns with ``class_id`` (the smallest doc_id of the class) and ``kept`` (it is that document), which replace
+    columns of these names.
+    """
     rows = noded(docs)
     roots = classes(rows)
     member = stored(rows.select("_id", "node").join(roots, "node", "left")

@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on)."""
+    """All columns with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on), which replace columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two numbers per hashed feature
 
     @F.pandas_udf("double")

@@ -74,3 +74,33 @@ def test_plans_have_no_cross_join(spark):
                   decontamination.find_benchmark(docs, items, ["doc_id"])):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+#: Names that operators and stages use for columns of their own.
+USED = ("key", "row", "node", "score", "predicted", "kept", "class_id", "root", "n_removed", "starts", "n_words", "n_hit", "spans",
+        "items", "contaminated", "kept_text", "document", "_row", "_rest", "_text", "_no", "_id", "_key", "piece", "start",
+        "length", "sequence_id", "offset", "ids", "bucket", "features", "label")
+
+
+def test_stages_keep_columns_with_names_of_their_own(spark, tmp_path):
+    item = prose(700, 30)
+    rows = [(i, prose(i, 80)) for i in range(40)] + [(100 + i, prose(200 + i, 60).replace(" ", "$$$ ").upper()) for i in range(40)]
+    rows += [(200, rows[3][1]), (202, " ".join([prose(300, 40), item, prose(301, 40)])), (203, None)]
+    shape = "doc_id long, text string, n_chars long" + "".join(f", `{c}` string" for c in USED)
+    docs = spark.createDataFrame([(i, t, len(t or ""), *(f"{c} of {i}" for c in USED)) for i, t in rows], shape)
+    sf = str(tmp_path)
+    spark.createDataFrame([(i, int(i < 100 or i >= 200), 0) for i, _ in rows], "doc_id long, quality int, toxic int") \
+        .write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, sf).write.parquet(f"{sf}/stage{number}")
+        left = spark.read.parquet(f"{sf}/stage{number}")
+        assert left.schema == docs.schema, name
+        for r in left.collect():
+            assert [r[c] for c in USED] == [f"{c} of {r['doc_id']}" for c in USED], name
+        assert 20 < left.count() <= len(rows)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert {r["doc_id"] for r in packed.collect()} == {i for i, _ in rows}
+    found = decontamination.contaminated(decontamination.find_benchmark(
+        docs, spark.read.parquet(f"{sf}/benchmark.parquet"), docs.columns)).collect()
+    assert {r["doc_id"] for r in found if r["contaminated"]} == {202} and len(found[0]["key"]) > 3

@@ -926,7 +926,7 @@ def rows_by_day(source: str, keys_by_table: dict[str, str]) -> str:
 CORRECTED = "make_date(year, month, day) <> DATE '2024-01-10' AND NOT (year = 2024 AND month = 1 AND day = 12 AND hour < 12)"
 
 define("job_air_refresh", f"{AIR}, corrected AS (SELECT * FROM air WHERE {CORRECTED})", rows_by_day("corrected", {
-    "air_quality_sensor_hours": "hour, sensor_id, zone, city, country, device_status, firmware_version",
+    "air_quality_sensor_hours": "hour, sensor_id, zone, city, country, device_status, firmware_version, aqi_category",
     "air_quality_hourly_avg": "hour, zone, city, country",
     "aqi_trends": "hour, zone",
     "air_quality_daily_summary": "zone, city",
@@ -937,7 +937,7 @@ define("job_air_refresh", f"{AIR}, corrected AS (SELECT * FROM air WHERE {CORREC
 
 define("job_traffic_refresh", f"{TRAFFIC}, corrected AS (SELECT * FROM traffic WHERE {CORRECTED})", rows_by_day(
     "corrected", {
-        "traffic_sensor_hours": "hour, intersection, road_type, city, sensor_id",
+        "traffic_sensor_quarters": "quarter, intersection, road_type, city, sensor_id",
         "traffic_hourly_by_intersection": "hour, intersection, road_type, city",
         "traffic_daily_summary": "road_type, city",
         "traffic_congestion_trends": "quarter, road_type, city",

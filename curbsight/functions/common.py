@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,6 +180,25 @@ def finished_means(spec: Mapping[str, str]) -> list[Column]:
     ]
 
 
+def squares(column: str) -> Column:
+    """The third part of a deviation beside sum and count: the summed squares about the own mean of a group of readings."""
+    return F.coalesce(F.var_pop(column) * F.count(column), F.lit(0.0))
+
+
+def merged_deviation(parts: DataFrame, keys: Sequence[str], column: str) -> tuple[DataFrame, Column]:
+    """Parts with what is needed to merge their deviations, and the sample deviation as an aggregate over ``keys``.
+
+    The squares of a union are the squares of its parts and what the parts' means are off the common mean (Chan's rule
+    for many parts). Differences of large sums, which lose all digits where readings are nearly alike, don't occur.
+    The common mean is brought to each part by a window over the same keys as the aggregate, so it is one shuffle.
+    """
+    total, n, own = F.col(f"{column}__sum"), F.col(f"{column}__n"), F.col(f"{column}__m2")
+    group = Window.partitionBy(*keys)
+    off = F.try_divide(total, n) - F.try_divide(F.sum(total).over(group), F.sum(n).over(group))
+    about = parts.withColumn("_about", own + F.coalesce(n * off * off, F.lit(0.0)))
+    return about, F.when(F.sum(n) > 1, F.sqrt(F.sum("_about") / (F.sum(n) - 1)))
+
+
 def rounded(value: Column | str, digits: int) -> Column:
     """Half-up rounding that does not depend on the order in which doubles were added.
 

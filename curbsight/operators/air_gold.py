@@ -1,10 +1,11 @@
 """Gold tables and support rollups of the air-quality domain.
 
-Daily tables are built from parts. A part holds sums, counts and extremes that merge: one reading is
-the finest part, ``sensor_hours`` merges them to one row per sensor and hour. That level has plain
+Tables are built from parts. A part holds sums, counts, squares and extremes that merge: one reading is
+the finest part, ``sensor_hours`` merges them to one row per sensor, state and hour. That level has plain
 number buffers and keys which a partial hash aggregate shrinks before the shuffle. Everything that
 would sort or copy readings (the newest state, the hour of the peak, distinct counts) runs over the
-few rows left. Stored, the rollup also spares the daily and monthly tables a second pass over silver.
+few rows left. Stored, the rollup is all that the other tables need, so silver is read once.
+``hourly_by_zone`` and ``aqi_trends`` also exist straight from readings, for reports without stored tables.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from curbsight.functions.common import (
     distinct_hours,
     finished_means,
     mean_parts,
+    merged_deviation,
     merged_parts,
+    squares,
 )
 
 READING = "reading_datetime"
@@ -63,15 +66,37 @@ def hourly_by_zone(silver: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("reading_count"),
         F.count_if(F.col("pm25") > UNHEALTHY_PM25).alias("unhealthy_reading_count"),
     )
+    return _with_status(rows)
+
+
+def _with_status(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
         {**calendar("hour_timestamp", hour=True), "aqi_status": band(F.col("avg_aqi"), HOURLY_STATUS, "Unhealthy")}
     )
 
 
+def zone_hours(hours: DataFrame) -> DataFrame:
+    """``hourly_by_zone`` from the sensor-hour rollup."""
+    keys = ("hour_timestamp", "zone", "city", "country")
+    parts, deviation = merged_deviation(hours, keys, "pm25")
+    rows = parts.groupBy(*keys).agg(
+        *finished_means(HOURLY_MEANS),
+        F.min("low_pm25").alias("min_pm25"),
+        F.max("peak_pm25").alias("max_pm25"),
+        deviation.alias("stddev_pm25"),
+        F.max("peak_aqi").alias("max_aqi"),
+        F.count_distinct("sensor_id").alias("active_sensor_count"),
+        F.sum("readings").alias("reading_count"),
+        F.sum("unhealthy_pm25").alias("unhealthy_reading_count"),
+    )
+    return _with_status(rows)
+
+
 # --- sensor-hour rollup ---------------------------------------------------------------------
 
 _MEANS = (
-    "pm25", "pm10", "temperature_celsius", "humidity_percent", "aqi_value", "battery_level", "signal_strength_dbm",
+    "pm25", "pm10", "co2", "no2", "o3", "temperature_celsius", "humidity_percent", "pressure_hpa", "aqi_value",
+    "battery_level", "signal_strength_dbm",
 )
 _LOWEST = {"low_pm25": "pm25", "low_temp": "temperature_celsius", "low_battery": "battery_level"}
 _HIGHEST = {
@@ -80,7 +105,8 @@ _HIGHEST = {
     "peak_temp": "temperature_celsius",
     "last_seen": READING,
 }
-_TOTALS = ("readings", "elevated", "unhealthy")
+_TOTALS = ("readings", "elevated", "unhealthy", "unhealthy_pm25")
+_STATE = ("device_status", "firmware_version", "aqi_category")
 
 
 def newness() -> Column:
@@ -97,7 +123,7 @@ def newness() -> Column:
 def reading_parts(silver: DataFrame) -> DataFrame:
     """Every reading as a part of its own, for tables that need no rollup before them."""
     return silver.select(
-        hour_bucket(), "sensor_id", "zone", "city", "country", "device_status", "firmware_version",
+        hour_bucket(), "sensor_id", "zone", "city", "country", *_STATE,
         *mean_parts(_MEANS),
         *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
         F.col("battery_level").alias("last_battery"),
@@ -105,15 +131,15 @@ def reading_parts(silver: DataFrame) -> DataFrame:
         F.lit(1).cast("bigint").alias("readings"),
         (F.col("aqi_value") > ELEVATED_AQI).cast("bigint").alias("elevated"),
         (F.col("aqi_value") > UNHEALTHY_AQI).cast("bigint").alias("unhealthy"),
+        (F.col("pm25") > UNHEALTHY_PM25).cast("bigint").alias("unhealthy_pm25"),
     )
 
 
 def sensor_hours(silver: DataFrame) -> DataFrame:
-    """Parts merged per hour, sensor and device state."""
-    rows = reading_parts(silver).groupBy(
-        "hour_timestamp", "sensor_id", "zone", "city", "country", "device_status", "firmware_version"
-    ).agg(
+    """Parts merged per hour, sensor, device state and category."""
+    rows = reading_parts(silver).groupBy("hour_timestamp", "sensor_id", "zone", "city", "country", *_STATE).agg(
         *merged_parts(_MEANS),
+        squares("low_pm25").alias("pm25__m2"),
         *(F.min(c).alias(c) for c in _LOWEST),
         *(F.max(c).alias(c) for c in _HIGHEST),
         F.max_by("last_battery", "newness").alias("last_battery"),
@@ -216,8 +242,20 @@ def aqi_trends(silver: DataFrame) -> DataFrame:
         F.to_date(READING).alias("date"), F.hour(READING).alias("hour"), "zone", "aqi_category",
         *mean_parts(["aqi_value"]),
     )
+    return _category_rows(parts.withColumn("readings", F.lit(1)))
+
+
+def category_hours(hours: DataFrame) -> DataFrame:
+    """``aqi_trends`` from the sensor-hour rollup."""
+    return _category_rows(hours.select(
+        F.to_date("hour_timestamp").alias("date"), F.hour("hour_timestamp").alias("hour"), "zone", "aqi_category",
+        "aqi_value__sum", "aqi_value__n", "readings",
+    ))
+
+
+def _category_rows(parts: DataFrame) -> DataFrame:
     per_category = parts.groupBy("date", "hour", "zone", "aqi_category").agg(
-        *merged_parts(["aqi_value"]), F.count(F.lit(1)).alias("readings")
+        *merged_parts(["aqi_value"]), F.sum("readings").alias("readings")
     )
     pair = F.when(
         F.col("aqi_category").isNotNull(),

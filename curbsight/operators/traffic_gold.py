@@ -1,4 +1,8 @@
-"""Gold tables and support rollups of the traffic domain."""
+"""Gold tables and support rollups of the traffic domain.
+
+``sensor_quarters`` merges readings to one row per sensor and quarter of an hour, with parts from which all tables but the
+incidents follow, so that silver is read once for them. Functions over silver serve reports and streams without it.
+"""
 
 from __future__ import annotations
 
@@ -13,9 +17,11 @@ from curbsight.functions.common import (
     finished_means,
     grade,
     mean_parts,
+    merged_deviation,
     merged_parts,
     percent,
     rounded,
+    squares,
 )
 
 READING = "reading_datetime"
@@ -69,6 +75,10 @@ def hourly_by_intersection(silver: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("reading_count"),
         F.count_distinct("sensor_id").alias("active_sensors"),
     )
+    return _with_level(rows, named)
+
+
+def _with_level(rows: DataFrame, named: str) -> DataFrame:
     weighted = sum(F.col(named.format(x)) * w for x, w in classify.LEVEL_WEIGHTS.items())
     return rows.withColumns({
         **calendar("hour_timestamp", hour=True),
@@ -77,6 +87,124 @@ def hourly_by_intersection(silver: DataFrame) -> DataFrame:
     })
 
 
+# --- quarter-hour rollup --------------------------------------------------------------------
+
+_QUARTER_MEANS = ("vehicle_count", "avg_speed_mph", "occupancy_percent", "queue_length_meters", "traffic_flow_score")
+_PLACE = ("intersection", "road_type", "city")
+
+
+def sensor_quarters(silver: DataFrame) -> DataFrame:
+    """Mergeable parts per quarter of an hour and sensor: sums, counts, squares and extremes."""
+    micros = F.unix_micros(READING)
+    parts = silver.select(
+        F.timestamp_micros(micros - F.pmod(micros, F.lit(WINDOW_MINUTES * 60_000_000))).alias("time_window_start"),
+        *_PLACE, "sensor_id",
+        *mean_parts(_QUARTER_MEANS),
+        *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
+        *_TOTALS, "congestion_level", "incident_detected",
+    )
+    rows = parts.groupBy("time_window_start", *_PLACE, "sensor_id").agg(
+        *merged_parts(_QUARTER_MEANS),
+        squares("low_vehicles").alias("vehicle_count__m2"),
+        *(F.min(c).alias(c) for c in _LOWEST),
+        *(F.max(c).alias(c) for c in _HIGHEST),
+        *(F.sum(c).alias(c) for c in _TOTALS),
+        *level_counts("{}_count"),
+        F.count_if("incident_detected").alias("incidents"),
+        F.count(F.lit(1)).alias("readings"),
+    )
+    return rows.withColumns({
+        "congested": F.col("severe_count") + F.col("high_count"),
+        **calendar("time_window_start"),
+    })
+
+
+def _by_hour(quarters: DataFrame) -> DataFrame:
+    return quarters.withColumn("hour_timestamp", F.date_trunc("hour", "time_window_start"))
+
+
+def _summed_levels(pattern: str) -> list[Column]:
+    return [F.sum(f"{x}_count").alias(pattern.format(x)) for x in classify.LEVELS]
+
+
+def intersection_hours(quarters: DataFrame) -> DataFrame:
+    """``hourly_by_intersection`` from the rollup."""
+    named, keys = "{}_congestion_count", ("hour_timestamp", *_PLACE)
+    parts, deviation = merged_deviation(_by_hour(quarters), keys, "vehicle_count")
+    rows = parts.groupBy(*keys).agg(
+        *finished_means({
+            "avg_vehicle_count": "vehicle_count",
+            "avg_speed_mph": "avg_speed_mph",
+            "avg_occupancy_percent": "occupancy_percent",
+            "avg_queue_length_meters": "queue_length_meters",
+            "avg_traffic_flow_score": "traffic_flow_score",
+        }),
+        F.min("low_vehicles").alias("min_vehicle_count"),
+        F.max("peak_vehicles").alias("max_vehicle_count"),
+        deviation.alias("stddev_vehicle_count"),
+        F.sum("vehicle_count__sum").alias("total_vehicles"),
+        F.min("low_speed").alias("min_speed_mph"),
+        F.max("peak_speed").alias("max_speed_mph"),
+        *_summed_levels(named),
+        F.sum("incidents").alias("incidents_detected"),
+        F.sum("pedestrian_count").alias("total_pedestrians"),
+        F.sum("bike_count").alias("total_bikes"),
+        F.sum("readings").alias("reading_count"),
+        F.count_distinct("sensor_id").alias("active_sensors"),
+    )
+    return _with_level(rows, named)
+
+
+def road_days(quarters: DataFrame) -> DataFrame:
+    """``daily_by_road_type`` from the rollup."""
+    return daily_by_road_type(_by_hour(quarters))
+
+
+def trend_quarters(quarters: DataFrame) -> DataFrame:
+    """``congestion_trends`` from the rollup."""
+    timed = quarters.where("time_window_start is not null")
+    rows = timed.groupBy("time_window_start", "city", "road_type").agg(
+        *finished_means({
+            "avg_vehicles": "vehicle_count",
+            "avg_speed": "avg_speed_mph",
+            "avg_occupancy": "occupancy_percent",
+            "avg_flow_score": "traffic_flow_score",
+        }),
+        *_summed_levels("{}_count"),
+        F.sum("readings").alias("reading_count"),
+    )
+    start = F.col("time_window_start")
+    return _with_trend(rows, start, start + F.expr(f"INTERVAL {WINDOW_MINUTES} MINUTES"))
+
+
+def intersection_quarters(quarters: DataFrame) -> DataFrame:
+    """``quarter_hours_by_intersection`` from the rollup."""
+    timed = quarters.where("time_window_start is not null")
+    rows = timed.groupBy("time_window_start", *_PLACE).agg(
+        *finished_means({"avg_speed_mph": "avg_speed_mph"}),
+        F.sum("vehicle_count__sum").alias("vehicle_count"),
+        *_summed_levels("{}_count"),
+        F.sum("readings").alias("reading_count"),
+    )
+    return rows.withColumns({**calendar("time_window_start"), "congestion_level": dominant_level("{}_count")})
+
+
+def congestion_hours(quarters: DataFrame) -> DataFrame:
+    """Mean and highest congestion per hour and intersection on the 0-1 scale, from the rollup."""
+    shares = {x: weight / 100 for x, weight in classify.LEVEL_WEIGHTS.items()}
+    total = sum(F.sum(f"{x}_count") * share for x, share in shares.items())
+    levelled = sum(F.sum(f"{x}_count") for x in shares)
+    rows = _by_hour(quarters).groupBy("hour_timestamp", "intersection", "city", "road_type").agg(
+        F.try_divide(total, levelled).alias("hourly_avg_congestion"),
+        F.max(F.greatest(*(F.when(F.col(f"{x}_count") > 0, share) for x, share in shares.items()))).alias(
+            "hourly_max_congestion"),
+        F.sum("incidents").alias("hourly_incidents"),
+    )
+    return rows.withColumns(calendar("hour_timestamp"))
+
+
+# --- sensor-hour rollup ---------------------------------------------------------------------
+
 _MEANS = ("vehicle_count", "avg_speed_mph", "traffic_flow_score")
 _LOWEST = {"low_vehicles": "vehicle_count", "low_speed": "avg_speed_mph"}
 _HIGHEST = {"peak_vehicles": "vehicle_count", "peak_speed": "avg_speed_mph"}
@@ -167,15 +295,19 @@ def congestion_trends(silver: DataFrame) -> DataFrame:
         *level_counts("{}_count"),
         F.count(F.lit(1)).alias("reading_count"),
     )
+    return _with_trend(rows, F.col("span.start"), F.col("span.end")).drop("span")
+
+
+def _with_trend(rows: DataFrame, start: Column, end: Column) -> DataFrame:
     score = F.col("avg_flow_score")
     return rows.withColumns({
-        "time_window_start": F.col("span.start"),
-        "time_window_end": F.col("span.end"),
-        **calendar(F.col("span.start"), hour=True),
+        "time_window_start": start,
+        "time_window_end": end,
+        **calendar(start, hour=True),
         "congestion_trend": F.when(score < TREND_WORSENING_BELOW, "Worsening")
         .when(score > TREND_IMPROVING_ABOVE, "Improving")
         .otherwise("Stable"),
-    }).drop("span")
+    })
 
 
 def quarter_hours_by_intersection(silver: DataFrame) -> DataFrame:

@@ -103,11 +103,6 @@ def quality_days(candidates: DataFrame) -> DataFrame:
     return quality_scores(candidates).withColumns(calendar("date"))
 
 
-def congestion_hours(silver: DataFrame) -> DataFrame:
-    """``hourly_congestion`` as a table by day."""
-    return hourly_congestion(silver).withColumns(calendar("hour_timestamp"))
-
-
 def with_quality(health: DataFrame, candidates: DataFrame) -> DataFrame:
     """Attach quality scores; both sides hold one row per sensor and day."""
     return health.join(quality_scores(candidates), ["date", "sensor_id"], "left")

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from calendar import monthrange
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from curbsight import schemas
 from curbsight.functions.common import moment, processing_time
@@ -35,6 +37,10 @@ from curbsight.sources.tables import (
 Builder = Callable[[DataFrame], DataFrame]
 
 
+#: Gold tables that are written at the same time.
+TABLES_AT_ONCE = 4
+
+
 class GoldTable(NamedTuple):
     name: str
     build: Builder
@@ -43,7 +49,7 @@ class GoldTable(NamedTuple):
 
 
 class Domain(NamedTuple):
-    """The sensor-hour rollup of a domain, its tables and the silver schema they are built from."""
+    """The rollup of a domain, the tables built from it or from silver, and the silver schema."""
 
     rollup: GoldTable
     tables: tuple[GoldTable, ...]
@@ -53,8 +59,8 @@ class Domain(NamedTuple):
 AIR = Domain(
     GoldTable("air_quality_sensor_hours", air_gold.sensor_hours),
     (
-        GoldTable("air_quality_hourly_avg", air_gold.hourly_by_zone),
-        GoldTable("aqi_trends", air_gold.aqi_trends),
+        GoldTable("air_quality_hourly_avg", air_gold.zone_hours, from_rollup=True),
+        GoldTable("aqi_trends", air_gold.category_hours, from_rollup=True),
         GoldTable("air_quality_daily_summary", air_gold.daily_by_zone, MONTHLY, from_rollup=True),
         GoldTable("sensor_health_metrics", air_gold.sensor_health, from_rollup=True),
         GoldTable("air_quality_daily_by_sensor", air_gold.daily_by_sensor, from_rollup=True),
@@ -64,14 +70,14 @@ AIR = Domain(
 )
 
 TRAFFIC = Domain(
-    GoldTable("traffic_sensor_hours", traffic_gold.sensor_hours),
+    GoldTable("traffic_sensor_quarters", traffic_gold.sensor_quarters),
     (
-        GoldTable("traffic_hourly_by_intersection", traffic_gold.hourly_by_intersection),
-        GoldTable("traffic_daily_summary", traffic_gold.daily_by_road_type, MONTHLY, from_rollup=True),
+        GoldTable("traffic_hourly_by_intersection", traffic_gold.intersection_hours, from_rollup=True),
+        GoldTable("traffic_daily_summary", traffic_gold.road_days, MONTHLY, from_rollup=True),
         GoldTable("traffic_incidents", traffic_gold.incidents),
-        GoldTable("traffic_congestion_trends", traffic_gold.congestion_trends),
-        GoldTable("traffic_congestion_by_intersection", traffic_gold.quarter_hours_by_intersection),
-        GoldTable("traffic_hourly_congestion", documented.congestion_hours),
+        GoldTable("traffic_congestion_trends", traffic_gold.trend_quarters, from_rollup=True),
+        GoldTable("traffic_congestion_by_intersection", traffic_gold.intersection_quarters, from_rollup=True),
+        GoldTable("traffic_hourly_congestion", traffic_gold.congestion_hours, from_rollup=True),
     ),
     schemas.SILVER_TRAFFIC,
 )
@@ -130,6 +136,9 @@ def build_gold(
     stale rows survive. With ``days`` only those days of silver are read and only their folders
     replaced, also where nothing is left of a day, so a refresh leaves what a rebuild would. Tables
     laid out by month need their whole months, which they take from the stored rollup instead of silver.
+
+    Silver is read once for the rollup, and by a filter where a table lists single readings. The tables do not depend on
+    each other, so they are built side by side.
     """
     if days is None and not has_rows(silver):
         return []
@@ -153,8 +162,11 @@ def build_gold(
         return path
 
     rollup = read_parquet(spark, store(domain.rollup, silver), gold_schema(spark, domain, domain.rollup))
-    for table in domain.tables:
-        store(table, rollup if table.from_rollup else silver)
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        stores = [pool.submit(inheritable_thread_target(spark)(store), table, rollup if table.from_rollup else silver)
+                  for table in domain.tables]
+    for done in stores:
+        done.result()
     return [domain.rollup.name, *(table.name for table in domain.tables)]
 
 

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from curbsight.operators import air_gold, traffic_gold
-from curbsight.plans import air_reports, documented, traffic_reports
+from curbsight.plans import air_reports, documented, jobs, traffic_reports
 from tests.rows import AT, air, minutes, traffic
 
 
@@ -148,3 +149,80 @@ def test_missing_days_need_no_cross_join(spark):
     health = air_gold.sensor_health(air_gold.sensor_hours(rows))
     missing = air_reports.missing_sensor_days(days, health, AT.date())
     assert [r.expected_date.day for r in missing.collect()] == [8, 7, 6, 5, 4, 3]
+
+
+# --- tables from the stored rollup ------------------------------------------------------------
+
+
+def rounded_rows(frame, columns):
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else str(v) for v in r) for r in frame.select(*columns).collect()), key=repr)
+
+
+def mixed_air(spark):
+    draw = random.Random(4)
+    return air(spark, *({
+        "pm25": draw.choice([None, 0.1, 35.4, 35.5, draw.uniform(0, 400)]), "reading_datetime": minutes(11 * i),
+        "sensor_id": f"s{draw.randint(0, 4)}", "zone": draw.choice(["a", "b", None]), "aqi_value": draw.choice([None, 40, 101, 180]),
+        "aqi_category": draw.choice(["Good", None, "Moderate"]), "co2": draw.choice([None, 400.5]), "firmware_version": draw.choice("xy"),
+        "battery_level": draw.randint(0, 99)} for i in range(150)), {"reading_datetime": None})
+
+
+def mixed_traffic(spark):
+    draw = random.Random(5)
+    return traffic(spark, *({
+        "event_id": str(i), "vehicle_count": draw.choice([None, 5, 40, 90]), "reading_datetime": minutes(4 * i),
+        "sensor_id": f"s{draw.randint(0, 3)}", "intersection": draw.choice(["a", "b", None]), "road_type": draw.choice(["local", "major"]),
+        "congestion_level": draw.choice(["low", "moderate", "high", "severe", None, "odd"]), "bike_count": draw.choice([None, 3]),
+        "avg_speed_mph": draw.choice([None, 3.5, 40.25]), "incident_detected": draw.random() < 0.2} for i in range(150)))
+
+
+def test_air_tables_from_the_rollup_are_those_from_readings(spark):
+    rows = mixed_air(spark)
+    hours = air_gold.sensor_hours(rows)
+    for direct, merged in ((air_gold.hourly_by_zone(rows), air_gold.zone_hours(hours)),
+                           (air_gold.aqi_trends(rows), air_gold.category_hours(hours))):
+        assert {(f.name, f.dataType) for f in direct.schema} == {(f.name, f.dataType) for f in merged.schema}
+        assert rounded_rows(direct, direct.columns) == rounded_rows(merged, direct.columns)
+
+
+def test_traffic_tables_from_the_rollup_are_those_from_readings(spark):
+    rows = mixed_traffic(spark)
+    quarters = traffic_gold.sensor_quarters(rows)
+    pairs = (
+        (traffic_gold.hourly_by_intersection(rows), traffic_gold.intersection_hours(quarters)),
+        (traffic_gold.daily_by_road_type(traffic_gold.sensor_hours(rows)), traffic_gold.road_days(quarters)),
+        (traffic_gold.congestion_trends(rows), traffic_gold.trend_quarters(quarters)),
+        (traffic_gold.quarter_hours_by_intersection(rows), traffic_gold.intersection_quarters(quarters)),
+        (documented.hourly_congestion(rows), traffic_gold.congestion_hours(quarters)),
+    )
+    for direct, merged in pairs:
+        assert {(f.name, f.dataType) for f in direct.schema} <= {(f.name, f.dataType) for f in merged.schema}
+        assert rounded_rows(direct, direct.columns) == rounded_rows(merged, direct.columns)
+
+
+def test_merged_deviations_keep_their_digits(spark):
+    """Readings that are nearly alike and far from zero: a difference of summed squares would be noise."""
+    rows = air(spark, *({"pm25": 450.0 + 1e-7 * (i % 2), "sensor_id": f"s{i % 7}", "firmware_version": str(i % 3)} for i in range(84)))
+    merged = air_gold.zone_hours(air_gold.sensor_hours(rows)).first().stddev_pm25
+    assert abs(merged - air_gold.hourly_by_zone(rows).first().stddev_pm25) < 1e-13
+    same = air(spark, *({"pm25": 0.1, "sensor_id": f"s{i % 7}"} for i in range(30)))
+    assert air_gold.zone_hours(air_gold.sensor_hours(same)).first().stddev_pm25 < 1e-15
+    assert air_gold.zone_hours(air_gold.sensor_hours(air(spark))).first().stddev_pm25 is None
+
+
+def test_silver_is_read_once_for_all_tables():
+    """Only the list of single incidents needs silver itself, by a filter."""
+    assert [t.name for t in jobs.AIR.tables if not t.from_rollup] == []
+    assert [t.name for t in jobs.TRAFFIC.tables if not t.from_rollup] == ["traffic_incidents"]
+
+
+def test_incidents_are_filtered_in_the_scan(spark, tmp_path):
+    mixed_traffic(spark).write.parquet(str(tmp_path / "silver"))
+    plan = traffic_gold.incidents(spark.read.parquet(str(tmp_path / "silver")))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(incident_detected,true)" in plan and "Exchange" not in plan
+
+
+def test_merging_deviations_is_one_shuffle(spark, tmp_path):
+    air_gold.sensor_hours(mixed_air(spark)).write.parquet(str(tmp_path / "hours"))
+    plan = air_gold.zone_hours(spark.read.parquet(str(tmp_path / "hours")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

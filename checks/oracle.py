@@ -180,7 +180,8 @@ SELECT 'chg_' || CAST(seq AS VARCHAR) AS cdc_event_id, kind AS cdc_event_type,
        CASE WHEN kind <> 'REMOVE' THEN pm25 END AS pm25,
        CASE WHEN kind <> 'INSERT' THEN city END AS old_city,
        FALSE AS broken
-FROM feed""")
+FROM feed
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, TRUE""")
 
 define("src_parquet_table", AIR, """
 SELECT year, month, day, zone, count(*) AS readings, CAST(sum(aqi_value) AS BIGINT) AS aqi_total
@@ -389,6 +390,10 @@ FROM (SELECT date, hour, zone, year, month, day, aqi_category, count(*) AS n, su
       FROM air GROUP BY ALL)
 GROUP BY date, hour, zone, year, month, day""")
 
+define("gold_aqi_category_list", AIR, """
+SELECT date, hour, zone, string_agg(aqi_category, '|' ORDER BY aqi_category) AS aqi_category_list
+FROM air GROUP BY date, hour, zone""")
+
 LEVEL_SUMS = ", ".join(
     f"count(*) FILTER (WHERE congestion_level = '{x}') AS {{prefix}}{x}{{suffix}}"
     for x in ("severe", "high", "moderate", "low")
@@ -843,7 +848,7 @@ define("doc_dq_air", AIR, rule_report("spoiled", {
     "pm25": "pm25 < 0 OR pm25 > 500", "pm10": "pm10 < 0 OR pm10 > 500", "no2": "no2 < 0 OR no2 > 500",
     "o3": "o3 < 0 OR o3 > 500", "temperature_celsius": "temperature_celsius < -50 OR temperature_celsius > 60",
     "humidity_percent": "humidity_percent < 0 OR humidity_percent > 100",
-}))
+}) + "\nUNION ALL SELECT 'co', 0, NULL")
 
 define("doc_dq_traffic", TRAFFIC, rule_report("traffic", {
     "vehicle_count": "vehicle_count < 0", "avg_speed_mph": "avg_speed_mph < 0 OR avg_speed_mph > 120",
@@ -917,7 +922,7 @@ FROM traffic,
 
 def rows_by_day(source: str, keys_by_table: dict[str, str]) -> str:
     return "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS table_name, year, month, day, count(*) AS n_rows "
+        f"SELECT '{name}' AS table_name, year, month, day, count(*) AS n_rows, count(*) AS n_as_rebuilt, count(*) AS n_rebuilt "
         f"FROM (SELECT DISTINCT year, month, day, {keys} FROM {source}) GROUP BY year, month, day"
         for name, keys in keys_by_table.items()
     )
@@ -945,7 +950,8 @@ define("job_traffic_refresh", f"{TRAFFIC}, corrected AS (SELECT * FROM traffic W
         "traffic_hourly_congestion": "hour, intersection, city, road_type",
     }) + """
 UNION ALL
-SELECT 'traffic_incidents' AS table_name, year, month, day, count(*) AS n_rows FROM corrected
+SELECT 'traffic_incidents' AS table_name, year, month, day, count(*) AS n_rows, count(*) AS n_as_rebuilt,
+       count(*) AS n_rebuilt FROM corrected
 WHERE incident_detected AND NOT (year = 2024 AND month = 1 AND day = 11) GROUP BY year, month, day""")
 
 
@@ -960,3 +966,18 @@ SAVED = {
 }
 for _name, _direct in SAVED.items():
     ORACLE[f"saved_{_name}"] = ORACLE[_direct]
+
+# Reports over months: the same SQL as over the long table of orders, with days from readings and the readings' own date.
+DAYS_OF_READINGS = {
+    "aq_q6": f"{AIR},\nair_day_long AS (SELECT date, zone, avg(aqi_value) AS avg_aqi FROM air GROUP BY date, zone, city)",
+    "road": f"""{TRAFFIC},
+road_day AS (
+  SELECT date, city, road_type, CAST(sum(vehicle_count) AS BIGINT) AS total_vehicles, avg(avg_speed_mph) AS daily_avg_speed,
+         count(*) FILTER (WHERE incident_detected) AS total_incidents, count(DISTINCT intersection) AS unique_intersections
+  FROM traffic GROUP BY date, city, road_type)""",
+}
+for _name, _direct in {"monthly_summary": "aq_q6", "daily_by_city": "tr_q3", "weekday_against_weekend": "tr_q7",
+                       "monthly_growth": "tr_q10"}.items():
+    _days = DAYS_OF_READINGS.get(_direct, DAYS_OF_READINGS["road"])
+    ORACLE[f"saved_{_name}"] = ORACLE[_direct].replace(LONG.strip(), _days.strip()).replace(LONG_AS_OF, TODAY)
+ORACLE["saved_congestion_hotspots"] = ORACLE["tr_q1"].replace("high_congestion_periods > 3", "high_congestion_periods > 10")

@@ -76,6 +76,7 @@ def land_changes(spark: SparkSession, sf_dir: str, path: str, *, spoiled: bool =
 @query("src_jsonl")
 def src_jsonl(spark, sf_dir):
     path = land_changes(spark, sf_dir, scratch_dir(spark, "bronze"))
+    spark.createDataFrame([('{"cdc_event_id": "cut off', )], "value string").write.mode("append").text(path)
     return tables.read_air_bronze(spark, path).select(
         "cdc_event_id", "cdc_event_type", "cdc_sequence_number", "sensor_id", "zone",
         F.col("keys.timestamp").alias("key_timestamp"),
@@ -414,6 +415,13 @@ def gold_aqi_trends(spark, sf_dir):
     return rows.withColumn("aqi_categories", runs)
 
 
+@query("gold_aqi_category_list")
+def gold_aqi_category_list(spark, sf_dir):
+    """The categories of an hour and zone in the plain form, one entry per reading."""
+    trends = air_gold.category_hours(air_hours(spark, sf_dir))
+    return air_gold.category_list(trends).select("date", "hour", "zone", "aqi_category_list")
+
+
 # --- saved reports --------------------------------------------------------------------------
 
 
@@ -620,7 +628,7 @@ def doc_congestion_level(spark, sf_dir):
 @query("doc_dq_air")
 def doc_dq_air(spark, sf_dir):
     rows = frames.air_candidates(spark, sf_dir)
-    return quality.rule_report(rows, quality.documented_air_rules(rows.columns))
+    return quality.rule_report(rows, quality.documented_air_rules(rows.columns), quality.unchecked_air_ranges(rows.columns))
 
 
 @query("doc_dq_traffic")
@@ -847,15 +855,29 @@ def job_gold_ledger(spark, sf_dir):
 
 
 def refreshed(spark: SparkSession, domain, silver: DataFrame, changed: DataFrame, changed_days) -> DataFrame:
-    """Gold built from ``silver`` and refreshed for some days of ``changed``: rows per table, month and day."""
+    """Gold built from ``silver`` and refreshed for some days of ``changed``: rows per table, month and day, and how many
+    of them a rebuild from ``changed`` has as well, with all their values.
+    """
     base = scratch_dir(spark, "refresh")
-    names = jobs.build_gold(silver, base, domain, RUN_AT)
-    assert jobs.build_gold(changed, base, domain, RUN_AT, days=changed_days) == names
+    names = jobs.build_gold(silver, f"{base}/kept", domain, RUN_AT)
+    assert jobs.build_gold(changed, f"{base}/kept", domain, RUN_AT, days=changed_days) == names
+    jobs.build_gold(changed, f"{base}/rebuilt", domain, RUN_AT)
     counts = None
     for table in (domain.rollup, *domain.tables):
-        rows = tables.read_parquet(spark, f"{base}/{table.name}", jobs.gold_schema(spark, domain, table))
-        count = rows.groupBy("year", "month", F.col("day") if "day" in rows.columns else F.lit(None).cast("int").alias("day")) \
-            .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(table.name))
+        schema = jobs.gold_schema(spark, domain, table)
+        values = [rounded(F.col(f.name), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+                  for f in schema.fields if f.name != "processed_at"]
+        day = F.col("day") if "day" in schema.names else F.lit(None).cast("int").alias("day")
+        both = None
+        for place, kept in (("kept", 1), ("rebuilt", 0)):
+            rows = tables.read_parquet(spark, f"{base}/{place}/{table.name}", schema).select(
+                "year", "month", day, F.to_json(F.struct(*values)).alias("row"), F.lit(kept).alias("kept"))
+            both = rows if both is None else both.unionByName(rows)
+        each = both.groupBy("year", "month", "day", "row").agg(
+            F.sum("kept").alias("here"), F.count_if(F.col("kept") == 0).alias("there"))
+        count = each.groupBy("year", "month", "day").agg(
+            F.sum("here").alias("n_rows"), F.sum(F.least("here", "there")).alias("n_as_rebuilt"),
+            F.sum("there").alias("n_rebuilt")).withColumn("table_name", F.lit(table.name))
         counts = count if counts is None else counts.unionByName(count)
     return counts
 
@@ -911,10 +933,11 @@ def gold_database(spark: SparkSession, sf_dir: str) -> str:
 
 SAVED = (
     "weekly_trend", "today_by_sensor", "most_polluted_zones", "devices_needing_attention", "week_over_week",
-    "weather_and_aqi", "missing_sensor_days", "worst_hours", "congested_hours", "air_with_traffic",
-    "today_by_intersection", "rush_hours", "incident_profile", "congested_quarter_hours", "dangerous_intersections",
-    "flow_efficiency",
+    "monthly_summary", "weather_and_aqi", "missing_sensor_days", "worst_hours", "congested_hours", "air_with_traffic",
+    "congestion_hotspots", "today_by_intersection", "daily_by_city", "rush_hours", "incident_profile", "congested_quarter_hours", "weekday_against_weekend",
+    "dangerous_intersections", "flow_efficiency", "monthly_growth",
 )
+assert set(SAVED) == set(saved.REPORTS)
 
 
 def saved_report(name: str) -> Query:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,19 +28,26 @@ def air_rules() -> dict[str, Column]:
     }
 
 
+# Measurement and its range in the data dictionary.
+AIR_RANGES = {
+    "pm25": (0.0, 500.0),
+    "pm10": (0.0, 500.0),
+    "no2": (0.0, 500.0),
+    "o3": (0.0, 500.0),
+    "co": (0.0, 50.0),
+    "temperature_celsius": (-50.0, 60.0),
+    "humidity_percent": (0.0, 100.0),
+}
+
+
 def documented_air_rules(columns: list[str]) -> dict[str, Column]:
-    """Ranges of the data dictionary; a missing measurement is allowed."""
-    # Measurement and its range.
-    ranges = {
-        "pm25": (0.0, 500.0),
-        "pm10": (0.0, 500.0),
-        "no2": (0.0, 500.0),
-        "o3": (0.0, 500.0),
-        "co": (0.0, 50.0),
-        "temperature_celsius": (-50.0, 60.0),
-        "humidity_percent": (0.0, 100.0),
-    }
-    return {c: F.col(c).isNull() | _within(c, lo, hi) for c, (lo, hi) in ranges.items() if c in columns}
+    """Ranges of the data dictionary for the measurements that there are; a missing value is allowed."""
+    return {c: F.col(c).isNull() | _within(c, lo, hi) for c, (lo, hi) in AIR_RANGES.items() if c in columns}
+
+
+def unchecked_air_ranges(columns: list[str]) -> list[str]:
+    """Measurements of the data dictionary that the rows do not have."""
+    return [c for c in AIR_RANGES if c not in columns]
 
 
 def documented_traffic_rules() -> dict[str, Column]:
@@ -99,12 +106,21 @@ def summary(rules: Rules) -> list[Column]:
     ]
 
 
-def rule_report(frame: DataFrame, rules: Rules) -> DataFrame:
-    """One row per rule: rows checked and rows that break it, from a single pass."""
+def rule_report(frame: DataFrame, rules: Rules, unchecked: Iterable[str] = ()) -> DataFrame:
+    """One row per rule: rows checked and rows that break it, from a single pass.
+
+    Rules that could not be checked are listed with no row checked and no verdict.
+    """
     counts = frame.agg(
         F.count(F.lit(1)).alias("rows_checked"),
         *(F.count_if(~holds(r)).alias(name) for name, r in rules.items()),
     )
-    return counts.unpivot(["rows_checked"], list(rules), "rule", "violations").select(
+    checked = counts.unpivot(["rows_checked"], list(rules), "rule", "violations").select(
         "rule", "rows_checked", "violations"
     )
+    names = [(name,) for name in unchecked]
+    if not names:
+        return checked
+    left_out = frame.sparkSession.createDataFrame(names, "rule string").selectExpr(
+        "rule", "0L as rows_checked", "cast(null as bigint) as violations")
+    return checked.unionByName(left_out)

@@ -469,7 +469,7 @@ SELECT incident_datetime, year, month, day, hour, sensor_id, intersection, road_
        {rs("avg_speed_mph", "queue_length_meters")}, congestion_level, traffic_flow_score, incident_severity
 FROM incidents""")
 
-for _name in ("gold_congestion_trends", "rt_catalog_table", "st_congestion_15m"):
+for _name in ("gold_congestion_trends", "rt_catalog_table", "st_congestion_15m", "st_late_windows"):
     define(_name, TRAFFIC, f"""
 SELECT quarter AS time_window_start, quarter + INTERVAL 15 MINUTES AS time_window_end, year, month, day, hour, city,
        road_type,
@@ -917,6 +917,26 @@ SELECT event_name AS event_id, intersection, {rs("latitude", "longitude")}, road
 FROM traffic,
      range(CASE WHEN event_id % 10 <> 0 THEN 1 WHEN reading_datetime < TIMESTAMP '2024-01-21' THEN 3 ELSE 2 END)""")
 
+define("st_sensor_sketches", TRAFFIC, """
+SELECT year, month, day, road_type, count(DISTINCT sensor_id) AS exact, TRUE AS within_error
+FROM traffic GROUP BY year, month, day, road_type""")
+
+define("st_batch_metrics", f"""{BAD_FEED},
+arrived AS (
+  SELECT CAST(kind = 'INSERT' AS INTEGER) AS number, * FROM upserts
+  QUALIFY row_number() OVER (PARTITION BY kind, sensor_id, reading_timestamp ORDER BY seq DESC) = 1
+)""", f"""
+SELECT 'traffic' AS stream, CAST(event_id % 2 AS INTEGER) AS number, count(*) AS rows_in,
+       count(*) FILTER (WHERE event_id % 40 >= 2) AS rows_valid, count(*) FILTER (WHERE event_id % 40 < 2) AS rows_rejected,
+       count(*) FILTER (WHERE event_id % 40 = 0) AS avg_speed_mph, count(*) FILTER (WHERE event_id % 40 < 2) AS congestion_level,
+       CAST(0 AS BIGINT) AS pm25
+FROM ev GROUP BY event_id % 2
+UNION ALL
+SELECT 'air_quality' AS stream, number, count(*) AS rows_in, count(*) FILTER (WHERE {VALID}) AS rows_valid,
+       count(*) FILTER (WHERE NOT ({VALID})) AS rows_rejected, CAST(0 AS BIGINT) AS avg_speed_mph,
+       CAST(0 AS BIGINT) AS congestion_level, count(*) FILTER (WHERE NOT {RULES["pm25"]}) AS pm25
+FROM arrived GROUP BY number""")
+
 # --- refreshes: rows per table and day, as a rebuild from the corrected readings leaves them --
 
 

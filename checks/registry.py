@@ -21,7 +21,7 @@ from curbsight.operators import air_gold, changes, quality, traffic_gold
 from curbsight.plans import air_reports, documented, jobs, saved, traffic_reports
 from curbsight.session import scratch_dir
 from curbsight.sources import tables
-from curbsight.streaming import air_changes, capture, ledger
+from curbsight.streaming import air_changes, capture, ledger, metrics, windows
 from curbsight.streaming import traffic as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -815,6 +815,55 @@ def st_incremental_bronze(spark, sf_dir):
     return run_at_free(air_changes.silver_from_state(spark, f"{base}/silver"))
 
 
+@query("st_late_windows")
+def st_late_windows(spark, sf_dir):
+    """15-minute windows over arrivals of which some are weeks late: each window ends up with all its readings."""
+    def run(landing, to, progress):
+        stream.run_silver(spark, landing, f"{to}-silver", f"{progress}/silver", RUN_AT).awaitTermination()
+        return windows.run_quarters(spark, f"{to}-silver", to, f"{progress}/quarters")
+
+    out = stream_arrivals(spark, sf_dir, run, held_back=True)
+    return traffic_gold.trend_quarters(tables.read_parquet(spark, out, windows.quarter_schema(spark)))
+
+
+@query("st_sensor_sketches")
+def st_sensor_sketches(spark, sf_dir):
+    """Sensors per day and road type from the stream's merged sketches, held against the exact number."""
+    def run(landing, to, checkpoint):
+        return stream.run_sensor_sketches(spark, landing, to, checkpoint, RUN_AT)
+
+    sketches = tables.read_parquet(spark, stream_arrivals(spark, sf_dir, run, closing=True))
+    keys = ("year", "month", "day", "road_type")
+    estimated = traffic_gold.unique_sensors(sketches.filter(F.col("time_window_start") < moment(RUN_AT)), *keys)
+    exact = frames.traffic(spark, sf_dir).groupBy(*keys).agg(F.count_distinct("sensor_id").alias("exact"))
+    off = F.abs(F.col("unique_sensors") - F.col("exact"))
+    return exact.join(estimated, list(keys), "left").select(
+        *keys, "exact", (off <= F.greatest(F.lit(1.0), F.col("exact") * traffic_gold.SKETCH_ERROR)).alias("within_error"))
+
+
+@query("st_batch_metrics")
+def st_batch_metrics(spark, sf_dir):
+    """Lines and verdicts of each batch of both streams, as the batches have noted them."""
+    base = scratch_dir(spark, "metrics")
+    kind = F.regexp_extract("event_id", "[0-9]+", 0).cast("long")
+    spoiled = frames.traffic(spark, sf_dir).withColumns({
+        "avg_speed_mph": F.when(kind % 40 == 0, F.lit(500.0)).otherwise(F.col("avg_speed_mph")),
+        "congestion_level": F.when(kind % 40 < 2, F.lit("jam")).otherwise(F.col("congestion_level")),
+    })
+    feed = frames.changes(spark, sf_dir, spoiled=True)
+    for number, kinds in enumerate((["MODIFY"], ["INSERT", "REMOVE"])):
+        frames.traffic_records(spoiled.filter(kind % 2 == number)).write.mode("append").json(f"{base}/landing")
+        stream.run_silver(spark, f"{base}/landing", f"{base}/silver", f"{base}/progress", RUN_AT,
+                          metrics_path=f"{base}/metrics").awaitTermination()
+        feed.filter(F.col("cdc_event_type").isin(kinds)).write.mode("append").json(f"{base}/bronze")
+        air_changes.run_incremental(spark, f"{base}/bronze", f"{base}/state", f"{base}/air-progress", RUN_AT,
+                                    metrics_path=f"{base}/metrics").awaitTermination()
+    rows = metrics.read_metrics(spark, f"{base}/metrics")
+    return rows.select(
+        "stream", "number", "rows_in", "rows_valid", "rows_rejected",
+        *(F.coalesce(F.col("failed")[rule], F.lit(0)).cast("bigint").alias(rule) for rule in ("avg_speed_mph", "congestion_level", "pm25")))
+
+
 # --- jobs from end to end -------------------------------------------------------------------
 
 

@@ -119,6 +119,20 @@ def sensor_quarters(silver: DataFrame) -> DataFrame:
     })
 
 
+def merged_quarters(parts: DataFrame) -> DataFrame:
+    """Several rollups, of whichever readings, as one: rows of the same quarter and sensor become one row."""
+    keys = ("time_window_start", *_PLACE, "sensor_id")
+    about, _ = merged_deviation(parts, keys, "vehicle_count")
+    rows = about.groupBy(*keys).agg(
+        *merged_parts(_QUARTER_MEANS),
+        F.sum("_about").alias("vehicle_count__m2"),
+        *(F.min(c).alias(c) for c in _LOWEST),
+        *(F.max(c).alias(c) for c in _HIGHEST),
+        *(F.sum(c).alias(c) for c in (*_TOTALS, *(f"{x}_count" for x in classify.LEVELS), "incidents", "readings", "congested")),
+    )
+    return rows.withColumns(calendar("time_window_start")).select(*parts.columns)
+
+
 def _by_hour(quarters: DataFrame) -> DataFrame:
     return quarters.withColumn("hour_timestamp", F.date_trunc("hour", "time_window_start"))
 
@@ -327,6 +341,29 @@ def quarter_hours_by_intersection(silver: DataFrame) -> DataFrame:
     }).drop("span")
 
 
+# --- sketches of distinct sensors -----------------------------------------------------------
+
+#: A sketch has 2^12 registers (2.5 kB at most).
+SKETCH_BITS = 12
+#: Three standard errors of its estimate: 1.04 / sqrt(2^12) each.
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def sensor_sketches(silver: DataFrame) -> DataFrame:
+    """15-minute windows per city and road type with a mergeable sketch of their sensors; serves batch and stream."""
+    rows = silver.groupBy(
+        F.window(READING, f"{WINDOW_MINUTES} minutes").alias("span"), "city", "road_type"
+    ).agg(F.hll_sketch_agg("sensor_id", SKETCH_BITS).alias("sensors"))
+    return rows.withColumns({
+        "time_window_start": F.col("span.start"), **calendar(F.col("span.start"), hour=True)
+    }).drop("span")
+
+
+def unique_sensors(sketches: DataFrame, *keys: str) -> DataFrame:
+    """About how many sensors, per any of the keys of the sketches or coarser ones, from merged sketches alone."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sensors")).alias("unique_sensors"))
+
+
 def data_range(silver: DataFrame) -> DataFrame:
     """First and last reading, sensors and intersections of a whole table, in one row.
 

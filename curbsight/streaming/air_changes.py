@@ -13,6 +13,7 @@ from curbsight.operators.changes import latest_readings, project_air, silver_col
 from curbsight.operators.quality import air_rules, judged
 from curbsight.sources.tables import only_days, read_parquet, stream_jsonl, write_arranged
 from curbsight.streaming.ledger import batch_name, note_days
+from curbsight.streaming.metrics import note_metrics
 from curbsight.streaming.staging import discard, exists, stage, staged_days, started
 
 
@@ -57,13 +58,14 @@ def run_incremental(
     *,
     apply_deletes: bool = False,
     ledger_path: str | None = None,
+    metrics_path: str | None = None,
     every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Fold the bronze files that arrived since the last run into the state.
 
     A stream that runs without end passes no ``run_at``, so each batch is stamped with its own time. With
-    ``ledger_path`` each batch notes the days it has changed, for gold.
+    ``ledger_path`` each batch notes the days it has changed, for gold, and with ``metrics_path`` its readings and verdicts.
 
     Redo tables lie beside the checkpoint: whoever resets one resets both, so a batch number never
     meets the redo table of another history.
@@ -75,6 +77,10 @@ def run_incremental(
         days = merge_batch(batch, state_path, f"{progress_path}/redo/batch-{number}")
         if ledger_path:
             note_days(batch.sparkSession, ledger_path, batch_name(batch.sparkSession, number), days)
+        if metrics_path:
+            incoming = read_parquet(batch.sparkSession, f"{progress_path}/redo/batch-{number}/incoming", schemas.SILVER_AIR_STATE)
+            note_metrics(incoming.filter(F.col("cdc_event_type") != "REMOVE"), air_rules(), metrics_path, "air_quality",
+                         batch_name(batch.sparkSession, number))
         # The batch before this one is committed, so its redo tables are of no more use.
         discard(spark, f"{progress_path}/redo/batch-{number - 1}")
 

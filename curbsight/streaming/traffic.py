@@ -14,7 +14,7 @@ from curbsight.functions.common import calendar, processing_time
 from curbsight.functions.places import intersection_dimension
 from curbsight.operators.changes import latest_per_key, lenient
 from curbsight.operators.quality import accepted, documented_traffic_rules, quarantine
-from curbsight.operators.traffic_gold import congestion_trends
+from curbsight.operators.traffic_gold import congestion_trends, sensor_sketches
 from curbsight.sources.tables import (
     DAILY,
     HOURLY,
@@ -25,6 +25,7 @@ from curbsight.sources.tables import (
     write_parquet,
 )
 from curbsight.streaming.ledger import batch_name, note_days
+from curbsight.streaming.metrics import note_metrics
 from curbsight.streaming.staging import discard, exists, stage, staged_hours, started
 
 READING = "reading_datetime"
@@ -177,13 +178,15 @@ def run_silver(
     *,
     rejected_path: str | None = None,
     ledger_path: str | None = None,
+    metrics_path: str | None = None,
     every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Landing zone to silver traffic: cleanse, enrich, deduplicate, append by hour.
 
     With ``rejected_path`` what is left out is written there, one folder per batch; a batch that is run again
-    replaces its folder. With ``ledger_path`` each batch notes the days it has changed, for gold.
+    replaces its folder. With ``ledger_path`` each batch notes the days it has changed, for gold, and with ``metrics_path``
+    its lines and how many of them were kept; lines that are no record break the rule of identity.
     """
     landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
 
@@ -192,6 +195,9 @@ def run_silver(
         days = append_new(rows, silver_path, f"{progress_path}/staged/batch-{number}")
         if ledger_path:
             note_days(batch.sparkSession, ledger_path, batch_name(batch.sparkSession, number), days)
+        if metrics_path:
+            note_metrics(project_traffic(batch, run_at), traffic_rules(), metrics_path, "traffic",
+                         batch_name(batch.sparkSession, number))
         if rejected_path:
             rejected(batch, run_at).write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
         # The batch before this one is committed, so its staged rows are of no more use.
@@ -229,3 +235,25 @@ def run_congestion(
     landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
     rows = deduplicated(cleansed(project_traffic(landed, run_at), ahead), lateness)
     return start_parquet(congestion_trends(rows), path, checkpoint, every, by=DAILY)
+
+
+def run_sensor_sketches(
+    spark: SparkSession,
+    landing: str,
+    path: str,
+    checkpoint: str,
+    run_at: dt.datetime | None,
+    *,
+    lateness: str = LATENESS,
+    ahead: str = AHEAD,
+    every: str | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Landing zone to sketches of the sensors seen per 15-minute window.
+
+    Exact distinct counts are not possible in a stream, and would not merge to hours or days. A sketch has a bounded size
+    whatever the number of sensors, so the state does not grow with it. Repeats need no deduplication: they change nothing.
+    """
+    landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
+    rows = cleansed(project_traffic(landed, run_at), ahead).withWatermark(READING, lateness)
+    return start_parquet(sensor_sketches(rows), path, checkpoint, every, by=DAILY)

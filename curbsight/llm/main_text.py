@@ -2,12 +2,15 @@
 
 A page becomes a tree. Every paragraph earns points for its length and its commas and passes them to its ancestors,
 less the further up; a container's points are discounted by the share of its text that stands in links. The best
-container, or the article or main element around it, and all of its siblings that are not mostly links are kept, however
-short, without menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
+container, or the article or main element around it, all other articles and all siblings that are not mostly links are
+kept, however short, without menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
+What these are is said by tags, and by names in class, id and role, which are judged as a whole (``no-sidebar`` is no sidebar)
+and don't count where they would leave nothing of the page.
 
 Character references are decoded, white space inside a block (``<br>`` too) becomes one space, and blocks are joined in page
 order by one line feed. Null or empty pages and pages without text give the empty string. Rows are independent:
-repeated ones give the same text, a null ``page_id`` or ``url`` is kept, extra columns are ignored.
+repeated ones give the same text, a null ``page_id`` or ``url`` is kept, extra columns are ignored. The work grows with the
+page's length, also for pages of nothing but tags that are never closed.
 """
 
 from __future__ import annotations
@@ -22,8 +25,9 @@ from pyspark.sql import functions as F
 
 from curbsight.llm.common import Emitter, values
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(>|\Z)""",
-                 re.S)
+#: A quote counts only where a value begins; one that nothing closes is a mark like others.
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)
+|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]+|=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*|["'])?)*+)(>|\Z)""", re.S | re.X)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 WORD = re.compile(r"[a-z]+")
 
@@ -47,6 +51,14 @@ sidebars menu nav navbar navigation breadcrumb breadcrumbs footer masthead cooki
 alert alerts popup modal overlay newsletter subscribe subscription signup share sharing social related recommended
 comment comments commentlist respond reply replies disqus complementary contentinfo search pagination pager widget
 toolbar banner hidden""".split())
+#: A name with one of these says what is or isn't there besides, or speaks of something else.
+BESIDES = frozenset("no not non has have with without of".split())
+#: What else the name of an aside within an article may say.
+PLAIN = frozenset("""site page main top bottom left right inner outer wrap wrapper container box block list area section post
+posts article articles entry blog story link links bar item items panel slot unit text global primary secondary header
+title form button buttons btn icon icons holder group column row cell content body view module""".split())
+#: Within an article names count for these; a paragraph, a heading or an item is part of it whatever its name.
+NAMED = frozenset("div section ul ol dl table figure details center address fieldset".split())
 BONUS = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "ul": -3.0,
          "ol": -3.0, "dl": -3.0, "address": -3.0, "form": -3.0, "html": -10.0, "body": -5.0}
 LEVELS = 5
@@ -59,7 +71,19 @@ CONTAINER = frozenset("#root html body article main section div center figure de
 CELL = frozenset("td th".split())
 
 
-def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
+def _names_aside(value: str, in_article: bool) -> bool:
+    """Whether one of the names in a class, id or role is that of an aside; a name is judged as a whole."""
+    for name in value.lower().split():
+        words = set(WORD.findall(name))
+        if words & BESIDES or not words & (ASIDE if in_article else ASIDE | {"header"}):
+            continue
+        if not in_article or all(w in ASIDE or w in PLAIN or len(w) == 1 for w in words):
+            return True
+    return False
+
+
+def _is_dropped(tag: str, attributes: str, in_article: bool) -> bool:
+    """What is never part of an article: by its tag, or because it is not shown."""
     if tag in DROPPED:
         return True
     if tag == "header":
@@ -70,68 +94,107 @@ def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
             return True
-        if name in ("class", "id", "role"):
-            words = set(WORD.findall(value.lower()))
-            if words & ASIDE or "header" in words and not in_article:
-                return True
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
     return False
 
 
+def _is_named_aside(tag: str, attributes: str, in_article: bool) -> bool:
+    if tag in ("html", "body", "article", "main") or in_article and tag not in NAMED:
+        return False
+    return any(_names_aside(value.strip("\"'"), in_article) for name, value in ATTRIBUTE.findall(attributes)
+               if name.lower() in ("class", "id", "role"))
+
+
 class Page:
     """Elements in page order, the texts between the tags, and what each element holds."""
 
     def __init__(self, source: str) -> None:
-        self.tag, self.parent, self.aside, self.in_article = ["#root"], [0], [False], [False]
+        self.tag, self.parent, self.dropped, self.in_article = ["#root"], [0], [False], [False]
+        self.named = [False]  # in an element whose name is that of an aside
+        self.block_of, self.holder = [0], [0]  # the block around, the container or cell around
         self.texts: list[tuple[int, int, str]] = []  # element, block number, text
         self.open, self.block = [0], 0
+        self.places: dict[str, list[int]] = {}  # of open elements by tag, so that no tag has to be looked for
+        self.open_blocks: list[int] = []
         self._read(source)
+        self._settle_names()
+
+    def _close(self, place: int) -> None:
+        """End the open elements from a place of the stack on."""
+        while len(self.open) > place:
+            tag = self.tag[self.open.pop()]
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.open_blocks.pop()
+
+    def _last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else 0
 
     def _start(self, tag: str, attributes: str) -> None:
-        if tag in BLOCK and tag != "p":
-            self._end_p()
-        elif tag == "p":
+        if tag in BLOCK:
             self._end_p()
         if tag in ENDS:
             closes, bounds = ENDS[tag]
-            for i in range(len(self.open) - 1, 0, -1):
-                name = self.tag[self.open[i]]
-                if name in bounds:
-                    break
-                if name in closes:
-                    del self.open[i:]
-                    if tag != "tr" and not tag.startswith("t"):
-                        break
+            bound = max(map(self._last, bounds))
+            if tag.startswith("t"):  # cells and rows end together
+                ended = [next(p for p in self.places[name] if p > bound) for name in closes if self._last(name) > bound]
+                if ended:
+                    self._close(min(ended))
+            elif (place := max(map(self._last, closes))) > bound:
+                self._close(place)
         top = self.open[-1]
         inside = self.in_article[top]
+        number = len(self.tag)
         self.tag.append(tag)
         self.parent.append(top)
-        self.aside.append(self.aside[top] or _is_aside(tag, attributes, inside))
+        self.dropped.append(self.dropped[top] or _is_dropped(tag, attributes, inside))
+        self.named.append(self.named[top] or bool(attributes) and _is_named_aside(tag, attributes, inside))
         self.in_article.append(inside or tag in ARTICLE)
+        self.block_of.append(number if tag in BLOCK else self.block_of[top])
+        self.holder.append(top if self.tag[top] in CONTAINER or self.tag[top] in CELL else self.holder[top])
         if tag not in VOID:
-            self.open.append(len(self.tag) - 1)
+            self.places.setdefault(tag, []).append(len(self.open))
+            if tag in BLOCK:
+                self.open_blocks.append(len(self.open))
+            self.open.append(number)
 
     def _end_p(self) -> None:
         """An open paragraph ends where a block begins, unless a container lies between."""
-        for i in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[i]]
-            if name == "p":
-                del self.open[i:]
-                return
-            if name in BLOCK:
-                return
+        if self.open_blocks and self.tag[self.open[self.open_blocks[-1]]] == "p":
+            self._close(self.open_blocks[-1])
 
     def _end(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[i]] == tag:
-                del self.open[i:]
-                return
-            if tag not in BLOCK and self.tag[self.open[i]] in BLOCK:
-                return  # an inline end tag doesn't end a block
+        place = self._last(tag)
+        # An inline end tag doesn't end a block.
+        if place and (tag in BLOCK or not self.open_blocks or place > self.open_blocks[-1]):
+            self._close(place)
+
+    def _settle_names(self) -> None:
+        """Names are no more than a hint: they don't count where they would leave nothing, or only asides, of the page.
+
+        If there is no article outside of named elements but there is one inside, names of what holds an article don't
+        count; if no text is left outside of them, no name does.
+        """
+        shown = [i for i, _, text in self.texts if text.strip()]
+        articles = {i for i in shown if self.in_article[i]}
+        if all(self.named[i] for i in shown):
+            self.named = [False] * len(self.tag)
+        elif articles and all(self.named[i] for i in articles):
+            holds = [False] * len(self.tag)
+            for i in range(len(self.tag) - 1, 0, -1):
+                holds[i] = holds[i] or self.tag[i] in ARTICLE
+                holds[self.parent[i]] = holds[self.parent[i]] or holds[i]
+            named, clear = self.named, [True] * len(self.tag)  # what is named around holds an article
+            for i in range(1, len(self.tag)):
+                begins = named[i] and not named[self.parent[i]]
+                clear[i] = clear[self.parent[i]] and (holds[i] or not begins)
+            self.named = [named[i] and not (clear[i] and (holds[i] or self.in_article[i])) for i in range(len(self.tag))]
+        self.texts = [t for t in self.texts if not self.named[t[0]]]
 
     def _text(self, text: str) -> None:
-        if not self.aside[self.open[-1]]:
+        if not self.dropped[self.open[-1]]:
             self.texts.append((self.open[-1], self.block, html.unescape(text)))
 
     def _read(self, source: str) -> None:
@@ -172,8 +235,7 @@ class Page:
             size = len(" ".join(text.split()))
             letters[element] += size
             linked[element] += size if in_link[element] else 0
-            while self.tag[element] not in BLOCK and element:
-                element = self.parent[element]
+            element = self.block_of[element]
             own[element] += size
             commas[element] += sum(map(text.count, ",،、，"))
         for i in range(n - 1, 0, -1):
@@ -187,10 +249,9 @@ class Page:
                 if self.tag[i] in CONTAINER:
                     points[i] += earned  # text that stands in the container itself
                 while ancestor and level < LEVELS:
-                    ancestor = self.parent[ancestor]
-                    if self.tag[ancestor] in CONTAINER or self.tag[ancestor] in CELL:
-                        level += 1
-                        points[ancestor] += earned / (1 if level == 1 else 2 * (level - 1))
+                    ancestor = self.holder[ancestor]
+                    level += 1
+                    points[ancestor] += earned / (1 if level == 1 else 2 * (level - 1))
         density = [b / a if a else 0.0 for a, b in zip(letters, linked)]
         score = [(p + BONUS.get(t, 0.0)) * (1 - d) if p else 0.0
                  for p, t, d in zip(points, self.tag, density)]
@@ -203,8 +264,9 @@ class Page:
         best = around or best
         chosen = {best}
         for i in range(1, n):
-            if best and self.parent[i] == self.parent[best] and letters[i] and density[i] < LINKED:
-                chosen.add(i)
+            beside = self.parent[i] == self.parent[best] or around and self.tag[i] in ARTICLE
+            if best and beside and letters[i] and density[i] < LINKED:
+                chosen.add(i)  # of several articles all, wherever they stand
         return chosen
 
     def _inside(self, tag: str) -> list[bool]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -77,3 +78,56 @@ def test_odd_rows(spark):
     got = sorted(((r["page_id"], r["url"], r["text"]) for r in extract(pages).collect()), key=repr)
     assert got == sorted([(1, "u", ""), (None, None, "a"), (2, "u", ""), (2, "u", "")], key=repr)
     assert extract(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("name", [
+    "content no-sidebar", "post-with-comments", "content-with-sidebar", "entry-content no-comments", "post has-banner",
+    "share-of-market", "sidebar-left layout"])
+def test_a_name_that_only_mentions_an_aside_costs_nothing(name):
+    body = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+    for attribute in ("class", "id"):
+        assert main_text(f'<body><div {attribute}="{name}">{body}</div><footer>foot</footer></body>') == f"T\n{LONG}\n{LONG}"
+
+
+def test_paragraphs_of_an_article_stay_whatever_their_name():
+    found = main_text(f"<article><p>{LONG}</p><p class='alert'>a</p><p id=notice>b</p><div class='related-work'><p>c</p></div>"
+                      "<h2 class=banner>d</h2><div class='related-posts'>e</div><div class='ad ad-slot-2'>f</div></article>")
+    assert found == f"{LONG}\na\nb\nc\nd"
+
+
+def test_asides_by_name_go():
+    for name in ("ad", "site-footer", "cookie-consent-manager", "comments", "comment-list", "left-sidebar", "main-nav", "Related-Posts x"):
+        assert main_text(f"<div class=body><p>{LONG}</p><p>{LONG}</p></div><div class='{name}'><p>{LONG} {LONG} {LONG}</p></div>") \
+            == f"{LONG}\n{LONG}", name
+
+
+def test_names_do_not_count_where_nothing_would_be_left():
+    assert main_text(f"<div class=banner><article><p>{LONG}</p></article></div><p>x</p>") == LONG
+    assert main_text(f"<div class=widget><p>{LONG}</p></div>") == LONG
+    # An article among related ones is no reason to keep those.
+    assert main_text(f"<article><p>{LONG}</p></article><div class=related><article><p>a</p></article></div>") == LONG
+
+
+def test_several_articles():
+    assert main_text(f"<div><article><p>{LONG}</p></article></div><section><article><p>b</p></article></section>") == f"{LONG}\nb"
+    assert main_text(f"<div><article><p>{LONG}</p></article></div><section><article><a href=x>b</a></article></section>") == LONG
+
+
+def test_quotes_in_tags():
+    for tag in ("p class=it's", 'p class=5"', "p title='a>b'", 'p title="a>b" x=\'y\'', "p it's", "p a = 'b' c=d'e", "p a="):
+        assert main_text(f"<article><{tag}>{LONG}</p><p>z</p></article>") == f"{LONG}\nz", tag
+
+
+@pytest.mark.parametrize("piece", ["<b>", "<p>", "<div>", "<b>x", "<li>", "<td>", "</i>", "<b></p>", "<p><b>", "<", "<a x='", "<tr><td>",
+                                   "<script>", "<!-- ", "<span class=ad>", "<b>a<p>b", "<ul><li>", "</div>"])
+def test_a_megabyte_of_tags_takes_no_time(piece):
+    begin = time.process_time()
+    main_text(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - begin < 15
+    # The time follows the length: four times the page must not take sixteen times as long.
+    spent = []
+    for n in (100_000, 400_000):
+        begin = time.process_time()
+        main_text(piece * (n // len(piece)))
+        spent.append(time.process_time() - begin)
+    assert spent[1] < 10 * spent[0] + 0.5

@@ -3,7 +3,9 @@
 The target model is counted on a chosen part of the corpus, the background model on the rest, over one shared
 vocabulary: all tokens of the whole corpus, however rare (``VOCABULARY`` can bound it to the most frequent ones, then
 everything else is one unknown token). Both are bigram models over all documents of their part, smoothed alike: the
-bigram's share is mixed with the token's own (Dirichlet prior of weight ``PRIOR``), which is smoothed by adding one. A
+bigram's share is mixed with the token's own (Dirichlet prior of weight ``PRIOR``), which is smoothed by adding one. The
+models are matched in size too: counts of the larger part are scaled to the tokens of the smaller one, so that smoothing
+weighs the same in both. No document is judged by itself: its own counts are taken out of the model that has them. A
 document's score is the mean over its tokens and its end of the loss under the target model less that under the
 background model, in bits: the lower, the more the document is like the target.
 
@@ -228,9 +230,9 @@ class Chunk:
             number[at] = unpacked(answers[bucket]["numbers"], np.uint32)
             alone[at] = unpacked(answers[bucket]["alone"], np.uint8) > 0
 
-        is_target = np.zeros(len(self.sizes), bool)
-        is_target[np.array(row["targets"] or [], np.int64)] = True
-        wanted = np.repeat(is_target, self.sizes)
+        self.is_target = np.zeros(len(self.sizes), bool)
+        self.is_target[np.array(row["targets"] or [], np.int64)] = True
+        wanted = np.repeat(self.is_target, self.sizes)
         before = np.concatenate([[EDGE], self.ids[:-1]]).astype(np.int64)
         self.pair = before * size + self.ids
         self.pairs, in_all = np.unique(self.pair, return_counts=True)
@@ -254,18 +256,43 @@ class Chunk:
         self.key = key[self.at]
 
     def losses(self, total: tuple[int, int], size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Mean losses of the documents in bits under both models. total: tokens of the target and of the background."""
+        """Mean losses of the documents in bits under both models. total: tokens of the target and of the background.
+
+        A document's own counts are taken out of the model of its part, and the larger part is scaled to the smaller one.
+        """
         n_pairs, out = len(self.pairs), []
         start = np.concatenate([[0], np.cumsum(self.sizes[:-1], dtype=np.int64)])
+        doc = np.repeat(np.arange(len(self.sizes), dtype=np.int64), self.sizes)
         place = np.searchsorted(self.pairs, self.pair)
-        for sums, n in ((self.sums[1], total[0]), (self.sums[0] - self.sums[1], total[1])):
-            token = sums[n_pairs:].astype(np.float64)
-            share = (token + 1) / (n + size)
-            loss = -np.log2((sums[:n_pairs] + PRIOR * share[self.second]) / (token[self.first] + PRIOR))
-            out.append(np.add.reduceat(loss[place], start) / self.sizes)
+        first, second = self.first[place], self.second[place]
+        own_pair = own_counts(doc * n_pairs + place)
+        width = len(self.sums[0]) - n_pairs
+        own_second = own_counts(doc * width + second)
+        # How often a document begins a bigram with a token is how often it has the token: its end stands for its begin.
+        own_first = np.where(first == EDGE, 1, np.concatenate([[1], own_second[:-1]]))
+        in_target = self.is_target[doc]
+        for sums, n, inside in ((self.sums[1], total[0], in_target), (self.sums[0] - self.sums[1], total[1], ~in_target)):
+            scale = min(total) / n if min(total) else 1.0
+            token = sums[n_pairs:]
+            share = (scale * (token[second] - own_second * inside) + 1) / (
+                scale * (n - self.sizes[doc].astype(np.int64) * inside) + size)
+            loss = -np.log2((scale * (sums[place] - own_pair * inside) + PRIOR * share)
+                            / (scale * (token[first] - own_first * inside) + PRIOR))
+            out.append(np.add.reduceat(loss, start) / self.sizes)
         return out[0], out[1]
 
 
+def own_counts(keys: np.ndarray) -> np.ndarray:
+    """How often each entry occurs."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    begin = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(keys) else np.zeros(0, np.int64)
+    n = np.diff(np.append(begin, len(keys)))
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.repeat(n, n)
+    return out
+
+
 def summed(whole: DataFrame, buckets: int) -> DataFrame:
     """A row per chunk: for each bucket the sums over all chunks of what the chunk has of it, in the chunk's order."""
     sent = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()), ("n", pa.binary()),

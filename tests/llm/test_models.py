@@ -80,8 +80,9 @@ def test_indicators_cover_the_whole_text():
 # --- language models -------------------------------------------------------------------------
 
 
-def bits_by_rule(rows, target, text):
-    """Both cross-entropies of a text, from dictionaries."""
+def bits_by_rule(rows, target, number):
+    """Both cross-entropies of a row under models of all other rows, from dictionaries."""
+    text = rows[number][1]
     counts: dict = {}
     for _, t in rows:
         for w in lm_scoring.tokens(t):
@@ -92,13 +93,15 @@ def bits_by_rule(rows, target, text):
     def named(t):
         return ["<edge>", *(w if w in known else "<unknown>" for w in lm_scoring.tokens(t)), "<edge>"]
 
+    sizes = {part: sum(len(named(t)) - 1 for i, t in rows if (i in target) == part) for part in (True, False)}
     out = []
     for part in (True, False):
+        scale = min(sizes.values()) / sizes[part] if min(sizes.values()) else 1
         pairs: dict = {}
         before: dict = {}
         token: dict = {}
-        for i, t in rows:
-            if (i in target) == part:
+        for k, (i, t) in enumerate(rows):
+            if (i in target) == part and k != number:
                 w = named(t)
                 for a, b in zip(w, w[1:]):
                     pairs[a, b] = pairs.get((a, b), 0) + 1
@@ -106,8 +109,9 @@ def bits_by_rule(rows, target, text):
                     token[b] = token.get(b, 0) + 1
         total = sum(token.values())
         w = named(text)
-        loss = [-math.log2((pairs.get((a, b), 0) + lm_scoring.PRIOR * (token.get(b, 0) + 1) / (total + size))
-                           / (before.get(a, 0) + lm_scoring.PRIOR)) for a, b in zip(w, w[1:])]
+        loss = [-math.log2((scale * pairs.get((a, b), 0)
+                            + lm_scoring.PRIOR * (scale * token.get(b, 0) + 1) / (scale * total + size))
+                           / (scale * before.get(a, 0) + lm_scoring.PRIOR)) for a, b in zip(w, w[1:])]
         out.append(sum(loss) / len(loss))
     return out
 
@@ -125,8 +129,8 @@ def test_scores_are_those_of_the_models(spark, monkeypatch, vocabulary):
     found = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"], r["target_bits"],
                     r["background_bits"], r["score"]) for r in got.collect())
     expected = []
-    for i, t in rows:
-        a, b = bits_by_rule(rows, target, t)
+    for k, (i, t) in enumerate(rows):
+        a, b = bits_by_rule(rows, target, k)
         expected.append((i is not None, i or 0, len(lm_scoring.tokens(t)) + 1, a, b, a - b))
     assert len(found) == len(expected)
     for x, y in zip(found, sorted(expected)):
@@ -154,11 +158,30 @@ def test_all_tokens_are_told_apart_over_many_chunks(spark, monkeypatch):
                  for r in lm_scoring.cross_entropy_difference(docs, labels, F.col("quality") == 1).collect())
     monkeypatch.setattr(lm_scoring, "VOCABULARY", len(every))
     target = {i for i in range(91) if i % 2 or i == 90}
-    expected = sorted((i is not None, i or 0, len(lm_scoring.tokens(t)) + 1, *bits_by_rule(rows, target, t))
-                      for i, t in rows if i is None or i < 14 or i > 76)
+    expected = sorted((i is not None, i or 0, len(lm_scoring.tokens(t)) + 1, *bits_by_rule(rows, target, k))
+                      for k, (i, t) in enumerate(rows) if i is None or i < 14 or i > 76)
     got = [r for r in got if not r[0] or r[1] < 14 or r[1] > 76]
     assert len(got) == len(expected)
     for x, y in zip(got, expected):
         assert x == pytest.approx(y)
     scores = {r[1]: r[3] for r in got}
     assert scores[90] != scores[91]
+
+
+def test_a_document_is_not_judged_by_its_own_label(spark):
+    """Forty texts of a kind: the score of one hardly depends on whether it is labelled itself."""
+    docs = documents(spark, [(i, prose(i, 80)) for i in range(40)])
+    scores = []
+    for good in (range(0, 20), range(1, 21)):
+        labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+        got = lm_scoring.cross_entropy_difference(docs, labels, F.col("quality") == 1)
+        scores.append({r["doc_id"]: r["score"] for r in got.collect()})
+    assert abs(scores[0][0] - scores[1][0]) < 0.5 and abs(scores[0][0]) < 0.5 and abs(scores[1][0]) < 0.5
+
+
+def test_scores_do_not_follow_the_sizes_of_the_parts(spark):
+    """A hundred texts of a kind of which few are the target: neither model is favoured for its size."""
+    docs = documents(spark, [(i, prose(i, 80)) for i in range(100)])
+    labels = spark.createDataFrame([(i, 1) for i in range(12)], "doc_id long, quality int")
+    got = [r["score"] for r in lm_scoring.cross_entropy_difference(docs, labels, F.col("quality") == 1).collect()]
+    assert abs(sum(got) / len(got)) < 0.3

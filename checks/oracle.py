@@ -778,6 +778,23 @@ SELECT date, city, zone, daily_max_aqi,
        CAST(date - min(date) OVER (PARTITION BY city, zone, run) + 1 AS INTEGER) AS consecutive_unhealthy_days
 FROM runs""")
 
+define("doc_sequences_carried", f"""{LONG},
+days AS (
+  SELECT date, 'all' AS city, zone, CAST(round(CAST(avg_aqi AS DECIMAL(38, 9)), 0) AS INTEGER) AS daily_max_aqi FROM air_day_long
+),
+lagged AS (
+  SELECT *, CASE WHEN lag(date) OVER w = date - 1 THEN lag(daily_max_aqi) OVER w END AS previous_day_aqi
+  FROM days WINDOW w AS (PARTITION BY zone ORDER BY date)
+),
+starts AS (SELECT *, CASE WHEN previous_day_aqi > 99 THEN 0 ELSE 1 END AS is_start FROM lagged),
+runs AS (
+  SELECT *, sum(is_start) OVER (PARTITION BY zone ORDER BY date ROWS UNBOUNDED PRECEDING) AS run FROM starts
+)""", """
+SELECT date, city, zone, daily_max_aqi, previous_day_aqi, daily_max_aqi - previous_day_aqi AS aqi_change,
+       CASE WHEN daily_max_aqi > 99
+            THEN CAST(row_number() OVER (PARTITION BY zone, run ORDER BY date) AS INTEGER) ELSE 0 END AS consecutive_unhealthy_days
+FROM runs""")
+
 define("doc_good_air_pct", f"{AIR},{air_hourly('air')}", f"""
 SELECT CAST(hour_timestamp AS DATE) AS date, city, zone, count(*) AS hours_observed,
        count(*) FILTER (WHERE avg_aqi > 100) AS unhealthy_hours,

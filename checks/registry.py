@@ -598,6 +598,25 @@ def doc_unhealthy_streak(spark, sf_dir):
     return documented.unhealthy_streaks(zone_days(spark, sf_dir), above=190)
 
 
+@query("doc_sequences_carried")
+def doc_sequences_carried(spark, sf_dir):
+    """Streaks and changes over years in three stored periods, each built from its own days and one row per zone before it."""
+    base = scratch_dir(spark, "sequences")
+    days = frames.air_day_long(spark, sf_dir).select(
+        "date", F.lit("all").alias("city"), "zone", rounded("avg_aqi", 0).cast("int").alias("daily_max_aqi"))
+    days.write.parquet(f"{base}/days")
+    days = tables.read_parquet(spark, f"{base}/days", days.schema)
+    state = spark.createDataFrame([], documented.SEQUENCE_STATE)
+    edges = (dt.date(1900, 1, 1), dt.date(1994, 6, 12), dt.date(1996, 3, 1), dt.date(2100, 1, 1))
+    for number, (first, end) in enumerate(zip(edges, edges[1:])):
+        period = days.filter((F.col("date") >= F.lit(first)) & (F.col("date") < F.lit(end)))
+        documented.zone_sequences(period, state, above=99).write.parquet(f"{base}/sequences/period={number}")
+        rows = tables.read_parquet(spark, f"{base}/sequences/period={number}")
+        documented.closing_state(rows, state).write.parquet(f"{base}/state/period={number}")
+        state = tables.read_parquet(spark, f"{base}/state/period={number}", documented.SEQUENCE_STATE)
+    return tables.read_parquet(spark, f"{base}/sequences").drop("period")
+
+
 @query("doc_good_air_pct")
 def doc_good_air_pct(spark, sf_dir):
     return documented.good_air_share(zone_hours(spark, sf_dir))

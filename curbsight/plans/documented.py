@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbsight.functions import traffic as classify
 from curbsight.functions.air import index_category
@@ -74,6 +75,51 @@ def unhealthy_streaks(zone_days: DataFrame, *, above: int = UNHEALTHY_DAY_AQI) -
     return runs.withColumn("consecutive_unhealthy_days", F.row_number().over(within)).drop("run")
 
 
+SEQUENCE_STATE = T.StructType([
+    T.StructField("date", T.DateType()), T.StructField("city", T.StringType()), T.StructField("zone", T.StringType()),
+    T.StructField("daily_max_aqi", T.IntegerType()), T.StructField("consecutive_unhealthy_days", T.IntegerType()),
+])
+
+
+def zone_sequences(zone_days: DataFrame, before: DataFrame, *, above: int = UNHEALTHY_DAY_AQI) -> DataFrame:
+    """Previous day, change and streak of unhealthy days for the days of a period, carried on from ``before``.
+
+    ``before`` has a row per zone at most: its last day ahead of the period with the streak it had reached (0 on a healthy
+    day, see ``closing_state``). So a new period reads one row per zone of all that went before, and periods chained like
+    this give what a single pass over all days gives.
+    """
+    by_day = Window.partitionBy("city", "zone").orderBy("date")
+    days = zone_days.select("date", "city", "zone", F.col("daily_max_aqi").cast("int").alias("daily_max_aqi"))
+    joined = days.withColumn("reached", F.lit(None).cast("int")).unionByName(
+        before.select("date", "city", "zone", "daily_max_aqi", F.col("consecutive_unhealthy_days").alias("reached")))
+    follows = F.lag("date").over(by_day) == F.date_sub("date", 1)
+    bad = F.when(F.col("reached").isNull(), F.col("daily_max_aqi") > above).otherwise(F.col("reached") > 0)
+    marked = joined.withColumns({
+        "previous_day_aqi": F.when(follows, F.lag("daily_max_aqi").over(by_day)),
+        "bad": F.coalesce(bad, F.lit(False)),
+    })
+    # A run begins where the day before is missing or healthy; the rank within it counts its days.
+    starts = marked.withColumn(
+        "starts", F.coalesce(~(follows & F.lag("bad").over(by_day)), F.lit(True)).cast("int"))
+    runs = starts.withColumn("run", F.sum("starts").over(by_day.rowsBetween(Window.unboundedPreceding, 0)))
+    within = Window.partitionBy("city", "zone", "run").orderBy("date")
+    carried = F.coalesce(F.first("reached").over(within) - 1, F.lit(0))
+    return runs.select(
+        "date", "city", "zone", "daily_max_aqi", "previous_day_aqi",
+        (F.col("daily_max_aqi") - F.col("previous_day_aqi")).alias("aqi_change"),
+        F.when(F.col("bad"), F.row_number().over(within) + carried).otherwise(0).cast("int").alias("consecutive_unhealthy_days"),
+        "reached",
+    ).where("reached is null").drop("reached")
+
+
+def closing_state(sequences: DataFrame, before: DataFrame) -> DataFrame:
+    """The last day of each zone with its streak: all that the next period needs."""
+    names = SEQUENCE_STATE.names
+    rows = sequences.select(*names).unionByName(before.select(*names))
+    last = rows.groupBy("city", "zone").agg(F.max(F.struct("date", "daily_max_aqi", "consecutive_unhealthy_days")).alias("last"))
+    return last.select("city", "zone", "last.*").select(*names)
+
+
 def good_air_share(zone_hours: DataFrame) -> DataFrame:
     """Share of hours with good air and true hours above 100, from the hourly table."""
     aqi = F.col("avg_aqi")

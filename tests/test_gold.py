@@ -226,3 +226,26 @@ def test_merging_deviations_is_one_shuffle(spark, tmp_path):
     air_gold.sensor_hours(mixed_air(spark)).write.parquet(str(tmp_path / "hours"))
     plan = air_gold.zone_hours(spark.read.parquet(str(tmp_path / "hours")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_sequences_carried_over_periods_are_those_of_one_pass(spark):
+    draw = random.Random(6)
+    days = spark.createDataFrame(
+        [(dt.date(2024, 1, 1) + dt.timedelta(days=d), "c", zone, draw.choice([None, 90, 150, 170, 180]), 0.0)
+         for zone in ("a", "b", None) for d in range(80) if draw.random() < 0.9],
+        "date date, city string, zone string, daily_max_aqi int, daily_avg_aqi double")
+    nothing = spark.createDataFrame([], documented.SEQUENCE_STATE)
+    whole = sorted(documented.zone_sequences(days, nothing, above=100).collect(), key=repr)
+    for cuts in ((31, 60), (1, 2, 3, 40, 79)):
+        edges = [dt.date(2024, 1, 1) + dt.timedelta(days=d) for d in (0, *cuts, 200)]
+        state, found = nothing, []
+        for first, end in zip(edges, edges[1:]):
+            rows = documented.zone_sequences(days.filter((F.col("date") >= F.lit(first)) & (F.col("date") < F.lit(end))), state, above=100)
+            state = spark.createDataFrame(documented.closing_state(rows, state).collect(), documented.SEQUENCE_STATE)
+            found += rows.collect()
+            assert state.count() <= 3
+        assert sorted(found, key=repr) == whole
+    streaks = {(r.date, r.zone): r.consecutive_unhealthy_days for r in documented.unhealthy_streaks(days, above=100).collect()}
+    assert {(r.date, r.zone): r.consecutive_unhealthy_days for r in whole if r.consecutive_unhealthy_days} == streaks
+    changes = {(r.date, r.zone): r.aqi_change for r in documented.aqi_change(days).collect()}
+    assert {(r.date, r.zone): r.aqi_change for r in whole} == changes

@@ -914,7 +914,8 @@ FROM traffic""")
 
 # --- streams --------------------------------------------------------------------------------
 
-define("st_traffic_silver", TRAFFIC, f"""
+for _name in ("st_traffic_silver", "st_broker_records"):
+    define(_name, TRAFFIC, f"""
 SELECT sensor_id, reading_datetime, event_name AS event_id, {rs("latitude", "longitude")}, intersection, road_type,
        city, country, vehicle_count, {rs("avg_speed_mph")}, congestion_level, pedestrian_count, bike_count,
        {rs("occupancy_percent", "queue_length_meters")}, traffic_flow_score, incident_detected, device_status,

@@ -777,6 +777,16 @@ def st_traffic_silver(spark, sf_dir):
     return run_at_free(tables.read_parquet(spark, out, schemas.SILVER_TRAFFIC))
 
 
+@query("st_broker_records")
+def st_broker_records(spark, sf_dir):
+    """Silver from a stream of messages instead of a landing folder; each has a record in its value."""
+    def run(landing, to, progress):
+        messages = spark.readStream.schema("value string").text(landing).withColumn("value", F.col("value").cast("binary"))
+        return stream.run_silver(spark, stream.records_of(messages), to, progress, RUN_AT)
+
+    return run_at_free(tables.read_parquet(spark, stream_arrivals(spark, sf_dir, run), schemas.SILVER_TRAFFIC))
+
+
 @query("st_dedup")
 def st_dedup(spark, sf_dir):
     def run(landing, to, checkpoint):

@@ -47,12 +47,22 @@ def broker_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
         .option("subscribe", topic)
         .load()
     )
+    return records_of(raw)
+
+
+def records_of(messages: DataFrame) -> DataFrame:
+    """The records in the ``value`` of messages; a value that is no record is kept with its text, like a broken line."""
     record = F.from_json(
         F.col("value").cast("string"),
         schemas.BRONZE_TRAFFIC,
         {"columnNameOfCorruptRecord": schemas.CORRUPT},
     )
-    return raw.select(record.alias("r")).select("r.*")
+    return messages.select(record.alias("r")).select("r.*")
+
+
+def landed_records(spark: SparkSession, source: str | DataFrame, max_files: int | None) -> DataFrame:
+    """The stream of a landing folder, or one that the caller has made of any other source."""
+    return source if isinstance(source, DataFrame) else stream_jsonl(spark, source, schemas.BRONZE_TRAFFIC, max_files)
 
 
 # Silver column, path in the record, type.
@@ -171,7 +181,7 @@ def append_new(batch: DataFrame, silver_path: str, staged_path: str) -> list[dt.
 
 def run_silver(
     spark: SparkSession,
-    landing: str,
+    landing: str | DataFrame,
     silver_path: str,
     progress_path: str,
     run_at: dt.datetime | None,
@@ -182,13 +192,13 @@ def run_silver(
     every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Landing zone to silver traffic: cleanse, enrich, deduplicate, append by hour.
+    """Landing zone, or a stream of its records, to silver traffic: cleanse, enrich, deduplicate, append by hour.
 
     With ``rejected_path`` what is left out is written there, one folder per batch; a batch that is run again
     replaces its folder. With ``ledger_path`` each batch notes the days it has changed, for gold, and with ``metrics_path``
     its lines and how many of them were kept; lines that are no record break the rule of identity.
     """
-    landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
+    landed = landed_records(spark, landing, max_files)
 
     def append(batch: DataFrame, number: int) -> None:
         rows = located(cleansed(project_traffic(batch, run_at)))
@@ -216,7 +226,7 @@ def start_parquet(
 
 def run_congestion(
     spark: SparkSession,
-    landing: str,
+    landing: str | DataFrame,
     path: str,
     checkpoint: str,
     run_at: dt.datetime | None,
@@ -232,14 +242,14 @@ def run_congestion(
     are in silver all the same, and in the table the gold job builds from it. Readings from the future
     are left out before the watermark sees them.
     """
-    landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
+    landed = landed_records(spark, landing, max_files)
     rows = deduplicated(cleansed(project_traffic(landed, run_at), ahead), lateness)
     return start_parquet(congestion_trends(rows), path, checkpoint, every, by=DAILY)
 
 
 def run_sensor_sketches(
     spark: SparkSession,
-    landing: str,
+    landing: str | DataFrame,
     path: str,
     checkpoint: str,
     run_at: dt.datetime | None,
@@ -254,6 +264,6 @@ def run_sensor_sketches(
     Exact distinct counts are not possible in a stream, and would not merge to hours or days. A sketch has a bounded size
     whatever the number of sensors, so the state does not grow with it. Repeats need no deduplication: they change nothing.
     """
-    landed = stream_jsonl(spark, landing, schemas.BRONZE_TRAFFIC, max_files)
+    landed = landed_records(spark, landing, max_files)
     rows = cleansed(project_traffic(landed, run_at), ahead).withWatermark(READING, lateness)
     return start_parquet(sensor_sketches(rows), path, checkpoint, every, by=DAILY)

@@ -177,3 +177,21 @@ def test_unreadable_times_are_kept(spark, tmp_path):
     land(tmp_path / "bronze", change_line("MODIFY", "2", 7.0, stamp="when?"))
     (row,) = run_changes(spark, tmp_path).collect()
     assert row.reading_datetime is None and row.pm25 == 7.0
+
+
+def test_jobs_take_any_stream_of_records(spark, tmp_path):
+    """Messages with a record in their value, one of them broken, through the same jobs as a landing folder."""
+    land(tmp_path / "landing", reading("a", 0), reading("b", 5), reading("a", 0), reading("last", 60 * 24))
+    (tmp_path / "landing" / "broken.jsonl").write_text("{no\n")
+
+    def messages():
+        raw = spark.readStream.text(str(tmp_path / "landing")).withColumn("value", F.col("value").cast("binary"))
+        return stream.records_of(raw)
+
+    silver, progress, rejected = (str(tmp_path / p) for p in ("silver", "progress", "rejected"))
+    for _ in range(2):
+        stream.run_silver(spark, messages(), silver, progress, RUN, rejected_path=rejected).awaitTermination()
+    assert sorted(r.event_id for r in tables.read_parquet(spark, silver, schemas.SILVER_TRAFFIC).collect()) == ["a", "b", "last"]
+    assert [r.record for r in spark.read.parquet(rejected).filter("reason = 'not a JSON record'").collect()] == ["{no"]
+    stream.run_congestion(spark, messages(), str(tmp_path / "windows"), str(tmp_path / "w"), RUN).awaitTermination()
+    assert [r.reading_count for r in spark.read.parquet(str(tmp_path / "windows")).collect()] == [2]

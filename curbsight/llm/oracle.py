@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from curbsight.llm.secret_scan import BASE, MORE
-
 ORACLE: dict[str, str] = {}
 
 WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
@@ -64,6 +62,19 @@ from done
 """
 
 
+# Kind, pattern, the group whose length counts (0: all) and the least length.
+SECRETS = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 0),
+    ("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 0),
+    ("forge", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("maps", r"AIza[A-Za-z0-9_-]{35,}", 0, 0),
+    ("signed", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 0),
+)
+
+
 def rule_spans(kind: str, pattern: str, group: int, shortest: int, order: int) -> str:
     """One row per span: what stands between matches and the matches add up to its place."""
     quoted = pattern.replace("'", "''")
@@ -79,7 +90,7 @@ def rule_spans(kind: str, pattern: str, group: int, shortest: int, order: int) -
 
 ORACLE["op7_secret_scan"] = f"""
 with doc as (select doc_id, coalesce(text, '') as t from documents),
-span as ({" union all ".join(rule_spans(r.kind, r.pattern, r.group, r.shortest, i) for i, r in enumerate(BASE + MORE))}),
+span as ({" union all ".join(rule_spans(*rule, i) for i, rule in enumerate(SECRETS))}),
 listed as (
   select doc_id,
     count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,

@@ -48,6 +48,8 @@ MORE = (
 
 #: Sets of strings that stand for a part of an expression are followed up to this size.
 MOST_STRINGS = 64
+#: Spans of a text that are collected at once.
+BLOCK_SPANS = 256
 #: A class of more characters is unknown content.
 MOST_CHARACTERS = 8
 
@@ -204,7 +206,23 @@ def matches(rule: Rule, order: int) -> Column:
         return F.struct(end.alias("at"), out.alias("out")).cast(shape)
 
     start = F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(shape)
-    return F.aggregate(steps, start, step)["out"]
+    blocks = "struct<at:int,out:array<array<struct<start:int,order:int,end:int,kind:string>>>>"
+
+    def shifted(state: Column, block: Column) -> Column:
+        """The spans of a block moved behind those of the blocks before it."""
+        moved = F.transform(block["out"], lambda x: F.struct(
+            (x["start"] + state["at"]).alias("start"), x["order"].alias("order"), (x["end"] + state["at"]).alias("end"),
+            x["kind"].alias("kind")))
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], F.array(moved)).alias("out")).cast(blocks)
+
+    def joined(all_steps: Column) -> Column:
+        # Spans are collected in blocks, because every one that is added copies those before it.
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_steps) - 1) / BLOCK_SPANS).cast("int"))
+        parts = F.transform(numbers, lambda n: F.aggregate(F.slice(all_steps, n * BLOCK_SPANS + 1, BLOCK_SPANS), start, step))
+        first = F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(blocks)
+        return F.when(F.size(all_steps) > 0, F.flatten(F.aggregate(parts, first, shifted)["out"])).otherwise(start["out"])
+
+    return F.transform(F.array(steps), joined)[0]
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +142,26 @@ def test_redacted_text(spark):
     rows = [(1, "a token = abcdef9 b"), (2, "nothing"), (3, "api_key: 0123456789abcdef01234567")]
     got = {r["doc_id"]: r["text"] for r in secret_scan.redacted(secret_scan.scan(documents(spark, rows))).collect()}
     assert got == {1: "a [assign] b", 2: "nothing", 3: "[assign]"}
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
+def test_spans_of_texts_with_many_secrets(spark, n):
+    """Blocks of spans join without a gap."""
+    piece = "é token=abcdef1 " + "f" * 24 + " "
+    found = secret_scan.scan(documents(spark, [(1, piece * n)])).first()["spans"]
+    at = [i * len(piece) for i in range(n)]
+    assert [(s["kind"], s["start"], s["end"]) for s in found] == [
+        x for a in at for x in (("assign", a + 2, a + 15), ("hex", a + 16, a + 40))]
+
+
+def test_twenty_thousand_spans_in_one_text(spark):
+    docs = documents(spark, [(1, "token=abcdef1 " * 20_000)])
+    secret_scan.scan(documents(spark, [(1, "token=abcdef1 " * 10)])).collect()
+    begin = time.perf_counter()
+    found = secret_scan.scan(docs).select(F.size("spans").alias("n"), F.element_at("spans", -1).alias("last")).first()
+    assert found["n"] == 20_000 and found["last"]["end"] == 14 * 20_000 - 1
+    assert time.perf_counter() - begin < 30
+
+
+def test_scan_of_an_empty_table(spark):
+    assert secret_scan.scan(documents(spark, [])).count() == 0

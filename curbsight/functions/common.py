@@ -57,6 +57,27 @@ def calendar(stamp: str | Column, *, hour: bool = False) -> dict[str, Column]:
     return {**parts, "hour": F.hour(c)} if hour else parts
 
 
+#: Tasks that share the rows of a day at most, where these are dealt by day.
+LANES = 8
+_DEALT = ("year", "month", "day", "_lane")
+
+
+def dealt_by_day(frame: DataFrame, stamp: str, *key: str | Column) -> DataFrame:
+    """Rows of a day brought to at most ``LANES`` tasks, rows that agree in ``key`` to the same one.
+
+    An aggregate that groups by ``day_keys`` as well needs no exchange of its own then, and neither does a write with
+    folders by day, so rows travel once and before they are widened to parts. ``key`` has to follow from the
+    aggregate's own keys, so that groups stay whole.
+    """
+    lane = F.pmod(F.xxhash64(*key), F.lit(LANES))
+    return frame.withColumns({**calendar(stamp), "_lane": lane}).repartition(*_DEALT)
+
+
+def day_keys(frame: DataFrame) -> tuple[str, ...]:
+    """What to group by besides the own keys: calendar and lane of dealt rows, nothing for others."""
+    return _DEALT if "_lane" in frame.columns else ()
+
+
 def day_of_week(stamp: str) -> Column:
     """0 for Sunday to 6 for Saturday."""
     return F.dayofweek(stamp) - F.lit(1)
@@ -199,6 +220,24 @@ def merged_deviation(parts: DataFrame, keys: Sequence[str], column: str) -> tupl
     return about, F.when(F.sum(n) > 1, F.sqrt(F.sum("_about") / (F.sum(n) - 1)))
 
 
+def with_deviation(rows: DataFrame, parts: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """``rows``, one per ``keys``, with the sample deviation of ``column`` from their parts in the column ``name``.
+
+    Parts of equally many readings are merged first, by a variance of their means, which a hash aggregate combines before
+    anything is sent. The common mean is then brought to the few merged parts of each row and not to all parts, which
+    would have to be sorted for it.
+    """
+    total, n, own = (F.col(f"{column}__{part}") for part in ("sum", "n", "m2"))
+    alike = parts.groupBy(*keys, n.alias("_each")).agg(
+        *merged_parts([column]),
+        (F.sum(own) + F.coalesce(F.var_pop(F.try_divide(total, n)) * F.sum(n), F.lit(0.0))).alias(f"{column}__m2"),
+    )
+    about, deviation = merged_deviation(alike, keys, column)
+    found = about.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(deviation.alias("_found"))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    return rows.join(found, same, "left").select(*(F.col("_found").alias(c) if c == name else c for c in rows.columns))
+
+
 def rounded(value: Column | str, digits: int) -> Column:
     """Half-up rounding that does not depend on the order in which doubles were added.
 

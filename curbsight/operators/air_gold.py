@@ -10,6 +10,8 @@ few rows left. Stored, the rollup is all that the other tables need, so silver i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +19,15 @@ from curbsight.functions.common import (
     averages,
     band,
     calendar,
+    day_keys,
+    dealt_by_day,
     distinct_hours,
     finished_means,
     mean_parts,
     merged_deviation,
     merged_parts,
     squares,
+    with_deviation,
 )
 
 READING = "reading_datetime"
@@ -75,11 +80,21 @@ def _with_status(rows: DataFrame) -> DataFrame:
     )
 
 
+_ZONE_HOUR = ("hour_timestamp", "zone", "city", "country")
+
+
 def zone_hours(hours: DataFrame) -> DataFrame:
-    """``hourly_by_zone`` from the sensor-hour rollup."""
-    keys = ("hour_timestamp", "zone", "city", "country")
-    parts, deviation = merged_deviation(hours, keys, "pm25")
-    rows = parts.groupBy(*keys).agg(
+    """``hourly_by_zone`` from the sensor-hour rollup, in one shuffle and a sort."""
+    return _zone_hours(*merged_deviation(hours, _ZONE_HOUR, "pm25"))
+
+
+def stored_zone_hours(hours: DataFrame) -> DataFrame:
+    """``zone_hours`` from a stored rollup, of which two columns are read once more instead of sorting all of it."""
+    return with_deviation(_zone_hours(hours, F.lit(None).cast("double")), hours, _ZONE_HOUR, "pm25", "stddev_pm25")
+
+
+def _zone_hours(parts: DataFrame, deviation: Column) -> DataFrame:
+    rows = parts.groupBy(*_ZONE_HOUR).agg(
         *finished_means(HOURLY_MEANS),
         F.min("low_pm25").alias("min_pm25"),
         F.max("peak_pm25").alias("max_pm25"),
@@ -123,6 +138,7 @@ def newness() -> Column:
 def reading_parts(silver: DataFrame) -> DataFrame:
     """Every reading as a part of its own, for tables that need no rollup before them."""
     return silver.select(
+        *day_keys(silver),
         hour_bucket(), "sensor_id", "zone", "city", "country", *_STATE,
         *mean_parts(_MEANS),
         *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
@@ -137,7 +153,17 @@ def reading_parts(silver: DataFrame) -> DataFrame:
 
 def sensor_hours(silver: DataFrame) -> DataFrame:
     """Parts merged per hour, sensor, device state and category."""
-    rows = reading_parts(silver).groupBy("hour_timestamp", "sensor_id", "zone", "city", "country", *_STATE).agg(
+    return _sensor_hours(reading_parts(silver))
+
+
+def stored_sensor_hours(silver: DataFrame) -> DataFrame:
+    """``sensor_hours`` for a table by day: readings travel once, before they are parts, which are three times as wide."""
+    return _sensor_hours(reading_parts(dealt_by_day(silver, READING, "sensor_id", hour_bucket())))
+
+
+def _sensor_hours(parts: DataFrame) -> DataFrame:
+    keys = ("hour_timestamp", "sensor_id", "zone", "city", "country", *_STATE)
+    rows = parts.groupBy(*keys, *day_keys(parts)).agg(
         *merged_parts(_MEANS),
         squares("low_pm25").alias("pm25__m2"),
         *(F.min(c).alias(c) for c in _LOWEST),
@@ -146,7 +172,7 @@ def sensor_hours(silver: DataFrame) -> DataFrame:
         F.max("newness").alias("newness"),
         *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TOTALS),
     )
-    return rows.withColumns(calendar("hour_timestamp"))
+    return rows.withColumns(calendar("hour_timestamp")).drop("_lane")
 
 
 def daily_by_zone(hours: DataFrame) -> DataFrame:
@@ -180,7 +206,7 @@ def sensor_health(hours: DataFrame) -> DataFrame:
     and battery are those of this one reading.
     """
     newest = F.struct("newness", "last_seen", "device_status", "firmware_version", "last_battery")
-    rows = hours.groupBy(F.to_date("hour_timestamp").alias("date"), "sensor_id", "zone").agg(
+    rows = hours.groupBy(F.to_date("hour_timestamp").alias("date"), "sensor_id", "zone", *day_keys(hours)).agg(
         *finished_means({"avg_battery_level": "battery_level", "avg_signal_strength": "signal_strength_dbm"}),
         F.max(newest).alias("newest"),
         F.min("low_battery").alias("min_battery_level"),
@@ -199,7 +225,7 @@ def sensor_health(hours: DataFrame) -> DataFrame:
             "uptime_percent": (F.col("active_hours") / F.lit(24.0) * 100).cast("decimal(5,2)"),
         })
         .withColumn("health_status", F.when(critical, "Critical").when(warning, "Warning").otherwise("Healthy"))
-        .drop("newest")
+        .drop("newest", "_lane")
     )
 
 
@@ -214,18 +240,23 @@ _SENSOR_MEANS = {
 
 def daily_by_sensor(parts: DataFrame) -> DataFrame:
     """One row per day and sensor, from readings or from the rollup."""
-    rows = parts.groupBy(F.to_date("hour_timestamp").alias("date"), "sensor_id", "zone").agg(
+    rows = parts.groupBy(F.to_date("hour_timestamp").alias("date"), "sensor_id", "zone", *day_keys(parts)).agg(
         *finished_means(_SENSOR_MEANS), F.sum("readings").alias("reading_count")
     )
-    return rows.withColumns(calendar("date"))
+    return rows.withColumns(calendar("date")).drop("_lane")
 
 
 def hourly_by_sensor(parts: DataFrame) -> DataFrame:
     """One row per hour and sensor, from readings or from the rollup."""
-    rows = parts.groupBy("hour_timestamp", "sensor_id", "zone").agg(
+    rows = parts.groupBy("hour_timestamp", "sensor_id", "zone", *day_keys(parts)).agg(
         *finished_means(_SENSOR_MEANS), F.sum("readings").alias("reading_count")
     )
-    return rows.withColumns(calendar("hour_timestamp"))
+    return rows.withColumns(calendar("hour_timestamp")).drop("_lane")
+
+
+def by_sensor(build: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """A table per sensor from the rollup, of which the rows travel once for the aggregate and the folders by day."""
+    return lambda hours: build(dealt_by_day(hours, "hour_timestamp", "sensor_id"))
 
 
 # --- categories -----------------------------------------------------------------------------

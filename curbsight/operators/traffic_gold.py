@@ -13,6 +13,8 @@ from curbsight.functions import traffic as classify
 from curbsight.functions.common import (
     averages,
     calendar,
+    day_keys,
+    dealt_by_day,
     distinct_hours,
     finished_means,
     grade,
@@ -22,6 +24,7 @@ from curbsight.functions.common import (
     percent,
     rounded,
     squares,
+    with_deviation,
 )
 
 READING = "reading_datetime"
@@ -95,15 +98,25 @@ _PLACE = ("intersection", "road_type", "city")
 
 def sensor_quarters(silver: DataFrame) -> DataFrame:
     """Mergeable parts per quarter of an hour and sensor: sums, counts, squares and extremes."""
+    return _sensor_quarters(silver)
+
+
+def stored_sensor_quarters(silver: DataFrame) -> DataFrame:
+    """``sensor_quarters`` for a table by day: readings travel once, before they are parts, which are wider."""
+    return _sensor_quarters(dealt_by_day(silver, READING, "sensor_id", F.date_trunc("hour", READING)))
+
+
+def _sensor_quarters(silver: DataFrame) -> DataFrame:
     micros = F.unix_micros(READING)
     parts = silver.select(
+        *day_keys(silver),
         F.timestamp_micros(micros - F.pmod(micros, F.lit(WINDOW_MINUTES * 60_000_000))).alias("time_window_start"),
         *_PLACE, "sensor_id",
         *mean_parts(_QUARTER_MEANS),
         *(F.col(c).alias(name) for name, c in {**_LOWEST, **_HIGHEST}.items()),
         *_TOTALS, "congestion_level", "incident_detected",
     )
-    rows = parts.groupBy("time_window_start", *_PLACE, "sensor_id").agg(
+    rows = parts.groupBy("time_window_start", *_PLACE, "sensor_id", *day_keys(parts)).agg(
         *merged_parts(_QUARTER_MEANS),
         squares("low_vehicles").alias("vehicle_count__m2"),
         *(F.min(c).alias(c) for c in _LOWEST),
@@ -116,7 +129,7 @@ def sensor_quarters(silver: DataFrame) -> DataFrame:
     return rows.withColumns({
         "congested": F.col("severe_count") + F.col("high_count"),
         **calendar("time_window_start"),
-    })
+    }).drop("_lane")
 
 
 def merged_quarters(parts: DataFrame) -> DataFrame:
@@ -141,11 +154,24 @@ def _summed_levels(pattern: str) -> list[Column]:
     return [F.sum(f"{x}_count").alias(pattern.format(x)) for x in classify.LEVELS]
 
 
+_PLACE_HOUR = ("hour_timestamp", *_PLACE)
+
+
 def intersection_hours(quarters: DataFrame) -> DataFrame:
-    """``hourly_by_intersection`` from the rollup."""
-    named, keys = "{}_congestion_count", ("hour_timestamp", *_PLACE)
-    parts, deviation = merged_deviation(_by_hour(quarters), keys, "vehicle_count")
-    rows = parts.groupBy(*keys).agg(
+    """``hourly_by_intersection`` from the rollup, in one shuffle and a sort."""
+    return _intersection_hours(*merged_deviation(_by_hour(quarters), _PLACE_HOUR, "vehicle_count"))
+
+
+def stored_intersection_hours(quarters: DataFrame) -> DataFrame:
+    """``intersection_hours`` from a stored rollup, of which two columns are read once more instead of sorting all of it."""
+    parts = _by_hour(quarters)
+    rows = _intersection_hours(parts, F.lit(None).cast("double"))
+    return with_deviation(rows, parts, _PLACE_HOUR, "vehicle_count", "stddev_vehicle_count")
+
+
+def _intersection_hours(parts: DataFrame, deviation: Column) -> DataFrame:
+    named = "{}_congestion_count"
+    rows = parts.groupBy(*_PLACE_HOUR).agg(
         *finished_means({
             "avg_vehicle_count": "vehicle_count",
             "avg_speed_mph": "avg_speed_mph",

@@ -46,6 +46,8 @@ class GoldTable(NamedTuple):
     build: Builder
     layout: tuple[str, ...] = DAILY
     from_rollup: bool = False
+    #: Its rows come by day already, so the write needs no exchange.
+    arranged: bool = False
 
 
 class Domain(NamedTuple):
@@ -57,22 +59,22 @@ class Domain(NamedTuple):
 
 
 AIR = Domain(
-    GoldTable("air_quality_sensor_hours", air_gold.sensor_hours),
+    GoldTable("air_quality_sensor_hours", air_gold.stored_sensor_hours, arranged=True),
     (
-        GoldTable("air_quality_hourly_avg", air_gold.zone_hours, from_rollup=True),
+        GoldTable("air_quality_hourly_avg", air_gold.stored_zone_hours, from_rollup=True),
         GoldTable("aqi_trends", air_gold.category_hours, from_rollup=True),
         GoldTable("air_quality_daily_summary", air_gold.daily_by_zone, MONTHLY, from_rollup=True),
-        GoldTable("sensor_health_metrics", air_gold.sensor_health, from_rollup=True),
-        GoldTable("air_quality_daily_by_sensor", air_gold.daily_by_sensor, from_rollup=True),
-        GoldTable("air_quality_hourly_by_sensor", air_gold.hourly_by_sensor, from_rollup=True),
+        GoldTable("sensor_health_metrics", air_gold.by_sensor(air_gold.sensor_health), from_rollup=True, arranged=True),
+        GoldTable("air_quality_daily_by_sensor", air_gold.by_sensor(air_gold.daily_by_sensor), from_rollup=True, arranged=True),
+        GoldTable("air_quality_hourly_by_sensor", air_gold.by_sensor(air_gold.hourly_by_sensor), from_rollup=True, arranged=True),
     ),
     schemas.SILVER_AIR,
 )
 
 TRAFFIC = Domain(
-    GoldTable("traffic_sensor_quarters", traffic_gold.sensor_quarters),
+    GoldTable("traffic_sensor_quarters", traffic_gold.stored_sensor_quarters, arranged=True),
     (
-        GoldTable("traffic_hourly_by_intersection", traffic_gold.intersection_hours, from_rollup=True),
+        GoldTable("traffic_hourly_by_intersection", traffic_gold.stored_intersection_hours, from_rollup=True),
         GoldTable("traffic_daily_summary", traffic_gold.road_days, MONTHLY, from_rollup=True),
         GoldTable("traffic_incidents", traffic_gold.incidents),
         GoldTable("traffic_congestion_trends", traffic_gold.trend_quarters, from_rollup=True),
@@ -154,11 +156,11 @@ def build_gold(
         rows = table.build(restricted(source, table.layout)).withColumn("processed_at", processing_time(run_at))
         path = f"{gold_path}/{table.name}"
         if wanted is None:
-            write_parquet(rows, path, by=table.layout)
+            write_arranged(rows if table.arranged else laid_out(rows, table.layout), path, by=table.layout)
         else:
             folders = {(None,) * len(table.layout) if d is None else (d.year, d.month, d.day)[: len(table.layout)]
                        for d in wanted}
-            replace_folders(rows, path, table.layout, folders)
+            replace_folders(rows, path, table.layout, folders, arranged=table.arranged)
         return path
 
     rollup = read_parquet(spark, store(domain.rollup, silver), gold_schema(spark, domain, domain.rollup))

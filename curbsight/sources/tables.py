@@ -152,7 +152,7 @@ def write_parquet(
 
 
 def replace_folders(
-    frame: DataFrame, path: str, by: Sequence[str], wanted: Iterable[tuple[int | None, ...]]
+    frame: DataFrame, path: str, by: Sequence[str], wanted: Iterable[tuple[int | None, ...]], *, arranged: bool = False
 ) -> None:
     """Replace the ``wanted`` folders of a table by ``frame``, also those that get no rows.
 
@@ -162,7 +162,8 @@ def replace_folders(
     """
     spark, written = frame.sparkSession, Observation()
     parts = F.collect_set(F.struct(*(F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c) for c in by)))
-    write_arranged(laid_out(frame, by).observe(written, parts.alias("parts")), path, by, overwrite="dynamic")
+    rows = frame if arranged else laid_out(frame, by)
+    write_arranged(rows.observe(written, parts.alias("parts")), path, by, overwrite="dynamic")
     filled = {tuple(p) for p in written.get["parts"]}
     empty = spark.createDataFrame([], frame.drop(*by).schema)
     for values in sorted({tuple(-1 if v is None else v for v in w) for w in wanted} - filled):

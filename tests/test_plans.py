@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import statistics
+
 import pytest
+from pyspark.sql import functions as F
 
+from checks import frames
 from checks.registry import BUILDS
+from curbsight.functions.common import with_deviation
+from curbsight.operators import air_gold, traffic_gold
+from curbsight.plans import jobs
 
 SF = "/root/testdata/sf0.001"
 # Queries that run a job or a stream while they are built; the rest are plain plans.
@@ -52,3 +59,40 @@ def test_only_needed_columns_are_read(spark):
 
 def test_top_k_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan_of(BUILDS["aq_q3"](spark, SF))
+
+
+@pytest.mark.parametrize("domain", [jobs.AIR, jobs.TRAFFIC])
+def test_stored_rollups_send_their_rows_once(spark, domain):
+    silver = {jobs.AIR: frames.air, jobs.TRAFFIC: frames.traffic}[domain](spark, SF)
+    assert domain.rollup.arranged
+    plan = plan_of(domain.rollup.build(silver))
+    assert plan.count("Exchange") == 1 and "Sort" not in plan
+
+
+@pytest.mark.parametrize("table", [t for t in jobs.AIR.tables if t.arranged])
+def test_sensor_tables_send_the_rollup_once(spark, table):
+    plan = plan_of(table.build(jobs.AIR.rollup.build(frames.air(spark, SF))))
+    assert plan.count("Exchange") == 2  # one of them of the rollup
+
+
+def test_deviations_sort_merged_parts_only(spark):
+    """Windows see parts of equal size as one."""
+    for build, frame, domain in ((air_gold.stored_zone_hours, frames.air, jobs.AIR),
+                                 (traffic_gold.stored_intersection_hours, frames.traffic, jobs.TRAFFIC)):
+        plan = plan_of(build(domain.rollup.build(frame(spark, SF))))
+        # The plan prints from the result down to the scan.
+        below = plan[plan.index("Window "):].split("Scan")[0]
+        assert below.count("HashAggregate") == 4  # two of them of the rollup
+
+
+def test_deviations_by_parts_of_equal_size_are_those_of_the_readings(spark):
+    rows = [("a", x, n) for x, n in ((1e9 + 0.25, 1), (1e9 + 0.5, 1), (1e9, 3), (1e9 + 2, 3), (1e9 + 7, 2))]
+    rows += [(None, 4.0, 1), (None, 6.0, 1), ("b", 5.0, 1), ("c", None, 0)]
+    parts = spark.createDataFrame(
+        [(k, None if x is None else x * n, n, 0.0) for k, x, n in rows], "k string, v__sum double, v__n long, v__m2 double")
+    keyed = parts.select("k").distinct().withColumn("dev", F.lit(None).cast("double"))
+    found = {r.k: r.dev for r in with_deviation(keyed, parts, ("k",), "v", "dev").collect()}
+    for key in ("a", None):
+        each = [x - (1e9 if key else 0) for k, x, n in rows if k == key for _ in range(n)]
+        assert found[key] == pytest.approx(statistics.stdev(each), rel=1e-9)
+    assert found["b"] is None and found["c"] is None

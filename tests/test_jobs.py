@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from curbsight import schemas, session
 from curbsight.operators import traffic_gold
 from curbsight.plans import jobs
@@ -192,3 +193,14 @@ def test_scratch_needs_a_named_folder_on_a_cluster(spark):
         session.shared_dir(Cluster)
     Cluster.conf.get = staticmethod(lambda key, default=None: "hdfs://shared/dir/")
     assert session.shared_dir(Cluster) == "hdfs://shared/dir"
+
+
+def test_landed_records_are_compressed_in_files_that_are_read_side_by_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "LANDED_RECORDS", 100)
+    path = tmp_path / "bronze"
+    for first in (0, 1000):
+        registry.land(spark.range(first, first + 1000, numPartitions=2).selectExpr("cast(id as string) as cdc_event_id"), str(path))
+    files = list(path.glob("part-*"))
+    assert len(files) == 20 and all(f.name.endswith(".json.gz") for f in files)
+    read = tables.read_air_bronze(spark, str(path)).select("cdc_event_id").collect()
+    assert sorted(int(r[0]) for r in read) == list(range(2000))

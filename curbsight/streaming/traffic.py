@@ -167,7 +167,8 @@ def append_new(batch: DataFrame, silver_path: str, staged_path: str) -> list[dt.
     """
     spark = batch.sparkSession
     once = latest_per_key(batch, ("event_id",), [F.col(READING), F.col("sensor_id")])
-    fresh = stage(once, staged_path, schemas.SILVER_TRAFFIC)
+    # Staged as they come, without folders: only the write by hour has to bring rows together.
+    fresh = stage(once, staged_path, schemas.SILVER_TRAFFIC, by=())
     hours = staged_hours(fresh)
     if not hours:
         return []

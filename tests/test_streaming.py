@@ -100,6 +100,17 @@ def test_a_batch_run_again_adds_only_what_is_missing(spark, tmp_path):
     assert sorted(r.event_id for r in rows) == ["a", "b"]
 
 
+def test_a_batch_is_dealt_by_folder_only_for_its_write(spark, tmp_path):
+    lines = [json.dumps(reading(f"e{i}", 60 * 24 * (i % 3))) for i in range(9)]
+    records = spark.read.schema(schemas.BRONZE_TRAFFIC).json(spark.sparkContext.parallelize(lines))
+    rows = stream.project_traffic(records, dt.datetime(2024, 3, 1))
+    days = stream.append_new(rows, str(tmp_path / "silver"), str(tmp_path / "staged"))
+    assert sorted(set(days)) == [dt.date(2024, 1, 10) + dt.timedelta(days=i) for i in range(3)]
+    assert list((tmp_path / "staged").glob("*.parquet")) and not list((tmp_path / "staged").glob("year=*"))
+    assert len(list((tmp_path / "silver").glob("year=2024/month=1/day=*/hour=*"))) == 3
+    assert tables.read_parquet(spark, str(tmp_path / "silver"), schemas.SILVER_TRAFFIC).count() == 9
+
+
 def test_stateful_dedup_with_very_many_copies(spark, tmp_path):
     for part in range(3):
         land(tmp_path / "landing", *[reading("hot", 1)] * 500, *[reading(f"e{part}-{i}", 1) for i in range(20)])

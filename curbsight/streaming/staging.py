@@ -37,12 +37,17 @@ def discard(spark: SparkSession, path: str) -> None:
     store.delete(folder, True)
 
 
-def stage(frame: DataFrame, path: str, schema: T.StructType, by: Sequence[str] = DAILY) -> DataFrame:
-    """Write a batch unless an earlier attempt finished doing so, and go on from the files."""
+def stage(
+    frame: DataFrame, path: str, schema: T.StructType, by: Sequence[str] = DAILY, *, arranged: bool = False
+) -> DataFrame:
+    """Write a batch unless an earlier attempt finished doing so, and go on from the files.
+
+    With ``arranged`` its rows come by folder already, so they are not exchanged again.
+    """
     spark = frame.sparkSession
     if not exists(spark, f"{path}/_SUCCESS"):
         if by:
-            laid_out(frame, by).write.mode("overwrite").partitionBy(*by).parquet(path)
+            (frame if arranged else laid_out(frame, by)).write.mode("overwrite").partitionBy(*by).parquet(path)
         else:
             frame.write.mode("overwrite").parquet(path)
     return read_parquet(spark, path, schema)

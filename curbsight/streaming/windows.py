@@ -2,7 +2,7 @@
 
 The stream over landed records closes a window when its watermark has passed. This one follows silver, which holds every
 reading once however late it came, and adds what is new to a stored rollup. A batch becomes parts of its own windows, the
-parts are merged with those of the touched days, and the days are replaced. There is no watermark and no state beside the
+parts are merged with those of the touched days that the rollup holds, and these days are replaced. There is no watermark and no state beside the
 table, so nothing is dropped and nothing grows with the number of open windows.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from curbsight import schemas
-from curbsight.operators.traffic_gold import merged_quarters, sensor_quarters
+from curbsight.operators.traffic_gold import merged_quarters, sensor_quarters, stored_sensor_quarters
 from curbsight.sources.tables import only_days, read_parquet, write_arranged
 from curbsight.streaming.ledger import KEPT
 from curbsight.streaming.staging import discard, exists, made, stage, staged_days, started
@@ -26,20 +26,24 @@ def quarter_schema(spark: SparkSession) -> T.StructType:
 def add_quarters(readings: DataFrame, rollup_path: str, redo_path: str) -> None:
     """Add new readings to the rollup.
 
-    Sums must not be added twice. The parts of the batch and the new content of its days are staged before the days are
-    replaced, and a batch that is run again goes on from what it finds there.
+    Sums must not be added twice. The parts of the batch and the new content of the days that the rollup holds already are
+    staged before any day is replaced, and a batch that is run again goes on from what it finds there. All other days
+    get the parts of the batch as they are.
     """
     spark = readings.sparkSession
     schema = quarter_schema(spark)
-    incoming = stage(sensor_quarters(readings), f"{redo_path}/incoming", schema)
+    incoming = stage(stored_sensor_quarters(readings), f"{redo_path}/incoming", schema, arranged=True)
     days = staged_days(incoming)
     if not days:
         return
-    parts = incoming
+    merged = spark.createDataFrame([], schema)
     if exists(spark, rollup_path):
-        parts = incoming.unionByName(only_days(read_parquet(spark, rollup_path, schema), days))
-    redo = stage(merged_quarters(parts), f"{redo_path}/merged", schema)
-    write_arranged(redo, rollup_path, overwrite="dynamic")
+        stored = only_days(read_parquet(spark, rollup_path, schema), days)
+        merged = merged_quarters(only_days(incoming, staged_days(stored)).unionByName(stored))
+    # Staged also if empty: what a crashed attempt has written must not pass for days that were held before.
+    redo = stage(merged, f"{redo_path}/merged", schema)
+    new = set(days) - set(staged_days(redo))
+    write_arranged(redo.unionByName(only_days(incoming, new)), rollup_path, overwrite="dynamic")
 
 
 def run_quarters(

@@ -50,6 +50,19 @@ def test_a_batch_run_again_adds_nothing(spark, tmp_path):
     assert rounded_rows(rollup, whole.columns) == rounded_rows(whole, whole.columns)
 
 
+def test_only_days_that_the_rollup_holds_are_merged(spark, tmp_path):
+    path, redo = str(tmp_path / "quarters"), tmp_path / "redo"
+    first = traffic(spark, {"event_id": "a"})
+    second = traffic(spark, {"event_id": "b"}, {"event_id": "next", "reading_datetime": minutes(60 * 24)})
+    for number, rows in ((0, first), (0, first), (1, second), (1, second)):
+        windows.add_quarters(rows, path, str(redo / f"batch-{number}"))
+    schema = windows.quarter_schema(spark)
+    rollup, whole = tables.read_parquet(spark, path, schema), traffic_gold.sensor_quarters(first.unionByName(second))
+    assert rounded_rows(rollup, whole.columns) == rounded_rows(whole, whole.columns)
+    merged = [tables.read_parquet(spark, str(redo / f"batch-{n}" / "merged"), schema).collect() for n in (0, 1)]
+    assert [[r.readings for r in rows] for rows in merged] == [[], [2]]
+
+
 @pytest.mark.parametrize("parts", [2, 5])
 def test_merged_rollups_are_the_rollup_of_all(spark, parts):
     rows = mixed_traffic(spark)

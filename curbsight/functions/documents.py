@@ -11,6 +11,7 @@ nobody knows. What is nested deeper than ``OPEN_DEPTH`` keeps its tags, so nothi
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from functools import reduce
 
@@ -83,7 +84,10 @@ def decode_documents(frame: DataFrame, targets: Mapping[str, T.StructType]) -> D
     Parsing is a projection of its own, so that every document is parsed once however many of its
     fields are read.
     """
-    parsed = frame.withColumns({c: F.from_json(c, wire_fields(target)) for c, target in targets.items()})
+    return _typed(frame.withColumns({c: F.from_json(c, wire_fields(target)) for c, target in targets.items()}), targets)
+
+
+def _typed(parsed: DataFrame, targets: Mapping[str, T.StructType]) -> DataFrame:
     return parsed.withColumns({
         c: F.when(F.col(c).isNotNull(), plain_document(F.col(c), target)) for c, target in targets.items()
     })
@@ -176,12 +180,70 @@ def _with_rest(frame: DataFrame, wire: str, typed: Column, target: T.StructType,
         wire, f"{name}_all", *(column for _, column in inner))
 
 
+# Text without escapes, so that every quote in a document is one that its form has.
+_BARE = r'"[^"\\\x00-\x1F]*+"'
+_TAGGED_NULL = r'\{"NULL":true\}'
+
+
+def _form(target: T.DataType) -> str:
+    """Regular expression of a tagged value that the typed form holds as a whole; only NULL of kinds it doesn't tell."""
+    if isinstance(target, T.StructType):
+        return rf'(?:\{{"M":{_closed_form(target)}\}}|{_TAGGED_NULL})'
+    kinds = [rf'\{{"[SN]":{_BARE}\}}'] if isinstance(target, T.StringType) else []
+    if isinstance(target, (T.StringType, T.BooleanType)):
+        kinds.append(r'\{"BOOL":(?:true|false)\}')
+    return f"(?:{'|'.join([*kinds, _TAGGED_NULL])})"
+
+
+def _closed_form(target: T.StructType) -> str:
+    """Regular expression of a document in compact JSON, without escapes, whose members are all declared, in any order."""
+    names: dict[str, list[str]] = {}
+    for f in target.fields:
+        if re.fullmatch(r"\w+", f.name, re.ASCII):
+            names.setdefault(_form(f.dataType), []).append(f.name)
+    member = "|".join(rf'"(?:{"|".join(own)})":{form}' for form, own in names.items())
+    return rf"\{{(?:(?:{member})(?:,(?:{member}))*+)?+\}}"
+
+
+def _quotes(wire: Column, target: T.StructType) -> Column:
+    """How many quotes a document has that is of the closed form and names no attribute twice."""
+    def of(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.StructType):
+            inside = F.coalesce(_quotes(value["M"], kind), F.lit(0))
+        elif isinstance(kind, (T.StringType, T.BooleanType)):
+            inside = F.when(value["S"].isNotNull() | value["N"].isNotNull(), 2).otherwise(0)
+        else:
+            inside = F.lit(0)
+        return F.when(value.isNotNull(), inside + 4).otherwise(0)
+
+    return F.when(wire.isNotNull(), reduce(lambda a, b: a + b, (of(wire[f.name], f.dataType) for f in target.fields), F.lit(0)))
+
+
+def _is_closed(text: Column, wire: Column, target: T.StructType) -> Column:
+    """Whether a document has surely nothing beyond its typed form, told from its text without reading all values again.
+
+    The form admits only what the typed form holds; an attribute that is named twice, which is no document to a variant, shows
+    in the number of quotes. Any other document may or may not have a rest.
+    """
+    closed = text.rlike(rf"\A{_closed_form(target)}\z")
+    quotes = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
+    return F.coalesce(closed & (quotes == _quotes(wire, target)), F.lit(False))
+
+
 def decode_open_documents(frame: DataFrame, targets: Mapping[str, T.StructType]) -> DataFrame:
     """``decode_documents``, and beside each of these columns one named ``<column>_rest``: the attributes beyond the typed
     form as a variant object in plain form, NULL if there are none. Text that is no document at all is kept as text.
+
+    Most documents have no rest. Those of a form that leaves none are told by one pass over their text; all others are read
+    once more as variants.
     """
-    texts = {f"_{c}_text": F.col(c) for c in targets}
-    frame = decode_documents(frame.withColumns(texts), targets)
+    parsed = frame.withColumns({f"_{c}_text": F.col(c) for c in targets}).withColumns(
+        {c: F.from_json(c, wire_fields(target)) for c, target in targets.items()})
+    open_texts = {
+        f"_{c}_text": F.when(~_is_closed(F.col(f"_{c}_text"), F.col(c), target), F.col(f"_{c}_text"))
+        for c, target in targets.items()
+    }
+    frame = _typed(parsed.withColumns(open_texts), targets)
     for c, target in targets.items():
         frame = frame.withColumn(f"_{c}_wire", _members(F.try_parse_json(f"_{c}_text")))
         broken = F.when(F.col(f"_{c}_text").isNotNull() & F.col(f"_{c}_wire").isNull(), F.col(f"_{c}_text").cast("variant"))

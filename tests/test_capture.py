@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbsight import schemas
+from curbsight.functions import documents
 from curbsight.functions.documents import attribute_report, decode_open_documents
 from curbsight.sources import tables
 from curbsight.streaming import air_changes, capture
@@ -142,3 +143,48 @@ def test_open_attributes_survive_bronze_and_don_t_disturb_silver(spark, tmp_path
     air_changes.run_incremental(spark, str(tmp_path / "bronze"), str(tmp_path / "state"), str(tmp_path / "p"), RUN).awaitTermination()
     state = tables.read_parquet(spark, str(tmp_path / "state"), schemas.SILVER_AIR_STATE).collect()
     assert sorted((r.sensor_id, r.pm25) for r in state) == [("AQ_1", 3.0), ("AQ_2", None)]
+
+
+CLOSED = (
+    "{}", '{"sensor_id":{"S":"AQ_1"}}', '{"is_active":{"BOOL":true},"sensor_id":{"N":"1"},"timestamp":{"NULL":true}}',
+    '{"created_at":{"NULL":true},"measurements":{"M":{"pm25":{"N":"1.5"},"co2":{"S":"\u00fc"}}},"aqi":{"M":{}}}',
+    '{"location":{"NULL":true},"timestamp":{"BOOL":false},"is_active":{"NULL":true},"event_id":{"S":""}}',
+)
+OPEN = (
+    '{"sensor_id":{"S":"a"},"sensor_id":{"S":"b"}}', '{"aqi":{"M":{"value":{"N":"1"},"value":{"N":"1"}}}}',
+    '{"aqi":{"M":{}},"aqi":{"M":{}}}', '{"created_at":{"NULL":true},"created_at":{"NULL":true}}',
+    '{"sensor_id":{"S":"a"},"site":{"S":"b"}}', '{"location":{"M":{"zone":{"S":"z"},"floor":{"N":"2"}}}}', '{"location":{"S":"z"}}',
+    '{"sensor_id":{"S":"a","N":"1"}}', '{"sensor_id":{"QQ":"a"}}', '{"sensor_id":{}}', '{"sensor_id":"a"}', '{"sensor_id":null}',
+    '{"sensor_id":{"S":null}}', '{"sensor_id":{"N":1}}', '{"sensor_id":{"NULL":false}}', '{"is_active":{"S":"yes"}}', '{"is_active":{"S":"true"}}',
+    '{"sensor_id":{"S":"a\\"b"}}', '{"sensor_id":{"S":"a\tb"}}', '{"sensor_id":{"S":"a"},}', '{"sensor_id":{"S":"a"}} x',
+    '{ "sensor_id" : {"S": "a"} }', '{"sensor_id":{"S":"a"}}\n', '{"Sensor_Id":{"S":"a"}}', "[1]", "{bad", "", "null",
+    '{"sensor_id":{"S":"a\\",\\"site\\":{\\"S\\":\\"b"}}', '{"measurements":{"M":{"pm25":{"M":{"x":{"N":"1"}}}}}}',
+)
+
+
+def test_documents_without_a_rest_are_told_from_their_text(spark):
+    """They need no second reading as variants, which took most of a capture's time."""
+    rows = spark.createDataFrame(enumerate((*CLOSED, *OPEN, None)), "i int, d string")
+    parsed = rows.withColumn("w", F.from_json("d", documents.wire_fields(schemas.AIR_DOCUMENT)))
+    told = parsed.select("i", documents._is_closed(F.col("d"), F.col("w"), schemas.AIR_DOCUMENT)).collect()
+    assert [is_closed for _, is_closed in sorted(told)] == [True] * len(CLOSED) + [False] * (len(OPEN) + 1)
+
+
+def test_telling_closed_documents_changes_no_result(spark, monkeypatch):
+    rows = spark.createDataFrame(enumerate((*CLOSED, *OPEN, None)), "i int, d string")
+
+    def decoded(target):
+        rest = F.col("d_rest").cast("string").alias("rest")
+        return sorted(map(str, decode_open_documents(rows, {"d": target}).select("i", "d", rest).collect()))
+
+    with_test = [decoded(target) for target in (schemas.AIR_DOCUMENT, TARGET)]
+    monkeypatch.setattr(documents, "_is_closed", lambda text, wire, target: F.lit(False))
+    assert with_test == [decoded(target) for target in (schemas.AIR_DOCUMENT, TARGET)]
+
+
+def test_a_long_document_needs_no_deep_stack(spark):
+    names = [f"a{i}" for i in range(300)]
+    target = schemas.struct((" ".join(names), schemas.TEXT))
+    text = json.dumps({n: {"S": "x" * 3000} for n in names}, separators=(",", ":"))
+    parsed = spark.createDataFrame([(text,)], "d string").withColumn("w", F.from_json("d", documents.wire_fields(target)))
+    assert parsed.select(documents._is_closed(F.col("d"), F.col("w"), target)).first()[0]

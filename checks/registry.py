@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -942,6 +942,16 @@ def job_gold_ledger(spark, sf_dir):
     return tables.read_parquet(spark, f"{base}/gold/air_quality_daily_summary").drop("processed_at")
 
 
+def row_digest(values: dict[str, tuple[Column, T.DataType]]) -> tuple[Column, Column]:
+    """Two numbers of 64 bits that tell rows apart by all their values; other rows share both with a chance of 2^-128.
+
+    A hash passes over NULL, so it also gets which values are. Lists and structs are taken as text, doubles as they are.
+    """
+    atoms = [value if isinstance(kind, T.AtomicType) else F.to_json(value) for value, kind in values.values()]
+    missing = [value.isNull() for value, _ in values.values()]
+    return F.xxhash64(*atoms, *missing), F.xxhash64(F.lit("other half"), *atoms, *missing)
+
+
 def refreshed(spark: SparkSession, domain, silver: DataFrame, changed: DataFrame, changed_days) -> DataFrame:
     """Gold built from ``silver`` and refreshed for some days of ``changed``: rows per table, month and day, and how many
     of them a rebuild from ``changed`` has as well, with all their values.
@@ -953,15 +963,16 @@ def refreshed(spark: SparkSession, domain, silver: DataFrame, changed: DataFrame
     counts = None
     for table in (domain.rollup, *domain.tables):
         schema = jobs.gold_schema(spark, domain, table)
-        values = [rounded(F.col(f.name), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-                  for f in schema.fields if f.name != "processed_at"]
+        values = {f.name: (rounded(F.col(f.name), 6) if isinstance(f.dataType, T.DoubleType) else F.col(f.name), f.dataType)
+                  for f in schema.fields if f.name != "processed_at"}
+        row, again = row_digest(values)
         day = F.col("day") if "day" in schema.names else F.lit(None).cast("int").alias("day")
         both = None
         for place, kept in (("kept", 1), ("rebuilt", 0)):
             rows = tables.read_parquet(spark, f"{base}/{place}/{table.name}", schema).select(
-                "year", "month", day, F.to_json(F.struct(*values)).alias("row"), F.lit(kept).alias("kept"))
+                "year", "month", day, row.alias("row"), again.alias("again"), F.lit(kept).alias("kept"))
             both = rows if both is None else both.unionByName(rows)
-        each = both.groupBy("year", "month", "day", "row").agg(
+        each = both.groupBy("year", "month", "day", "row", "again").agg(
             F.sum("kept").alias("here"), F.count_if(F.col("kept") == 0).alias("there"))
         count = each.groupBy("year", "month", "day").agg(
             F.sum("here").alias("n_rows"), F.sum(F.least("here", "there")).alias("n_as_rebuilt"),
